@@ -14,8 +14,8 @@ from freshet.llm import ppm
 from freshet.llm.scratch import Scratch
 
 ORDER = 3
-#: Most grams kept of one order and language, and most languages (the commonest ones).
-MAX_GRAMS = 1 << 17
+#: Most contexts kept of one order and language, and most languages (the commonest ones).
+MAX_CONTEXTS = 1 << 15
 MAX_LANGUAGES = 64
 
 
@@ -23,7 +23,7 @@ def normalise(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def train(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict:
+def train(labelled: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
     """Trees by language from columns text and lang; rows with a null in either are not used."""
     labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
     shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
@@ -33,7 +33,7 @@ def train(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -
     scratch = Scratch(labelled.sparkSession)
     used = labelled.where(F.col("lang").isin(known))
     grams = scratch.save(ppm.count_grams(used, order, normalise, by="lang"), "grams")
-    levels = ppm.collect_levels(grams, order, max_grams)
+    levels = ppm.collect_levels(grams, order, max_contexts)
     scratch.close()
     total = sum(r["count"] for r in shares)
     langs = sorted(levels)
@@ -58,7 +58,7 @@ def identify(texts: list[str | None], model: dict) -> tuple[list[str], list[floa
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score. The model is broadcast; its size is bounded by
-    MAX_LANGUAGES trees of MAX_GRAMS grams an order. Null text, or text without a letter, gives ``und``
+    MAX_LANGUAGES trees of MAX_CONTEXTS contexts an order. Null text, or text without a letter, gives ``und``
     and score 0; equal code lengths go to the first language by name; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -1,7 +1,7 @@
 """Prediction by partial matching over bytes, with frozen statistics.
 
 Training counts byte grams in Arrow tasks and sums them in Spark. Compiling turns the counts into a
-context tree whose every (context, symbol) pair has its exact code length: escape method C, and symbols
+context tree whose every (context, symbol) pair has its exact code length: escape method D, and symbols
 seen in a longer context are excluded from the shorter ones. Scoring finds the longest known context
 before every byte by table look-ups over whole arrays, so a text costs a few look-ups per byte.
 
@@ -91,22 +91,23 @@ def count_grams(texts: DataFrame, order: int, normalise, by: str | None = None)
 
 
 def collect_levels(grams: DataFrame, order: int, most: int) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
-    """Per group, for orders 0 to ``order``: gram codes and counts, the ``most`` commonest of each.
+    """Per group, for orders 0 to ``order``: gram codes and counts of the ``most`` commonest contexts.
 
-    ``most`` bounds what reaches the driver: (order + 1) * most rows of 16 bytes for each group.
+    A context is kept with all its symbols or not at all, so escape probabilities stay true; texts fall
+    back to shorter contexts where a long one is not kept. What reaches the driver is bounded by ``most``
+    contexts of at most 256 symbols for each order and group.
     """
-    from pyspark.sql import Window
-
     out: dict[str, list] = {}
-    for k in range(order + 1):
-        mask = (1 << 8 * (k + 1)) - 1
-        level = grams.groupBy("by", F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
-        ranked = level.withColumn("rank", F.row_number().over(Window.partitionBy("by").orderBy(F.desc("n"), "code")))
-        rows = ranked.where(F.col("rank") <= most).select("by", "code", "n").toPandas()
-        for key, group in rows.groupby("by", sort=True):
-            levels = out.setdefault(key, [(np.empty(0, np.uint64), np.empty(0, np.int64))] * (order + 1))
-            by_code = group.sort_values("code")
-            levels[k] = (by_code["code"].to_numpy().astype(np.uint64), by_code["n"].to_numpy().astype(np.int64))
+    for key in sorted(r["by"] for r in grams.select("by").distinct().collect()):
+        own = grams.where(F.col("by") == key)
+        out[key] = []
+        for k in range(order + 1):
+            mask = (1 << 8 * (k + 1)) - 1
+            level = own.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
+            level = level.withColumn("context", F.shiftright("code", 8))
+            kept = level.groupBy("context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "context").limit(most)
+            rows = level.join(F.broadcast(kept), "context", "left_semi").select("code", "n").toPandas().sort_values("code")
+            out[key].append((rows["code"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(np.int64)))
     return out
 
 
@@ -171,11 +172,11 @@ def _costs(k: int, counts: list[np.ndarray], shorter: list[np.ndarray], rows: sl
     for j in range(k, -1, -1):
         left = np.where(excluded, 0, counts[j][at]).astype(np.float64)
         kinds = (left > 0).sum(1)
-        whole = left.sum(1) + kinds
+        whole = 2 * left.sum(1)
         usable = kinds > 0
         here = left > 0
         with np.errstate(divide="ignore", invalid="ignore"):
-            bits = np.where(here, escaped[:, None] - np.log2(left / whole[:, None]), bits)
+            bits = np.where(here, escaped[:, None] - np.log2((2 * left - 1) / whole[:, None]), bits)
             escaped = np.where(usable, escaped - np.log2(kinds / whole), escaped)
         excluded |= here
         at = shorter[j][at]
