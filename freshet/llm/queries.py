@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import language_id, lm_score, token_count
+from freshet.llm import decontaminate, language_id, license_scan, lm_score, secret_scan, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,5 +39,30 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op5_lm_score)}
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements of every document, whole or as lines."""
+    docs = _table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.known_statements(spark))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans by pattern, and the spans that entropy adds."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def kind(rank: int):
+        return F.size(F.filter("base_spans", lambda s: s["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id", kind(0).alias("n_assign"), kind(1).alias("n_access"), kind(2).alias("n_hex"),
+        F.sha2(secret_scan.span_text(F.col("base_spans")), 256).alias("base_sha256"), secret_scan.span_text(F.col("all_spans")).alias("spans"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op7_secret_scan, op8_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
