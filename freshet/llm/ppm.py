@@ -106,8 +106,10 @@ def collect_levels(grams: DataFrame, order: int, most: int) -> dict[str, list[tu
             level = own.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
             level = level.withColumn("context", F.shiftright("code", 8))
             kept = level.groupBy("context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "context").limit(most)
-            rows = level.join(F.broadcast(kept), "context", "left_semi").select("code", "n").toPandas().sort_values("code")
-            out[key].append((rows["code"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(np.int64)))
+            rows = level.join(F.broadcast(kept), "context", "left_semi").select("code", "n").toArrow()
+            codes = rows["code"].to_numpy().astype(np.uint64)
+            by_code = np.argsort(codes)
+            out[key].append((codes[by_code], rows["n"].to_numpy()[by_code]))
     return out
 
 
@@ -152,9 +154,14 @@ def compile_tree(levels: list[tuple[np.ndarray, np.ndarray]]) -> ContextTree:
         matrix = np.zeros((len(contexts[k]), width), np.float32)
         matrix[at[known], symbol[(codes[known] & np.uint64(255)).astype(np.int64)]] = n[known]
         counts.append(matrix)
-    cost = [_costs(k, counts, shorter, slice(i, i + 4096)) for k in range(order + 1) for i in range(0, len(contexts[k]), 4096)]
-    first = np.cumsum([0] + [len(c) for c in contexts[:-1]]) - 1
-    return ContextTree(order, width, symbol, steps, first, np.concatenate(cost).astype(np.float32).ravel())
+    ends = np.cumsum([len(c) for c in contexts])
+    cost = np.empty((ends[-1], width), np.float32)
+    for k, end in enumerate(ends):
+        size = len(contexts[k])
+        for i in range(0, size, 1024):
+            cost[end - size + i : end - size + min(i + 1024, size)] = _costs(k, counts, shorter, slice(i, i + 1024))
+    first = np.concatenate(([0], ends[:-1])) - 1
+    return ContextTree(order, width, symbol, steps, first, cost.ravel())
 
 
 def _index(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

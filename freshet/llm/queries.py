@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, language_id, license_scan, lm_score, secret_scan, token_count
+from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.known_statements(spark))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-identical documents."""
+    return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base spans by pattern, and the spans that entropy adds."""
     found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -64,5 +69,5 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op7_secret_scan, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination)}
 ORACLE_SQL: dict[str, str] = {}

@@ -20,6 +20,14 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in binary.to_pylist()]
 
 
+def small_batches(batches, column: int, limit: int = 8 << 20):
+    """Arrow batches cut so that the named text column holds about ``limit`` bytes, or one row."""
+    for batch in batches:
+        row = max(1, limit * batch.num_rows // max(1, batch.column(column).nbytes))
+        for begin in range(0, batch.num_rows, row):
+            yield batch.slice(begin, row)
+
+
 def ascii_words(text: bytes) -> list[bytes]:
     """Words separated by [\\x20\\x09-\\x0D], A-Z lower-cased, other bytes as they are."""
     return text.lower().split()
