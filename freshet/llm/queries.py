@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count
+from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,5 +69,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-identical embeddings of one label."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op10_embedding_dedup)}
 ORACLE_SQL: dict[str, str] = {}
