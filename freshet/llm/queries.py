@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count
+from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(tagged, model, id_col="key").select("key.doc_id", "key.held_out", "lang_pred", "score")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a third of the labels by id is held out of training."""
+    docs = _table(spark, sf_dir, "documents")
+    held = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), _fold(3) != 1)
+    scored = toxicity.predict(docs.select(F.struct("doc_id", held).alias("key"), "text"), model, id_col="key")
+    return scored.select("key.doc_id", "key.held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_hits", "n_quoted")
+
+
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model and base scores of every document; a seventh by id is held out of training."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,5 +83,5 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op10_embedding_dedup)}
 ORACLE_SQL: dict[str, str] = {}
