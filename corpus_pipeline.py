@@ -1,8 +1,72 @@
-"""Corpus pipeline (stages follow)."""
+"""A corpus pipeline: five operators in a row, each over what the one before kept."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from freshet.llm import decontaminate, jaccard_join, mixing, secret_scan, toxicity
+from freshet.llm.scratch import Scratch
+
+#: Documents that score at least this go.
+TOXIC = 0.7
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the toxicity model rejects; it is trained on all labels of ``docs``."""
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), F.lit(True))
+    scored = toxicity.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, id_col="row")
+    return scored.where(F.col("score") < TOXIC).select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every component of similar ones: that of the smallest id."""
+    found = jaccard_join.similar_components(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a window of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets masked in the texts, n_chars counted anew."""
+    masked = secret_scan.redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents drawn for the mixture, with their weight and number of copies."""
+    drawn = mixing.mixed(docs)
+    return drawn.where("copies > 0").select(*docs.columns, "n_tokens", "weight", "copies", "block")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("secret_scan", mask_secrets),
+    ("mixing", mix_sources),
+]
+
+#: A learned score has no SQL form; tests compare the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written to a shared folder and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    scratch = Scratch(spark)
+    before = None
+    for name, stage in STAGES:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
+    return docs

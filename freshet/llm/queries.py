@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, secret_scan, token_count, toxicity
+from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, mixing, secret_scan, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,10 +78,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is drawn for a mixture of sources to target weights."""
+    drawn = mixing.mixed(_table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "source", "n_tokens", "weight", "copies", "block")
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-identical embeddings of one label."""
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op9_mixing, op10_embedding_dedup)}
 ORACLE_SQL: dict[str, str] = {}
