@@ -1,4 +1,393 @@
-"""Registered queries over the stand-in tables, each with its SQL oracle."""
+"""Registered queries over the stand-in tables, each with the SQL that must give the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from freshet.functions import calendar, numerics
+from freshet.operators import ensemble, frequency, interpolation, network, reductions, thresholds, weights
+from freshet.plans import stand_ins as data
+from freshet.sources import tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = " ".join(sql.split())
+        return f
+
+    return add
+
+
+def kb(x: str) -> str:
+    """SQL of keepbits over a column."""
+    e = f"greatest(floor(log2(abs({x}::FLOAT::DOUBLE))), -126)"
+    return f"(CASE WHEN {x} IS NULL OR isnan({x}::DOUBLE) OR isinf({x}::DOUBLE) OR {x}::FLOAT = 0 THEN {x}::FLOAT ELSE (round_even({x}::FLOAT::DOUBLE * pow(2.0, 13 - {e}), 0) * pow(2.0, {e} - 13))::FLOAT END)"
+
+
+day = lambda c: F.date_format(c, "yyyy-MM-dd").alias("day")
+HOURLY = "hourly AS (SELECT user_id AS river, date_trunc('hour', ts) AS ts, avg(value::FLOAT::DOUBLE)::FLOAT AS q FROM events GROUP BY ALL)"
+ROUNDED = f"{HOURLY}, rounded AS (SELECT river, ts, {kb('q')} AS q FROM hourly)"
+DAYS = f"{ROUNDED}, totals AS (SELECT river, date_trunc('day', ts) AS d, sum(q::DOUBLE) AS total, count(q) AS hours, max(q) AS top FROM rounded GROUP BY ALL), means AS (SELECT *, total / hours AS m FROM totals), days AS (SELECT river, d, total, hours, top, {kb('m')} AS mean FROM means)"
+MAXIMA = "maxima AS (SELECT l_suppkey AS river, year(l_shipdate) AS year, max(l_extendedprice)::FLOAT AS q FROM lineitem GROUP BY ALL)"
+MOMENTS = "moments AS (SELECT river, count(q) AS n, avg(q::DOUBLE) AS mean, stddev_samp(q::DOUBLE) AS std, avg(ln(greatest(q::DOUBLE, 1e-4))) AS ln_mean, stddev_samp(ln(greatest(q::DOUBLE, 1e-4))) AS ln_std, min(q) AS low, max(q) AS high FROM maxima GROUP BY ALL)"
+GUMBEL_ROWS = ", ".join(f"({t}, {k!r})" for t, k in zip(frequency.INTERVALS, frequency.GUMBEL_K))
+NORMAL_ROWS = ", ".join(f"({t}, {z!r})" for t, z in zip(frequency.INTERVALS, frequency.NORMAL_Z))
+CURVE = "curve AS (SELECT river, t::FLOAT AS recurrence_interval, greatest(CASE WHEN low = high THEN low::DOUBLE ELSE v END, 0) AS v FROM fitted WHERE n >= 3)"
+MEMBERS = "members AS (SELECT l_suppkey AS river, l_linenumber AS member, (month(l_shipdate) - 1)::INT AS step, max(l_extendedprice)::FLOAT AS q FROM lineitem WHERE year(l_shipdate) = 2001 GROUP BY ALL)"
+MEDIAN = f"median AS (SELECT river, step, {kb('m')} AS q FROM (SELECT river, step, quantile_cont(q::DOUBLE, 0.5) AS m FROM members GROUP BY ALL))"
+FLOOD_MAXIMA = "maxima AS (SELECT l_suppkey AS river, year, max(q)::FLOAT AS q FROM (SELECT l_suppkey, year(l_shipdate) AS year, month(l_shipdate) AS month, avg(l_extendedprice) AS q FROM lineitem GROUP BY ALL) GROUP BY ALL)"
+FLOOD = f"{FLOOD_MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE}, curves AS (SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve)"
+SHARES = f"{FLOOD}, {MEMBERS}, shares AS (SELECT m.river, step, recurrence_interval, any_value(flow) AS flow, avg((q > flow)::INT::DOUBLE) AS share FROM members m JOIN curves c USING (river) GROUP BY ALL)"
+SERIES = "series AS (SELECT vec_id AS river, label AS region, (unnest(range(len(embedding))))::INT AS step, (abs(unnest(embedding)::DOUBLE) * 1000)::FLOAT AS q FROM embeddings)"
+RIVERS = "numbered AS (SELECT c_nationkey AS region, c_custkey AS river, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer), rivers AS (SELECT a.region, a.river, coalesce(b.river, -1) AS next, (a.n - a.rn)::INT AS index, (1.0 + a.river % 5)::DOUBLE AS k, (0.1::DOUBLE * (a.river % 5)) AS x FROM numbered a LEFT JOIN numbered b ON a.region = b.region AND a.rn // 2 = b.rn)"
+PIECES = "pieces AS (SELECT l_suppkey AS river, l_partkey AS cell, sum(l_quantity) AS area FROM lineitem GROUP BY ALL)"
+THICKNESS = "(1 + (coalesce(q, 0) >= 1)::INT + (coalesce(q, 0) >= 10)::INT + (coalesce(q, 0) >= 100)::INT + (coalesce(q, 0) >= 1000)::INT + (coalesce(q, 0) >= 10000)::INT)"
+STYLE = f"{FLOOD}, {MEMBERS}, {MEDIAN}, classed AS (SELECT river, step, any_value(m.q) AS q, count(*) FILTER (m.q >= c.flow) AS period_class FROM median m LEFT JOIN (SELECT * FROM curves WHERE recurrence_interval >= 2) c USING (river) GROUP BY ALL), styled AS (SELECT river, step, q, period_class::INT AS period_class, {THICKNESS}::INT AS thickness, (period_class * 8 + {THICKNESS} - 1)::INT AS style FROM classed)"
+ACCUMULATED = "per_hour AS (SELECT user_id AS cell, floor((epoch(ts) - 1704067200) / 3600)::INT AS hours, sum(round(value * 100)::BIGINT)::BIGINT AS cents FROM events GROUP BY ALL), accumulated AS (SELECT cell, hours, ((sum(cents) OVER (PARTITION BY cell ORDER BY hours))::DOUBLE / 100)::FLOAT AS ro FROM per_hour)"
+
+
+def _days(spark, sf_dir):
+    return reductions.days(data.hourly(spark, sf_dir))
+
+
+@query(f"WITH {DAYS} SELECT river, strftime(d, '%Y-%m-%d') AS day, mean, hours FROM days")
+def daily_mean(spark, sf_dir):
+    return _days(spark, sf_dir).select("river", day("day"), "mean", "hours")
+
+
+@query(f"WITH {DAYS}, m AS (SELECT river, date_trunc('month', d) AS start, sum(total) / sum(hours) AS m, sum(hours)::BIGINT AS hours FROM days GROUP BY ALL) SELECT river, strftime(start, '%Y-%m-%d') AS day, {kb('m')} AS mean, hours FROM m")
+def monthly_mean(spark, sf_dir):
+    return reductions.period_means(_days(spark, sf_dir), "month").select("river", day("start"), "mean", "hours")
+
+
+@query(f"WITH {DAYS}, m AS (SELECT river, date_trunc('year', d) AS start, sum(total) / sum(hours) AS m, sum(hours)::BIGINT AS hours FROM days GROUP BY ALL) SELECT river, strftime(start, '%Y-%m-%d') AS day, {kb('m')} AS mean, hours FROM m")
+def yearly_mean(spark, sf_dir):
+    return reductions.period_means(_days(spark, sf_dir), "year").select("river", day("start"), "mean", "hours")
+
+
+@query(f"WITH {DAYS} SELECT river, year(d)::INT AS year, max(top) AS hourly FROM days GROUP BY ALL")
+def annual_max_hourly(spark, sf_dir):
+    return reductions.annual_maxima(_days(spark, sf_dir)).select("river", "year", "hourly")
+
+
+@query(f"WITH {DAYS} SELECT river, year(d)::INT AS year, max(mean) AS daily FROM days WHERE hours > 0 GROUP BY ALL")
+def annual_max_daily(spark, sf_dir):
+    return reductions.annual_maxima(_days(spark, sf_dir)).select("river", "year", "daily")
+
+
+@query(f"WITH {HOURLY} SELECT river, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(DISTINCT hour(ts)) AS hours, 24 - count(DISTINCT hour(ts)) AS missing, min(hour(ts))::INT AS first_hour FROM hourly GROUP BY ALL")
+def hour_calendar_gaps(spark, sf_dir):
+    return reductions.calendar_gaps(data.hourly(spark, sf_dir)).select("river", day("day"), "hours", "missing", "first_hour")
+
+
+TUMBLING = f"WITH {HOURLY}, w AS (SELECT river, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2000-01-01') AS t, avg(q::DOUBLE) AS m, count(q) AS n FROM hourly GROUP BY ALL) SELECT river, strftime(t, '%Y-%m-%d %H:%M') AS start, {kb('m')} AS q, n FROM w"
+
+
+@query(TUMBLING)
+def tumbling_3h_mean(spark, sf_dir):
+    return reductions.window_means(data.hourly(spark, sf_dir)).select("river", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("start"), "q", "n")
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE} SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve")
+def return_periods_gumbel(spark, sf_dir):
+    return frequency.gumbel(frequency.moments(data.maxima(spark, sf_dir)))
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, exp(ln_mean + z * ln_std) AS v FROM moments m, (VALUES {NORMAL_ROWS}) g(t, z)), {CURVE} SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve")
+def return_periods_lognormal(spark, sf_dir):
+    return frequency.lognormal(frequency.moments(data.maxima(spark, sf_dir)))
+
+
+WEIBULL = "shapes AS (SELECT i, 0.1::DOUBLE * pow(2000.0::DOUBLE, i / 3999.0::DOUBLE) AS k FROM range(4000) r(i)), curve_of AS (SELECT i, k, sqrt(exp(lgamma(1 + 2 / k) - 2 * lgamma(1 + 1 / k)) - 1) AS cv FROM shapes), segments AS (SELECT cv AS hi, k AS k_hi, lead(cv) OVER (ORDER BY i) AS lo, lead(k) OVER (ORDER BY i) AS k_lo FROM curve_of), ends AS (SELECT max(cv) AS top, min(cv) AS bottom FROM curve_of), clamped AS (SELECT m.*, least(greatest(coalesce(std / nullif(mean, 0), 0), bottom), top) AS cv FROM moments m, ends), shaped AS (SELECT c.*, k_lo + (cv - lo) * (k_hi - k_lo) / (hi - lo) AS shape FROM clamped c JOIN segments s ON cv >= lo AND (cv < hi OR (cv = hi AND k_hi = 0.1))), fitted AS (SELECT s.*, t, mean / exp(lgamma(1 + 1 / shape)) * pow(ln(t::DOUBLE), 1 / shape) AS v FROM shaped s, (VALUES (1.5), (2.0), (5.0), (10.0), (25.0), (50.0), (100.0)) g(t))"
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, {WEIBULL}, {CURVE} SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve")
+def return_periods_weibull(spark, sf_dir):
+    return frequency.weibull(frequency.moments(data.maxima(spark, sf_dir)))
+
+
+@query()
+def return_periods_logpearson3(spark, sf_dir):
+    return frequency.log_pearson3(frequency.moments(data.maxima(spark, sf_dir)))
+
+
+@query()
+def return_periods_all(spark, sf_dir):
+    return frequency.return_periods(data.maxima(spark, sf_dir))
+
+
+@query(f"WITH {MAXIMA}, logs AS (SELECT river, log10(greatest(q::DOUBLE, 1e-4)) AS x FROM maxima), m AS (SELECT river, count(x) AS n, avg(x) AS mean, stddev_samp(x) AS std FROM logs GROUP BY ALL) SELECT river, any_value(n) AS n, round(any_value(mean), 9) AS lg_mean, round(any_value(std), 9) AS lg_std, round(any_value(n) / ((any_value(n) - 1.0) * (any_value(n) - 2.0)) * sum(pow((x - mean) / std, 3)), 7) AS skew FROM logs JOIN m USING (river) WHERE n >= 3 AND std > 0 GROUP BY river")
+def log_moments(spark, sf_dir):
+    m = frequency.moments(data.maxima(spark, sf_dir)).where("n >= 3 and lg_std > 0")
+    return m.select("river", "n", F.round("lg_mean", 9).alias("lg_mean"), F.round("lg_std", 9).alias("lg_std"), F.round("skew", 7).alias("skew"))
+
+
+@query(f"WITH {MAXIMA} SELECT river, max(q) AS max_simulated FROM maxima GROUP BY ALL")
+def max_simulated(spark, sf_dir):
+    return frequency.largest(data.maxima(spark, sf_dir))
+
+
+@query("WITH maxima AS (SELECT o_custkey AS river, year(o_orderdate) AS year, max(o_totalprice)::FLOAT AS q FROM orders GROUP BY ALL) SELECT river, count(q) AS n, count(*) FILTER (q IS NULL) AS missing FROM maxima GROUP BY river HAVING count(q) < 3 OR count(*) FILTER (q IS NULL) > 0")
+def short_records_refused(spark, sf_dir):
+    return frequency.enough_years(data.short_maxima(spark, sf_dir))
+
+
+@query(f"WITH {MEMBERS}, d AS (SELECT river, step, (p * 10)::INT AS percentile, quantile_cont(q::DOUBLE, 0.0) AS q0, list_extract(quantile_cont(q::DOUBLE, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]), (p + 1)::INT) AS m FROM members, range(11) r(p) GROUP BY river, step, p) SELECT river, step, percentile, {kb('m')} AS q FROM d")
+def ensemble_deciles(spark, sf_dir):
+    return ensemble.deciles(data.members(spark, sf_dir))
+
+
+@query(f"WITH {MEMBERS}, m AS (SELECT river, step, avg(q::DOUBLE) AS m FROM members GROUP BY ALL) SELECT river, step, {kb('m')} AS q FROM m")
+def ensemble_mean(spark, sf_dir):
+    return ensemble.mean(data.members(spark, sf_dir))
+
+
+def _median(spark, sf_dir):
+    return ensemble.deciles(data.members(spark, sf_dir)).where("percentile = 50").drop("percentile")
+
+
+@query(f"WITH {MEMBERS}, {MEDIAN}, ranked AS (SELECT *, row_number() OVER (PARTITION BY river ORDER BY q DESC, step) AS r FROM median) SELECT river, q AS peak, step AS peak_step, (CASE WHEN q > 0 THEN step ELSE 255 END)::INT AS time_to_peak FROM ranked WHERE r = 1")
+def peak_and_time_to_peak(spark, sf_dir):
+    return ensemble.peaks(_median(spark, sf_dir))
+
+
+@query(f"WITH {SERIES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY river ORDER BY q DESC, step) AS r FROM series) SELECT river, q AS peak, step AS peak_step, (CASE WHEN q > 0 THEN step ELSE 255 END)::INT AS time_to_peak FROM ranked WHERE r = 1")
+def series_peaks(spark, sf_dir):
+    return ensemble.peaks(tables.long_series(data.series(spark, sf_dir)))
+
+
+@query(f"WITH {MEMBERS}, {MEDIAN}, low AS (SELECT l_suppkey AS river, quantile_cont(l_extendedprice, 0.05)::FLOAT AS q95 FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY ALL), lowest AS (SELECT river, min(q) AS lowest FROM median GROUP BY ALL) SELECT river, lowest, q95, (CASE WHEN lowest IS NULL OR q95 IS NULL THEN 255 ELSE (lowest < q95)::INT END)::INT AS below FROM lowest LEFT JOIN low USING (river)")
+def below_low_flow(spark, sf_dir):
+    low = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_extendedprice").where("l_suppkey % 10 <> 0").groupBy(F.col("l_suppkey").alias("river")).agg(F.percentile("l_extendedprice", 0.05).cast("float").alias("q95"))
+    return ensemble.below_low_flow(_median(spark, sf_dir), low)
+
+
+@query(f"WITH {SERIES} SELECT river, step, q, {kb('q')} AS rounded FROM series")
+def keepbits(spark, sf_dir):
+    return tables.long_series(data.series(spark, sf_dir)).select("river", "step", "q", numerics.keepbits(F.col("q")).alias("rounded"))
+
+
+@query(f"WITH flows AS (SELECT value::FLOAT AS q FROM events UNION ALL SELECT l_extendedprice::FLOAT FROM lineitem) SELECT {THICKNESS}::INT AS thickness, count(*) AS n, min(q) AS low, max(q) AS high FROM flows GROUP BY 1")
+def thickness_class(spark, sf_dir):
+    flows = data.table(spark, sf_dir, "events", "value").select(F.col("value").cast("float").alias("q")).unionByName(data.table(spark, sf_dir, "lineitem", "l_extendedprice").select(F.col("l_extendedprice").cast("float").alias("q")))
+    return flows.groupBy(numerics.thickness_class(F.col("q")).alias("thickness")).agg(F.count("*").alias("n"), F.min("q").alias("low"), F.max("q").alias("high"))
+
+
+def _curves(spark, sf_dir):
+    return frequency.gumbel(frequency.moments(data.monthly_maxima(spark, sf_dir)))
+
+
+def _styles(spark, sf_dir):
+    return thresholds.style_codes(_median(spark, sf_dir), thresholds.threshold_arrays(_curves(spark, sf_dir)))
+
+
+@query(f"WITH {STYLE} SELECT river, step, q, period_class FROM styled")
+def return_period_class(spark, sf_dir):
+    return _styles(spark, sf_dir).select("river", "step", "q", "period_class")
+
+
+@query(f"WITH {STYLE} SELECT river, step, thickness, style FROM styled")
+def style_byte(spark, sf_dir):
+    return _styles(spark, sf_dir).select("river", "step", "thickness", "style")
+
+
+@query(f"WITH {STYLE} SELECT river, step, style, (((style - coalesce(lag(style) OVER (PARTITION BY river ORDER BY step), 0)) % 256 + 256) % 256)::INT AS delta FROM styled")
+def style_delta(spark, sf_dir):
+    return thresholds.deltas(_styles(spark, sf_dir))
+
+
+def _shares(spark, sf_dir):
+    return thresholds.exceedance(data.members(spark, sf_dir), _curves(spark, sf_dir))
+
+
+@query(f"WITH {SHARES} SELECT river, step, recurrence_interval, flow, round(share, 9) AS share FROM shares")
+def exceedance_share(spark, sf_dir):
+    return _shares(spark, sf_dir).withColumn("share", F.round("share", 9))
+
+
+ALERTS = f"""{SHARES}, {MEDIAN}, by_level AS (SELECT river, recurrence_interval, any_value(flow) AS flow, max(share) AS share, min(step) FILTER (share >= 0.3) AS onset FROM shares GROUP BY river, recurrence_interval),
+levels AS (SELECT * FROM by_level WHERE onset IS NOT NULL QUALIFY row_number() OVER (PARTITION BY river ORDER BY recurrence_interval DESC) = 1),
+peaks AS (SELECT river, q AS peak, step AS peak_step FROM median QUALIFY row_number() OVER (PARTITION BY river ORDER BY q DESC, step) = 1),
+meta AS (SELECT s_suppkey AS river, s_suppkey AS riverId, s_suppkey - 1 AS riverIndex, n_regionkey::DOUBLE AS lat, s_nationkey::DOUBLE AS lon FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)
+SELECT 'flood-2001010100-' || riverId AS identifier, '2001-01-01T00:00:00Z' AS sent, 'River flood' AS event, CASE WHEN onset * 3 <= 24 THEN 'Immediate' WHEN onset * 3 <= 72 THEN 'Expected' ELSE 'Future' END AS urgency,
+CASE WHEN recurrence_interval <= 2 THEN 'Minor' WHEN recurrence_interval <= 10 THEN 'Moderate' WHEN recurrence_interval <= 50 THEN 'Severe' ELSE 'Extreme' END AS severity, CASE WHEN share >= 0.5 THEN 'Likely' ELSE 'Possible' END AS certainty,
+strftime(TIMESTAMP '2001-01-01' + to_hours(onset * 3), '%Y-%m-%dT%H:%M:%SZ') AS onset, '2001-01-16T00:00:00Z' AS expires, riverId AS "riverId", riverIndex AS "riverIndex", lat, lon, recurrence_interval, flow AS return_period_flow, round(share, 9) AS exceedance_probability,
+strftime(TIMESTAMP '2001-01-01' + to_hours(peak_step * 3), '%Y-%m-%dT%H:%M:%SZ') AS peak_time, peak AS peak_median_flow FROM levels JOIN peaks USING (river) LEFT JOIN meta USING (river)"""
+
+
+@query(f"WITH {ALERTS}")
+def alerts(spark, sf_dir):
+    start = F.lit("2001-01-01").cast("timestamp")
+    table = thresholds.alert_table(thresholds.alert_levels(_shares(spark, sf_dir)), ensemble.peaks(_median(spark, sf_dir)), data.metadata(spark, sf_dir), start, "flood")
+    return table.withColumn("exceedance_probability", F.round("exceedance_probability", 9))
+
+
+@query(f"WITH {ACCUMULATED}, kept AS (SELECT * FROM accumulated WHERE hours <> 0), hour_of AS (SELECT cell, unnest(range(min(hours), max(hours) + 1))::INT AS hour FROM kept GROUP BY cell), after AS (SELECT h.cell, h.hour, a.hours AS h1, a.ro AS q1 FROM hour_of h ASOF JOIN kept a ON h.cell = a.cell AND h.hour <= a.hours), both_sides AS (SELECT a.*, b.hours AS h0, b.ro AS q0 FROM after a ASOF LEFT JOIN kept b ON a.cell = b.cell AND a.hour > b.hours) SELECT cell, hour, (CASE WHEN h0 IS NULL THEN q1 ELSE ((q1 - q0) * ((hour - h0)::DOUBLE / (h1 - h0))::FLOAT + q0)::FLOAT END) AS ro FROM both_sides")
+def accumulation_interpolation(spark, sf_dir):
+    return interpolation.at_every_hour(data.accumulated(spark, sf_dir))
+
+
+@query(f"WITH {ACCUMULATED} SELECT cell, hours, ro, (ro - coalesce(lag(ro) OVER (PARTITION BY cell ORDER BY hours), 0::FLOAT))::FLOAT AS step_ro FROM accumulated")
+def deaccumulation(spark, sf_dir):
+    return interpolation.increments(data.accumulated(spark, sf_dir)).withColumn("step_ro", F.col("step_ro").cast("float"))
+
+
+@query(f"WITH {RIVERS} SELECT region, count(*) AS n_rivers, count(*) FILTER (next = -1) AS n_outlets, 0::BIGINT AS n_open, 0::BIGINT AS n_unordered, (max(index) - min(index) + 1 - count(DISTINCT index))::BIGINT AS n_gaps, (count(*) - count(DISTINCT river))::BIGINT AS n_repeated, count(*) FILTER (NOT (k > 0 AND x BETWEEN 0 AND 0.5)) AS n_invalid FROM rivers GROUP BY region")
+def network_checks(spark, sf_dir):
+    return network.network_checks(data.rivers(spark, sf_dir))
+
+
+@query(f"WITH {RIVERS} SELECT a.region, a.river, a.next, a.index, b.index AS next_index FROM rivers a LEFT JOIN rivers b ON a.region = b.region AND a.next = b.river")
+def downstream_position(spark, sf_dir):
+    return network.downstream(data.rivers(spark, sf_dir))
+
+
+@query(f"WITH {RIVERS}, sizes AS (SELECT region, count(*) AS n FROM rivers GROUP BY ALL), placed AS (SELECT region, n, coalesce(sum(n) OVER (ORDER BY region ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM sizes) SELECT region, first, n, true AS covered FROM placed")
+def region_coverage(spark, sf_dir):
+    rivers = data.rivers(spark, sf_dir)
+    sizes = rivers.groupBy("region").count()
+    offsets = sizes.select("region", F.coalesce(F.sum("count").over(Window.orderBy("region").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    return network.region_spans(rivers.join(F.broadcast(offsets), "region").withColumn("index", F.col("index") + F.col("offset")))
+
+
+@query("WITH present AS (SELECT DISTINCT o_custkey % 50 AS region, year(o_orderdate)::INT AS year FROM orders WHERE (o_custkey % 50 + year(o_orderdate)) % 7 <> 0) SELECT r.region, y.year FROM (SELECT DISTINCT region FROM present) r, (SELECT DISTINCT year FROM present) y WHERE (r.region, y.year) NOT IN (SELECT (region, year) FROM present)")
+def missing_region_years(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
+    present = o.select((F.col("o_custkey") % 50).alias("region"), F.year("o_orderdate").alias("year")).where((F.col("region") + F.col("year")) % 7 != 0).distinct()
+    return network.missing_region_years(present)
+
+
+@query(f"WITH {PIECES} SELECT river, cell, area, (area / sum(area) OVER (PARTITION BY river))::FLOAT AS proportion FROM pieces WHERE area > 0")
+def weight_proportions(spark, sf_dir):
+    return weights.proportions(data.pieces(spark, sf_dir))
+
+
+@query(f"WITH {PIECES} SELECT river, cell, area, row_number() OVER (PARTITION BY river ORDER BY area DESC, cell)::INT AS place FROM pieces")
+def weight_order(spark, sf_dir):
+    return weights.ranked(data.pieces(spark, sf_dir))
+
+
+@query(f"WITH {PIECES} SELECT river, sum(area) AS area, count(cell) AS n_pieces, min(area) AS least, max(area) AS most FROM pieces GROUP BY river")
+def catchment_area(spark, sf_dir):
+    return data.pieces(spark, sf_dir).groupBy("river").agg(F.sum("area").alias("area"), F.count("cell").alias("n_pieces"), F.min("area").alias("least"), F.max("area").alias("most"))
+
+
+@query(f"WITH {PIECES} SELECT count(DISTINCT river) AS n_rivers, count(DISTINCT cell) AS n_cells, count(*) AS n_pairs FROM pieces")
+def cell_counts(spark, sf_dir):
+    return data.pieces(spark, sf_dir).agg(F.countDistinct("river").alias("n_rivers"), F.countDistinct("cell").alias("n_cells"), F.count("*").alias("n_pairs"))
+
+
+@query(f"WITH {PIECES} SELECT river, round(sum(p_retailprice * area), 4) AS inflow, count(cell) AS pieces FROM pieces JOIN part ON cell = p_partkey GROUP BY river")
+def lateral_inflow(spark, sf_dir):
+    return weights.lateral_inflow(data.pieces(spark, sf_dir), data.runoff(spark, sf_dir)).withColumn("inflow", F.round("inflow", 4))
+
+
+@query(f"WITH {PIECES} SELECT s_suppkey AS river, 'no weights' AS side FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey NOT IN (SELECT river FROM pieces WHERE river % 2 = 0) UNION ALL SELECT DISTINCT river, 'no river' FROM pieces WHERE river % 2 = 0 AND river NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)")
+def unmatched_weights(spark, sf_dir):
+    suppliers = data.table(spark, sf_dir, "supplier", "s_suppkey").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("river"))
+    return weights.unmatched(suppliers, data.pieces(spark, sf_dir).where("river % 2 = 0").select("river"))
+
+
+@query("WITH boxes AS (SELECT o_orderkey AS id, (o_custkey % 100)::DOUBLE AS west, (o_orderkey % 97)::DOUBLE AS south, (o_custkey % 100) + 1.5 AS east, (o_orderkey % 97) + 0.5 AS north FROM orders), cells AS (SELECT p_partkey AS id, (p_partkey % 50) * 2.0 AS west, (p_partkey // 50) * 2.0 AS south, (p_partkey % 50) * 2.0 + 2 AS east, (p_partkey // 50) * 2.0 + 2 AS north FROM part) SELECT b.id AS box, c.id AS cell, ((least(b.east, c.east) - greatest(b.west, c.west)) * (least(b.north, c.north) - greatest(b.south, c.south)))::DOUBLE AS area FROM boxes b JOIN cells c ON b.east > c.west AND b.west < c.east AND b.north > c.south AND b.south < c.north")
+def box_overlap(spark, sf_dir):
+    o, p = data.table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), data.table(spark, sf_dir, "part", "p_partkey")
+    w, s = (F.col("o_custkey") % 100).cast("double"), (F.col("o_orderkey") % 97).cast("double")
+    boxes = o.select(F.col("o_orderkey").alias("id"), w.alias("west"), s.alias("south"), (w + 1.5).alias("east"), (s + 0.5).alias("north"))
+    w, s = (F.col("p_partkey") % 50) * 2.0, F.floor(F.col("p_partkey") / 50) * 2.0
+    cells = p.select(F.col("p_partkey").alias("id"), w.alias("west"), s.alias("south"), (w + 2).alias("east"), (s + 2).alias("north"))
+    return weights.overlaps(boxes, cells, 4.0)
+
+
+@query("WITH centers AS (SELECT p_brand AS axis, p_partkey AS i, (p_retailprice + p_partkey * 1000)::DOUBLE AS center FROM part), n AS (SELECT *, lag(center) OVER w AS a, lead(center) OVER w AS b FROM centers WINDOW w AS (PARTITION BY axis ORDER BY center)) SELECT axis, i, center, coalesce((a + center) / 2, center - (b - center) / 2, center) AS low, coalesce((center + b) / 2, center + (center - a) / 2, center) AS high FROM n")
+def cell_edges(spark, sf_dir):
+    p = data.table(spark, sf_dir, "part", "p_brand", "p_partkey", "p_retailprice")
+    return weights.cell_edges(p.select(F.col("p_brand").alias("axis"), F.col("p_partkey").alias("i"), (F.col("p_retailprice") + F.col("p_partkey") * 1000).alias("center")))
+
+
+@query("SELECT s_suppkey AS river, round(6378137.0 * radians(s_acctbal / 100), 3) AS x, round(6378137.0 * ln(tan(pi() / 4 + radians(s_nationkey) / 2)), 3) AS y, round((((s_acctbal / 10 + 180) % 360) + 360) % 360 - 180, 6) AS lon FROM supplier")
+def projected(spark, sf_dir):
+    s = data.table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
+    return s.select(F.col("s_suppkey").alias("river"), F.round(numerics.mercator_x(F.col("s_acctbal") / 100), 3).alias("x"), F.round(numerics.mercator_y(F.col("s_nationkey").cast("double")), 3).alias("y"), F.round(numerics.wrap_longitude(F.col("s_acctbal") / 10), 6).alias("lon"))
+
+
+@query()
+def routed_discharge(spark, sf_dir):
+    """Flows of the nations' networks: orders are the lateral inflow, months of all years the steps."""
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    rivers = data.rivers(spark, sf_dir)
+    step = ((F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate")).cast("int")
+    inflow = o.join(rivers.select("region", "river"), F.col("o_custkey") == F.col("river")).groupBy("region", "river", step.alias("step")).agg(F.sum("o_totalprice").alias("inflow"))
+    return network.route(inflow, rivers, step_hours=12.0)
+
+
+@query("WITH names AS (SELECT CASE WHEN l_linenumber = 1 THEN 'cf_00_' ELSE 'pf_' || lpad((l_linenumber - 1)::VARCHAR, 2, '0') || '_' END || strftime(l_shipdate, '%Y%m%d') || '.grib' AS name FROM lineitem) SELECT max(regexp_extract(name, '_([0-9]{8})', 1)) AS newest FROM names")
+def latest_initialization(spark, sf_dir):
+    return tables.newest(_names(spark, sf_dir))
+
+
+def _names(spark, sf_dir):
+    t = data.table(spark, sf_dir, "lineitem", "l_linenumber", "l_shipdate")
+    kind = F.when(F.col("l_linenumber") == 1, "cf_00_").otherwise(F.concat(F.lit("pf_"), F.lpad((F.col("l_linenumber") - 1).cast("string"), 2, "0"), F.lit("_")))
+    return t.select(F.concat(kind, F.date_format("l_shipdate", "yyyyMMdd"), F.lit(".grib")).alias("name"))
+
+
+@query("SELECT CASE WHEN l_linenumber = 1 THEN 'cf' ELSE 'pf' END AS kind, (l_linenumber - 1)::INT AS member, count(*) AS n, min(strftime(l_shipdate, '%Y%m%d')) AS oldest FROM lineitem GROUP BY ALL")
+def file_names(spark, sf_dir):
+    m = _names(spark, sf_dir).select(tables.member_name(F.col("name")).alias("m"))
+    return m.groupBy("m.kind", calendar.member_number(F.col("m.kind"), F.col("m.number")).alias("member")).agg(F.count("*").alias("n"), F.min("m.stamp").alias("oldest"))
+
+
+@query("SELECT DISTINCT o_custkey AS river, year(o_orderdate)::INT AS year FROM orders WHERE 'discharge_era5_' || year(o_orderdate) || '01_' || year(o_orderdate) || '12.zarr' LIKE 'discharge_era5_199%'")
+def discharge_files(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
+    y = F.date_format("o_orderdate", "yyyy")
+    named = o.select(F.col("o_custkey").alias("river"), tables.discharge_name(F.concat(F.lit("discharge_era5_"), y, F.lit("01_"), y, F.lit("12.zarr"))).alias("f"))
+    return named.where("f.year between 1990 and 1999").select("river", F.col("f.year").alias("year")).distinct()
+
+
+@query(f"WITH {SERIES} SELECT step, count(*) AS n_rivers, round(sum(q::DOUBLE), 2) AS total FROM series GROUP BY step")
+def layout_by_step(spark, sf_dir):
+    return tables.long_series(data.series(spark, sf_dir)).groupBy("step").agg(F.count("*").alias("n_rivers"), F.round(F.sum(F.col("q").cast("double")), 2).alias("total"))
+
+
+@query(f"WITH {SERIES} SELECT river, region, step, q FROM series")
+def packed_to_long(spark, sf_dir):
+    return tables.long_series(data.series(spark, sf_dir), ("river", "region"))
+
+
+@query(f"WITH {MEMBERS} SELECT river, member, string_agg(step::VARCHAR || ':' || round(q)::BIGINT::VARCHAR, ',' ORDER BY step) AS packed, count(*) AS n FROM members GROUP BY ALL")
+def long_to_packed(spark, sf_dir):
+    m = data.members(spark, sf_dir).select("river", "member", "step", F.concat_ws(":", F.col("step").cast("string"), F.round(F.col("q")).cast("long").cast("string")).alias("q"))
+    return tables.packed_series(m, ("river", "member")).select("river", "member", F.array_join("q", ",").alias("packed"), F.size("q").cast("long").alias("n"))
+
+
+@query(f"WITH {MEMBERS} SELECT river, member, count(DISTINCT step) AS n FROM members GROUP BY ALL HAVING count(DISTINCT step) < 12")
+def incomplete_members(spark, sf_dir):
+    return data.members(spark, sf_dir).groupBy("river", "member").agg(F.countDistinct("step").alias("n")).where("n < 12")
+
+
+@query("SELECT strftime(d, '%Y-%m-%d') AS day, day(last_day(d))::INT AS days, count(*) AS n FROM (SELECT date_trunc('month', o_orderdate)::DATE AS d FROM orders) GROUP BY ALL")
+def month_lengths(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_orderdate").select(F.trunc("o_orderdate", "month").alias("d"))
+    return o.groupBy(day("d"), calendar.days_in_month(F.col("d")).alias("days")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id AS river, json_extract_string(props, '$.k')::INT AS k, count(*) AS n FROM events GROUP BY ALL")
+def json_properties(spark, sf_dir):
+    e = data.table(spark, sf_dir, "events", "user_id", "props")
+    return e.groupBy(F.col("user_id").alias("river"), F.from_json("props", "k int")["k"].alias("k")).agg(F.count("*").alias("n"))
+
+
+@query("WITH a AS (SELECT DISTINCT c_nationkey AS region FROM customer WHERE c_acctbal > 9000), b AS (SELECT DISTINCT s_nationkey AS region FROM supplier WHERE s_acctbal > 5000) SELECT region, 'first' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT region, 'second' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
+def region_differences(spark, sf_dir):
+    a = data.table(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("region")).distinct()
+    b = data.table(spark, sf_dir, "supplier", "s_nationkey", "s_acctbal").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("region")).distinct()
+    return a.join(b, "region", "left_anti").withColumn("side", F.lit("first")).unionByName(b.join(a, "region", "left_anti").withColumn("side", F.lit("second")))
