@@ -196,7 +196,7 @@ def code_lengths(tree: ContextTree, texts: Iterable[bytes]) -> np.ndarray:
     out = [np.empty(0)]
     for stream, starts in _streams(texts, tree.order):
         data = np.frombuffer(stream, np.uint8)
-        bits = np.zeros(len(data), np.float32)
+        bits = np.zeros(len(data) + 1, np.float32)
         for begin in range(tree.order, len(data), WINDOW):
             end = min(begin + WINDOW, len(data))
             part = tree.symbol[data[begin - tree.order : end]]
@@ -214,6 +214,5 @@ def code_lengths(tree: ContextTree, texts: Iterable[bytes]) -> np.ndarray:
         edges = np.empty(2 * (len(starts) - 1), np.int64)
         edges[0::2] = starts[:-1]
         edges[1::2] = starts[1:] - tree.order + 1
-        edges = np.minimum(edges, len(bits) - 1) if tree.order == 1 else edges
         out.append(np.add.reduceat(bits, edges, dtype=np.float64)[0::2])
     return np.concatenate(out)

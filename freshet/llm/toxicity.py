@@ -35,7 +35,7 @@ CUES = {"said", "says", "called", "calls", "quote", "quoted", "term", "word", "i
 @dataclass
 class Model:
     terms: list[str]
-    weights: np.ndarray  # (term, edits) -> log ratio of rates, 0 to 6
+    weights: np.ndarray  # (term, 0): log ratio of rates, 0 to 6; (term, 1): belief in its misspellings, 0 to 1
     coefficients: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -72,12 +72,16 @@ def describe(text: str | None, trie: LexiconTrie) -> tuple[int, int, dict[int, i
 
 
 def features(n_words: int, n_quoted: int, counts: dict[int, int], weights: np.ndarray) -> list[float]:
-    exact = sum(n for k, n in counts.items() if k % 2 == 0)
-    strong = sum(n * weights[k // 2, 0] for k, n in counts.items() if k % 2 == 0)
-    fuzzy = sum(n * weights[k // 2, 1] for k, n in counts.items() if k % 2)
-    kinds = len({k // 2 for k in counts if k % 2 == 0})
+    """A misspelled hit counts as much as the belief that it is the term."""
+    believed = [(k // 2, n * (weights[k // 2, 1] if k % 2 else 1.0)) for k, n in counts.items()]
+    uses = sum(n for _, n in believed)
+    strong = sum(n * weights[t, 0] for t, n in believed)
+    kinds = len({t for t, n in believed if n >= 0.5})
     rate = 100 * strong / max(n_words, 20)
-    return [min(exact, 12), np.log1p(strong), np.log1p(fuzzy), min(kinds, 8), np.log1p(rate), np.log1p(n_words), np.log1p(n_quoted), float(exact >= 2)]
+    return [min(uses, 12.0), np.log1p(strong), min(kinds, 8), np.log1p(rate), np.log1p(n_words), np.log1p(n_quoted), float(uses >= 2)]
+
+
+FEATURES = 7
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, usable) -> DataFrame:
@@ -164,9 +168,17 @@ def train(docs: DataFrame, labels: DataFrame, usable) -> Model:
         for k, n in c.items():
             tallies[k // 2, k % 2, label] += n
     weights = np.clip(np.log(tallies[:, :, 1] / words[1]) - np.log(tallies[:, :, 0] / words[0]), 0, 6)
-    x = np.array([features(r["n_words"], r["n_quoted"], c, weights) for r, c in zip(rows, counts)]).reshape(len(rows), 8)
-    mean, scale = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(8), np.ones(8))
-    return Model(terms, weights, fit((x - mean) / scale, y), mean, scale)
+    # Forms that clean texts hold as often as toxic ones are other words; forms never seen are misspellings.
+    toxic, clean = tallies[:, 1, 1] - 0.5, (tallies[:, 1, 0] - 0.5) * words[1] / words[0]
+    weights[:, 1] = np.clip((toxic + 1 - clean - 2 * np.sqrt(clean)) / (toxic + 1), 0, 1)
+    x = np.array([features(r["n_words"], r["n_quoted"], c, weights) for r, c in zip(rows, counts)]).reshape(len(rows), FEATURES)
+    mean, scale = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(FEATURES), np.ones(FEATURES))
+    return Model(terms, weights, fit(scaled(x, mean, scale), y), mean, scale)
+
+
+def scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """In standard deviations, at most four either way: a text unlike all labelled ones is not extrapolated."""
+    return np.clip((x - mean) / scale, -4, 4)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -199,7 +211,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         trie = LexiconTrie(m.terms)
         for batch in small_batches(batches, 1):
             rows = [describe(t, trie) for t in batch.column(1).to_pylist()]
-            x = (np.array([features(*r, m.weights) for r in rows]).reshape(len(rows), 8) - m.mean) / m.scale
+            x = scaled(np.array([features(*r, m.weights) for r in rows]).reshape(len(rows), FEATURES), m.mean, m.scale)
             score = 1 / (1 + np.exp(-np.clip(x @ m.coefficients[:-1] + m.coefficients[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array([sum(r[2].values()) for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["id", "score", "n_hits", "n_quoted"])
 
