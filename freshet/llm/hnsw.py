@@ -64,21 +64,30 @@ class Graph:
         src, dst = pair // len(self.unit), pair % len(self.unit)
         near = np.einsum("ij,ij->i", self.unit[src], self.unit[dst])
         best = np.lexsort((dst, -near, src))
-        src, dst = src[best], dst[best]
+        src, dst, near = src[best], dst[best], near[best]
         place = np.arange(len(src)) - np.searchsorted(src, src)
-        ok = place < table.shape[1]
-        table[old] = -1
-        table[src[ok], place[ok]] = dst[ok]
-
-    def _spread(self, ids: np.ndarray, sims: np.ndarray) -> np.ndarray:
+        width = table.shape[1]
+        row = np.searchsorted(old, src)
+        ok = place < 2 * width
+        near_ids, near_sims = np.full((len(old), 2 * width), -1, np.int64), np.full((len(old), 2 * width), -2.0, np.float32)
+        near_ids[row[ok], place[ok]], near_sims[row[ok], place[ok]] = dst[ok], near[ok]
+        for i in range(0, len(old), 1024):
+            part = slice(i, i + 1024)
+            chosen = self._spread(near_ids[part], near_sims[part], width)
+            first = np.argsort(~chosen, axis=1, kind="stable")[:, :width]  # spread ones, then the nearest
+            table[old[part]] = np.take_along_axis(near_ids[part], first, 1)
+
+    def _spread(self, ids: np.ndarray, sims: np.ndarray, most: int = LINKS) -> np.ndarray:
         """Of each row's candidates (best first): those nearer to the node than to one chosen before."""
         keep = np.zeros(ids.shape, bool)
-        top = min(ids.shape[1], 2 * LINKS)
+        top = min(ids.shape[1], 2 * most)
         vectors = self.unit[np.maximum(ids[:, :top], 0)]
-        among = np.einsum("qid,qjd->qij", vectors, vectors)
+        among = np.einsum("qid,qjd->qij", vectors, vectors, optimize=True)
+        count = np.zeros(len(ids), int)
         for i in range(top):
-            blocked = ((among[:, i, :i] > sims[:, i, None]) & keep[:, :i]).any(1) if i else False
-            keep[:, i] = (ids[:, i] >= 0) & ~blocked & (keep.sum(1) < LINKS)
+            blocked = ((among[:, i, :i] > sims[:, i, None]) & keep[:, :i]).any(1)
+            keep[:, i] = (ids[:, i] >= 0) & ~blocked & (count < most)
+            count += keep[:, i]
         return keep
 
     def search(self, queries: np.ndarray, k: int, beam: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

