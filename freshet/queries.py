@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from freshet.functions import calendar, numerics
 from freshet.operators import ensemble, frequency, interpolation, network, reductions, thresholds, weights
 from freshet.plans import stand_ins as data
+from freshet.session import scratch_folder
 from freshet.sources import tables
+from freshet.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -391,3 +394,65 @@ def region_differences(spark, sf_dir):
     a = data.table(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("region")).distinct()
     b = data.table(spark, sf_dir, "supplier", "s_nationkey", "s_acctbal").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("region")).distinct()
     return a.join(b, "region", "left_anti").withColumn("side", F.lit("first")).unionByName(b.join(a, "region", "left_anti").withColumn("side", F.lit("second")))
+
+
+@query("SELECT l_suppkey AS river, min(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * (month(l_shipdate) - 1)), '%Y-%m-%d %H:%M')) AS first_time, max(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * (month(l_shipdate) - 1)), '%Y-%m-%d %H:%M')) AS last_time, max(3 * (month(l_shipdate) - 1))::INT AS lead_hours FROM lineitem WHERE year(l_shipdate) = 2001 GROUP BY ALL")
+def forecast_times(spark, sf_dir):
+    at = F.date_format(calendar.forecast_time(F.lit("2001-01-01").cast("timestamp"), F.col("step")), "yyyy-MM-dd HH:mm")
+    return data.members(spark, sf_dir).groupBy("river").agg(F.min(at).alias("first_time"), F.max(at).alias("last_time"), F.max(F.col("step") * calendar.STEP_HOURS).alias("lead_hours"))
+
+
+@query("SELECT user_id AS river, count(DISTINCT floor((epoch(ts) - 1704067200) / 3600)) AS n, min(strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')) AS first_time, max(strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')) AS last_time FROM events GROUP BY ALL")
+def decoded_times(spark, sf_dir):
+    steps = data.accumulated(spark, sf_dir).select(F.col("cell").alias("river"), "hours")
+    at = F.date_format(calendar.decode_hours(F.col("hours"), "2024-01-01"), "yyyy-MM-dd HH:mm")
+    return steps.groupBy("river").agg(F.countDistinct("hours").alias("n"), F.min(at).alias("first_time"), F.max(at).alias("last_time"))
+
+
+@query("SELECT strftime(d, '%Y-%m-%d') AS day, strftime(date_trunc('month', d - 4) - INTERVAL 1 MONTH, '%Y-%m-%d') AS last_full, count(*) AS n FROM (SELECT o_orderdate::DATE AS d FROM orders) GROUP BY ALL")
+def last_full_month(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_orderdate").select(F.to_date("o_orderdate").alias("d"))
+    return o.groupBy(day("d"), F.date_format(calendar.last_full_month(F.col("d")), "yyyy-MM-dd").alias("last_full")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {RIVERS}, sizes AS (SELECT region, count(*) AS n FROM rivers GROUP BY ALL), placed AS (SELECT region, coalesce(sum(n) OVER (ORDER BY region ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM sizes) SELECT river, region, first + index AS river_index, CASE WHEN next = -1 THEN -1 ELSE next END AS next FROM rivers JOIN placed USING (region)")
+def global_layout(spark, sf_dir):
+    rivers = data.rivers(spark, sf_dir)
+    sizes = rivers.groupBy("region").count()
+    offsets = sizes.select("region", F.coalesce(F.sum("count").over(Window.orderBy("region").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    return rivers.join(F.broadcast(offsets), "region").select("river", "region", (F.col("first") + F.col("index")).alias("river_index"), "next")
+
+
+@query("SELECT s_suppkey AS river, round(6378137.0::DOUBLE * 6378137.0 / 2 * radians(1.0) * (1 - 0.00669437999014) * ((sin(radians(s_nationkey + 1)) / (1 - 0.00669437999014 * pow(sin(radians(s_nationkey + 1)), 2)) - ln((1 - sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey + 1))) / (1 + sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey + 1)))) / (2 * sqrt(0.00669437999014::DOUBLE))) - (sin(radians(s_nationkey)) / (1 - 0.00669437999014 * pow(sin(radians(s_nationkey)), 2)) - ln((1 - sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey))) / (1 + sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey)))) / (2 * sqrt(0.00669437999014::DOUBLE)))) / 1e6, 3) AS area_km2 FROM supplier")
+def box_areas(spark, sf_dir):
+    s = data.table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    south = F.col("s_nationkey").cast("double")
+    return s.select(F.col("s_suppkey").alias("river"), F.round(numerics.box_area(F.lit(0.0), south, F.lit(1.0), south + 1) / 1e6, 3).alias("area_km2"))
+
+
+@query("SELECT year(l_shipdate)::INT AS year, count(DISTINCT l_suppkey) AS n_rivers, strftime(min(l_shipdate), '%Y-%m-%d') AS first_day, (min(l_shipdate)::DATE <> make_date(year(l_shipdate)::BIGINT, 1, 1)) AS late FROM lineitem GROUP BY year(l_shipdate)")
+def year_starts(spark, sf_dir):
+    """Only the first year of a record may start late."""
+    t = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate")
+    grouped = t.groupBy(F.year("l_shipdate").alias("year")).agg(F.countDistinct("l_suppkey").alias("n_rivers"), F.min("l_shipdate").alias("first"))
+    return grouped.select("year", "n_rivers", day("first").alias("first_day"), (F.to_date("first") != F.make_date("year", F.lit(1), F.lit(1))).alias("late"))
+
+
+@query()
+def routed_state(spark, sf_dir):
+    """The state from which the nations' networks would go on."""
+    return network.final_state(routed_discharge(spark, sf_dir))
+
+
+STREAMED = TUMBLING.split("), w AS")[0] + "), w AS (SELECT user_id AS river, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2000-01-01') AS t, avg(value::FLOAT::DOUBLE) AS m, count(value) AS n FROM events GROUP BY ALL) SELECT river, strftime(t, '%Y-%m-%d %H:%M') AS start, " + kb("m") + " AS q, n FROM w WHERE t + INTERVAL 3 HOUR <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events)"
+
+
+@query(STREAMED)
+def streamed_3h_mean(spark, sf_dir):
+    """The windows that a watermark of six hours has closed, from a stream of the events."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")  # a stream reads folders or patterns
+    named = stream.select(F.col("user_id").alias("river"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("float").alias("q"))
+    root = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
+    windows.run_available(windows.windowed_means(named), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("river", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("start"), "q", "n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -12,3 +14,15 @@ def session(app: str = "freshet", **conf: str) -> SparkSession:
     for key, value in (base | {k.replace("_", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_folders: dict[str, str] = {}
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: that of spark.checkpoint.dir, or a temporary one where it is unset."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    app = spark.sparkContext.applicationId
+    return "file://" + _folders.setdefault(app, _folders.get(app) or tempfile.mkdtemp(prefix="freshet-"))
