@@ -6,8 +6,9 @@
 2. Two sets as similar as asked for share one of their first shingles in any common order. Ordered rare
    ones first, those prefixes make tiles: the sets that share a shingle, by size. Sizes and places in the
    order bound the overlap from above; a pair that passes is a candidate. In a tile too large for all its
-   pairs, each set is first compared with the first of its size band only; once components are known,
-   pairs within one component are settled, and the sets outside the largest one meet all others.
+   pairs, each set is first compared only with the set that is in most large tiles (the likely origin of a
+   family of near copies); once components are known, pairs within one component are settled, and the sets
+   outside a tile's largest component meet all others of the tile.
 3. The bits in which two bitmaps differ bound the overlap from above.
 4. Sorted arrays of the survivors are intersected exactly, and links make components.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.components import components
 from freshet.llm.scratch import Scratch
-from freshet.llm.textbytes import ascii_words, digest128, shingle_set, text_bytes
+from freshet.llm.textbytes import ascii_words, digest128, shingle_set, small_batches, text_bytes
 
 SHINGLE = 5
 PERCENT = 80
@@ -71,7 +72,7 @@ def _described(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             rows = []
             for text in text_bytes(batch.column(1)):
                 hashes, words = shingle_set(ascii_words(text), width)
@@ -116,7 +117,7 @@ def _prefixes(shared, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.unpackbits(shared.value).astype(bool)
         seen: set = set()
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             columns: list[list] = [[] for _ in range(6)]
             for text in text_bytes(batch.column(0)):
                 words = ascii_words(text)
@@ -143,30 +144,26 @@ def _prefixes(shared, width: int, percent: int):
     return run
 
 
-KINDS = "kind int, k long, band int, a1 long, a2 long, an int, at int, b1 long, b2 long, bn int"
+KINDS = "kind int, k long, a1 long, a2 long, an int, at int, b1 long, b2 long"
 
 
-def _rows(kind, k=None, band=None, a=None, at=None, b=None) -> pa.RecordBatch:
+def _rows(kind, a, k=None, at=None, b=None) -> pa.RecordBatch:
     """a, b: (r1, r2, n) arrays."""
     size = len(a[0])
 
     def cell(x, t):
         return pa.nulls(size, t) if x is None else pa.array(x, t)
 
-    b = b or (None, None, None)
+    b = b or (None, None)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(size, kind), pa.int32()), cell(k, pa.int64()), cell(band, pa.int32()), cell(a[0], pa.int64()), cell(a[1], pa.int64()), cell(a[2], pa.int32()), cell(at, pa.int32()), cell(b[0], pa.int64()), cell(b[1], pa.int64()), cell(b[2], pa.int32())],
-        names=["kind", "k", "band", "a1", "a2", "an", "at", "b1", "b2", "bn"],
+        [pa.array(np.full(size, kind), pa.int32()), cell(k, pa.int64()), cell(a[0], pa.int64()), cell(a[1], pa.int64()), cell(a[2], pa.int32()), cell(at, pa.int32()), cell(b[0], pa.int64()), cell(b[1], pa.int64())],
+        names=["kind", "k", "a1", "a2", "an", "at", "b1", "b2"],
     )
 
 
-def size_band(n: np.ndarray, percent: int) -> np.ndarray:
-    return np.floor(np.log(n) / np.log(100 / percent)).astype(np.int32)
-
-
 def _tiles(percent: int):
-    """Reads rows sorted by (k, salt, n, r1, r2): candidate pairs (kind 0) of small tiles; of large ones
-    each set with the first of its size band (kind 0), the members (kind 1) and the firsts (kind 2)."""
+    """Reads rows sorted by (k, salt, n, r1, r2): the candidate pairs (kind 0) of small tiles, the members
+    (kind 1) of large ones and of those that are dealt over several tasks."""
 
     def small(c: dict, start: np.ndarray, length: np.ndarray) -> Iterator[pa.RecordBatch]:
         left = np.repeat(start + length, length) - np.arange(length.sum()) - np.repeat(start - np.concatenate(([0], np.cumsum(length)[:-1])), length)
@@ -185,12 +182,12 @@ def _tiles(percent: int):
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             _, once = np.unique(np.stack([c["r1"][i], c["r2"][i], c["r1"][j], c["r2"][j]], 1), axis=0, return_index=True)
             i, j = i[once], j[once]
-            yield _rows(0, a=[c[x][i] for x in ("r1", "r2", "n")], b=[c[x][j] for x in ("r1", "r2", "n")])
+            yield _rows(0, [c[x][i] for x in ("r1", "r2", "n")], b=[c[x][j] for x in ("r1", "r2")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("k", "salt", "r1", "r2", "n", "at")
         held: dict | None = None
-        large = None  # (k, salt, last band, its first set) of the large tile that the rows before ended in
+        large = None  # (k, salt) of the large tile that the rows before ended in
         for batch in batches:
             c = {x: batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, x in enumerate(names)}
             if held is not None:
@@ -219,9 +216,9 @@ def _cut(c: dict, names, large, small, percent: int, last: bool):
     edge = np.flatnonzero((c["k"][1:] != c["k"][:-1]) | (c["salt"][1:] != c["salt"][:-1])) + 1
     start = np.concatenate(([0], edge))
     length = np.diff(np.concatenate((start, [len(c["k"])])))
-    open_large = large is not None and (c["k"][0], c["salt"][0]) == large[:2]
     is_large = (length > TILE) | (c["salt"][start] > 0)
-    is_large[0] |= open_large
+    is_large[0] |= (c["k"][0], c["salt"][0]) == large
+    state = (c["k"][-1], c["salt"][-1]) if is_large[-1] else None
     hold = None
     if not last and not is_large[-1]:
         hold = {x: c[x][start[-1] :] for x in names}
@@ -229,26 +226,10 @@ def _cut(c: dict, names, large, small, percent: int, last: bool):
     plain = ~is_large & (length > 1)
     if plain.any():
         yield from small(c, start[plain], length[plain])
-    state = None
-    for s, m in zip(start[is_large], length[is_large]):
-        rows = {x: c[x][s : s + m] for x in names}
-        bands = size_band(rows["n"], percent)
-        first = np.concatenate(([0], np.flatnonzero(np.diff(bands)) + 1))
-        head = np.repeat(first, np.diff(np.concatenate((first, [m]))))
-        hub = [rows[x][head] for x in ("r1", "r2", "n")]
-        if open_large and s == 0 and bands[0] == large[2]:
-            before = head == 0
-            hub = [np.where(before, old, new) for old, new in zip(large[3], hub)]
-            first = first[1:]
-        own = [rows[x] for x in ("r1", "r2", "n")]
-        yield _rows(1, k=rows["k"], a=own, at=rows["at"])
-        if len(first):
-            yield _rows(2, k=rows["k"][first], band=bands[first], a=[x[first] for x in own])
-        differ = (own[0] != hub[0]) | (own[1] != hub[1])
-        if differ.any():
-            yield _rows(0, a=[x[differ] for x in own], b=[x[differ] for x in hub])
-        if s + m == len(c["k"]):
-            state = (rows["k"][-1], rows["salt"][-1], bands[-1], [x[-1] for x in hub])
+    if is_large.any():
+        rows = np.repeat(is_large, length)
+        rows = {x: c[x][: len(rows)][rows] for x in names}
+        yield _rows(1, [rows[x] for x in ("r1", "r2", "n")], k=rows["k"], at=rows["at"])
     yield (hold, state)
 
 
@@ -290,7 +271,7 @@ def _fetched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(shared.value, bitorder="little")
         seen: set = set()
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             rows = []
             for text in text_bytes(batch.column(0)):
                 words = b" ".join(ascii_words(text))
@@ -343,14 +324,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tiles = scratch.save(sorted_rows.mapInArrow(_tiles(percent), KINDS), "tiles")
     ref_a, ref_b = F.struct(F.col("a1").alias("r1"), F.col("a2").alias("r2")), F.struct(F.col("b1").alias("r1"), F.col("b2").alias("r2"))
     listed = tiles.where("kind = 0").select(ref_a.alias("a"), ref_b.alias("b"))
-    firsts = tiles.where("kind = 2").select("k", "band", ref_a.alias("ref"), F.col("an").alias("n"))
-    top = firsts.groupBy("k", "band").agg(F.min("ref").alias("top"))
-    joined = firsts.join(top, ["k", "band"]).where("ref <> top").select(F.col("ref").alias("a"), F.col("top").alias("b"))
-    links = scratch.save(_linked(used, texts, listed.union(joined), scratch, "one", width, percent), "links-1")
     members = tiles.where("kind = 1").select("k", ref_a.alias("ref"), F.col("an").alias("n"), "at")
+    near = scratch.save(_near(texts, listed.union(_to_likely_origin(members)), percent), "near-1")
+    packed = scratch.save(_packed(used, near.select(F.explode(F.array("a", "b")).alias("ref")).union(members.select("ref"))), "packed")
+    links = scratch.save(_similar(near, packed, width, percent), "links-1")
     if not members.isEmpty():
-        found = components(links, scratch, "components-1")
-        links = links.union(scratch.save(_linked(used, texts, _unsettled(members, found, percent), scratch, "two", width, percent), "links-2"))
+        pairs = _unsettled(members, components(links, scratch, "components-1"), percent)
+        near = scratch.save(_near(texts, pairs, percent), "near-2")
+        links = links.union(scratch.save(_similar(near, packed, width, percent), "links-2"))
     found = components(links, scratch, "components")
     placed = texts.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("id", "n", F.coalesce("component", "ref").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("id").alias("smallest"))
@@ -358,29 +339,46 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return scratch.finish(out)
 
 
+def _to_likely_origin(members: DataFrame) -> DataFrame:
+    """Each set with the one, of those it shares a large tile with, that is in most large tiles."""
+    counted = members.join(members.groupBy("ref").agg(F.count("k").alias("tiles")), "ref")
+    first = counted.groupBy("k").agg(F.max(F.struct("tiles", "ref")).alias("first"))
+    met = counted.join(first, "k").where(F.col("ref") != F.col("first.ref"))
+    return met.groupBy(F.col("ref").alias("a")).agg(F.max("first").alias("first")).select("a", F.col("first.ref").alias("b"))
+
+
 def _unsettled(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a large tile whose sets are in different components: of two, one is outside the largest."""
+    """Pairs of a large tile whose sets are in different components, one of them outside the tile's largest,
+    and which sizes and places allow."""
     placed = members.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("k", "ref", "n", "at", F.coalesce("component", "ref").alias("c"))
     sizes = placed.groupBy("k", "c").count()
     main = sizes.groupBy("k").agg(F.max(F.struct("count", "c")).alias("main"), F.count("c").alias("n_c")).where("n_c > 1").select("k", F.col("main.c").alias("main"))
-    outside = placed.join(main, "k").where("c <> main").select("k", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("c").alias("xc"))
+    placed = placed.join(main, "k")
+    outside = placed.where("c <> main").select("k", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("c").alias("xc"))
     n = F.col("n") + F.col("xn")
     most = 1 + F.least(F.col("n") - 1 - F.col("at"), F.col("xn") - 1 - F.col("xat"))
     near = (F.col("c") != F.col("xc")) & (100 * F.least("n", "xn") >= percent * F.greatest("n", "xn")) & (most * (100 + percent) >= percent * n)
     return outside.join(placed, "k").where(near).select(F.least("ref", "x").alias("a"), F.greatest("ref", "x").alias("b"))
 
 
-def _linked(used: DataFrame, texts: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, width: int, percent: int) -> DataFrame:
-    """(u, v) of the candidate pairs that are similar: bitmaps bound first, arrays decide."""
-    spark = used.sparkSession
+def _near(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the distinct pairs that their bitmaps do not rule out."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     sketches = texts.where("n > 0").select("ref", "n", "bits").dropDuplicates(["ref"])
     sides = [sketches.select(*[F.col(x).alias(y) for x, y in (("ref", s), ("n", f"{s}n"), ("bits", f"{s}bits"))]) for s in "ab"]
-    near = scratch.save(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_bounded(percent), f"a {REF}, b {REF}"), f"near-{name}")
-    refs = near.select(F.explode(F.array("a", "b")).alias("ref"))
-    shared = spark.sparkContext.broadcast(_filter_bits(refs))
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_bounded(percent), f"a {REF}, b {REF}")
+
+
+def _packed(used: DataFrame, refs: DataFrame) -> DataFrame:
+    """(ref, packed words) of the wanted texts, each once."""
+    refs = refs.distinct()
+    shared = used.sparkSession.sparkContext.broadcast(_filter_bits(refs))
     packed = used.select("text").mapInArrow(_fetched(shared), "r1 long, r2 long, packed binary").select(F.struct("r1", "r2").alias("ref"), "packed").dropDuplicates(["ref"])
-    packed = scratch.save(packed.join(refs.distinct(), "ref", "left_semi"), f"packed-{name}")
+    return packed.join(refs, "ref", "left_semi")
+
+
+def _similar(near: DataFrame, packed: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v) of the pairs that are similar, by exact intersection."""
     left, right = packed.select(F.col("ref").alias("a"), F.col("packed").alias("apacked")), packed.select(F.col("ref").alias("b"), F.col("packed").alias("bpacked"))
     whole = near.join(left, "a").join(right, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), "apacked", "bpacked")
     return whole.mapInArrow(_verified(width, percent), f"u {REF}, v {REF}")
