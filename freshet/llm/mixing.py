@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshet.llm.scratch import Scratch
+
 #: Entropy of the weights as a share of the most possible, most repetitions of a source, tokens to draw as a
 #: share of those there are, tokens of a block.
 EVENNESS, MAX_REPEATS, BUDGET, BLOCK_TOKENS = 0.95, 4.0, 1.0, 1 << 20
@@ -72,6 +74,11 @@ def _place(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
 
 
+def count_tokens(text: Column) -> Column:
+    """Runs of other than [\\x20\\x09-\\x0D]: each run and the blanks after it become one letter."""
+    return F.length(F.regexp_replace(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")).cast("long")
+
+
 def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with n_tokens, weight, copies and block; copies says how often a document is drawn.
 
@@ -82,11 +89,12 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     tagged = docs.withColumns({
-        "n_tokens": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"),
+        "n_tokens": count_tokens(text),
         "_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
         "_place": _place(F.lit(mix.seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text)),
     })
-    narrow = tagged.select("_source", "_place", "n_tokens")
+    scratch = Scratch(docs.sparkSession)
+    narrow = scratch.save(tagged.select("_source", "_place", "n_tokens"), "narrow")
     sums = narrow.groupBy("_source").agg(F.sum("n_tokens").alias("tokens")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -104,16 +112,17 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     blocks = blocked.groupBy("_source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
     order = Window.partitionBy("_source").orderBy(_place(F.lit(mix.seed), F.col("_source"), F.col("block").cast("string")), "block")
     blocks = blocks.withColumn("before", F.sum("tokens").over(order) - F.col("tokens"))
-    blocks = blocks.where("before < rest or tokens = 0").withColumn("room", F.col("rest") - F.col("before")).select("_source", "block", "room", (F.col("room") >= F.col("tokens")).alias("all")).cache()
+    blocks = blocks.where("before < rest or tokens = 0").withColumn("room", F.col("rest") - F.col("before")).select("_source", "block", "room", (F.col("room") >= F.col("tokens")).alias("all"))
+    blocks = scratch.save(blocks, "blocks")
     small = blocks.limit(MAX_BLOCKS + 1).count() <= MAX_BLOCKS
     cut_blocks = blocks.where("not all").select("_source", "block", "room")
     within = Window.partitionBy("_source", "block").orderBy("_place").rangeBetween(Window.unboundedPreceding, 0)
     cut = blocked.join(F.broadcast(cut_blocks) if small else cut_blocks, ["_source", "block"]).withColumn("used", F.sum("n_tokens").over(within))
     cut = cut.where("used <= room").groupBy("_source", "block").agg(F.max("_place").alias("_last"))
-    drawn = blocks.join(cut, ["_source", "block"], "left").select("_source", F.col("block").alias("_block"), "all", "_last")
+    drawn = blocks.join(cut, ["_source", "block"], "left").select(F.col("_source").alias("_s"), F.col("block").alias("_block"), "all", "_last")
+    drawn = scratch.finish(drawn)
     out = tagged.drop("weight", "copies", "block").join(plan, "_source", "left").withColumn("block", F.pmod("_place", "_blocks"))
     same = (F.col("_s") == F.col("_source")) & (F.col("_block") == F.col("block"))
-    drawn = drawn.withColumnRenamed("_source", "_s")
     out = out.join(F.broadcast(drawn) if small else drawn, same, "left")
     more = F.when(F.col("all") | (F.col("_place") <= F.col("_last")), 1).otherwise(0)
     return out.withColumns({"weight": F.coalesce("weight", F.lit(0.0)), "copies": (F.coalesce("whole", F.lit(0)) + more).cast("long")}).drop("_source", "_place", "whole", "rest", "_blocks", "_s", "_block", "all", "_last")

@@ -1,6 +1,5 @@
 """Operators over texts against brute force: nulls, empty and long texts, repeated rows, other columns."""
 
-import hashlib
 import math
 import os
 import random
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, ppm, queries, secret_scan, textbytes, token_count, toxicity
 from freshet.llm.lexicon_trie import LexiconTrie
+from tests.harness import compare
 from tests.llm import brute
 
 WORDS = "the of river flow basin rain gauge storm delta mouth bank reach stage crest flood plain".split()
@@ -339,15 +339,29 @@ def test_toxicity(spark):
     assert toxicity.predict(docs.limit(0), model).count() == 0
 
 
-def test_queries_over_the_smallest_tables(spark):
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for name, f in queries.QUERIES.items():
-        table = "embeddings" if name.startswith("op10_") else "documents"
-        assert f(spark, sf).count() == spark.read.parquet(f"{sf}/{table}.parquet").count(), name
-    rows = docs.select("doc_id", "text").collect()
-    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in queries.op7_secret_scan(spark, sf).collect()}
-    assert got == {r.doc_id: brute.secret_row(r.text) for r in rows}
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op6_jaccard_join(spark, sf).collect()}
-    assert got == brute.jaccard_components([(r.doc_id, r.text) for r in rows])
-    assert hashlib.sha256(b"").hexdigest() == brute.sha("")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    assert compare(spark, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE_SQL)))
+def test_queries_without_sql(spark, name):
+    """A row for each document; counts and base scores by brute force."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got = {r.doc_id: r for r in queries.QUERIES[name](spark, SF).collect()}
+    assert list(sorted(got)) == [i for i, _ in docs]
+    if name == "op1_token_counts":
+        want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode_batch([t for _, t in docs], add_special_tokens=False)
+        assert all(got[i].n_tokens == len(e) and got[i].over_limit == (len(e) > 2048) for (i, _), e in zip(docs, want))
+    elif name == "op5_lm_score":
+        want = brute.base_score([t for _, t in docs], [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in docs])
+        for (i, _), (n, known, total, base) in zip(docs, want):
+            assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total) and got[i].base_score == pytest.approx(base)
+    else:
+        assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in got.items())
