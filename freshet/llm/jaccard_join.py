@@ -5,7 +5,8 @@
    of fixed size, marks those that many texts share.
 2. Two sets as similar as asked for share one of their first shingles in any common order. Ordered rare
    ones first, those prefixes make tiles: the sets that share a shingle, by size. Sizes and places in the
-   order bound the overlap from above; a pair that passes is a candidate. In a tile too large for all its
+   order bound the overlap from above; a pair that passes is a candidate, unless the shingles before this
+   one in both orders are equal too (then an earlier tile lists it). In a tile too large for all its
    pairs, each set is first compared only with the set that is in most large tiles (the likely origin of a
    family of near copies); once components are known, pairs within one component are settled, and the sets
    outside a tile's largest component meet all others of the tile.
@@ -132,19 +133,23 @@ def _prefixes(shared, width: int, percent: int):
                 first = np.argsort(hot, kind="stable")[: n - -(-percent * n // 100) + 1]
                 size = len(first)
                 salts = np.where(hot[first], ref[0] % SALTS + 1, 0)
-                for column, values in zip(columns, (hashes[first].view(np.int64), salts, np.full(size, ref[0]), np.full(size, ref[1]), np.full(size, n), np.arange(size))):
+                before = np.zeros(size, np.int64)  # 31 bits that tell the shingle before from others
+                before[1:] = (hashes[first[:-1]] & np.uint64((1 << 31) - 2)).astype(np.int64) + 1
+                for column, values in zip(columns, (hashes[first].view(np.int64), salts, np.full(size, ref[0]), np.full(size, ref[1]), np.full(size, n), np.arange(size) | before << 32)):
                     column.append(values)
             if columns[0]:
                 flat = [np.concatenate(c) for c in columns]
                 for i in range(0, len(flat[0]), 200_000):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[i : i + 200_000], t) for c, t in zip(flat, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["k", "salt", "r1", "r2", "n", "at"]
+                        [pa.array(c[i : i + 200_000], t) for c, t in zip(flat, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["k", "salt", "r1", "r2", "n", "at"]
                     )
 
     return run
 
 
-KINDS = "kind int, k long, a1 long, a2 long, an int, at int, b1 long, b2 long"
+#: The place of a shingle in its set's order; the bits above tell the shingle before it.
+PLACE = (1 << 32) - 1
+KINDS = "kind int, k long, a1 long, a2 long, an int, at long, b1 long, b2 long"
 
 
 def _rows(kind, a, k=None, at=None, b=None) -> pa.RecordBatch:
@@ -156,7 +161,7 @@ def _rows(kind, a, k=None, at=None, b=None) -> pa.RecordBatch:
 
     b = b or (None, None)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(size, kind), pa.int32()), cell(k, pa.int64()), cell(a[0], pa.int64()), cell(a[1], pa.int64()), cell(a[2], pa.int32()), cell(at, pa.int32()), cell(b[0], pa.int64()), cell(b[1], pa.int64())],
+        [pa.array(np.full(size, kind), pa.int32()), cell(k, pa.int64()), cell(a[0], pa.int64()), cell(a[1], pa.int64()), cell(a[2], pa.int32()), cell(at, pa.int64()), cell(b[0], pa.int64()), cell(b[1], pa.int64())],
         names=["kind", "k", "a1", "a2", "an", "at", "b1", "b2"],
     )
 
@@ -173,8 +178,10 @@ def _tiles(percent: int):
             i = index[left > gap]
             j = i + gap
             n_i, n_j = c["n"][i], c["n"][j]
-            most = 1 + np.minimum(n_i - 1 - c["at"][i], n_j - 1 - c["at"][j])
-            ok = (most >= least_overlap(n_i, n_j, percent)) & (100 * n_i >= percent * n_j)
+            at_i, at_j = c["at"][i], c["at"][j]
+            most = 1 + np.minimum(n_i - 1 - (at_i & PLACE), n_j - 1 - (at_j & PLACE))
+            repeated = (at_i >> 32 == at_j >> 32) & (at_i >> 32 > 0)
+            ok = ~repeated & (most >= least_overlap(n_i, n_j, percent)) & (100 * n_i >= percent * n_j)
             pairs.append((i[ok], j[ok]))
         i, j = (np.concatenate([p[s] for p in pairs]) for s in (0, 1))
         if len(i):
@@ -319,12 +326,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for row in shares.mapInArrow(_common_buckets(mean + 6 * mean**0.5 + 32), "part int, common binary").collect():
         common[row["part"] * SKETCH_ROW // 8 : (row["part"] + 1) * SKETCH_ROW // 8] = np.frombuffer(bytes(row["common"]), np.uint8)
 
-    prefixes = used.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(common), width, percent), "k long, salt int, r1 long, r2 long, n int, at int")
+    prefixes = used.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(common), width, percent), "k long, salt int, r1 long, r2 long, n int, at long")
     sorted_rows = prefixes.repartition("k", "salt").sortWithinPartitions("k", "salt", "n", "r1", "r2")
     tiles = scratch.save(sorted_rows.mapInArrow(_tiles(percent), KINDS), "tiles")
     ref_a, ref_b = F.struct(F.col("a1").alias("r1"), F.col("a2").alias("r2")), F.struct(F.col("b1").alias("r1"), F.col("b2").alias("r2"))
     listed = tiles.where("kind = 0").select(ref_a.alias("a"), ref_b.alias("b"))
-    members = tiles.where("kind = 1").select("k", ref_a.alias("ref"), F.col("an").alias("n"), "at")
+    place, before = F.col("at").bitwiseAND(F.lit(PLACE)).alias("at"), F.shiftright("at", 32).alias("before")
+    members = tiles.where("kind = 1").select("k", ref_a.alias("ref"), F.col("an").alias("n"), place, before)
     near = scratch.save(_near(texts, listed.union(_to_likely_origin(members)), percent), "near-1")
     packed = scratch.save(_packed(used, near.select(F.explode(F.array("a", "b")).alias("ref")).union(members.select("ref"))), "packed")
     links = scratch.save(_similar(near, packed, width, percent), "links-1")
@@ -350,14 +358,15 @@ def _to_likely_origin(members: DataFrame) -> DataFrame:
 def _unsettled(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of a large tile whose sets are in different components, one of them outside the tile's largest,
     and which sizes and places allow."""
-    placed = members.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("k", "ref", "n", "at", F.coalesce("component", "ref").alias("c"))
+    placed = members.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("k", "ref", "n", "at", "before", F.coalesce("component", "ref").alias("c"))
     sizes = placed.groupBy("k", "c").count()
     main = sizes.groupBy("k").agg(F.max(F.struct("count", "c")).alias("main"), F.count("c").alias("n_c")).where("n_c > 1").select("k", F.col("main.c").alias("main"))
     placed = placed.join(main, "k")
-    outside = placed.where("c <> main").select("k", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("c").alias("xc"))
+    outside = placed.where("c <> main").select("k", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("before").alias("xbefore"), F.col("c").alias("xc"))
     n = F.col("n") + F.col("xn")
     most = 1 + F.least(F.col("n") - 1 - F.col("at"), F.col("xn") - 1 - F.col("xat"))
-    near = (F.col("c") != F.col("xc")) & (100 * F.least("n", "xn") >= percent * F.greatest("n", "xn")) & (most * (100 + percent) >= percent * n)
+    repeated = (F.col("before") == F.col("xbefore")) & (F.col("before") > 0)
+    near = (F.col("c") != F.col("xc")) & ~repeated & (100 * F.least("n", "xn") >= percent * F.greatest("n", "xn")) & (most * (100 + percent) >= percent * n)
     return outside.join(placed, "k").where(near).select(F.least("ref", "x").alias("a"), F.greatest("ref", "x").alias("b"))
 
 
