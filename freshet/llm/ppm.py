@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from freshet.llm.heaviest import heaviest
+
 #: Bytes handled at once by the array code, and rows of partial counts kept before they are merged.
 WINDOW = 2 << 20
 MERGE_ROWS = 3_000_000
@@ -105,7 +107,7 @@ def collect_levels(grams: DataFrame, order: int, most: int) -> dict[str, list[tu
             mask = (1 << 8 * (k + 1)) - 1
             level = own.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
             level = level.withColumn("context", F.shiftright("code", 8))
-            kept = level.groupBy("context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "context").limit(most)
+            kept = heaviest(level.groupBy("context").agg(F.sum("n").alias("total")), "total", most)
             rows = level.join(F.broadcast(kept), "context", "left_semi").select("code", "n").toArrow()
             codes = rows["code"].to_numpy().astype(np.uint64)
             by_code = np.argsort(codes)
