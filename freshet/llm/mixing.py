@@ -103,9 +103,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     power = solve_power(tokens, mix)
     rows = []
     for (source, have), weight in zip(sums, weights_at(tokens, power) if tokens else []):
-        want = weight * mix.budget * sum(tokens)
-        whole = math.floor(want / have)
-        rows.append((source, round(weight, 9), int(whole), int(math.floor(want - whole * have)), -(-have // mix.block_tokens)))
+        whole, rest = divmod(round(weight * mix.budget * sum(tokens)), have)  # whole tokens: a share of 1 is 1
+        rows.append((source, round(weight, 9), whole, rest, -(-have // mix.block_tokens)))
     plan = F.broadcast(docs.sparkSession.createDataFrame(rows, "_source string, weight double, whole long, rest long, _blocks long"))
 
     blocked = narrow.join(plan, "_source").withColumn("block", F.pmod("_place", "_blocks"))

@@ -90,7 +90,7 @@ most AS (SELECT max(w / z * {_mix.budget} * total / t) AS m FROM (SELECT t, tota
 repeat_steps(i, lo, hi) AS (SELECT 0, (SELECT p FROM flat)::DOUBLE, 1.0::DOUBLE UNION ALL SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, (SELECT max(w / z * {_mix.budget} * total / t) FROM (SELECT t, total, pow(t / total, (lo + hi) / 2) AS w, sum(pow(t / total, (lo + hi) / 2)) OVER () AS z FROM sums, whole)) <= {_mix.max_repeats} AS ok FROM repeat_steps WHERE i < {mixing.STEPS})),
 power AS (SELECT CASE WHEN m <= {_mix.max_repeats} THEN p ELSE (SELECT hi FROM repeat_steps WHERE i = {mixing.STEPS}) END AS p FROM most, flat),
 weights AS (SELECT src, t, total, pow(t / total, p) / sum(pow(t / total, p)) OVER () AS w FROM sums, whole, power),
-plan AS (SELECT src, round(w, 9) AS weight, floor(w * {_mix.budget} * total / t)::BIGINT AS whole, floor(w * {_mix.budget} * total - floor(w * {_mix.budget} * total / t) * t)::BIGINT AS rest, ceil(t / {_mix.block_tokens})::BIGINT AS blocks FROM weights),
+plan AS (SELECT src, round(w, 9) AS weight, round(w * {_mix.budget} * total)::BIGINT // t::BIGINT AS whole, round(w * {_mix.budget} * total)::BIGINT % t::BIGINT AS rest, ceil(t / {_mix.block_tokens})::BIGINT AS blocks FROM weights),
 dealt AS (SELECT d.*, weight, p.whole, rest, CASE WHEN blocks IS NOT NULL THEN place % blocks END AS block FROM tagged d LEFT JOIN plan p USING (src)),
 block_sums AS (SELECT src, block, rest, sum(n_tokens) AS t FROM dealt WHERE weight IS NOT NULL GROUP BY ALL),
 ordered AS (SELECT *, sum(t) OVER (PARTITION BY src ORDER BY {_place(quoted(_mix.seed), 'src', 'block::VARCHAR')}, block) - t AS before FROM block_sums),
