@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.heaviest import heaviest
+from freshet.llm.scratch import Scratch
 
 #: Bytes handled at once by the array code, and rows of partial counts kept before they are merged.
 WINDOW = 2 << 20
@@ -41,19 +42,24 @@ def _streams(texts: Iterable[bytes], order: int) -> Iterator[tuple[bytes, np.nda
         yield b"".join(run), np.array(starts + [at], np.int64)
 
 
+def _coded_grams(stream: bytes, starts: np.ndarray, order: int) -> np.ndarray:
+    """The (order + 1)-byte gram that ends in each byte or end symbol, packed big-endian, text by text."""
+    data = np.frombuffer(stream, np.uint8)
+    coded = np.ones(len(data), bool)
+    coded[:order] = False
+    for shift in range(1, order):
+        coded[starts[1:] - order + shift] = False
+    code = np.zeros(len(data), np.uint64)
+    for back in range(order + 1):
+        code[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
+    return code[coded]
+
+
 def gram_counts(texts: Iterable[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (order + 1)-byte grams, packed big-endian, that end in each byte or end symbol; their counts."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     for stream, starts in _streams(texts, order):
-        data = np.frombuffer(stream, np.uint8)
-        coded = np.ones(len(data), bool)
-        coded[:order] = False
-        for shift in range(1, order):
-            coded[starts[1:] - order + shift] = False
-        code = np.zeros(len(data), np.uint64)
-        for back in range(order + 1):
-            code[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
-        parts.append(np.unique(code[coded], return_counts=True))
+        parts.append(np.unique(_coded_grams(stream, starts, order), return_counts=True))
         if sum(len(p[0]) for p in parts) > MERGE_ROWS:
             parts = [_merged(parts)]
     return _merged(parts)
@@ -218,3 +224,118 @@ def code_lengths(tree: ContextTree, texts: Iterable[bytes]) -> np.ndarray:
         edges[1::2] = starts[1:] - tree.order + 1
         out.append(np.add.reduceat(bits, edges, dtype=np.float64)[0::2])
     return np.concatenate(out)
+
+
+def _low(code: str, size: int):
+    """The last ``size`` bytes of a packed gram."""
+    return F.col(code).bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+class Levels:
+    """The whole model as Spark tables: counts of all grams and sums of all contexts, order by order.
+
+    The symbols of a context are a subset of those of the context one byte shorter, so what exclusion takes
+    from a level follows from two sums of the longer context: its kinds, and their mass one level below.
+    """
+
+    def __init__(self, grams: DataFrame, order: int, scratch: Scratch):
+        """``grams``: a saved table of (by, code, n), as ``count_grams`` makes it."""
+        self.order = order
+        self.counts = {order: grams}
+        for k in range(order - 1, -1, -1):
+            level = self.counts[k + 1].groupBy("by", _low("code", k + 1).alias("code")).agg(F.sum("n").alias("n"))
+            self.counts[k] = scratch.save(level, f"level{k}")
+        self.contexts = {}
+        for k in range(order + 1):
+            level = self.counts[k]
+            if k:
+                shorter = _small(self.counts[k - 1].select("by", F.col("code").alias("short"), F.col("n").alias("m")), k <= 2)
+                level = level.withColumn("short", _low("code", k)).join(shorter, ["by", "short"])
+            else:
+                level = level.withColumn("m", F.lit(0))
+            sums = level.groupBy("by", F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum("m").alias("mass"))
+            self.contexts[k] = scratch.save(sums, f"contexts{k}")
+
+    def seen(self) -> DataFrame:
+        """(by, code, n, bits) of every gram of the training texts."""
+        grams = self.counts[self.order].withColumn("context", F.shiftright("code", 8))
+        return grams.join(self.contexts[self.order], ["by", "context"]).select("by", "code", "n", _bits(2.0 * F.col("n") - 1, 2.0 * F.col("total")).alias("bits"))
+
+    def unseen(self, wanted: DataFrame) -> DataFrame:
+        """(by, code, bits) of distinct grams (by, code) that the training texts do not have."""
+        zero = F.lit(0).cast("long")
+        walk = wanted.select("by", "code", F.lit(0.0).alias("bits"), F.lit(False).alias("done"), zero.alias("out_kinds"), zero.alias("out_mass"))
+        for k in range(self.order, -1, -1):
+            walk = walk.withColumn("context", F.shiftright(_low("code", k + 1), 8)).join(_small(self.contexts[k], k <= 2), ["by", "context"], "left")
+            if k < self.order:
+                counts = _small(self.counts[k].select("by", F.col("code").alias("short"), "n"), k <= 1)
+                walk = walk.withColumn("short", _low("code", k + 1)).join(counts, ["by", "short"], "left")
+            else:
+                walk = walk.withColumn("n", F.lit(None).cast("long"))
+            whole, kinds = 2.0 * (F.col("total") - F.col("out_mass")), F.col("kinds") - F.col("out_kinds")
+            open_ = ~F.col("done") & F.col("total").isNotNull()
+            step = F.when(open_ & F.col("n").isNotNull(), _bits(2.0 * F.col("n") - 1, whole)).when(open_ & (kinds > 0), _bits(kinds, whole)).otherwise(F.lit(0.0))
+            walk = walk.select(
+                "by", "code", (F.col("bits") + step).alias("bits"), (F.col("done") | (open_ & F.col("n").isNotNull())).alias("done"),
+                F.coalesce("kinds", "out_kinds").alias("out_kinds"), F.coalesce("mass", "out_mass").alias("out_mass"),
+            )
+        rest = F.log2(F.greatest(256 - F.col("out_kinds"), F.lit(1)).cast("double"))
+        return walk.select("by", "code", F.when(F.col("done"), F.col("bits")).otherwise(F.col("bits") + rest).alias("bits"))
+
+
+def _bits(part, whole):
+    return -F.log2(part / whole)
+
+
+def _small(table: DataFrame, bounded: bool) -> DataFrame:
+    """A table of at most 256 to the power 2 rows a group is broadcast."""
+    return F.broadcast(table) if bounded else table
+
+
+class GramTable:
+    """Code lengths of some grams: one of them a hash slot, and a sorted search for those that lost their slot."""
+
+    def __init__(self, codes: np.ndarray, bits: np.ndarray):
+        """Of two grams of one slot the later one stays there."""
+        by_code = np.argsort(codes)
+        self.codes, self.bits = codes[by_code], bits[by_code].astype(np.float32)
+        self.shift = np.uint64(64 - max(8, int(2 * len(codes)).bit_length()))
+        self.at = np.zeros(1 << 64 - int(self.shift), np.int32)
+        place = np.empty(len(codes), np.int32)
+        place[by_code] = np.arange(len(codes))
+        self.at[self._slots(codes)] = place
+
+    def _slots(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits (0 where unknown), and which are known."""
+        bits, known = np.zeros(len(codes), np.float32), np.zeros(len(codes), bool)
+        for begin in range(0, len(codes) if len(self.codes) else 0, 1 << 17):
+            part = codes[begin : begin + (1 << 17)]
+            at = self.at[self._slots(part)]
+            hit = self.codes[at] == part
+            lost = np.flatnonzero(~hit)
+            at[lost], hit[lost] = _index(self.codes, part[lost])
+            bits[begin : begin + len(part)] = np.where(hit, self.bits[at], np.float32(0))
+            known[begin : begin + len(part)] = hit
+        return bits, known
+
+
+def known_bits(table: GramTable, texts: Iterable[bytes], order: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bits of each text by the grams in ``table``; (code, number of the text, times) of all other grams, by code."""
+    sums, rest, done = [np.empty(0)], [], 0
+    for stream, starts in _streams(texts, order):
+        codes = _coded_grams(stream, starts, order)
+        sizes = np.diff(starts) - order + 1
+        bits, known = table.find(codes)
+        sums.append(np.add.reduceat(bits, np.cumsum(sizes) - sizes, dtype=np.float64))
+        other = np.flatnonzero(~known)
+        rest.append((codes[other], done + np.searchsorted(np.cumsum(sizes), other, side="right")))
+        done += len(sizes)
+    codes = np.concatenate([np.empty(0, np.uint64), *[r[0] for r in rest]])
+    at = np.concatenate([np.empty(0, np.int64), *[r[1] for r in rest]])
+    by_code = np.lexsort((at, codes))
+    codes, at = codes[by_code], at[by_code]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(codes)), bool), (codes[1:] != codes[:-1]) | (at[1:] != at[:-1]))))
+    return np.concatenate(sums), (codes[first], at[first], np.diff(np.append(first, len(codes))))

@@ -160,6 +160,18 @@ def test_lm_score(spark, texts):
     assert lm_score.score(docs.limit(0), training, max_contexts=50).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 5])
+def test_lm_score_keeps_every_context(spark, texts, order):
+    docs = frame(spark, [*texts, "zq rain-gauge, reach", "riverriver flow"])
+    training = F.col("doc_id") % 7 != 2
+    coded = [" ".join(brute.ascii_words(r.text)).replace("\0", "\1").encode().decode("latin-1") for r in docs.orderBy("doc_id").collect()]
+    bits = plain_ppm([t for i, t in enumerate(coded) if i % 7 != 2], order)
+    want = [-bits(t) * math.log10(2) for t in coded]
+    for most in (0, 50, 1 << 20):
+        got = {r.doc_id: r.score for r in lm_score.score(docs, training, order=order, max_contexts=most).collect()}
+        assert [got[i] for i in range(len(want))] == pytest.approx(want, rel=1e-6)
+
+
 def test_license_scan(spark):
     body = "Licenced under the APACHE Licence, version 2.0"
     texts = ["Copyright (c) 2020 Someone\n" + body, f"prose\n{body}!!\nReleased under the MIT License.\nmore", None, "", "!!!", "prose about a license", "(c) 1999 A\n(C) 2000 B\nlicensed under cc by-nc 4.0"]
