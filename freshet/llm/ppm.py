@@ -238,9 +238,10 @@ class Levels:
     from a level follows from two sums of the longer context: its kinds, and their mass one level below.
     """
 
-    def __init__(self, grams: DataFrame, order: int, scratch: Scratch):
-        """``grams``: a saved table of (by, code, n), as ``count_grams`` makes it."""
+    def __init__(self, grams: DataFrame, order: int, scratch: Scratch, many: bool = False):
+        """``grams``: a saved table of (by, code, n), as ``count_grams`` makes it; ``many``: of many groups."""
         self.order = order
+        near = self.near = 1 if many else 2
         self.counts = {order: grams}
         for k in range(order - 1, -1, -1):
             level = self.counts[k + 1].groupBy("by", _low("code", k + 1).alias("code")).agg(F.sum("n").alias("n"))
@@ -249,7 +250,7 @@ class Levels:
         for k in range(order + 1):
             level = self.counts[k]
             if k:
-                shorter = _small(self.counts[k - 1].select("by", F.col("code").alias("short"), F.col("n").alias("m")), k <= 2)
+                shorter = _small(self.counts[k - 1].select("by", F.col("code").alias("short"), F.col("n").alias("m")), k <= near)
                 level = level.withColumn("short", _low("code", k)).join(shorter, ["by", "short"])
             else:
                 level = level.withColumn("m", F.lit(0))
@@ -266,9 +267,9 @@ class Levels:
         zero = F.lit(0).cast("long")
         walk = wanted.select("by", "code", F.lit(0.0).alias("bits"), F.lit(False).alias("done"), zero.alias("out_kinds"), zero.alias("out_mass"))
         for k in range(self.order, -1, -1):
-            walk = walk.withColumn("context", F.shiftright(_low("code", k + 1), 8)).join(_small(self.contexts[k], k <= 2), ["by", "context"], "left")
+            walk = walk.withColumn("context", F.shiftright(_low("code", k + 1), 8)).join(_small(self.contexts[k], k <= self.near), ["by", "context"], "left")
             if k < self.order:
-                counts = _small(self.counts[k].select("by", F.col("code").alias("short"), "n"), k <= 1)
+                counts = _small(self.counts[k].select("by", F.col("code").alias("short"), "n"), k < self.near)
                 walk = walk.withColumn("short", _low("code", k + 1)).join(counts, ["by", "short"], "left")
             else:
                 walk = walk.withColumn("n", F.lit(None).cast("long"))
@@ -288,7 +289,7 @@ def _bits(part, whole):
 
 
 def _small(table: DataFrame, bounded: bool) -> DataFrame:
-    """A table of at most 256 to the power 2 rows a group is broadcast."""
+    """Tables of at most 65,536 rows, or 256 for each of many groups, are broadcast."""
     return F.broadcast(table) if bounded else table
 
 
@@ -296,7 +297,7 @@ class GramTable:
     """Code lengths of some grams: one of them a hash slot, and a sorted search for those that lost their slot."""
 
     def __init__(self, codes: np.ndarray, bits: np.ndarray):
-        """Of two grams of one slot the later one stays there."""
+        """Of two grams of one slot the later one stays there. ``bits`` may have columns, one a language."""
         by_code = np.argsort(codes)
         self.codes, self.bits = codes[by_code], bits[by_code].astype(np.float32)
         self.shift = np.uint64(64 - max(8, int(2 * len(codes)).bit_length()))
@@ -310,26 +311,28 @@ class GramTable:
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits (0 where unknown), and which are known."""
-        bits, known = np.zeros(len(codes), np.float32), np.zeros(len(codes), bool)
+        bits, known = np.zeros((len(codes), *self.bits.shape[1:]), np.float32), np.zeros(len(codes), bool)
         for begin in range(0, len(codes) if len(self.codes) else 0, 1 << 17):
             part = codes[begin : begin + (1 << 17)]
             at = self.at[self._slots(part)]
             hit = self.codes[at] == part
             lost = np.flatnonzero(~hit)
             at[lost], hit[lost] = _index(self.codes, part[lost])
-            bits[begin : begin + len(part)] = np.where(hit, self.bits[at], np.float32(0))
+            own = bits[begin : begin + len(part)]
+            own[:] = self.bits[at]
+            own[~hit] = 0
             known[begin : begin + len(part)] = hit
         return bits, known
 
 
 def known_bits(table: GramTable, texts: Iterable[bytes], order: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Bits of each text by the grams in ``table``; (code, number of the text, times) of all other grams, by code."""
-    sums, rest, done = [np.empty(0)], [], 0
+    sums, rest, done = [np.empty((0, *table.bits.shape[1:]))], [], 0
     for stream, starts in _streams(texts, order):
         codes = _coded_grams(stream, starts, order)
         sizes = np.diff(starts) - order + 1
         bits, known = table.find(codes)
-        sums.append(np.add.reduceat(bits, np.cumsum(sizes) - sizes, dtype=np.float64))
+        sums.append(np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.float64))
         other = np.flatnonzero(~known)
         rest.append((codes[other], done + np.searchsorted(np.cumsum(sizes), other, side="right")))
         done += len(sizes)

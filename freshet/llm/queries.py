@@ -29,7 +29,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
     model = language_id.train(docs.where(_fold(3) != 1).select("text", "lang"))
     tagged = docs.select(F.struct("doc_id", held).alias("key"), "text")
-    return language_id.predict(tagged, model, id_col="key").select("key.doc_id", "key.held_out", "lang_pred", "score")
+    found = language_id.predict(tagged, model, id_col="key")
+    language_id.close(model)
+    return found.select("key.doc_id", "key.held_out", "lang_pred", "score")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,6 +139,25 @@ def test_language_id(spark):
     assert language_id.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_id_keeps_every_language_and_context(spark):
+    rng = random.Random(3)
+    names = [f"l{i:02}" for i in range(70)]
+    words = {x: ["".join(rng.choices("abcdefghij", k=5)) for _ in range(4)] for x in names}
+    rows = [(i, " ".join(words[x] * 2), x) for i, x in enumerate([*names, *names[:60]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {i: x for i, _, x in rows}
+    bits = {x: plain_ppm([" ".join(words[x] * 2)] * (1 + (x < "l60")), 3) for x in names}
+    prior = {x: math.log2(130 / (1 + (x < "l60"))) for x in names}
+    for most, group in ((1 << 18, 100), (90, 40)):
+        model = language_id.train(docs, max_contexts=most)
+        probe = docs.withColumn("text", F.concat("text", F.lit(" zab")))
+        got = {r.doc_id: r for r in language_id.predict(probe, model, group=group).collect()}
+        assert {i: got[i].lang_pred for i in want} == want
+        for i in (0, 65, 69):
+            costs = [bits[x](rows[i][1] + " zab") + prior[x] for x in names]
+            assert got[i].score == pytest.approx(1 / sum(2 ** (min(costs) - c) for c in costs), rel=1e-4)
+
+
 def test_lm_score(spark, texts):
     docs = frame(spark, texts)
     training = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
