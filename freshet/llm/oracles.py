@@ -30,21 +30,28 @@ SELECT doc_id, max(digest) FILTER (whole) AS text_digest, max(license) FILTER (w
 FROM numbered JOIN met USING (r) GROUP BY r, doc_id"""
 
 
-def _spans(kind: str, rank: int, pattern: str, keep: str) -> str:
+def _spans(kind: str, rank: int, pattern: str, keep: str, source: str = "texts") -> str:
     p = quoted(pattern)
-    return f"""{kind}_rows AS (SELECT r, unnest(regexp_extract_all(text, {p})) AS hit, unnest(range(1, len(regexp_extract_all(text, {p})) + 1)) AS i, string_split_regex(text, {p}) AS pieces FROM texts WHERE regexp_matches(text, {p})),
+    return f"""{kind}_rows AS (SELECT r, unnest(regexp_extract_all(text, {p})) AS hit, unnest(range(1, len(regexp_extract_all(text, {p})) + 1)) AS i, string_split_regex(text, {p}) AS pieces FROM {source} WHERE regexp_matches(text, {p})),
 {kind}_places AS (SELECT r, hit, sum(length(pieces[i])) OVER w + sum(length(hit)) OVER w - length(hit) AS s FROM {kind}_rows WINDOW w AS (PARTITION BY r ORDER BY i)),
 {kind}_spans AS (SELECT r, s::BIGINT AS s, {rank} AS k, '{kind}' AS kind, (s + length(hit))::BIGINT AS e, hit FROM {kind}_places WHERE {keep})"""
 
 
-_allowed = " OR ".join(f"regexp_matches(hit, {quoted(p)})" for p in secret_scan.ALLOWED)
+_placeholder = f"regexp_matches(hit, {quoted(secret_scan.PLACEHOLDER)})"
+_allowed = " OR ".join(f"regexp_matches(hit, {quoted(p)})" for p in (*secret_scan.ALLOWED, secret_scan.PLACEHOLDER))
 SECRETS = f"""WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 {_spans('assign', 0, secret_scan.ASSIGN, f"length(regexp_extract(hit, {quoted(secret_scan.ASSIGN)}, 1)) >= 8")},
 {_spans('access', 1, secret_scan.ACCESS, 'length(hit) >= 16')},
 {_spans('hex', 2, secret_scan.HEX, 'true')},
-{_spans('entropy', 3, secret_scan.CANDIDATE, 'true')},
 base AS (SELECT * FROM assign_spans UNION ALL SELECT * FROM access_spans UNION ALL SELECT * FROM hex_spans),
-candidates AS (SELECT * FROM entropy_spans c WHERE NOT ({_allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = c.r AND b.s < c.e AND c.s < b.e)),
+covered AS (SELECT DISTINCT r, unnest(range(s, e)) AS pos FROM base),
+letters_of AS (SELECT r, unnest(regexp_extract_all(text, '(?s).')) AS c, unnest(range(length(text))) AS pos FROM texts WHERE r IN (SELECT r FROM base)),
+blanked AS (SELECT r, string_agg(CASE WHEN covered.pos IS NULL THEN c ELSE ' ' END, '' ORDER BY pos) AS text FROM letters_of LEFT JOIN covered USING (r, pos) GROUP BY r),
+masked AS (SELECT r, coalesce(blanked.text, texts.text) AS text FROM texts LEFT JOIN blanked USING (r)),
+{_spans('run', 3, secret_scan.CANDIDATE, 'true', 'masked')},
+runs AS (SELECT row_number() OVER () AS f, * FROM run_spans), suspects AS (SELECT f AS r, hit AS text FROM runs WHERE {_placeholder}),
+{_spans('part', 3, secret_scan.PART, 'true', 'suspects')},
+candidates AS (SELECT * FROM (SELECT r, s, 3 AS k, 'entropy' AS kind, e, hit FROM runs WHERE NOT {_placeholder} UNION ALL SELECT runs.r, runs.s + p.s, 3, 'entropy', runs.s + p.e, p.hit FROM part_spans p JOIN runs ON p.r = f) WHERE NOT ({_allowed})),
 windows AS (SELECT r, s, unnest(range(1, length(hit) - {secret_scan.WIDTH} + 2)) AS i, hit FROM candidates),
 letters AS (SELECT r, s, i, unnest(string_split(substr(hit, i, {secret_scan.WIDTH}), '')) AS c FROM windows),
 shares AS (SELECT r, s, i, count(*) / {float(secret_scan.WIDTH)} AS p FROM letters GROUP BY r, s, i, c),

@@ -1,16 +1,21 @@
 """Secret scans with DataFrame functions only.
 
-Three patterns give base spans. Beside them, long runs of key characters are candidates: a window slides
-over each, the counts of its characters are updated by the one that comes and the one that goes, and a
-candidate whose most disordered window exceeds the limit of its character class is a span too, unless an
-allow-list pattern matches it or a base span overlaps it.
+Three patterns give base spans. Long runs of key characters that no base span covers are candidates: a
+window slides over each, the sum behind its entropy is updated by the counts of the character that comes
+and the one that goes, and a candidate whose most disordered window exceeds the limit of its character
+class is a span too, unless the allow-list holds it. Work grows with the length of a text, however many
+hits it has and however long a run is.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.llm.columns import filled, free_name, let, running
+
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
@@ -21,87 +26,100 @@ KINDS = ("assign", "access", "hex", "entropy")
 WIDTH = 20
 HEX_BITS = 3.0
 KEY_BITS = 3.7
-#: Candidates that are no secrets: words without digits, numbers, UUIDs, alphabets and placeholders.
+#: Candidates that are no secrets: words without digits, numbers, UUIDs.
 ALLOWED = (
     r"^[A-Za-z+/_=-]*$",
     r"^[0-9+/_=-]*$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|dummy|abcdefgh|01234567",
 )
+#: A run that holds one of these is read part by part; only the parts that hold one are placeholders.
+PLACEHOLDER = r"(?i)example|sample|placeholder|dummy|abcdefgh|01234567"
+PART = r"[A-Za-z0-9+]{20,}"
+#: Sums behind entropies are whole numbers of this fraction, so that a long run gathers no rounding errors.
+UNIT = 1 << 40
 
 
-def pattern_spans(text: Column, pattern: str, rank: int, keep) -> Column:
+def pattern_spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     """array<struct<start, rank, end, hit>> of the leftmost non-overlapping matches that ``keep`` accepts.
 
     Places are code points from 0; they follow from the lengths of the matches and of the pieces between.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(F.length(p).alias("gap"), h.alias("hit")))
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,hit:string>>")
+    pairs = let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda hits: F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(hits)), hits, lambda p, h: F.struct((F.length(p) + F.length(h)).alias("step"), h.alias("hit"))),
+    )
+
+    def placed(x: Column) -> Column:
+        ends = running(F.transform(x, lambda p: p["step"]), lambda a, b: a + b)
+        return F.zip_with(x, ends, lambda p, e: F.struct((e - F.length(p["hit"])).alias("start"), F.lit(rank).alias("rank"), e.alias("end"), p["hit"].alias("hit")))
 
-    def step(state, x):
-        start = state["at"] + x["gap"]
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.when(keep(x["hit"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+    spans = let(pairs, placed)
+    if keep is not None:
+        spans = F.filter(spans, lambda s: keep(s["hit"]))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,hit:string>>"))
 
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
 
+def window_bits(key: Column, width: int = WIDTH, enough: Column | None = None) -> Column:
+    """Largest Shannon entropy (bits a character) of the ``width``-character windows of a key; 0 for a shorter
+    key. Windows after the first that exceeds ``enough`` are not looked at."""
+    weight = F.array(*[F.lit(round(n * math.log2(n) * UNIT) if n else 0).cast("long") for n in range(width + 2)])
 
-def window_bits(key: Column, width: int = WIDTH) -> Column:
-    """Largest Shannon entropy (bits a character) of the ``width``-character windows of a key."""
+    def best(letters: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            held = F.slice(letters, F.greatest(i - width, F.lit(1)), F.least(i - 1, F.lit(width)))
+            come, go = F.get(letters, i - 1), F.get(letters, i - 1 - width)
+            n_go = F.size(held) - F.size(F.array_remove(held, go))
+            n_come = F.size(held) - F.size(F.array_remove(held, come)) - F.when(come == go, 1).otherwise(0)
+            gone = F.when(i > width, F.get(weight, n_go - 1) - F.get(weight, n_go)).otherwise(F.lit(0).cast("long"))
+            total = state["total"] + gone + F.get(weight, n_come + 1) - F.get(weight, n_come)
+            moved = F.struct(total.alias("total"), F.when(i >= width, F.least(state["least"], total)).otherwise(state["least"]).alias("least"))
+            return moved if enough is None else F.when(bits(state["least"]) > enough, state).otherwise(moved)
 
-    def weight(n: Column) -> Column:
-        return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
+        def bits(least: Column) -> Column:
+            return F.greatest(math.log2(width) - least / F.lit(float(width * UNIT)), F.lit(0.0))
 
-    def at(place: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(key, place, F.lit(1)))
+        start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(1 << 60).cast("long").alias("least"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), start, step, lambda s: bits(s["least"]))
 
-    def step(state, i):
-        come = at(i)
-        go = F.when(i > width, F.instr(F.lit(ALPHABET), F.substring(key, i - width, F.lit(1)))).otherwise(F.lit(0))
-        less = F.when(go > 0, F.element_at(state["counts"], F.greatest(go, F.lit(1)))).otherwise(F.lit(0))
-        shrunk = F.when(go > 0, F.transform(state["counts"], lambda n, k: F.when(k + 1 == go, n - 1).otherwise(n))).otherwise(state["counts"])
-        more = F.element_at(shrunk, F.greatest(come, F.lit(1)))
-        total = state["total"] - F.when(go > 0, weight(less) - weight(less - 1)).otherwise(F.lit(0.0)) + weight(more + 1) - weight(more)
-        bits = F.when(i >= width, F.log2(F.lit(float(width))) - total / width).otherwise(F.lit(0.0))
-        return F.struct(
-            F.transform(shrunk, lambda n, k: F.when(k + 1 == come, n + 1).otherwise(n)).alias("counts"), total.alias("total"), F.greatest(state["best"], bits).alias("best")
-        )
+    return F.when(F.length(key) >= width, let(F.split(key, ""), best)).otherwise(F.lit(0.0))
 
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(key)), zero, step, lambda s: s["best"])
 
+def entropy_spans(candidates: Column, allowed=ALLOWED) -> Column:
+    """Those of the spans whose key is disordered enough and not allowed."""
 
-def entropy_spans(candidates: Column, base: Column, allowed=ALLOWED) -> Column:
-    def keep(x):
+    def parts(x: Column) -> Column:
+        inner = F.transform(pattern_spans(x["hit"], PART, 3), lambda p: F.struct((p["start"] + x["start"]).alias("start"), p["rank"].alias("rank"), (p["end"] + x["start"]).alias("end"), p["hit"].alias("hit")))
+        return F.when(x["hit"].rlike(PLACEHOLDER), inner).otherwise(F.array(x))
+
+    def keep(x: Column) -> Column:
         key = x["hit"]
-        listed = F.lit(False)
+        listed = key.rlike(PLACEHOLDER)
         for pattern in allowed:
             listed = listed | key.rlike(pattern)
-        taken = F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
         limit = F.when(key.rlike("^[0-9a-fA-F]+$"), HEX_BITS).otherwise(KEY_BITS)
-        return F.when(listed | taken, F.lit(False)).otherwise(window_bits(key) > limit)
+        return F.when(listed, F.lit(False)).otherwise(let(limit, lambda enough: window_bits(key, enough=enough) > enough))
 
-    return F.filter(candidates, keep)
+    return F.filter(F.flatten(F.transform(candidates, parts)), keep)
 
 
 def scan(docs: DataFrame, text_col: str = "text", allowed=ALLOWED) -> DataFrame:
     """``docs`` with base_spans and all_spans, arrays of (start, rank, end, hit) by start, then kind.
 
-    Null text counts as empty and has no spans. Every input row keeps its columns; the two new names
-    replace columns of those names. An empty table stays empty.
+    Null and empty text has no spans. Very long texts and runs are read whole, in time in proportion to their
+    length. Every input row keeps its columns, equal rows included; only columns named base_spans and all_spans
+    are replaced. An empty table stays empty.
     """
+    masked, candidates = free_name(docs, "masked"), free_name(docs, "candidates")
     text = F.coalesce(F.col(text_col), F.lit(""))
     assigned = pattern_spans(text, ASSIGN, 0, lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 1)) >= 8)
     access = pattern_spans(text, ACCESS, 1, lambda hit: F.length(hit) >= 16)
-    hexes = pattern_spans(text, HEX, 2, lambda hit: F.lit(True))
+    hexes = pattern_spans(text, HEX, 2)
     found = docs.withColumn("base_spans", F.array_sort(F.concat(assigned, access, hexes)))
-    found = found.withColumn("_candidates", pattern_spans(text, CANDIDATE, 3, lambda hit: F.lit(True)))
-    added = F.when(F.size("_candidates") > 0, entropy_spans(F.col("_candidates"), F.col("base_spans"), allowed))
-    return found.withColumn("all_spans", F.array_sort(F.concat("base_spans", F.coalesce(added, F.expr("slice(base_spans, 1, 0)"))))).drop("_candidates")
+    blank = filled(text, F.col("base_spans"), lambda new, length: F.repeat(F.lit(" "), length))
+    found = found.withColumn(masked, F.when(F.size("base_spans") > 0, blank).otherwise(text))
+    found = found.withColumn(candidates, pattern_spans(F.col(masked), CANDIDATE, 3))
+    added = F.when(F.size(candidates) > 0, entropy_spans(F.col(candidates), allowed))
+    return found.withColumn("all_spans", F.array_sort(F.concat("base_spans", F.coalesce(added, F.expr("slice(base_spans, 1, 0)"))))).drop(masked, candidates)
 
 
 def span_text(spans: Column) -> Column:
@@ -110,15 +128,8 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", allowed=ALLOWED) -> DataFrame:
-    """``docs`` with every span of ``text_col`` replaced by ``mask``; overlapping spans become one mask."""
+    """``docs`` with every span of ``text_col`` replaced by ``mask``; spans that overlap or touch become one mask.
+    Null text stays null; columns are those of ``docs``."""
     found = scan(docs, text_col, allowed)
-    text = F.col(text_col)
-
-    def step(state, s):
-        gap = F.when(s["start"] > state["at"], F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask)))
-        first = F.when(s["start"] == state["at"], F.when(F.length(state["out"]) == 0, F.lit(mask)).otherwise(F.when(state["at"] == 0, F.lit(mask)).otherwise(F.lit(""))))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], F.coalesce(gap, first, F.lit(""))).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("all_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("all_spans") > 0, masked).otherwise(text)).drop("base_spans", "all_spans")
+    masked = filled(F.col(text_col), F.col("all_spans"), lambda new, length: F.when(new, F.lit(mask)).otherwise(""))
+    return found.withColumn(text_col, F.when(F.size("all_spans") > 0, masked).otherwise(F.col(text_col))).select(*docs.columns)

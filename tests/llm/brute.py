@@ -41,6 +41,39 @@ def secret_base(text):
     return sorted(spans)
 
 
+def window_entropy(key, width=20):
+    best = 0.0
+    for i in range(len(key) - width + 1):
+        counts = Counter(key[i : i + width])
+        best = max(best, -sum(n / width * math.log2(n / width) for n in counts.values()))
+    return best
+
+
+def secret_spans(text):
+    """Base spans and those that entropy adds: runs of key characters outside base spans."""
+    base = secret_base(text)
+    letters = list(text or "")
+    for a, _, b in base:
+        letters[a:b] = " " * (b - a)
+    placeholder = re.compile(r"example|sample|placeholder|dummy|abcdefgh|01234567", re.I)
+    found = list(base)
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", "".join(letters)):
+        parts = [(run.start(), run[0])]
+        if placeholder.search(run[0]):
+            parts = [(run.start() + m.start(), m[0]) for m in re.finditer(r"[A-Za-z0-9+]{20,}", run[0]) if not placeholder.search(m[0])]
+        for at, key in parts:
+            plain = not re.search("[0-9]", key) or not re.search("[A-Za-z]", key)
+            uuid = re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", key)
+            if not plain and not uuid and window_entropy(key) > (3.0 if re.fullmatch("[0-9a-fA-F]+", key) else 3.7):
+                found.append((at, 3, at + len(key)))
+    return sorted(found)
+
+
+def redacted(text):
+    covered = {p for a, _, b in secret_spans(text) for p in range(a, b)}
+    return "".join("" if p in covered and p - 1 in covered else "[secret]" if p in covered else c for p, c in enumerate(text))
+
+
 def secret_row(text):
     spans = secret_base(text)
     kinds = ("assign", "access", "hex")

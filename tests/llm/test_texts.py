@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -211,51 +212,65 @@ SECRETS = [
 ]
 
 
+KEY = "Kx9vQ2mZ7pL4tR8wB3nY6cJ1"
+SECRETS += [
+    "AKIA" + "Q" * 16 + "/" + KEY + KEY, "0123456789abcdef" * 2 + "_" + KEY, "see example-bucket/" + KEY, KEY + "EXAMPLE" + KEY, f"token={KEY}token={KEY} {KEY}", "api_key: PASSWORD=AKIA" + "B" * 20 + "x", KEY + "\U0001d11e" + KEY,
+]
+
+
+def spans_of(row):
+    return [(s["start"], s["rank"], s["end"]) for s in row]
+
+
 def test_secret_scan(spark):
     docs = frame(spark, SECRETS)
     got = {r.doc_id: r for r in secret_scan.scan(docs).collect()}
     for i, text in enumerate(SECRETS):
-        assert [(s["start"], s["rank"], s["end"]) for s in got[i].base_spans] == brute.secret_base(text), text
-        assert set(map(tuple, got[i].base_spans)) <= set(map(tuple, got[i].all_spans))
+        assert spans_of(got[i].base_spans) == brute.secret_base(text), text
+        assert spans_of(got[i].all_spans) == brute.secret_spans(text), text
         assert all(s["hit"] == text[s["start"] : s["end"]] for s in got[i].all_spans)
     assert [s["rank"] for s in got[8].all_spans] == [3]
     assert all(not got[i].all_spans for i in (9, 10, 11))
-    assert "id" in secret_scan.scan(docs).columns and secret_scan.scan(docs.limit(0)).count() == 0
-
-
-def window_entropy(key, width=20):
-    best = 0.0
-    for i in range(len(key) - width + 1):
-        part = key[i : i + width]
-        best = max(best, -sum(part.count(c) / width * math.log2(part.count(c) / width) for c in set(part)))
-    return best
+    assert [[s["rank"] for s in got[i].all_spans] for i in (14, 15, 16, 17)] == [[1, 3], [2, 3], [3], []]
+    assert secret_scan.scan(docs).count() == len(SECRETS) and secret_scan.scan(twice(docs)).count() == 2 * len(SECRETS)
+    assert secret_scan.scan(docs.limit(0)).count() == 0
+    clashing = docs.withColumnRenamed("word", "masked").withColumnRenamed("source", "candidates")
+    assert secret_scan.scan(clashing).columns == [*clashing.columns, "base_spans", "all_spans"]
+    assert {r.masked for r in secret_scan.redact(clashing).collect()} == {"w"}
 
 
 def test_incremental_entropy(spark):
     rng = random.Random(4)
-    keys = ["".join(rng.choices(secret_scan.ALPHABET[: 2 + 6 * i], k=20 + 3 * i)) for i in range(10)] + ["a" * 40]
+    keys = ["".join(rng.choices(secret_scan.ALPHABET[: 2 + 6 * i], k=20 + 3 * i)) for i in range(10)] + ["a" * 40, "short", ""]
     rows = spark.createDataFrame([(k,) for k in keys], "k string").select("k", secret_scan.window_bits(F.col("k")).alias("b")).collect()
     for r in rows:
-        assert r.b == pytest.approx(window_entropy(r.k), abs=1e-9)
+        assert r.b == pytest.approx(brute.window_entropy(r.k), abs=1e-9)
+
+
+def test_long_runs_and_many_hits(spark):
+    """A run of a megabyte and 50,000 hits in one text take seconds, not hours."""
+    rng = random.Random(8)
+    run = "".join(rng.choices(secret_scan.ALPHABET[:64], k=1_000_000))
+    low = "ab12" * 20_000 + "-G"
+    many = "\U0001d11e " + " ".join(f"password={i:08d}x" for i in range(50_000))
+    keys = " ".join("".join(rng.choices(secret_scan.ALPHABET[:62], k=24)) for _ in range(5_000))
+    texts = [run, low, many, keys, many + run]
+    began = time.time()
+    got = {r.doc_id: r for r in secret_scan.scan(frame(spark, texts)).collect()}
+    masked = {r.doc_id: r.text for r in secret_scan.redact(frame(spark, texts)).collect()}
+    assert time.time() - began < 120
+    assert spans_of(got[0].all_spans) == [(0, 3, 1_000_000)] and masked[0] == "[secret]"
+    assert spans_of(got[1].base_spans) == [(0, 2, 80_000)] and masked[1] == "[secret]-G"
+    for i in (2, 3):
+        assert spans_of(got[i].all_spans) == brute.secret_spans(texts[i]) and masked[i] == brute.redacted(texts[i])
+    assert len(got[4].base_spans) == 50_000
 
 
 def test_redaction(spark):
     got = {r.doc_id: r.text for r in secret_scan.redact(frame(spark, SECRETS)).collect()}
-    for i, text in enumerate(SECRETS):
-        spans = brute.secret_base(text)
-        if i == 8:
-            assert got[i] == "[secret]"
-        elif not spans:
-            assert got[i] == text
-        else:
-            covered = sorted({p for a, _, b in spans for p in range(a, b)})
-            want, last = "", None
-            for p, c in enumerate(text):
-                if p not in covered:
-                    want += c
-                elif p - 1 not in covered:
-                    want += "[secret]"
-            assert got[i].replace("[secret][secret]", "[secret]") == want
+    assert got[0] is None
+    for i, text in enumerate(SECRETS[1:], 1):
+        assert got[i] == brute.redacted(text), text
 
 
 def test_decontamination(spark):
