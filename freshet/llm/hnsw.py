@@ -10,6 +10,8 @@ import numpy as np
 LINKS, LOWEST_LINKS, BUILD_BEAM = 12, 24, 48
 #: Queries that move together, and the widest beam; a wider one is a scan of the whole shard.
 TOGETHER, WIDEST = 1024, 128
+#: An audit takes every 64th query, or more, until it has so many true pairs.
+AUDITS, ENOUGH_TRUE = (64, 32, 16, 8), 64
 
 
 class Graph:
@@ -139,25 +141,35 @@ class Graph:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate([q + 512 * i for i, (q, _) in enumerate(pairs)]), np.concatenate([x for _, x in pairs])
 
-    def within(self, queries: np.ndarray, least: float, beam: int = 48, audit: int = 64, recall: float = 0.98) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) of the pairs at least as similar. Queries whose beam ends above ``least`` get a
-        wider one. Every ``audit``-th query is also compared with all nodes; if fewer than ``recall`` of its
-        pairs were found, all beams are widened."""
+    def within(self, queries: np.ndarray, least: float, beam: int = 48, recall: float = 0.98, own: bool = False) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """(query, node) of the pairs at least as similar, and how many true pairs an audit knew and the graph found.
+
+        Queries whose beam ends above ``least`` get a wider one. Every 64th query, or more of them (up to every
+        8th) until they have ENOUGH_TRUE true pairs, is also compared with all nodes; if fewer than ``recall`` of
+        these pairs were found, all beams are widened. ``own``: the queries are the nodes; pairs of a node with
+        itself are left out of the audit.
+        """
         if not len(self.unit) or not len(queries):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        sample = np.arange(0, len(queries), audit)
-        true_q, true_node = self.scan(queries[sample], least)
-        truth = sample[true_q] * len(self.unit) + true_node
+            return np.empty(0, np.int64), np.empty(0, np.int64), 0, 0
+        for every in AUDITS:
+            sample = np.arange(0, len(queries), every)
+            true_q, true_node = self.scan(queries[sample], least)
+            true_q = sample[true_q]
+            if own:
+                true_q, true_node = (x[true_q != true_node] for x in (true_q, true_node))
+            if len(true_q) >= ENOUGH_TRUE:
+                break
+        truth = true_q * len(self.unit) + true_node
         while True:
             q, node = self._within(queries, least, beam)
-            got = np.isin(truth, q * len(self.unit) + node).sum()
+            got = int(np.isin(truth, q * len(self.unit) + node).sum())
             if got >= recall * len(truth):
-                return q, node
+                return q, node, len(truth), got
             beam *= 2
 
     def _within(self, queries, least, beam):
         todo, parts = np.arange(len(queries)), []
-        while len(todo) and beam <= min(WIDEST, len(self.unit) // 2):
+        while len(todo) and beam <= WIDEST:
             ids, sims = self.nearest(queries[todo], beam)
             full = (ids[:, -1] >= 0) & (sims[:, -1] >= least)
             row, place = np.nonzero((sims >= least) & (ids >= 0) & ~full[:, None])

@@ -72,5 +72,76 @@ def test_graph_recall():
 def test_tiny_graphs():
     for n in (1, 2, 3, 5):
         unit = np.eye(8, dtype=np.float32)[:n]
-        q, node = hnsw.Graph.build(unit).within(unit, 0.93)
-        assert sorted(zip(q, node)) == [(i, i) for i in range(n)]
+        graph = hnsw.Graph.build(unit)
+        q, node, truth, got = graph.within(unit, 0.93)
+        assert sorted(zip(q, node)) == [(i, i) for i in range(n)] and truth == got
+        assert graph.within(unit, 0.93, own=True)[2:] == (0, 0)
+
+
+def test_audit_does_not_count_a_node_with_itself():
+    """Two of six real pairs lost: the beams have to widen, however many nodes find themselves."""
+    rng = np.random.default_rng(5)
+    unit = embedding_dedup.unit_rows(rng.normal(size=(1024, 32)))
+    for i in range(6):
+        unit[64 * i + 1] = unit[64 * i]
+    unit = unit.astype(np.float32)
+    graph = hnsw.Graph.build(unit)
+    beams = []
+
+    def lossy(queries, least, beam, real=graph._within):
+        beams.append(beam)
+        q, node = real(queries, least, beam)
+        lost = (q // 64 < 2) & (q % 64 == 0) & (node == q + 1) if beam < 100 else np.zeros(len(q), bool)
+        return q[~lost], node[~lost]
+
+    graph._within = lossy
+    _, _, truth, got = graph.within(unit, 0.93, own=True)
+    assert len(beams) > 1 and truth == got >= 6
+
+
+def test_searches_go_through_the_graph(monkeypatch):
+    """Scans serve audits only: with the graph's answers taken away, nothing but the last beam finds pairs."""
+    rng = np.random.default_rng(6)
+    for n in (40, 2000):
+        unit = embedding_dedup.unit_rows(clusters(rng, n, 32).astype(np.float64)).astype(np.float32)
+        graph = hnsw.Graph.build(unit)
+        scanned = []
+        graph.scan = lambda queries, least, real=graph.scan, scanned=scanned: (scanned.append(len(queries)), real(queries, least))[1]
+        walked = []
+        graph.nearest = lambda queries, beam, real=graph.nearest, walked=walked: (walked.append(len(queries)), real(queries, beam))[1]
+        q, node = graph._within(unit, 0.93, 48)
+        true = unit @ unit.T >= 0.93
+        assert walked[0] == n and true[q, node].all() and len(q) >= 0.95 * true.sum()
+        if n == 40:
+            assert not scanned
+        graph.nearest = lambda queries, beam: (np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32))
+        assert len(graph._within(unit, 0.93, 48)[0]) == 0
+
+
+@pytest.mark.parametrize("shard", [8192, 400])
+def test_recall_of_registered_parameters(spark, shard):
+    """Against all pairs, and as the audit reports it by label and shard, at least 0.9."""
+    rng = np.random.default_rng(7)
+    v = clusters(rng, 2400, 32)
+    rows = [(int(i), [float(x) for x in v[k]], int(k % 2)) for k, i in enumerate(rng.permutation(2400))]
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, shard=shard).collect()}
+    true = {}
+    for label in (0, 1):
+        own = [r for r in rows if r[2] == label]
+        unit = embedding_dedup.unit_rows(np.array([r[1] for r in own], np.float32).astype(np.float64))
+        for r, n in zip(own, (unit @ unit.T >= 0.93).sum(1) - 1):
+            true[r[0]] = int(n)
+    assert all(got[i] <= true[i] for i in true) and sum(got.values()) >= 0.98 * sum(true.values()) > 0
+    audits = embedding_dedup.audited_recall(df, shard=shard).collect()
+    assert {(r.label, r.shard) for r in audits} == {(x, s) for x in (0, 1) for s in range(-(-1200 // shard))}
+    assert all(r.n_found >= 0.9 * r.n_true for r in audits) and sum(r.n_true for r in audits) > 100
+
+
+def test_shared_ids_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0], 5), (1, [0.0, 1.0], 5), (2, [1.0, 0.01], 5), (3, [0.01, 1.0], 6), (1, [-1.0, 0.0], 5), (9, [-1.0, 0.01], 5), (1, [1.0, 0.0], 6)]
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    got = sorted(map(tuple, embedding_dedup.near_duplicates(df).collect()))
+    assert got == sorted([(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (3, 0, 3, True), (1, 1, 1, True), (9, 1, 1, False), (1, 0, 1, True)])
+    links, _ = all_pairs([(10 * i + r[0], *r[1:]) for i, r in enumerate(rows)])
+    assert sorted((r[0], links[i]) for i, r in enumerate(rows)) == sorted(r[:2] for r in got)
