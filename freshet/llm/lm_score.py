@@ -65,6 +65,8 @@ def count_words(texts: DataFrame) -> DataFrame:
 def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, max_contexts: int = MAX_CONTEXTS, common_words: int = COMMON_WORDS) -> DataFrame:
     """One row per input row: id, in_training, n_tokens, n_known, train_tokens, base_score, score.
 
+    ``score`` is the log10 probability of the text as its words, A-Z lower-cased, joined by single blanks, and an
+    end symbol. Texts are read whole, in pieces of bounded size; a very long one takes one row of a batch alone.
     ``training`` is a boolean column of ``docs``; null counts as false. Null text is empty: its only token
     is the end. Any number of rows may share an id; each keeps a row of its own. Without training rows
     (or an empty table) every count is 0: base_score is n_tokens * log10(1 / 1) = 0, and the tree has no

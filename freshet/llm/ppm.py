@@ -1,9 +1,9 @@
 """Prediction by partial matching over bytes, with frozen statistics.
 
-Training counts byte grams in Arrow tasks and sums them in Spark. Compiling turns the counts into a
-context tree whose every (context, symbol) pair has its exact code length: escape method D, and symbols
-seen in a longer context are excluded from the shorter ones. Scoring finds the longest known context
-before every byte by table look-ups over whole arrays, so a text costs a few look-ups per byte.
+Training counts byte grams in Arrow tasks and sums them in Spark; the context tree is a table of grams and a
+table of contexts, none of them left out. Every (context, symbol) pair has its exact code length: escape
+method D, and symbols seen in a longer context are excluded from the shorter ones. Scoring looks the longest
+gram before every byte up in a broadcast table of the commonest, and joins all others.
 
 A text is coded as its bytes and one end symbol (byte 0); a byte 0 within a text is coded as byte 1.
 """
@@ -11,14 +11,12 @@ A text is coded as its bytes and one end symbol (byte 0); a byte 0 within a text
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.heaviest import heaviest
 from freshet.llm.scratch import Scratch
 
 #: Bytes handled at once by the array code, and rows of partial counts kept before they are merged.
@@ -98,80 +96,6 @@ def count_grams(texts: DataFrame, order: int, normalise, by: str | None = None)
     return picked.mapInArrow(run, "by string, code long, n long").groupBy("by", "code").agg(F.sum("n").alias("n"))
 
 
-def collect_levels(grams: DataFrame, order: int, most: int) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
-    """Per group, for orders 0 to ``order``: gram codes and counts of the ``most`` commonest contexts.
-
-    A context is kept with all its symbols or not at all, so escape probabilities stay true; texts fall
-    back to shorter contexts where a long one is not kept. What reaches the driver is bounded by ``most``
-    contexts of at most 256 symbols for each order and group.
-    """
-    out: dict[str, list] = {}
-    for key in sorted(r["by"] for r in grams.select("by").distinct().collect()):
-        own = grams.where(F.col("by") == key)
-        out[key] = []
-        for k in range(order + 1):
-            mask = (1 << 8 * (k + 1)) - 1
-            level = own.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
-            level = level.withColumn("context", F.shiftright("code", 8))
-            kept = heaviest(level.groupBy("context").agg(F.sum("n").alias("total")), "total", most)
-            rows = level.join(F.broadcast(kept), "context", "left_semi").select("code", "n").toArrow()
-            codes = rows["code"].to_numpy().astype(np.uint64)
-            by_code = np.argsort(codes)
-            out[key].append((codes[by_code], rows["n"].to_numpy()[by_code]))
-    return out
-
-
-@dataclass
-class ContextTree:
-    """Compiled tree: symbol classes, context transitions by order, code lengths in bits."""
-
-    order: int
-    width: int
-    symbol: np.ndarray  # byte -> class; the last class is any byte not seen in training
-    steps: list[np.ndarray]  # order k: (context of order k-1, symbol) -> context of order k, 0 if unknown
-    first: np.ndarray  # order k -> number of its context 1 among all contexts, less 1
-    cost: np.ndarray  # (context, symbol) -> bits
-
-
-def compile_tree(levels: list[tuple[np.ndarray, np.ndarray]]) -> ContextTree:
-    """Exact code lengths of all symbols in all kept contexts."""
-    order = len(levels) - 1
-    seen = np.unique(np.concatenate([np.zeros(1, np.uint64), *[codes & np.uint64(255) for codes, _ in levels]])).astype(np.int64)
-    symbol = np.full(256, len(seen), np.int32)
-    symbol[seen] = np.arange(len(seen))
-    width = len(seen) + 1
-    contexts: list[np.ndarray] = [np.zeros(1, np.uint64)]
-    shorter: list[np.ndarray] = [np.zeros(1, np.int64)]
-    counts: list[np.ndarray] = []
-    steps: list[np.ndarray] = [np.zeros(width, np.int32)]
-    for k, (codes, n) in enumerate(levels):
-        own = codes >> np.uint64(8)
-        if k:
-            found = np.unique(own)
-            tail, tail_known = _index(contexts[k - 1], found & np.uint64((1 << 8 * (k - 1)) - 1))
-            head, head_known = _index(contexts[k - 1], found >> np.uint64(8))
-            last = symbol[(found & np.uint64(255)).astype(np.int64)]
-            keep = tail_known & head_known & (last < width - 1)
-            found, tail, head, last = found[keep], tail[keep], head[keep], last[keep]
-            contexts.append(found)
-            shorter.append(tail)
-            table = np.zeros((len(contexts[k - 1]) + 1) * width, np.int32)
-            table[(head + 1) * width + last] = np.arange(1, len(found) + 1)
-            steps.append(table)
-        at, known = _index(contexts[k], own)
-        matrix = np.zeros((len(contexts[k]), width), np.float32)
-        matrix[at[known], symbol[(codes[known] & np.uint64(255)).astype(np.int64)]] = n[known]
-        counts.append(matrix)
-    ends = np.cumsum([len(c) for c in contexts])
-    cost = np.empty((ends[-1], width), np.float32)
-    for k, end in enumerate(ends):
-        size = len(contexts[k])
-        for i in range(0, size, 1024):
-            cost[end - size + i : end - size + min(i + 1024, size)] = _costs(k, counts, shorter, slice(i, i + 1024))
-    first = np.concatenate(([0], ends[:-1])) - 1
-    return ContextTree(order, width, symbol, steps, first, cost.ravel())
-
-
 def _index(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of ``wanted`` in sorted ``values``, and which are there."""
     at = np.searchsorted(values, wanted)
@@ -179,60 +103,13 @@ def _index(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, (values[at] == wanted) if len(values) else np.zeros(len(wanted), bool)
 
 
-def _costs(k: int, counts: list[np.ndarray], shorter: list[np.ndarray], rows: slice) -> np.ndarray:
-    at = np.arange(len(counts[k]))[rows]
-    excluded = np.zeros((len(at), counts[0].shape[1]), bool)
-    bits = np.zeros(excluded.shape)
-    escaped = np.zeros(len(at))
-    for j in range(k, -1, -1):
-        left = np.where(excluded, 0, counts[j][at]).astype(np.float64)
-        kinds = (left > 0).sum(1)
-        whole = 2 * left.sum(1)
-        usable = kinds > 0
-        here = left > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            bits = np.where(here, escaped[:, None] - np.log2((2 * left - 1) / whole[:, None]), bits)
-            escaped = np.where(usable, escaped - np.log2(kinds / whole), escaped)
-        excluded |= here
-        at = shorter[j][at]
-    unseen = escaped + np.log2(np.maximum(256 - excluded.sum(1), 1))
-    return np.where(excluded, bits, unseen[:, None])
-
-
-def code_lengths(tree: ContextTree, texts: Iterable[bytes]) -> np.ndarray:
-    """Bits of each text with its end symbol."""
-    out = [np.empty(0)]
-    for stream, starts in _streams(texts, tree.order):
-        data = np.frombuffer(stream, np.uint8)
-        bits = np.zeros(len(data) + 1, np.float32)
-        for begin in range(tree.order, len(data), WINDOW):
-            end = min(begin + WINDOW, len(data))
-            part = tree.symbol[data[begin - tree.order : end]]
-            known = np.zeros(len(part), np.int32)
-            deepest = np.zeros(len(part), np.int32)
-            for k in range(1, tree.order + 1):
-                before = np.zeros(len(part), np.int32)
-                if k == 1:
-                    before[:] = 1
-                else:
-                    before[1:] = known[:-1]
-                known = tree.steps[k][before * tree.width + part]
-                deepest = np.where(known > 0, known + np.int32(tree.first[k]), deepest)
-            bits[begin:end] = tree.cost[deepest[tree.order - 1 : -1].astype(np.int64) * tree.width + part[tree.order :]]
-        edges = np.empty(2 * (len(starts) - 1), np.int64)
-        edges[0::2] = starts[:-1]
-        edges[1::2] = starts[1:] - tree.order + 1
-        out.append(np.add.reduceat(bits, edges, dtype=np.float64)[0::2])
-    return np.concatenate(out)
-
-
-def _low(code: str, size: int):
-    """The last ``size`` bytes of a packed gram."""
-    return F.col(code).bitwiseAND(F.lit((1 << 8 * size) - 1))
+def _low(code: str, size):
+    """The last ``size`` bytes of a packed gram; ``size`` is a number or a column."""
+    return F.col(code).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (8 * F.lit(size) if isinstance(size, int) else 8 * size).cast("int")) - 1)
 
 
 class Levels:
-    """The whole model as Spark tables: counts of all grams and sums of all contexts, order by order.
+    """The whole model as two Spark tables: counts of the grams of all orders, and sums of all contexts.
 
     The symbols of a context are a subset of those of the context one byte shorter, so what exclusion takes
     from a level follows from two sums of the longer context: its kinds, and their mass one level below.
@@ -240,46 +117,54 @@ class Levels:
 
     def __init__(self, grams: DataFrame, order: int, scratch: Scratch, many: bool = False):
         """``grams``: a saved table of (by, code, n), as ``count_grams`` makes it; ``many``: of many groups."""
-        self.order = order
-        near = self.near = 1 if many else 2
-        self.counts = {order: grams}
-        for k in range(order - 1, -1, -1):
-            level = self.counts[k + 1].groupBy("by", _low("code", k + 1).alias("code")).agg(F.sum("n").alias("n"))
-            self.counts[k] = scratch.save(level, f"level{k}")
-        self.contexts = {}
-        for k in range(order + 1):
-            level = self.counts[k]
-            if k:
-                shorter = _small(self.counts[k - 1].select("by", F.col("code").alias("short"), F.col("n").alias("m")), k <= near)
-                level = level.withColumn("short", _low("code", k)).join(shorter, ["by", "short"])
-            else:
-                level = level.withColumn("m", F.lit(0))
-            sums = level.groupBy("by", F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum("m").alias("mass"))
-            self.contexts[k] = scratch.save(sums, f"contexts{k}")
+        self.order, self.scratch, self.walks = order, scratch, 0
+        #: Up to this order contexts are broadcast: at most 65,536, or 256 for each of many groups.
+        self.near = 1 if many else min(2, order)
+        shorter = grams.select("by", F.explode(F.sequence(F.lit(0), F.lit(order - 1))).alias("k"), "code", "n").withColumn("code", _low("code", F.col("k") + 1))
+        shorter = shorter.groupBy("by", "k", "code").agg(F.sum("n").alias("n"))
+        self.counts = scratch.save(grams.select("by", F.lit(order).alias("k"), "code", "n").union(shorter), "counts")
+        below = self.counts.select("by", (F.col("k") + 1).alias("k"), F.col("code").alias("short"), F.col("n").alias("m"))
+        level = self.counts.where("k > 0").withColumn("short", _low("code", F.col("k"))).join(below, ["by", "k", "short"]).select("by", "k", "code", "n", "m")
+        level = level.union(self.counts.where("k = 0").select("by", "k", "code", "n", F.lit(0).cast("long").alias("m")))
+        sums = level.groupBy("by", "k", F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum("m").alias("mass"))
+        self.contexts = scratch.save(sums, "contexts")
 
     def seen(self) -> DataFrame:
         """(by, code, n, bits) of every gram of the training texts."""
-        grams = self.counts[self.order].withColumn("context", F.shiftright("code", 8))
-        return grams.join(self.contexts[self.order], ["by", "context"]).select("by", "code", "n", _bits(2.0 * F.col("n") - 1, 2.0 * F.col("total")).alias("bits"))
+        grams = self.counts.where(F.col("k") == self.order).withColumn("context", F.shiftright("code", 8))
+        return grams.join(self.contexts.where(F.col("k") == self.order).drop("k"), ["by", "context"]).select("by", "code", "n", _bits(2.0 * F.col("n") - 1, 2.0 * F.col("total")).alias("bits"))
 
     def unseen(self, wanted: DataFrame) -> DataFrame:
-        """(by, code, bits) of distinct grams (by, code) that the training texts do not have."""
+        """(by, code, bits) of distinct grams (by, code) that the training texts do not have.
+
+        All orders of a gram are looked up at once; the escapes are then one expression over its row.
+        """
+        self.walks += 1
+        wanted = self.scratch.save(wanted.select("by", "code"), f"wanted{self.walks}")
+        k, near = F.col("k"), self.near
+
+        def orders(first: int, last: int) -> DataFrame:
+            each = wanted.select("by", "code", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("k"))
+            return each.withColumns({"short": _low("code", k + 1), "context": F.shiftright(_low("code", k + 1), 8)})
+
+        sums, counts = self.contexts, self.counts.withColumnRenamed("code", "short")
+        met = orders(0, near).join(F.broadcast(sums.where(k <= near)), ["by", "k", "context"], "left")
+        if near < self.order:
+            met = met.union(orders(near + 1, self.order).join(sums.where(k > near), ["by", "k", "context"], "left"))
+        low = met.where(k < near).join(F.broadcast(counts.where(k < near)), ["by", "k", "short"], "left")
+        high = met.where((k >= near) & (k < self.order)).join(counts.where((k >= near) & (k < self.order)), ["by", "k", "short"], "left")
+        top = met.where(k == self.order).withColumn("n", F.lit(None).cast("long"))
+        names = ["by", "code", "k", "total", "kinds", "mass", "n"]
+        found = low.select(names).union(high.select(names)).union(top.select(names))
+        walk = found.groupBy("by", "code").agg(*[F.max(F.when(k == j, F.col(x))).alias(f"{x}{j}") for j in range(self.order + 1) for x in ("total", "kinds", "mass", "n")])
         zero = F.lit(0).cast("long")
-        walk = wanted.select("by", "code", F.lit(0.0).alias("bits"), F.lit(False).alias("done"), zero.alias("out_kinds"), zero.alias("out_mass"))
-        for k in range(self.order, -1, -1):
-            walk = walk.withColumn("context", F.shiftright(_low("code", k + 1), 8)).join(_small(self.contexts[k], k <= self.near), ["by", "context"], "left")
-            if k < self.order:
-                counts = _small(self.counts[k].select("by", F.col("code").alias("short"), "n"), k < self.near)
-                walk = walk.withColumn("short", _low("code", k + 1)).join(counts, ["by", "short"], "left")
-            else:
-                walk = walk.withColumn("n", F.lit(None).cast("long"))
-            whole, kinds = 2.0 * (F.col("total") - F.col("out_mass")), F.col("kinds") - F.col("out_kinds")
-            open_ = ~F.col("done") & F.col("total").isNotNull()
-            step = F.when(open_ & F.col("n").isNotNull(), _bits(2.0 * F.col("n") - 1, whole)).when(open_ & (kinds > 0), _bits(kinds, whole)).otherwise(F.lit(0.0))
-            walk = walk.select(
-                "by", "code", (F.col("bits") + step).alias("bits"), (F.col("done") | (open_ & F.col("n").isNotNull())).alias("done"),
-                F.coalesce("kinds", "out_kinds").alias("out_kinds"), F.coalesce("mass", "out_mass").alias("out_mass"),
-            )
+        walk = walk.withColumns({"bits": F.lit(0.0), "done": F.lit(False), "out_kinds": zero, "out_mass": zero})
+        for j in range(self.order, -1, -1):
+            total, kinds, mass, n = (F.col(f"{x}{j}") for x in ("total", "kinds", "mass", "n"))
+            whole, left = 2.0 * (total - F.col("out_mass")), kinds - F.col("out_kinds")
+            open_ = ~F.col("done") & total.isNotNull()
+            step = F.when(open_ & n.isNotNull(), _bits(2.0 * n - 1, whole)).when(open_ & (left > 0), _bits(left, whole)).otherwise(F.lit(0.0))
+            walk = walk.withColumns({"bits": F.col("bits") + step, "done": F.col("done") | (open_ & n.isNotNull()), "out_kinds": F.coalesce(kinds, "out_kinds"), "out_mass": F.coalesce(mass, "out_mass")})
         rest = F.log2(F.greatest(256 - F.col("out_kinds"), F.lit(1)).cast("double"))
         return walk.select("by", "code", F.when(F.col("done"), F.col("bits")).otherwise(F.col("bits") + rest).alias("bits"))
 
@@ -288,11 +173,6 @@ def _bits(part, whole):
     return -F.log2(part / whole)
 
 
-def _small(table: DataFrame, bounded: bool) -> DataFrame:
-    """Tables of at most 65,536 rows, or 256 for each of many groups, are broadcast."""
-    return F.broadcast(table) if bounded else table
-
-
 class GramTable:
     """Code lengths of some grams: one of them a hash slot, and a sorted search for those that lost their slot."""
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, ppm, queries, secret_scan, textbytes, token_count, toxicity
 from freshet.llm.lexicon_trie import LexiconTrie
+from freshet.llm.scratch import Scratch
 from tests.harness import compare
 from tests.llm import brute
 
@@ -57,8 +58,9 @@ def test_token_counts(spark, texts):
     assert token_count.token_counts(docs.limit(0), path).count() == 0
 
 
-def plain_ppm(texts, order):
-    """Counts by context string; PPM with escape D and exclusion, one symbol at a time."""
+def plain_ppm(texts, order, whole=True):
+    """Counts by context string; PPM with escape D and exclusion, one symbol at a time. Not ``whole``: the bits
+    of the last symbol of a gram."""
     counts = {}
     for t in texts:
         s = "\0" * order + t + "\0"
@@ -68,18 +70,18 @@ def plain_ppm(texts, order):
                 row[s[i]] = row.get(s[i], 0) + 1
 
     def bits(text):
-        s, total = "\0" * order + text + "\0", 0.0
+        s, total = "\0" * order + text + "\0" if whole else text, 0.0
         for i in range(order, len(s)):
             excluded = set()
             for k in range(order, -1, -1):
                 row = {a: n for a, n in counts.get(s[i - k : i], {}).items() if a not in excluded}
                 if s[i - k : i] not in counts or not row:
                     continue
-                whole = 2 * sum(row.values())
+                mass = 2 * sum(row.values())
                 if s[i] in row:
-                    total -= math.log2((2 * row[s[i]] - 1) / whole)
+                    total -= math.log2((2 * row[s[i]] - 1) / mass)
                     break
-                total -= math.log2(len(row) / whole)
+                total -= math.log2(len(row) / mass)
                 excluded |= set(row)
             else:
                 total += math.log2(256 - len(excluded))
@@ -89,39 +91,33 @@ def plain_ppm(texts, order):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 5])
-def test_code_lengths_equal_symbol_by_symbol_coding(order):
+def test_code_lengths_equal_symbol_by_symbol_coding(spark, order):
+    """Of grams that training texts have, and of all others; over the symbols of a context they are a distribution."""
     train = ["the river ran", "the rain ran", "", "then the river rose", "aaaa"]
-    codes, counts = ppm.gram_counts([t.encode() for t in train], order)
-    levels = []
-    for k in range(order + 1):
-        low, back = np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
-        levels.append((low, np.bincount(back, weights=counts)))
-    probe = ["the river", "", "xyz the", "rain rose then", "aaaaab"]
-    got = ppm.code_lengths(ppm.compile_tree(levels), [t.encode() for t in probe])
-    bits = plain_ppm(train, order)
-    assert got == pytest.approx([bits(t) for t in probe], rel=1e-5)
-
-
-def test_code_lengths_are_a_distribution():
-    codes, counts = ppm.gram_counts([b"abracadabra", b"banana"], 2)
-    levels = [np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1)) for k in range(3)]
-    levels = [(x, np.array([counts[(codes & np.uint64((1 << 8 * (k + 1)) - 1)) == c].sum() for c in x])) for k, x in enumerate(levels)]
-    tree = ppm.compile_tree(levels)
-    cost = tree.cost.reshape(-1, tree.width)
-    seen = np.exp2(-cost[:, :-1]).sum(1) + np.exp2(-cost[:, -1]) * (256 - (tree.width - 1))
-    assert seen == pytest.approx(np.ones(len(cost)), abs=1e-4)
+    texts = spark.createDataFrame([(t,) for t in train], "text string")
+    scratch = Scratch(spark)
+    levels = ppm.Levels(scratch.save(ppm.count_grams(texts, order, lambda t: t), "grams"), order, scratch)
+    codes = ppm.gram_counts([t.encode() for t in ["the river", "", "xyz the", "rain rose then", "aaaaab"]], order)[0]
+    context = int(codes[len(codes) // 2]) >> 8 << 8
+    asked = sorted({int(c) for c in codes} | {context + x for x in range(256)})
+    wanted = spark.createDataFrame([("", c) for c in asked], "by string, code long")
+    seen = {r.code: r.bits for r in levels.seen().collect()}
+    got = seen | {r.code: r.bits for r in levels.unseen(wanted.where(~F.col("code").isin(list(seen)))).collect()}
+    bits = plain_ppm(train, order, whole=False)
+    for c in asked:
+        gram = c.to_bytes(order + 1, "big").decode("latin-1")
+        assert got[c] == pytest.approx(bits(gram), rel=1e-9), gram
+    assert sum(2 ** -got[context + x] for x in range(256)) == pytest.approx(1.0, abs=1e-9)
+    scratch.close()
 
 
 def test_many_windows_cost_the_same():
     text = prose(5, 3000).encode()
-    codes, counts = ppm.gram_counts([text], 3)
-    levels = [(lambda u, b: (u, np.bincount(b, weights=counts)))(*np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)) for k in range(4)]
-    tree = ppm.compile_tree(levels)
-    one = ppm.code_lengths(tree, [text, b"x", text])
+    codes, counts = ppm.gram_counts([text, b"x", text], 3)
     held, ppm.WINDOW = ppm.WINDOW, 1000
     try:
-        assert ppm.code_lengths(tree, [text, b"x", text]) == pytest.approx(one, rel=1e-6)
-        assert np.array_equal(ppm.gram_counts([text], 3)[1], counts)
+        again = ppm.gram_counts([text, b"x", text], 3)
+        assert np.array_equal(again[0], codes) and np.array_equal(again[1], counts)
     finally:
         ppm.WINDOW = held
 
