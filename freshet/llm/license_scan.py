@@ -1,46 +1,37 @@
-"""License scans with DataFrame functions only: canonical text, digest, hash join with known digests."""
+"""License scans with DataFrame functions only: canonical text, digest, hash join with known digests.
+
+The canonical text does not depend on how lines are wrapped, but for whole lines that name a copyright owner:
+they are no part of a license.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# License statements that files carry, by SPDX identifier, and whether they restrict use.
-STATEMENTS = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", False),
-    ("Apache-2.0", "This project is licensed under the Apache License 2.0.", False),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License.", False),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0.", False),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", True),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", True),
-    ("CC0-1.0", "Released under CC0 1.0 Universal.", False),
-    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2.", True),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3.", True),
-    ("AGPL-3.0-only", "This work is licensed under the GNU Affero General Public License, version 3.", True),
-    ("MIT", "Released under the MIT License.", False),
-    ("MIT", "Licensed under the MIT License.", False),
-    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0.", True),
-]
-# Spellings that license matching holds equal; the first is written as the second.
-SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("organisation", "organization"), ("version", "v"), ("per cent", "percent"), ("copyright holder", "copyright owner")]
+from freshet.llm.license_texts import KNOWN, SPELLINGS, TITLES
 
-#: Lines that name a copyright owner and year are no part of a license's text.
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*$"
-#: Most known digests that are broadcast.
+_YEAR = r"\b(?:19|20)[0-9][0-9]\b"
+#: A line that begins with a copyright mark and has a year or a second mark, and a line "All rights reserved".
+COPYRIGHT_LINE = rf"(?i)(?:^|\n)[^\p{{L}}\p{{N}}\n]*(?:copyright\b[^\n]*?(?:\(c\)|©|{_YEAR})[^\n]*|\(c\)[^\n]*?{_YEAR}[^\n]*|©[^\n]*|all rights reserved[^\p{{L}}\p{{N}}\n]*(?:\n|$))"
+#: Most known digests that are broadcast (about 100 bytes each).
 MAX_KNOWN = 100_000
 
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, no punctuation, equal spellings, single blanks."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "")
-    words = F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "\n")
+    # Two blanks between words: every word has one of its own on either side, so neighbours can both be replaced.
+    words = F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
     for spelling, plain in SPELLINGS:
-        words = F.replace(words, F.lit(f" {spelling} "), F.lit(f" {plain} "))
-    return F.btrim(words)
+        words = F.replace(words, F.lit(f" {spelling.replace(' ', '  ')} "), F.lit(f" {plain.replace(' ', '  ')} "))
+    return F.btrim(F.replace(words, F.lit("  "), F.lit(" ")))
 
 
-def known_statements(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATEMENTS, "license string, body string, restricted boolean")
+def known_licenses(spark: SparkSession) -> DataFrame:
+    """(license, body, restricted): notices, whole texts, and whole texts below their titles."""
+    rows = [(name, f"{title}\n\n{body}", restricted) for name, body, restricted in KNOWN for title in ["", *(TITLES.get(name, []) if "\n" in body else [])]]
+    return spark.createDataFrame(rows, "license string, body string, restricted boolean")
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -49,13 +40,13 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     A whole text or a line of it is a license if its canonical form has the digest of a known one. A text
     without letters or digits (null and empty too) has a null digest and matches nothing. Known licenses
     of one canonical form count under the first name. Rows that share id and text get equal results and
-    keep their number.
+    keep their number. Very long texts are read whole. Other columns are not read; an empty table gives no rows.
     """
     digests = (
         known.withColumn("digest", F.when(canonical(F.col("body")) != "", F.sha2(canonical(F.col("body")), 256)))
         .where("digest is not null and license is not null")
         .groupBy("digest").agg(F.min("license").alias("license"), F.max("restricted").alias("restricted"))
-    ).cache()
+    )
     if digests.limit(MAX_KNOWN + 1).count() <= MAX_KNOWN:
         digests = F.broadcast(digests)
     one = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.octet_length(text_col), F.lit(-1)).alias("size"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import license_scan, mixing, secret_scan
+from freshet.llm import license_scan, license_texts, mixing, secret_scan
 
 BREAKS = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -13,14 +13,15 @@ def quoted(text: str) -> str:
 
 
 def _canonical(column: str) -> str:
-    bare = f"regexp_replace(coalesce({column}, ''), {quoted(license_scan.COPYRIGHT_LINE)}, '', 'g')"
-    words = f"' ' || trim(regexp_replace(lower({bare}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
-    for spelling, plain in license_scan.SPELLINGS:
-        words = f"replace({words}, ' {spelling} ', ' {plain} ')"
-    return f"trim({words})"
+    bare = f"regexp_replace(coalesce({column}, ''), {quoted(license_scan.COPYRIGHT_LINE)}, chr(10), 'g')"
+    words = f"' ' || trim(regexp_replace(lower({bare}), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')) || ' '"
+    for spelling, plain in license_texts.SPELLINGS:
+        words = f"replace({words}, ' {spelling.replace(' ', '  ')} ', ' {plain.replace(' ', '  ')} ')"
+    return f"trim(replace({words}, '  ', ' '))"
 
 
-_known = ", ".join(f"({quoted(a)}, {quoted(b)}, {str(c).lower()})" for a, b, c in license_scan.STATEMENTS)
+_titled = [(a, f"{t}\n\n{b}", c) for a, b, c in license_texts.KNOWN for t in ["", *(license_texts.TITLES.get(a, []) if "\n" in b else [])]]
+_known = ", ".join(f"({quoted(a)}, {quoted(b)}, {str(c).lower()})" for a, b, c in _titled)
 LICENSES = f"""WITH known AS (SELECT sha256({_canonical('body')}) AS digest, min(license) AS license, bool_or(restricted) AS restricted FROM (VALUES {_known}) k(license, body, restricted) GROUP BY 1),
 numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 pieces AS (SELECT r, true AS whole, text AS body FROM numbered UNION ALL SELECT r, false, unnest(string_split_regex(text, '\\r?\\n')) FROM numbered),

@@ -53,7 +53,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License statements of every document, whole or as lines."""
     docs = _table(spark, sf_dir, "documents")
-    return license_scan.scan(docs, license_scan.known_statements(spark))
+    return license_scan.scan(docs, license_scan.known_licenses(spark))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,29 @@ def secret_row(text):
     return (*n, sha(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)))
 
 
+def license_form(text):
+    """Canonical words of a license text, word by word; spellings are written out here again on purpose."""
+    import regex
+
+    one = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing", "sublicence": "sublicense", "acknowledgement": "acknowledgment", "favour": "favor", "organisation": "organization", "recognise": "recognize", "merchantibility": "merchantability", "version": "v", "https": "http"}
+    two = {("sub", "license"): ["sublicense"], ("non", "infringement"): ["noninfringement"], ("non", "commercial"): ["noncommercial"], ("per", "cent"): ["percent"], ("copyright", "holders"): ["copyright", "owners"], ("copyright", "holder"): ["copyright", "owner"]}
+    lines = []
+    for line in (text or "").split("\n"):
+        bare = regex.sub(r"^[^\p{L}\p{N}]*", "", line).lower()
+        mark = regex.match(r"^[^\p{L}\p{N}]*(\(c\)|©)", line, regex.I)
+        year = regex.search(r"\b(19|20)[0-9][0-9]\b", line)
+        owner = regex.match(r"copyright\b", bare) and (year or "(c)" in bare or "©" in bare) or mark and (year or "©" in mark[0])
+        if not owner and not regex.fullmatch(r"[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*", line, regex.I):
+            lines.append(line)
+    words = [one.get(w, w) for w in regex.findall(r"[\p{L}\p{N}]+", "\n".join(lines).lower())]
+    out, i = [], 0
+    while i < len(words):
+        pair = two.get(tuple(words[i : i + 2]))
+        out += pair or [words[i]]
+        i += 2 if pair else 1
+    return " ".join(out)
+
+
 def bench_words(text):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)) if w]
 

@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import textwrap
 import time
 import zlib
 
@@ -10,12 +11,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, ppm, queries, secret_scan, textbytes, token_count, toxicity
+from freshet.llm import decontaminate, jaccard_join, language_id, license_scan, license_texts, lm_score, ppm, queries, secret_scan, textbytes, token_count, toxicity
 from freshet.llm.lexicon_trie import LexiconTrie
 from freshet.llm.scratch import Scratch
 from tests.harness import compare
 from tests.llm import brute
 
+SF = "/root/testdata/sf0.001"
 WORDS = "the of river flow basin rain gauge storm delta mouth bank reach stage crest flood plain".split()
 TRICKY = [None, "", " \t\n ", "One", "one  TWO three", "Été à Zürich, ça va? ÉTÉ", "x" * 5000, "a\u0000b c", "it's   we'll <|endoftext|> 123 !!", "é café", "日本語 テスト", "𝄞 music 𝄞", " line space"]
 
@@ -188,17 +190,47 @@ def test_lm_score_keeps_every_context(spark, texts, order):
         assert [got[i] for i in range(len(want))] == pytest.approx(want, rel=1e-6)
 
 
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(part.split()), width) for part in text.split("\n\n"))
+
+
 def test_license_scan(spark):
     body = "Licenced under the APACHE Licence, version 2.0"
     texts = ["Copyright (c) 2020 Someone\n" + body, f"prose\n{body}!!\nReleased under the MIT License.\nmore", None, "", "!!!", "prose about a license", "(c) 1999 A\n(C) 2000 B\nlicensed under cc by-nc 4.0"]
     docs = frame(spark, texts)
-    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.known_statements(spark)).collect()}
+    known = license_scan.known_licenses(spark)
+    got = {r.doc_id: r for r in license_scan.scan(docs, known).collect()}
     assert got[0].text_license == "Apache-2.0" and got[0].n_license_lines == 1
     assert got[1].licenses == "Apache-2.0,MIT" and got[1].text_license is None and got[1].n_license_lines == 2
     assert [got[i].text_digest for i in (2, 3, 4)] == [None] * 3 and got[5].licenses == ""
     assert got[6].text_license == "CC-BY-NC-4.0" and got[6].restricted and not got[1].restricted
-    assert license_scan.scan(twice(docs), license_scan.known_statements(spark)).count() == 2 * len(texts)
-    assert license_scan.scan(docs.limit(0), license_scan.known_statements(spark)).count() == 0
+    assert license_scan.scan(twice(docs), known).count() == 2 * len(texts)
+    assert license_scan.scan(docs.limit(0), known).count() == 0
+    assert license_scan.scan(docs.withColumnRenamed("word", "digest").withColumnRenamed("source", "license"), known).count() == len(texts)
+
+
+def test_whole_licenses_however_wrapped(spark):
+    """Every known text matches below its title and owner, wrapped to any width, in capitals, with other spellings."""
+    head = "\n\nCopyright (c) 1999-2021, Some Owner <mail@example.org>\n(C) 2022 Another One\nAll rights reserved.\n\n"
+    rows = []
+    for name, text, _ in license_texts.KNOWN:
+        british = text.replace("license", "licence").replace("acknowledgment", "acknowledgement").replace("copyright holder", "copyright owner")
+        for title in license_texts.TITLES.get(name, [""])[:1] if "\n" in text else [""]:
+            rows += [(name, title + head + x) for x in (text, wrapped(text, 30), wrapped(text, 55), wrapped(text, 200), text.upper(), wrapped(british, 40), "# " + text.replace("\n", "\n# "))]
+    rows += [(None, license_texts.MIT + " and more"), (None, license_texts.MIT.replace("free of charge", "for a charge")), ("MIT", license_texts.MIT), ("MIT", "\u00a9 Owner\n" + license_texts.MIT)]
+    rows += [(None, "word " * 300_000 + license_texts.MIT), (None, "copyright law\nCopyright holders be liable\nlicence licence licenced licenced sub licence sub license")]
+    docs = frame(spark, [r[1] for r in rows])
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    assert [(i, got[i].text_license) for i in range(len(rows))] == [(i, r[0]) for i, r in enumerate(rows)]
+    assert [got[i].text_digest for i in range(len(rows))] == [brute.sha(brute.license_form(r[1])) for r in rows]
+
+
+def test_canonical_form_equals_word_by_word(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.text_digest for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    for r in docs.collect():
+        form = brute.license_form(r.text)
+        assert got[r.doc_id] == (brute.sha(form) if form else None)
 
 
 SECRETS = [
@@ -381,9 +413,6 @@ def test_toxicity(spark):
     assert toxicity.predict(docs.limit(0), model).count() == 0
 
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     assert compare(spark, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF) == []
