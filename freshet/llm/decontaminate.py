@@ -1,22 +1,26 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Every window of a benchmark item is kept under its longest word. Documents are cut into words, words
-that are no window's longest word are dropped by a broadcast hash look-up while they are generated, and
-only at the others the whole window is compared with the words around. So one pass over the text decides,
-and nothing but hits is shuffled. Above MAX_WINDOWS distinct windows the look-up becomes a shuffled join
-of words with their surroundings.
+The windows of all benchmark items are a broadcast hash set, keyed by the hash of their words. A document's
+words are scanned once: at every place the hash of the window that begins there is looked up, and a hit is
+verified word by word. Only hits are shuffled. A benchmark beyond the bound of rows or bytes is not
+broadcast; then the hashes of the document windows are joined by shuffle and hits are verified afterwards.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.llm.columns import filled, free_name, let, pattern_spans
+
 WINDOW = 10
-#: Most distinct benchmark windows that are broadcast (about 250 bytes each).
-MAX_WINDOWS = 200_000
-#: What separates words: every ASCII character but digits and lower-case letters.
+#: Most distinct benchmark windows that are broadcast, and most bytes of their words and item ids.
+MAX_WINDOWS, MAX_BYTES = 200_000, 64 << 20
+#: What separates words: every ASCII character but digits and lower-case letters; and words before lower-casing.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,45 +40,48 @@ def with_words(df: DataFrame, text_col: str, to: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(anchor, offset, words, items): distinct windows, their longest word (the first of equals, by
-    reversed code order) and its place, and the items that hold them."""
+    """(key, window, items): distinct windows, the hash of their words, and the items that hold them. An item
+    of fewer words than ``window`` is one window; items without words or id, and null texts, have none."""
     items = with_words(benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")), "text", "words")
     items = items.where((F.size("words") > 0) & F.col("item").isNotNull())
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1)))
-    windows = items.select("item", "words", F.explode(starts).alias("start")).select("item", F.slice("words", F.col("start"), window).alias("words"))
-    best = F.array_max(F.transform("words", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("w"), (-i).alias("back"))))
-    return (
-        windows.groupBy("words").agg(F.collect_set("item").alias("items")).withColumn("best", best)
-        .select(F.col("best.w").alias("anchor"), (-F.col("best.back")).alias("offset"), F.col("words").alias("window"), "items")
-    )
-
-
-def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """(id, key, n_words, start, width, items): a row for every occurrence of a window, start counted from
-    1, and for every row of ``docs`` one row with a null start."""
-    known = benchmark_windows(benchmark, window=window).cache()
-    small = known.limit(max_windows + 1).count() <= max_windows
-    cut = with_words(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.octet_length(text_col), F.lit(-1)).alias("size")),
-        "text", "words",
-    )
-    cut = cut.select("id", "hash", "size", F.size("words").alias("n_words"), F.concat(F.array(F.lit("")), "words").alias("words"))
-    each = cut.select("id", "hash", "size", "n_words", "words", F.posexplode("words").alias("at", "word"))
-    start = F.col("at") - F.col("offset")
-    width = F.size("window")
-    if small:
-        mark = known.sparkSession.range(1).select(F.lit("").alias("anchor"), F.lit(0).alias("offset"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("array<string>").alias("items"))
-        near = each.join(F.broadcast(known.unionByName(mark)), F.col("word") == F.col("anchor"))
-        same = F.when(start >= 1, F.slice("words", F.greatest(start, F.lit(0)) + 1, width) == F.col("window"))
-        found = near.where(F.col("window").isNull() | same)
-    else:
-        begin = F.greatest(F.col("at") - window + 1, F.lit(0))
-        around = each.select("id", "hash", "size", "n_words", "at", "word", begin.alias("begin"), F.slice("words", begin + 1, 2 * window - 1).alias("around"))
-        marks = around.where("word = ''").withColumns({"offset": F.lit(0), "window": F.lit(None).cast("array<string>"), "items": F.lit(None).cast("array<string>")})
-        near = around.where("word <> ''").join(known, F.col("word") == F.col("anchor")).drop("anchor")
-        same = F.when(start >= 1, F.slice("around", F.greatest(start - F.col("begin"), F.lit(0)) + 1, width) == F.col("window"))
-        found = near.where(same).unionByName(marks)
-    return found.select("id", "hash", "size", "n_words", F.when(F.col("window").isNotNull(), start).alias("start"), F.when(F.col("window").isNotNull(), width).alias("width"), "items")
+    windows = items.select("item", "words", F.explode(starts).alias("start")).select("item", F.slice("words", F.col("start"), window).alias("window"))
+    return windows.groupBy("window").agg(F.collect_set("item").alias("items")).select(F.xxhash64("window").alias("key"), "window", "items")
+
+
+def occurrences(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """(id, hash, size, n_words, start, width, items): a row for every occurrence of a window, start counted from
+    1, and for every row of ``docs`` one row with a null start. hash and size tell texts of one id apart. Very
+    long texts are read whole: their words are the largest thing a task holds of them."""
+    known = benchmark_windows(benchmark, window=window)
+    bytes_ = F.sum(F.octet_length(F.array_join("window", " ")) + F.octet_length(F.array_join("items", " "))).alias("bytes")
+    facts = known.agg(F.count("key").alias("n"), bytes_, F.array_sort(F.collect_set(F.size("window"))).alias("widths")).first()
+    widths = facts["widths"]  # at most ``window`` numbers
+    one = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.octet_length(text_col), F.lit(-1)).alias("size"))
+    cut = with_words(one, "text", "words").select("id", "hash", "size", F.size("words").alias("n_words"), "words")
+    blank = F.lit(None)
+    if facts["n"] <= max_windows and (facts["bytes"] or 0) <= max_bytes:
+        # At place 0 every row meets the mark, whose window is null.
+        mark = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("key"), blank.cast("array<string>").alias("window"), blank.cast("array<string>").alias("items"))
+        each = cut.select("id", "hash", "size", "n_words", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n_words") - min(widths, default=0) + 1, F.lit(0)))).alias("start"))
+        keys = {w: F.when(F.col("start") == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(F.slice("words", F.greatest("start", F.lit(1)), w))) for w in widths or [0]}
+        near = each.withColumn("key", keys[widths[0]]) if len(widths) == 1 else each.withColumn("key", F.explode(F.array_distinct(F.array(*keys.values()))))
+        met = near.join(F.broadcast(known.union(mark)), "key")
+        same = F.col("window").isNotNull() & (F.col("start") > 0) & (F.slice("words", F.greatest("start", F.lit(1)), F.size("window")) == F.col("window"))
+        found = met.where(same | (F.col("window").isNull() & (F.col("start") == 0)))
+        return found.select("id", "hash", "size", "n_words", F.when(F.col("start") > 0, F.col("start")).alias("start"), F.size("window").alias("width"), "items").withColumn("width", F.when(F.col("start").isNotNull(), F.col("width")))
+    places = [
+        cut.where(F.col("n_words") >= w).select("id", "hash", "size", "words", F.explode(F.sequence(F.lit(1), F.col("n_words") - w + 1)).alias("start"))
+        .select("id", "hash", "size", "start", F.lit(w).alias("width"), F.xxhash64(F.slice("words", F.col("start"), w)).alias("key")) for w in widths
+    ]
+    hits = reduce(DataFrame.union, places).join(known, "key").where(F.size("window") == F.col("width")).drop("key").distinct()
+    texts = cut.dropDuplicates(["id", "hash", "size"]).withColumnsRenamed({"id": "_id", "hash": "_hash", "size": "_size"})
+    here = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")) & (F.col("size") == F.col("_size"))
+    true = hits.join(texts, here).where(F.slice("words", F.col("start"), F.col("width")) == F.col("window"))
+    marks = cut.select("id", "hash", "size", "n_words", blank.cast("int").alias("start"), blank.cast("int").alias("width"), blank.cast("array<string>").alias("items"))
+    return true.select("id", "hash", "size", "n_words", "start", "width", "items").union(marks)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
@@ -98,9 +105,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def _same(a: Column, hash_: str, size: str, id_col: str, text_col: str) -> Column:
+    return F.col(id_col).eqNullSafe(a) & (F.xxhash64(text_col) == F.col(hash_)) & (F.coalesce(F.octet_length(text_col), F.lit(-1)) == F.col(size))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no benchmark window."""
-    hits = occurrences(docs, benchmark, "doc_id", "text", window, max_windows).where("start is not null")
-    bad = hits.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("size").alias("_size")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")) & (F.coalesce(F.octet_length("text"), F.lit(-1)) == F.col("_size"))
-    return docs.join(bad, same, "left_anti")
+    hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
+    names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size")]
+    bad = hits.select("id", "hash", "size").distinct().toDF(*names)
+    return docs.join(bad, _same(F.col(names[0]), names[1], names[2], id_col, text_col), "left_anti")
+
+
+def cut_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` (all columns) without the words of benchmark windows: from the first letter of a run
+    of hit words to the last, text is taken out. Texts without hits stay as they are; null stays null."""
+    hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
+    names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size", "hit_spans")]
+    found = hits.groupBy("id", "hash", "size").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("spans")).toDF(*names)
+    text, spans = F.col(text_col), F.col(names[3])
+
+    def cut_out(places: Column) -> Column:
+        """Word numbers become places of letters; runs that touch in words are one span."""
+        return filled(text, F.transform(spans, lambda s: F.struct(F.get(places, s["start"] - 1)["start"].alias("start"), F.get(places, s["start"] + s["width"] - 2)["end"].alias("end"))), lambda new, length: F.lit(""))
+
+    cleaned = F.when(spans.isNotNull(), let(pattern_spans(text, WORD, 0), cut_out)).otherwise(text)
+    joined = docs.join(found, _same(F.col(names[0]), names[1], names[2], id_col, text_col), "left")
+    return joined.withColumn(text_col, cleaned).select(*docs.columns)

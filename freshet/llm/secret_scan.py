@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.columns import filled, free_name, let, running
+from freshet.llm.columns import filled, free_name, let, pattern_spans
 
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -39,26 +39,6 @@ PART = r"[A-Za-z0-9+]{20,}"
 UNIT = 1 << 40
 
 
-def pattern_spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
-    """array<struct<start, rank, end, hit>> of the leftmost non-overlapping matches that ``keep`` accepts.
-
-    Places are code points from 0; they follow from the lengths of the matches and of the pieces between.
-    """
-    pairs = let(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda hits: F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(hits)), hits, lambda p, h: F.struct((F.length(p) + F.length(h)).alias("step"), h.alias("hit"))),
-    )
-
-    def placed(x: Column) -> Column:
-        ends = running(F.transform(x, lambda p: p["step"]), lambda a, b: a + b)
-        return F.zip_with(x, ends, lambda p, e: F.struct((e - F.length(p["hit"])).alias("start"), F.lit(rank).alias("rank"), e.alias("end"), p["hit"].alias("hit")))
-
-    spans = let(pairs, placed)
-    if keep is not None:
-        spans = F.filter(spans, lambda s: keep(s["hit"]))
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,hit:string>>"))
-
-
 def window_bits(key: Column, width: int = WIDTH, enough: Column | None = None) -> Column:
     """Largest Shannon entropy (bits a character) of the ``width``-character windows of a key; 0 for a shorter
     key. Windows after the first that exceeds ``enough`` are not looked at."""

@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 import textwrap
 import time
 import zlib
@@ -320,6 +321,34 @@ def test_decontamination(spark):
     kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
     assert kept == {i for i, t in enumerate(texts) if not brute.contamination(t, items[:2])[4]}
     assert decontaminate.drop_contaminated(docs, bench).columns == docs.columns
+    clashing = docs.withColumnRenamed("word", "hit_id").withColumnRenamed("id", "hash").withColumnRenamed("source", "words")
+    assert decontaminate.drop_contaminated(clashing, bench).count() == len(kept)
+
+
+def without_hits(text, items):
+    """Letters of hit words, and what stands between hit words of one run, go."""
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)]
+    plain = [text[a:b].lower() for a, b in words]
+    gone = set()
+    for item in items:
+        own = brute.bench_words(item)
+        width = min(10, len(own))
+        for win in {tuple(own[i : i + width]) for i in range(len(own) - width + 1)}:
+            for i in range(len(plain) - width + 1):
+                if tuple(plain[i : i + width]) == win:
+                    gone.update(range(words[i][0], words[i + width - 1][1]))
+    return "".join(c for i, c in enumerate(text) if i not in gone)
+
+
+def test_removing_spans(spark):
+    items = [prose(1, 40), "short benchmark item", prose(3, 10)]
+    cut = prose(1, 40).split()
+    texts = ["before: " + ", ".join(cut[5:30]) + " and " + prose(50, 40), "\U0001d11e Short, BENCHMARK... item! " + prose(3, 10) + " short benchmark item", prose(9, 50), "", " ".join(cut) * 2, prose(7, 3000) + " " + " ".join(cut).upper() + "."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = frame(spark, [*texts, None])
+    for most in (decontaminate.MAX_WINDOWS, 1):
+        got = {r.doc_id: r.text for r in decontaminate.cut_contaminated(docs, bench, max_windows=most).collect()}
+        assert [got[i] for i in range(len(texts))] == [without_hits(t, items) for t in texts] and got[len(texts)] is None
 
 
 def edited(text, rng, edits):
