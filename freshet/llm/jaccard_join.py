@@ -9,13 +9,14 @@
    one in both orders are equal too (then an earlier tile lists it). In a tile too large for all its
    pairs, each set is first compared only with the set that is in most large tiles (the likely origin of a
    family of near copies); once components are known, pairs within one component are settled, and the sets
-   outside a tile's largest component meet all others of the tile.
+   outside a tile's largest component look for others of the tile by size band, as far as their place allows.
 3. The bits in which two bitmaps differ bound the overlap from above.
 4. Sorted arrays of the survivors are intersected exactly, and links make components.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -76,8 +77,9 @@ def _described(width: int):
         for batch in small_batches(batches, 1):
             rows = []
             for text in text_bytes(batch.column(1)):
-                hashes, words = shingle_set(ascii_words(text), width)
-                rows.append((*digest128(words), len(hashes), bitmap(hashes)))
+                words = ascii_words(text)
+                hashes = shingle_set(words, width)
+                rows.append((*digest128(b" ".join(words)), len(hashes), bitmap(hashes)))
                 np.add.at(sketch, _bucket(hashes), 1)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -127,7 +129,7 @@ def _prefixes(shared, width: int, percent: int):
                     continue
                 if len(seen) < SEEN:
                     seen.add(ref)
-                hashes, _ = shingle_set(words, width)
+                hashes = shingle_set(words, width)
                 n = len(hashes)
                 hot = common[_bucket(hashes)]
                 first = np.argsort(hot, kind="stable")[: n - -(-percent * n // 100) + 1]
@@ -258,7 +260,7 @@ def _verified(width: int, percent: int):
             if packed not in recent:
                 if len(recent) > 256:
                     recent.clear()
-                recent[packed] = shingle_set(zlib.decompress(packed).split(), width)[0]
+                recent[packed] = shingle_set(zlib.decompress(packed).split(), width)
             return recent[packed]
 
         for batch in batches:
@@ -347,27 +349,58 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return scratch.finish(out)
 
 
+def _by_tile(members: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``members`` with what ``tiles`` has of their tile, a row a tile; the members of a common tile are dealt over
+    SALTS tasks, and every large tile has more members than that."""
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS)))
+    return salted.join(tiles.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["k", "salt"]).drop("salt")
+
+
 def _to_likely_origin(members: DataFrame) -> DataFrame:
     """Each set with the one, of those it shares a large tile with, that is in most large tiles."""
     counted = members.join(members.groupBy("ref").agg(F.count("k").alias("tiles")), "ref")
     first = counted.groupBy("k").agg(F.max(F.struct("tiles", "ref")).alias("first"))
-    met = counted.join(first, "k").where(F.col("ref") != F.col("first.ref"))
+    met = _by_tile(counted, first).where(F.col("ref") != F.col("first.ref"))
     return met.groupBy(F.col("ref").alias("a")).agg(F.max("first").alias("first")).select("a", F.col("first.ref").alias("b"))
 
 
+def _band(n):
+    """Bands of sizes: from a size down to the smallest that can be similar it is about eight."""
+    return F.floor(F.log(n.cast("double")) / (math.log(100 / PERCENT) / 8)).cast("int")
+
+
 def _unsettled(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of a large tile whose sets are in different components, one of them outside the tile's largest,
-    and which sizes and places allow."""
+    and which sizes and places allow.
+
+    The larger set of a pair looks for smaller ones band by band. Its place in the tile's order bounds the
+    overlap, and with it the sizes from above: a set that meets the tile late looks into few bands or none, so
+    texts that share a passage, but not enough of it, do not meet. A common tile is dealt over more tasks.
+    """
     placed = members.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("k", "ref", "n", "at", "before", F.coalesce("component", "ref").alias("c"))
     sizes = placed.groupBy("k", "c").count()
-    main = sizes.groupBy("k").agg(F.max(F.struct("count", "c")).alias("main"), F.count("c").alias("n_c")).where("n_c > 1").select("k", F.col("main.c").alias("main"))
-    placed = placed.join(main, "k")
-    outside = placed.where("c <> main").select("k", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("before").alias("xbefore"), F.col("c").alias("xc"))
+    main = sizes.groupBy("k").agg(F.max(F.struct("count", "c")).alias("main"), F.count("c").alias("n_c"), F.sum("count").alias("members")).where("n_c > 1")
+    salts = F.greatest(F.lit(1), F.least(F.lit(SALTS), F.ceil(F.col("members") / (16 * TILE)))).cast("int")
+    placed = _by_tile(placed, main.select("k", F.col("main.c").alias("main"), salts.alias("salts")))
+    # overlap <= n - at, and percent * (n + m) <= (100 + percent) * overlap for a partner of size m <= n
+    largest = F.least(F.col("n"), F.floor((F.col("n") - F.col("at")) * (100 + percent) / percent) - F.col("n"))
+    least = F.ceil(F.col("n") * percent / 100)
+    def dealt(df: DataFrame, key: str, copied: bool) -> DataFrame:
+        own = F.pmod(F.xxhash64(key), F.col("salts")).cast("int")
+        return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)) if copied else own).drop("salts")
+
+    asks = placed.where(largest >= least).withColumn("band", F.explode(F.sequence(_band(least), _band(largest))))
+    asks = asks.select("k", "band", "salts", "main", *[F.col(x).alias(f"x{x}") for x in ("ref", "n", "at", "before", "c")])
+    held = placed.withColumn("band", _band(F.col("n")))
     n = F.col("n") + F.col("xn")
     most = 1 + F.least(F.col("n") - 1 - F.col("at"), F.col("xn") - 1 - F.col("xat"))
     repeated = (F.col("before") == F.col("xbefore")) & (F.col("before") > 0)
-    near = (F.col("c") != F.col("xc")) & ~repeated & (100 * F.least("n", "xn") >= percent * F.greatest("n", "xn")) & (most * (100 + percent) >= percent * n)
-    return outside.join(placed, "k").where(near).select(F.least("ref", "x").alias("a"), F.greatest("ref", "x").alias("b"))
+    near = (F.col("c") != F.col("xc")) & ~repeated & (F.col("n") <= F.col("xn")) & (100 * F.col("n") >= percent * F.col("xn")) & (most * (100 + percent) >= percent * n)
+    # Either the larger set is outside, or it is not and the smaller one is; the side that is outside is copied.
+    larger = dealt(asks.where("xc <> main"), "xref", True).join(dealt(held, "ref", False).drop("main"), ["k", "band", "salt"]).where(near)
+    smaller = dealt(asks.where("xc = main"), "xref", False).join(dealt(held.where("c <> main"), "ref", True).drop("main"), ["k", "band", "salt"]).where(near)
+    pairs = larger.select("ref", "xref").union(smaller.select("ref", "xref"))
+    return pairs.select(F.least("ref", "xref").alias("a"), F.greatest("ref", "xref").alias("b"))
 
 
 def _near(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:

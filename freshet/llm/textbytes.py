@@ -6,10 +6,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-#: Odd multiplier of the polynomial hash over the ring of 64-bit integers, and its inverse.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 2**64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Odd number whose powers set the places of a shingle apart; words whose hashes a worker remembers.
+_FACTOR = 0x9E3779B97F4A7C15
+MEMO_WORDS = 300_000
 
 
 def text_bytes(column) -> list[bytes]:
@@ -33,16 +32,6 @@ def ascii_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for i, factor in enumerate((_BASE, _INVERSE)):
-            table = np.full(size, factor, np.uint64)
-            table[0] = 1
-            _powers[i] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser of 64-bit values (xor-shift and multiply)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -50,32 +39,36 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of one byte string, from one prefix-sum pass."""
-    up, down = _power_tables(len(text) + 1)
-    prefix = np.zeros(len(text) + 1, np.uint64)
-    letters = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)
-    np.cumsum(letters * up[: len(text)], out=prefix[1:])
-    body = (prefix[ends] - prefix[starts]) * down[starts]
-    return mix64(body * np.uint64(_BASE) + (ends - starts).astype(np.uint64))
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_memo = WordHashes()
 
 
-def shingle_set(words: list[bytes], width: int = 5) -> tuple[np.ndarray, bytes]:
-    """Sorted distinct hashes of the ``width``-word shingles, and the words joined by one blank.
+def shingle_set(words: list[bytes], width: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the ``width``-word shingles.
 
-    Fewer words than ``width`` make one shingle of them all; no words make an empty set.
+    Fewer words than ``width`` make one shingle of them all; no words make an empty set. A shingle's hash mixes
+    the hashes of its words by place, so nothing in the letters of a text can make two shingles equal.
     """
     if not words:
-        return np.empty(0, np.uint64), b""
-    text = b" ".join(words)
-    blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
-    starts = np.concatenate(([0], blanks + 1))
-    ends = np.concatenate((blanks, [len(text)]))
-    if len(starts) > width:
-        starts, ends = starts[: 1 - width], ends[width - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    return np.unique(span_hashes(text, starts, ends)), text
+        return np.empty(0, np.uint64)
+    hashes = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
+    width = min(width, len(words))
+    n = len(words) - width + 1
+    out = np.full(n, width, np.uint64)
+    factor = _FACTOR
+    for i in range(width):
+        out += hashes[i : i + n] * np.uint64(factor)
+        factor = factor * _FACTOR % 2**64
+    return np.unique(mix64(out))
 
 
 def digest128(text: bytes) -> tuple[int, int]:

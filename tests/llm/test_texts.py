@@ -380,6 +380,24 @@ def test_jaccard_components(spark, monkeypatch, tile):
     assert got == brute.jaccard_components(list(zip(ids, texts)))
 
 
+def test_passage_in_all_texts(spark, monkeypatch):
+    """2,000 otherwise different texts hold one passage, most of each text but not enough to be similar: they are
+    not listed pair by pair."""
+    passage = prose(4000, 164)
+    listed = []
+    unsettled = jaccard_join._unsettled
+    monkeypatch.setattr(jaccard_join, "_unsettled", lambda *a: listed.append(unsettled(*a)) or listed[-1])
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(32 + i % 5)) + " " + passage) for i in range(2000)]
+    rows += [(5000 + i, rows[i][1] + " tail") for i in range(0, 2000, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = []
+    near = jaccard_join._near
+    monkeypatch.setattr(jaccard_join, "_near", lambda texts, pairs, percent: counts.append(pairs.count()) or near(texts, pairs, percent))
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(docs).collect()}
+    assert got == {i: i if i < 5000 else i - 5000 for i, _ in rows}
+    assert sum(counts) < 64 * len(rows)
+
+
 def test_jaccard_repeated_and_empty(spark):
     docs = spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (3, "A b c d e f"), (None, "a b c d e f"), (None, None), (9, None)], "doc_id long, text string")
     rows = [tuple(r) for r in jaccard_join.similar_components(docs).collect()]
@@ -387,6 +405,18 @@ def test_jaccard_repeated_and_empty(spark):
     assert jaccard_join.similar_components(docs.limit(0)).count() == 0
 
 
+def test_structured_words_do_not_collide():
+    """Words of a Thue-Morse sequence collide under any polynomial hash modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[b ^ x] for b in bits).encode() for x in (0, 1))
+    sets = [textbytes.shingle_set([w, b"c", b"d", b"e", b"f"]) for w in (one, other)]
+    assert sets[0] != sets[1]
+    words = prose(1, 500).encode().split()
+    assert len(textbytes.shingle_set(words)) == len({tuple(words[i : i + 5]) for i in range(496)})
+    assert len(textbytes.shingle_set(words[:3])) == 1 and len(textbytes.shingle_set([])) == 0
+    assert textbytes.shingle_set([b"a", b"b"]) != textbytes.shingle_set([b"b", b"a"])
+
+
 def test_bitmap_bound_is_never_too_low():
     rng = np.random.default_rng(0)
     for _ in range(60):
