@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Odd number whose powers set the places of a shingle apart; words whose hashes a worker remembers.
@@ -19,12 +20,21 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in binary.to_pylist()]
 
 
-def small_batches(batches, column: int, limit: int = 8 << 20):
-    """Arrow batches cut so that the named text column holds about ``limit`` bytes, or one row."""
+def byte_batches(batches, column: int, limit: int):
+    """Arrow batches cut so that the named text column holds at most ``limit`` bytes, or one row."""
     for batch in batches:
-        row = max(1, limit * batch.num_rows // max(1, batch.column(column).nbytes))
-        for begin in range(0, batch.num_rows, row):
-            yield batch.slice(begin, row)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def small_batches(batches, column: int, limit: int = 8 << 20):
+    return byte_batches(batches, column, limit)
 
 
 def ascii_words(text: bytes) -> list[bytes]:
