@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.lexicon_trie import LexiconTrie
+from freshet.llm.scratch import Scratch
 from freshet.llm.textbytes import small_batches
 
-#: Most labelled rows that lexicon and regression are fitted on; above, a fraction is drawn by id hash.
+#: Most labelled rows that lexicon and regression are fitted on; of more, the first by id hash.
 MAX_LABELLED = 50_000
-#: Most terms; least uses in toxic texts, distinct neighbourhoods (of 64) and ratio of rates of a term.
-MAX_TERMS, MIN_USES, MIN_PLACES, MIN_RATIO = 256, 5, 4, 5.0
+#: Least uses in toxic texts, distinct neighbourhoods (of 64) and ratio of rates of a term; lengths of stems.
+MIN_USES, MIN_PLACES, MIN_RATIO = 5, 4, 5.0
 STEM_LENGTHS = (4, 14)
-CANDIDATES = 3000
 #: Characters on either side of a hit in which quotation marks or cue words are looked for.
 REACH = 40
 WORD = re.compile(r"[^\W_]+")
@@ -85,10 +85,10 @@ FEATURES = 7
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, usable) -> DataFrame:
-    """(text, y) of at most MAX_LABELLED usable rows; the drawn labels are broadcast, 16 bytes each."""
+    """(text, y) of at most MAX_LABELLED usable rows, the first by id hash; their labels are broadcast, 16 bytes each."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    share = min(1.0, 0.98 * MAX_LABELLED / max(1, marks.count()))
-    drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(MAX_LABELLED)
+    share = min(1.0, 1.05 * MAX_LABELLED / max(1, marks.count()))
+    drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id").limit(MAX_LABELLED)
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "y")
 
 
@@ -119,10 +119,14 @@ def _uses(uses: dict[str, list[int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(uses)), pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array(places)], names=["word", "toxic", "clean", "places"])
 
 
-def learn_terms(labelled: DataFrame) -> list[str]:
-    """Stems by the likelihood ratio of their use in toxic texts, none the beginning of another."""
+def learn_terms(labelled: DataFrame, scratch: Scratch) -> list[str]:
+    """Stems by the likelihood ratio of their use in toxic texts, none the beginning of another.
+
+    Every stem that passes the tests of support and ratio takes part; the labelled sample bounds how many can.
+    Null texts have no words; of stems that are alike in use the longer, then the first by name, goes first.
+    """
     words = labelled.mapInArrow(_word_uses, "word string, toxic long, clean long, places long")
-    words = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("places").alias("places"))
+    words = scratch.save(words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("places").alias("places")), "words")
     low, high = STEM_LENGTHS
     stems = words.where(F.length("word") >= low).select(F.explode(F.transform(F.sequence(F.lit(low), F.least(F.length("word"), F.lit(high))), lambda n: F.substring("word", F.lit(1), n))).alias("stem"), "toxic", "clean", "places")
     uses = stems.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("places").alias("places"))
@@ -132,13 +136,15 @@ def learn_terms(labelled: DataFrame) -> list[str]:
     n = F.col("toxic") + F.col("clean")
     ratio = (F.col("toxic") / all_toxic) / ((F.col("clean") + 0.5) / all_clean)
     gain = F.col("toxic") * F.log(F.col("toxic") / (n * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - share)))).otherwise(0.0)
-    best = uses.where((F.col("toxic") >= MIN_USES) & (F.bit_count("places") >= MIN_PLACES) & (ratio >= MIN_RATIO))
-    rows = best.select("stem", gain.alias("gain")).orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem").limit(CANDIDATES).collect()
-    terms: list[str] = []
-    for r in rows:
-        if len(terms) < MAX_TERMS and not any(r["stem"].startswith(t) or t.startswith(r["stem"]) for t in terms):
-            terms.append(r["stem"])
-    return terms
+    best = uses.where((F.col("toxic") >= MIN_USES) & (F.bit_count("places") >= MIN_PLACES) & (ratio >= MIN_RATIO)).select("stem", gain.alias("gain")).collect()
+    terms: dict[str, None] = {}
+    begun: set[str] = set()  # beginnings of the terms
+    for r in sorted(best, key=lambda r: (-r["gain"], -len(r["stem"]), r["stem"])):
+        starts = [r["stem"][:k] for k in range(low, len(r["stem"]) + 1)]
+        if r["stem"] not in begun and not any(x in terms for x in starts):
+            terms[r["stem"]] = None
+            begun.update(starts)
+    return list(terms)
 
 
 def _descriptions(terms: list[str]):
@@ -156,8 +162,9 @@ def _descriptions(terms: list[str]):
 
 def train(docs: DataFrame, labels: DataFrame, usable) -> Model:
     """``usable``: a condition on labels. Without labels of both kinds every score is 0.5 * (share of toxic)."""
-    labelled = _labelled(docs, labels, usable)
-    terms = learn_terms(labelled)
+    scratch = Scratch(docs.sparkSession)
+    labelled = scratch.save(_labelled(docs, labels, usable), "labelled")
+    terms = learn_terms(labelled, scratch)
     rows = labelled.mapInArrow(_descriptions(terms), "n_words long, n_quoted long, hits array<int>, uses array<int>, y long").toArrow().to_pylist()
     y = np.array([float(r["y"] > 0) for r in rows])
     counts = [dict(zip(r["hits"], r["uses"])) for r in rows]
@@ -173,6 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, usable) -> Model:
     weights[:, 1] = np.clip((toxic + 1 - clean - 2 * np.sqrt(clean)) / (toxic + 1), 0, 1)
     x = np.array([features(r["n_words"], r["n_quoted"], c, weights) for r, c in zip(rows, counts)]).reshape(len(rows), FEATURES)
     mean, scale = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(FEATURES), np.ones(FEATURES))
+    scratch.close()
     return Model(terms, weights, fit(scaled(x, mean, scale), y), mean, scale)
 
 
@@ -201,19 +209,38 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, score (0 to 1), n_hits, n_quoted. Null text counts as empty, and an empty
-    text is scored like one without hits. The model is broadcast; MAX_TERMS bounds it. No other column is
-    read; rows that share an id keep their number; an empty table gives no rows.
+    text is scored like one without hits. Very long texts are scored whole, one by one. The model is broadcast;
+    the labelled sample bounds it. No other column is read; rows that share an id keep their number; an empty
+    table gives no rows.
     """
+    return _scored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model, 1, 1).withColumnRenamed("id", id_col)
+
+
+def below(docs: DataFrame, model: Model, limit: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score less than ``limit``."""
+    at = docs.columns.index(text_col)
+    return _scored(docs, model, at, len(docs.columns), limit).select(docs.columns)
+
+
+def _scored(docs: DataFrame, model: Model, at: int, keep: int, limit: float | None = None) -> DataFrame:
+    """The first ``keep`` columns with score, n_hits and n_quoted of the text in column ``at``; with a ``limit``,
+    only those columns of rows that score less."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         trie = LexiconTrie(m.terms)
-        for batch in small_batches(batches, 1):
-            rows = [describe(t, trie) for t in batch.column(1).to_pylist()]
+        for batch in small_batches(batches, at):
+            rows = [describe(t, trie) for t in batch.column(at).to_pylist()]
             x = scaled(np.array([features(*r, m.weights) for r in rows]).reshape(len(rows), FEATURES), m.mean, m.scale)
             score = 1 / (1 + np.exp(-np.clip(x @ m.coefficients[:-1] + m.coefficients[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array([sum(r[2].values()) for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["id", "score", "n_hits", "n_quoted"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, n_hits long, n_quoted long").withColumnRenamed("id", id_col)
+            if limit is not None:
+                yield batch.filter(pa.array(score < limit))
+                continue
+            more = [pa.array(score), pa.array([sum(r[2].values()) for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], *more], names=[*batch.schema.names[:keep], "score", "n_hits", "n_quoted"])
+
+    if limit is not None:
+        return docs.mapInArrow(run, docs.schema)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:keep])
+    return docs.mapInArrow(run, f"{kinds}, score double, n_hits long, n_quoted long")
