@@ -23,6 +23,8 @@ EVENNESS, MAX_REPEATS, BUDGET, BLOCK_TOKENS = 0.95, 4.0, 1.0, 1 << 20
 #: Most sources (their sums go to the driver), most blocks that are broadcast.
 MAX_SOURCES, MAX_BLOCKS = 200_000, 200_000
 STEPS = 60
+#: Parts (2 ** bits) of a source's permutation of blocks; a task orders the blocks of one part.
+RANGE_BITS = 10
 
 
 @dataclass(frozen=True)
@@ -84,8 +86,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
 
     A token is a run of other than [\\x20\\x09-\\x0D]. A null source counts as the source ''. Null or empty
     texts have no tokens: they are drawn with their block like others and use no budget; a source without any
-    tokens has weight 0 and copies 0. Equal rows are drawn together. An empty table stays empty. The four new
-    columns replace columns of those names.
+    tokens has weight 0 and copies 0. Equal rows are drawn together. A text longer than a block is a block of its
+    own size and is drawn whole or not at all. An empty table stays empty. The four new columns replace columns
+    of those names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     tagged = docs.withColumns({
@@ -109,8 +112,12 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
 
     blocked = narrow.join(plan, "_source").withColumn("block", F.pmod("_place", "_blocks"))
     blocks = blocked.groupBy("_source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
-    order = Window.partitionBy("_source").orderBy(_place(F.lit(mix.seed), F.col("_source"), F.col("block").cast("string")), "block")
-    blocks = blocks.withColumn("before", F.sum("tokens").over(order) - F.col("tokens"))
+    # Running sums of a source's permuted blocks: over RANGES parts of the permutation, then within each.
+    blocks = scratch.save(blocks.withColumn("_turn", _place(F.lit(mix.seed), F.col("_source"), F.col("block").cast("string"))).withColumn("_range", F.shiftright("_turn", 60 - RANGE_BITS)), "permuted")
+    ranges = blocks.groupBy("_source", "_range").agg(F.sum("tokens").alias("_tokens"))
+    ranges = ranges.select("_source", "_range", (F.sum("_tokens").over(Window.partitionBy("_source").orderBy("_range")) - F.col("_tokens")).alias("_before"))
+    order = Window.partitionBy("_source", "_range").orderBy("_turn", "block")
+    blocks = blocks.join(ranges, ["_source", "_range"]).withColumn("before", F.col("_before") + F.sum("tokens").over(order) - F.col("tokens"))
     blocks = blocks.where("before < rest or tokens = 0").withColumn("room", F.col("rest") - F.col("before")).select("_source", "block", "room", (F.col("room") >= F.col("tokens")).alias("all"))
     blocks = scratch.save(blocks, "blocks")
     small = blocks.limit(MAX_BLOCKS + 1).count() <= MAX_BLOCKS
