@@ -95,6 +95,42 @@ def test_pipeline(spark):
     assert {r.doc_id for r in staged.collect()} == set(kept)
 
 
+def test_one_of_each_group_stays_though_ids_repeat(spark):
+    """A near copy goes even if its id also has a text that stays."""
+    base, other = (" ".join(f"{p}{i}" for i in range(60)) for p in "ab")
+    rows = [(1, base), (2, base + " tail"), (2, other), (5, other), (None, other), (7, None), (7, ""), (2, base + " tail"), (3, "few words"), (3, "few words too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, base), (2, other), (7, None), (7, ""), (3, "few words"), (3, "few words too")], key=str)
+
+
+def test_pipeline_copies_and_weights(spark):
+    """Copies and weights of the whole result, by the SQL of the mixing operator over what reaches the last stage."""
+    import duckdb
+
+    from freshet.llm import oracles
+
+    staged = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        staged = stage(spark, staged, SF)
+    documents = staged.toPandas()  # noqa: F841  (read by DuckDB)
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, n_tokens, weight, copies, block FROM ({oracles.MIXING}) WHERE copies > 0").fetchall()}
+    got = {r.doc_id: (r.n_tokens, r.weight, r.copies, r.block) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want and len(got) > 50
+
+
+def test_many_blocks_of_one_source(spark):
+    """A source of thousands of blocks: what is drawn stays within its share."""
+    docs = spark.range(20_000).selectExpr("id as doc_id", "repeat('w ', cast(1 + id % 7 as int)) as text", "if(id % 3 = 0, 'a', 'b') as source")
+    mix = mixing.Mix(block_tokens=8, budget=0.5)
+    rows = mixing.mixed(docs, mix).groupBy("source").agg(F.sum("n_tokens").alias("have"), F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn"), F.max("weight").alias("weight"), F.countDistinct("block").alias("blocks")).collect()
+    total = sum(r.have for r in rows)
+    for r in rows:
+        assert r.blocks > 2000 and r.weight * total / 2 - 8 <= r.drawn <= r.weight * total / 2 + 1
+
+
 def test_stages_over_hard_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "some words here", "en", None, 15), (3, "some words here", "en", "a", 15), (3, "some words here", "en", "a", 15), (4, "password: abcdefgh12", "en", "b", 20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -61,6 +61,44 @@ def test_token_counts(spark, texts):
     assert token_count.token_counts(docs.limit(0), path).count() == 0
 
 
+def test_token_counts_of_runs_without_blanks(spark):
+    """Long pieces are cut beside digits; other tokenizers encode whole texts. Both equal the library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    rng = random.Random(11)
+    marks = "abcXYZ0123456789+/=_-.'" + "\u0301\u0327é字ſ\u1e9e"
+    texts = ["".join(rng.choices(marks, k=n)) for n in (5000, 9000, 20_000)] + ["".join(rng.choices("abcdef0123456789", k=50_000)), "漢字" * 3000, "it's1't2'll" * 900, "<|endoftext|>" * 500 + "1<|endoftext|>2" * 500, "a1\u0301" * 3000]
+    texts += ["".join(rng.choices(marks, k=rng.randrange(60))) for _ in range(300)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert token_count._Encoder(path).cuts
+    assert max(map(len, token_count.safe_pieces(texts[3].encode()))) < 100
+    want = [len(e) for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert token_count.count_texts([t.encode() for t in texts], path) == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_tokens for r in token_count.token_counts(docs, path).orderBy("doc_id").collect()] == want
+    for other in sorted(x for x in os.listdir(os.path.dirname(path)) if x.endswith(".json")):
+        other = public_tokenizers.path(other)
+        try:
+            whole = Tokenizer.from_file(other)
+        except Exception:  # noqa: BLE001, S112  (a file of another kind)
+            continue
+        whole.no_truncation()
+        whole.no_padding()
+        few = ["  two  blanks\n\nand lines ", texts[0][:500], *texts[-20:]]
+        assert token_count.count_texts([t.encode() for t in few], other) == [len(e) for e in whole.encode_batch(few, add_special_tokens=False)], other
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    texts = ["é" * 10, None, "x" * 50, "", "y" * 5, "z" * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
+    parts = [p.column(0).to_pylist() for p in textbytes.byte_batches([batch.slice(0, 6)], 1, 25)]
+    assert parts == [[0, 1], [2], [3, 4, 5]]
+
+
 def plain_ppm(texts, order, whole=True):
     """Counts by context string; PPM with escape D and exclusion, one symbol at a time. Not ``whole``: the bits
     of the last symbol of a gram."""
@@ -495,3 +533,79 @@ def test_queries_without_sql(spark, name):
             assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total) and got[i].base_score == pytest.approx(base)
     else:
         assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in got.items())
+
+
+def test_language_query_equals_plain_coding(spark):
+    """Every row of the registered query, by symbol-by-symbol coding of the learned rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    coded = {r.doc_id: language_id.normalise((r.text or "").encode()).replace(b"\0", b"\1").decode("latin-1") for r in docs}
+    learned = {}
+    for r in docs:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None and r.text is not None:
+            learned.setdefault(r.lang, []).append(coded[r.doc_id])
+    total = sum(map(len, learned.values()))
+    bits = {x: plain_ppm(t, language_id.ORDER) for x, t in learned.items()}
+    got = {r.doc_id: r for r in queries.op2_language_id(spark, SF).collect()}
+    short = sorted(docs, key=lambda r: len(r.text or ""))[:150]
+    for r in short:
+        if not any(map(str.isalpha, r.text or "")):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        costs = {x: b(coded[r.doc_id]) + math.log2(total / len(learned[x])) for x, b in bits.items()}
+        best = min(costs.values())
+        assert costs[got[r.doc_id].lang_pred] == pytest.approx(best, rel=1e-5)
+        assert got[r.doc_id].score == pytest.approx(1 / sum(2.0 ** (best - c) for c in costs.values()), rel=1e-3, abs=1e-6)
+
+
+def with_tables(spark, folder, **changed):
+    """A folder with documents and labels of SF, some of them changed."""
+    for name in ("documents", "labels"):
+        df = spark.read.parquet(f"{SF}/{name}.parquet")
+        changed.get(name, lambda x: x)(df).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_held_out_languages_and_labels_do_not_matter(spark, tmp_path):
+    """What is held out, and every column but text, can be anything."""
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    folder = with_tables(
+        spark, tmp_path, documents=lambda d: d.withColumn("lang", F.when(held, F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit("s")).withColumn("score", F.lit("clash")),
+        labels=lambda d: d.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic"))).withColumn("y", F.lit("clash")),
+    )
+    for query, column in ((queries.op2_language_id, "lang_pred"), (queries.op4_toxicity, "predicted")):
+        was, now = ({r.doc_id: (r[column], round(r.score, 9), r.held_out) for r in query(spark, d).collect()} for d in (SF, folder))
+        assert was == now and (column != "lang_pred" or "xx" not in {v[0] for v in now.values()})
+
+
+def test_held_out_quality(spark):
+    """Accuracy of languages and precision and recall of toxicity on rows that were not learned from."""
+    folder = "/root/testdata/sf0.01"
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = [r for r in queries.op2_language_id(spark, folder).collect() if r.held_out and r.lang_pred != "und" and lang[r.doc_id]]
+    assert len(rows) > 200 and sum(lang[r.doc_id] == r.lang_pred for r in rows) >= 0.97 * len(rows)
+    folder = "/root/testdata/sf0.1"
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.toxic is not None}
+    rows = [(r.predicted, toxic[r.doc_id]) for r in queries.op4_toxicity(spark, folder).collect() if r.held_out and r.doc_id in toxic]
+    hits = sum(p and t for p, t in rows)
+    assert hits >= 0.93 * sum(p for p, _ in rows) and hits >= 0.85 * sum(t for _, t in rows) > 100
+
+
+def test_repeated_rows_and_ties_of_language(spark):
+    rows = [(1, "abc abc", "b"), (1, "abc abc", "b"), (1, "abd", "a"), (2, "abc abc", "a"), (3, "zzz", "a"), (3, "zzz", "b")]
+    docs = spark.createDataFrame([(*r, "row", 1) for r in rows], "doc_id long, text string, lang string, row string, bits int")
+    same = docs.where("doc_id = 3")
+    got = language_id.predict(docs, language_id.train(same)).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == {"a"} and {r.score for r in got} == {0.5}
+    long = spark.createDataFrame([(1, "zzz " * 200_000, "a")], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in language_id.predict(long, language_id.train(docs)).collect()] != ["und"]
+
+
+def test_toxicity_of_long_texts_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(i, ("grumblefart " if i % 2 else "lovely ") * 3 + prose(i, 30), "s") for i in range(80)], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    long = spark.createDataFrame([(1, "grumblefart " * 100_000, "s"), (1, "grumblefart " * 100_000, "s"), (2, "x" * 1_000_000, "s"), (2, None, "s")], docs.schema)
+    got = sorted((r.doc_id, r.n_hits) for r in toxicity.predict(long, model).collect())
+    assert got == [(1, 100_000), (1, 100_000), (2, 0), (2, 0)]
+    kept = toxicity.below(docs.union(docs), model, 0.7)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(2 * list(range(0, 80, 2)))
