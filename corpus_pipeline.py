@@ -19,15 +19,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity model rejects; it is trained on all labels of ``docs``."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), F.lit(True))
-    scored = toxicity.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, id_col="row")
-    return scored.where(F.col("score") < TOXIC).select("row.*")
+    return toxicity.below(docs, model, TOXIC)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every component of similar ones: that of the smallest id."""
-    found = jaccard_join.similar_components(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    """One document of every component of similar ones: that of the smallest id, of one id that of the smallest
+    hash; a null id comes last. Texts without words stay, rows that repeat id and text are one."""
+    no_id, text = F.col("doc_id").isNull(), F.col("text")
+    name = F.struct(no_id.alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(text).alias("hash"), F.coalesce(F.octet_length(text), F.lit(-1)).alias("size"))
+    found = jaccard_join.similar_components(docs.select(name.alias("name"), "text"), id_col="name")
+    kept = found.where("name = component_id").select(*[F.col(f"name.{x}").alias(f"_{x}") for x in ("no_id", "id", "hash", "size")]).distinct()
+    same = [name[x] == F.col(f"_{x}") for x in ("id", "hash", "size", "no_id")]
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
