@@ -30,13 +30,12 @@ def moments(maxima: DataFrame, keys: tuple[str, ...] = ("river",)) -> DataFrame:
     floored = F.greatest(x, F.lit(LOG_FLOOR))
     by_river = maxima.groupBy(*keys).agg(
         F.count("q").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.avg(F.log(floored)).alias("ln_mean"), F.stddev_samp(F.log(floored)).alias("ln_std"),
-        F.avg(F.log10(floored)).alias("lg_mean"), F.stddev_samp(F.log10(floored)).alias("lg_std"), F.min("q").alias("low"), F.max("q").alias("high"), F.collect_list(F.log10(floored)).alias("logs"),
+        F.avg(F.log10(floored)).alias("lg_mean"), F.stddev_samp(F.log10(floored)).alias("lg_std"), F.min("q").alias("low"), F.max("q").alias("high"), F.skewness(F.log10(floored)).alias("_g"),
     )
-    z = lambda v: F.pow((v - F.col("lg_mean")) / F.col("lg_std"), F.lit(3.0))
-    cubes = F.aggregate(F.array_sort("logs"), F.lit(0.0), lambda s, v: s + z(v))
     n = F.col("n").cast("double")
-    skew = F.when((F.col("n") >= LEAST_YEARS) & (F.col("lg_std") > 0), n / ((n - 1) * (n - 2)) * cubes).otherwise(0.0)
-    return by_river.withColumn("skew", skew).drop("logs")
+    # the population skew, adjusted for the number of years
+    skew = F.when((F.col("n") >= LEAST_YEARS) & (F.col("lg_std") > 0), F.col("_g") * F.sqrt(n * (n - 1)) / (n - 2)).otherwise(0.0)
+    return by_river.withColumn("skew", skew).drop("_g")
 
 
 def enough_years(maxima: DataFrame, least: int = LEAST_YEARS) -> DataFrame:
@@ -45,20 +44,12 @@ def enough_years(maxima: DataFrame, least: int = LEAST_YEARS) -> DataFrame:
     return grouped.where((F.col("n") < least) | (F.col("missing") > 0))
 
 
-def _curve(fitted: DataFrame, values: list[Column]) -> DataFrame:
-    """One row for each river and interval; a flat record gives its value, no flow is negative."""
-    flat = F.col("low") == F.col("high")
-    pairs = [F.struct(F.lit(t).cast("float").alias("interval"), F.when(flat, F.col("low").cast("double")).otherwise(v).alias("v")) for t, v in zip(INTERVALS, values)]
-    rows = fitted.where(F.col("n") >= LEAST_YEARS).select("river", F.explode(F.array(*pairs)).alias("p"))
-    return rows.select("river", F.col("p.interval").alias("recurrence_interval"), keepbits(F.greatest(F.col("p.v"), F.lit(0.0))).alias("flow"))
+def _gumbel(m: DataFrame) -> tuple[DataFrame, list[Column]]:
+    return m, [F.col("mean") + k * F.col("std") for k in GUMBEL_K]
 
 
-def gumbel(fitted: DataFrame) -> DataFrame:
-    return _curve(fitted, [F.col("mean") + k * F.col("std") for k in GUMBEL_K])
-
-
-def lognormal(fitted: DataFrame) -> DataFrame:
-    return _curve(fitted, [F.exp(F.col("ln_mean") + z * F.col("ln_std")) for z in NORMAL_Z])
+def _lognormal(m: DataFrame) -> tuple[DataFrame, list[Column]]:
+    return m, [F.exp(F.col("ln_mean") + z * F.col("ln_std")) for z in NORMAL_Z]
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -72,89 +63,136 @@ def weibull_shape(cv: np.ndarray) -> np.ndarray:
     return np.interp(cv, table[::-1], k[::-1])
 
 
-def weibull(fitted: DataFrame) -> DataFrame:
+def _weibull(m: DataFrame) -> tuple[DataFrame, list[Column]]:
     @F.pandas_udf("struct<shape:double,scale:double>")
     def shape_and_scale(mean: pd.Series, cv: pd.Series) -> pd.DataFrame:
         shape = weibull_shape(cv.to_numpy(float))
         return pd.DataFrame({"shape": shape, "scale": mean.to_numpy(float) / np.exp(_log_gamma(1 + 1 / shape))})
 
     cv = F.coalesce(F.try_divide("std", "mean"), F.lit(0.0))
-    fitted = fitted.withColumn("fit", shape_and_scale("mean", cv))
-    return _curve(fitted, [F.col("fit.scale") * F.pow(F.lit(math.log(t)), 1 / F.col("fit.shape")) for t in INTERVALS])
-
-
-def _lower_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma function: power series left of a + 1, continued fraction right of it."""
-    front = np.exp(a * np.log(x) - x - _log_gamma(a))
-    out = np.empty_like(x)
-    left = x < a + 1
-    if left.any():
-        term = 1 / a[left]
-        total, n = term.copy(), a[left].copy()
-        for _ in range(20_000):
-            n += 1
-            term = term * x[left] / n
-            total += term
-            if (term < total * 1e-16).all():
-                break
-        out[left] = front[left] * total
-    right = ~left
-    if right.any():
-        b = x[right] + 1 - a[right]
-        c = np.full(right.sum(), 1e300)
-        d = 1 / b
-        h = d.copy()
-        for i in range(1, 20_000):
-            an = -i * (i - a[right])
-            b = b + 2
-            d = 1 / np.where(np.abs(an * d + b) < 1e-300, 1e-300, an * d + b)
-            c = np.where(np.abs(b + an / c) < 1e-300, 1e-300, b + an / c)
-            h *= d * c
-            if (np.abs(d * c - 1) < 1e-15).all():
-                break
-        out[right] = 1 - front[right] * h
+    m = m.withColumn("_fit", shape_and_scale("mean", cv))
+    return m, [F.col("_fit.scale") * F.pow(F.lit(math.log(t)), 1 / F.col("_fit.shape")) for t in INTERVALS]
+
+
+def _lower_gamma(a: np.ndarray, x: np.ndarray, log_gamma: np.ndarray) -> np.ndarray:
+    """Regularised lower incomplete gamma function by its series, whose terms are all positive.
+
+    From the first term on they rise to the one of x - a and then fall; the sum begins far enough before it.
+    """
+    skipped = np.maximum(np.floor(x - a - 9 * np.sqrt(x) - 30), 0)
+    shifted = a + skipped
+    log_first = shifted * np.log(x) - x - np.where(skipped > 0, _log_gamma(shifted + 1), log_gamma)
+    term = np.ones_like(x)
+    total, at = term.copy(), shifted.copy()
+    for _ in range(100_000):
+        at += 1
+        term *= x / at
+        total += term
+        if (term <= total * 1e-17).all():
+            break
+    return np.exp(log_first) * total
+
+
+def gamma_quantile(a: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """x at which the regularised lower incomplete gamma function of shape a is p: Newton steps in ln x within a
+    shrinking bracket, from the cube-root approximation or, where that is too small, from the series' first term."""
+    log_gamma = _log_gamma(a + 1)
+    z = np.interp(p, _NORMAL_P, _NORMAL_AT)
+    cube = a * np.maximum(1 - 1 / (9 * a) + z / (3 * np.sqrt(a)), 1e-3) ** 3
+    low_end = (np.log(p) + log_gamma) / a
+    u = np.where((a < 1) | (cube < 0.2 * a), np.minimum(low_end + np.minimum(np.exp(np.minimum(low_end, 0)) / (a + 1), 1), np.log(a + 8 * np.sqrt(a) + 30)), np.log(cube))
+    low, high = low_end - 1e-9, np.log(a + 8 * np.sqrt(a) + 40)
+    low = np.minimum(low, high - 1e-6)
+    u = np.clip(u, low, high)
+    rounding = 1e-15 + 1e-16 * a * np.abs(np.log(a))  # of the probability
+    todo = np.arange(len(a))
+    for _ in range(80):
+        x = np.exp(u[todo])
+        off = _lower_gamma(a[todo], x, log_gamma[todo]) - p[todo]
+        low[todo], high[todo] = np.where(off < 0, u[todo], low[todo]), np.where(off < 0, high[todo], u[todo])
+        slope = a[todo] * np.exp(a[todo] * u[todo] - x - log_gamma[todo])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            step = off / slope
+        done = (np.abs(off) <= rounding[todo]) | (np.abs(step) <= 1e-13)
+        new = np.where(done, u[todo], u[todo] - step)
+        outside = ~done & ~((new > low[todo]) & (new < high[todo]))
+        new[outside] = (low[todo][outside] + high[todo][outside]) / 2
+        u[todo] = new
+        todo = todo[~done]
+        if not len(todo):
+            break
+    return np.exp(u)
+
+
+# Normal quantiles at the probabilities that are asked for, both tails, in ascending order.
+_NORMAL_P, _NORMAL_AT = (np.array(x) for x in zip(*sorted({(q, s * z) for z, t in zip(NORMAL_Z, INTERVALS) for q, s in ((1 - 1 / t, 1), (1 / t, -1))})))
+
+
+def pearson3_factors(skew: np.ndarray) -> np.ndarray:
+    """Standard Pearson III quantiles, a row for each skew and a column for each interval; a series in the skew where
+    that is too small for the gamma form. Shapes of like size are solved together: they need as many terms."""
+    z, g = np.array(NORMAL_Z), np.asarray(skew, float)[:, None]
+    out = z + (z * z - 1) * g / 6 + (z**3 - 7 * z) * g**2 / 144
+    big = np.flatnonzero(np.abs(g[:, 0]) >= 0.01)
+    size = np.floor(np.log2(np.abs(g[big, 0]))) if len(big) else big
+    for k in np.unique(size):
+        rows = big[size == k]
+        own = np.broadcast_to(g[rows], (len(rows), len(z)))
+        p = np.where(own > 0, 1 - 1 / np.array(INTERVALS), 1 / np.array(INTERVALS))
+        out[rows] = gamma_quantile(4 / own.ravel() ** 2, p.ravel()).reshape(own.shape) * own / 2 - 2 / own
     return out
 
 
-def pearson3_factor(skew: np.ndarray, z: float, p: float) -> np.ndarray:
-    """Standard Pearson III quantile; a series in the skew where that is too small for the gamma form."""
-    skew = np.asarray(skew, float)
-    out = z + (z * z - 1) * skew / 6 + (z**3 - 7 * z) * skew**2 / 144
-    big = np.abs(skew) >= 0.01
-    if big.any():
-        g = skew[big]
-        a = 4 / g**2
-        target = np.where(g > 0, p, 1 - p)
-        low, high = np.zeros(len(a)), a + 60 * np.sqrt(a) + 200
-        for _ in range(110):
-            mid = (low + high) / 2
-            above = _lower_gamma(a, np.maximum(mid, 1e-300)) >= target
-            low, high = np.where(above, low, mid), np.where(above, mid, high)
-        out[big] = (low + high) / 2 * g / 2 - 2 / g
-    return out
-
-
-def log_pearson3(fitted: DataFrame) -> DataFrame:
+def _log_pearson3(m: DataFrame) -> tuple[DataFrame, list[Column]]:
     @F.pandas_udf("array<double>")
     def factors(skew: pd.Series) -> pd.Series:
-        values = skew.to_numpy(float)
-        return pd.Series(list(np.stack([pearson3_factor(values, z, 1 - 1 / t) for z, t in zip(NORMAL_Z, INTERVALS)], 1)))
+        return pd.Series(list(pearson3_factors(skew.to_numpy(float))))
 
-    fitted = fitted.where(F.col("n") >= LEAST_YEARS).withColumn("factors", factors("skew"))
-    return _curve(fitted, [F.pow(F.lit(10.0), F.col("lg_mean") + F.col("factors")[i] * F.col("lg_std")) for i in range(len(INTERVALS))])
+    m = m.withColumn("_factors", factors("skew"))
+    return m, [F.pow(F.lit(10.0), F.col("lg_mean") + F.col("_factors")[i] * F.col("lg_std")) for i in range(len(INTERVALS))]
 
 
-FITS = {"gumbel": gumbel, "logpearson3": log_pearson3, "lognormal": lognormal, "weibull": weibull}
+FITS = {"gumbel": _gumbel, "logpearson3": _log_pearson3, "lognormal": _lognormal, "weibull": _weibull}
 
 
-def return_periods(maxima: DataFrame, distributions=tuple(FITS)) -> DataFrame:
-    """(river, distribution, recurrence_interval, flow); the moments are computed once for all fits."""
-    fitted = moments(maxima)
-    parts = [FITS[d](fitted).withColumn("distribution", F.lit(d)) for d in distributions]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def curves(fitted: DataFrame, distributions=tuple(FITS), keys: tuple[str, ...] = ("river",)) -> DataFrame:
+    """(keys, distribution, recurrence_interval, flow) from ``moments``: one row a river carries all its fits, and
+    is expanded last. A flat record gives its value, no flow is negative, short records are left out."""
+    m = fitted.where(F.col("n") >= LEAST_YEARS)
+    flat, parts = F.col("low") == F.col("high"), []
+    for d in distributions:
+        m, values = FITS[d](m)
+        parts += [F.struct(F.lit(d).alias("d"), F.lit(t).cast("float").alias("t"), F.when(flat, F.col("low").cast("double")).otherwise(v).alias("v")) for t, v in zip(INTERVALS, values)]
+    rows = m.select(*keys, F.explode(F.array(*parts)).alias("p"))
+    return rows.select(*keys, F.col("p.d").alias("distribution"), F.col("p.t").alias("recurrence_interval"), keepbits(F.greatest(F.col("p.v"), F.lit(0.0))).alias("flow"))
+
+
+def gumbel(fitted: DataFrame) -> DataFrame:
+    return curves(fitted, ("gumbel",)).drop("distribution")
+
+
+def lognormal(fitted: DataFrame) -> DataFrame:
+    return curves(fitted, ("lognormal",)).drop("distribution")
+
+
+def weibull(fitted: DataFrame) -> DataFrame:
+    return curves(fitted, ("weibull",)).drop("distribution")
+
+
+def log_pearson3(fitted: DataFrame) -> DataFrame:
+    return curves(fitted, ("logpearson3",)).drop("distribution")
+
+
+def return_periods(maxima: DataFrame, distributions=tuple(FITS), keys: tuple[str, ...] = ("river",)) -> DataFrame:
+    """(keys, distribution, recurrence_interval, flow) of annual maxima (keys, year, q); one aggregate, one pass."""
+    return curves(moments(maxima, keys), distributions, keys)
+
+
+def both_series(annual: DataFrame) -> DataFrame:
+    """(river, year, hourly, daily) to (river, series, year, q); a missing maximum is an error."""
+    named = F.explode(F.array(*[F.struct(F.lit(x).alias("series"), F.col(x).alias("q")) for x in ("hourly", "daily")])).alias("s")
+    q = F.coalesce(F.col("s.q"), F.raise_error(F.concat(F.lit("no maximum: river "), F.col("river").cast("string"), F.lit(", year "), F.col("year").cast("string"))).cast("float"))
+    return annual.select("river", "year", named).select("river", "s.series", "year", F.when(~F.isnan(q), q).otherwise(F.raise_error(F.lit("NaN among maxima")).cast("float")).alias("q"))
 
 
 def largest(maxima: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.calendar import STAMP, STEP_HOURS, STEPS, forecast_time
-from freshet.functions.numerics import STYLE_PERIODS, period_class, style_byte, thickness_class
+from freshet.functions.numerics import NO_DATA, STYLE_PERIODS, period_class, style_byte, thickness_class
+from freshet.operators.frequency import INTERVALS
 
 # Fixed values.
 ALERT_SHARE, LIKELY_SHARE = 0.3, 0.5
@@ -36,12 +37,20 @@ def deltas(codes: DataFrame) -> DataFrame:
     return codes.select("river", "step", "style", F.pmod(F.col("style") - F.coalesce(before, F.lit(0)), F.lit(256)).alias("delta"))
 
 
-def exceedance(members: DataFrame, curves: DataFrame) -> DataFrame:
-    """(river, step, recurrence_interval, flow, share): the share of members strictly above each flow."""
-    levels = curves.groupBy("river").agg(F.array_sort(F.collect_list(F.struct("recurrence_interval", "flow"))).alias("levels"))
-    joined = members.join(levels, "river")
-    over = joined.select("river", "step", F.explode("levels").alias("level"), "q").select("river", "step", "level.recurrence_interval", "level.flow", F.coalesce(F.col("q") > F.col("level.flow"), F.lit(False)).cast("double").alias("over"))
-    return over.groupBy("river", "step", "recurrence_interval").agg(F.first("flow").alias("flow"), F.avg("over").alias("share"))
+def exceedance(members: DataFrame, curves: DataFrame, intervals=INTERVALS) -> DataFrame:
+    """(river, step, recurrence_interval, flow, share): the share of members strictly above each flow.
+
+    Thresholds come as one array a river and every share is one conditional average, so no member row is
+    multiplied before the shuffle; only the results are expanded, one for each of ``intervals`` that a river has.
+    """
+    packed = F.map_from_entries(F.collect_list(F.struct("recurrence_interval", "flow"))).alias("levels")
+    joined = members.join(curves.groupBy("river").agg(packed), "river")
+    level = lambda t: F.try_element_at("levels", F.lit(t).cast("float"))
+    shares = [F.avg(F.coalesce(F.col("q") > level(t), F.lit(False)).cast("double")).alias(f"share{i}") for i, t in enumerate(intervals)]
+    flows = [F.first(level(t)).alias(f"flow{i}") for i, t in enumerate(intervals)]
+    found = joined.groupBy("river", "step").agg(*shares, *flows)
+    each = [F.struct(F.lit(t).cast("float").alias("recurrence_interval"), F.col(f"flow{i}").alias("flow"), F.col(f"share{i}").alias("share")) for i, t in enumerate(intervals)]
+    return found.select("river", "step", F.explode(F.array(*each)).alias("x")).select("river", "step", "x.*").where("flow is not null")
 
 
 def alert_levels(shares: DataFrame) -> DataFrame:
@@ -73,3 +82,35 @@ def alert_table(levels: DataFrame, peaks: DataFrame, metadata: DataFrame, start:
         "recurrence_interval", F.col("flow").alias("return_period_flow"), F.col("share").alias("exceedance_probability"),
         stamp(forecast_time(start, F.col("peak_step"))).alias("peak_time"), F.col("peak").alias("peak_median_flow"),
     )
+
+
+STYLESETS = ("timeseries", "max-flow", "time-to-peak", "below-q95")
+
+
+def stylesets(median: DataFrame, thresholds: DataFrame, low: DataFrame, names=STYLESETS) -> DataFrame:
+    """The map codes of all stylesets, packed: (river, styleset, codes array<int>, deltas array<int>).
+
+    ``median`` is (river, step, q), ``thresholds`` from ``threshold_arrays``, ``low`` (river, q95). A river's series
+    is gathered once; codes of the series and of its peak, the step of the peak and the low-flow mark all come
+    from that row. Unknown names are refused.
+    """
+    if unknown := sorted(set(names) - set(STYLESETS)):
+        raise ValueError(f"no such styleset: {', '.join(unknown)}")
+    packed = median.groupBy("river").agg(F.array_sort(F.collect_list(F.struct("step", "q"))).alias("s")).select("river", F.transform("s", lambda x: x["q"]).alias("q"), F.transform("s", lambda x: x["step"]).alias("steps"))
+    joined = packed.join(thresholds, "river", "left").join(low, "river", "left")
+
+    def code(q: Column) -> Column:
+        return style_byte(F.coalesce(period_class(q, F.col("thresholds")), F.lit(0)), thickness_class(q))
+
+    peak = F.array_max("q")
+    place = F.element_at("steps", F.array_position("q", peak).cast("int"))
+    lowest = F.array_min("q")
+    codes = {
+        "timeseries": F.transform("q", code),
+        "max-flow": F.array(code(peak)),
+        "time-to-peak": F.array(F.when(peak > 0, place).otherwise(NO_DATA)),
+        "below-q95": F.array(F.when(lowest.isNull() | F.col("q95").isNull(), NO_DATA).otherwise((lowest < F.col("q95")).cast("int"))),
+    }
+    rows = joined.select("river", F.explode(F.array(*[F.struct(F.lit(x).alias("styleset"), codes[x].alias("codes")) for x in names])).alias("x")).select("river", "x.styleset", "x.codes")
+    before = F.concat(F.array(F.lit(0)), F.slice("codes", 1, F.size("codes") - 1))
+    return rows.withColumn("deltas", F.zip_with("codes", before, lambda a, b: F.pmod(a - b, F.lit(256))))

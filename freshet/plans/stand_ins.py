@@ -27,10 +27,19 @@ def short_maxima(spark, sf_dir) -> DataFrame:
     return t.groupBy(F.col("o_custkey").alias("river"), F.year("o_orderdate").alias("year")).agg(F.max("o_totalprice").cast("float").alias("q"))
 
 
+FIRST_YEAR, MEMBER_STEPS = 1995, 84
+
+
 def members(spark, sf_dir) -> DataFrame:
-    """An ensemble of up to seven members: months of 2001 are its steps 0 to 11."""
-    t = table(spark, sf_dir, "lineitem", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice").where(F.year("l_shipdate") == 2001)
-    return t.groupBy(F.col("l_suppkey").alias("river"), F.col("l_linenumber").alias("member"), (F.month("l_shipdate") - 1).alias("step")).agg(F.max("l_extendedprice").cast("float").alias("q"))
+    """An ensemble of up to seven members: the months of all years since 1995 are its steps."""
+    t = table(spark, sf_dir, "lineitem", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    step = ((F.year("l_shipdate") - FIRST_YEAR) * 12 + F.month("l_shipdate") - 1).cast("int").alias("step")
+    return t.groupBy(F.col("l_suppkey").alias("river"), F.col("l_linenumber").alias("member"), step).agg(F.max("l_extendedprice").cast("float").alias("q"))
+
+
+def annual(spark, sf_dir) -> DataFrame:
+    """Annual maxima of both series: of single values, and of monthly means."""
+    return maxima(spark, sf_dir).withColumnRenamed("q", "hourly").join(monthly_maxima(spark, sf_dir).withColumnRenamed("q", "daily"), ["river", "year"])
 
 
 def monthly_maxima(spark, sf_dir) -> DataFrame:

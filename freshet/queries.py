@@ -42,9 +42,10 @@ DAYS = f"{ROUNDED}, totals AS (SELECT river, date_trunc('day', ts) AS d, sum(q::
 MAXIMA = "maxima AS (SELECT l_suppkey AS river, year(l_shipdate) AS year, max(l_extendedprice)::FLOAT AS q FROM lineitem GROUP BY ALL)"
 MOMENTS = "moments AS (SELECT river, count(q) AS n, avg(q::DOUBLE) AS mean, stddev_samp(q::DOUBLE) AS std, avg(ln(greatest(q::DOUBLE, 1e-4))) AS ln_mean, stddev_samp(ln(greatest(q::DOUBLE, 1e-4))) AS ln_std, min(q) AS low, max(q) AS high FROM maxima GROUP BY ALL)"
 GUMBEL_ROWS = ", ".join(f"({t}, {k!r})" for t, k in zip(frequency.INTERVALS, frequency.GUMBEL_K))
-NORMAL_ROWS = ", ".join(f"({t}, {z!r})" for t, z in zip(frequency.INTERVALS, frequency.NORMAL_Z))
+NORMAL_ROWS = ", ".join(f"({t}, {z!r}::DOUBLE)" for t, z in zip(frequency.INTERVALS, frequency.NORMAL_Z))
 CURVE = "curve AS (SELECT river, t::FLOAT AS recurrence_interval, greatest(CASE WHEN low = high THEN low::DOUBLE ELSE v END, 0) AS v FROM fitted WHERE n >= 3)"
-MEMBERS = "members AS (SELECT l_suppkey AS river, l_linenumber AS member, (month(l_shipdate) - 1)::INT AS step, max(l_extendedprice)::FLOAT AS q FROM lineitem WHERE year(l_shipdate) = 2001 GROUP BY ALL)"
+STEP = "((year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1)::INT"
+MEMBERS = f"members AS (SELECT l_suppkey AS river, l_linenumber AS member, {STEP} AS step, max(l_extendedprice)::FLOAT AS q FROM lineitem GROUP BY ALL)"
 MEDIAN = f"median AS (SELECT river, step, {kb('m')} AS q FROM (SELECT river, step, quantile_cont(q::DOUBLE, 0.5) AS m FROM members GROUP BY ALL))"
 FLOOD_MAXIMA = "maxima AS (SELECT l_suppkey AS river, year, max(q)::FLOAT AS q FROM (SELECT l_suppkey, year(l_shipdate) AS year, month(l_shipdate) AS month, avg(l_extendedprice) AS q FROM lineitem GROUP BY ALL) GROUP BY ALL)"
 FLOOD = f"{FLOOD_MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE}, curves AS (SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve)"
@@ -117,16 +118,37 @@ def return_periods_weibull(spark, sf_dir):
     return frequency.weibull(frequency.moments(data.maxima(spark, sf_dir)))
 
 
-@query()
+# The quantile of Pearson III by bisection of a sum of Poisson terms.
+LOG_MOMENTS = "logs AS (SELECT river, q, log10(greatest(q::DOUBLE, 1e-4)) AS x FROM maxima), lg AS (SELECT river, count(x) AS n, avg(x) AS m, stddev_samp(x) AS sd, min(q) AS low, max(q) AS high FROM logs GROUP BY ALL), skewed AS (SELECT lg.*, coalesce(s.skew, 0) AS g FROM lg LEFT JOIN (SELECT river, any_value(n) / ((any_value(n) - 1.0) * (any_value(n) - 2.0)) * sum(pow((x - m) / sd, 3)) AS skew FROM logs JOIN lg USING (river) WHERE n >= 3 AND sd > 0 GROUP BY river) s USING (river) WHERE n >= 3)"
+BISECTION = f"asked AS (SELECT river, t, z, g, 4 / (g * g) AS a, CASE WHEN g > 0 THEN 1 - 1 / t ELSE 1 / t END AS p FROM skewed, (VALUES {NORMAL_ROWS}) v(t, z) WHERE abs(g) >= 0.01), halved(river, t, a, p, i, lo, hi) AS (SELECT river, t, a, p::DOUBLE, 0, 0::DOUBLE, a + 8 * sqrt(a) + 40 FROM asked UNION ALL SELECT river, t, a, p, i + 1, CASE WHEN below < p THEN mid ELSE lo END, CASE WHEN below < p THEN hi ELSE mid END FROM (SELECT *, list_sum(list_transform(range(0, (12 * sqrt(a + mid) + greatest(mid - a, 0) + 60)::BIGINT), lambda k: exp((a + k) * ln(mid) - mid - lgamma(a + k + 1)))) AS below FROM (SELECT *, (lo + hi) / 2 AS mid FROM halved WHERE i < 52))), factors AS (SELECT river, t, (lo + hi) / 2 AS x FROM halved WHERE i = 52)"
+LP3 = f"{LOG_MOMENTS}, {BISECTION}, fitted AS (SELECT s.river, n, low, high, v.t, pow(10, m + sd * CASE WHEN abs(g) < 0.01 THEN v.z + (v.z * v.z - 1) * g / 6 + (pow(v.z, 3) - 7 * v.z) * g * g / 144 ELSE x * g / 2 - 2 / g END) AS v FROM skewed s CROSS JOIN (VALUES {NORMAL_ROWS}) v(t, z) LEFT JOIN factors f ON f.river = s.river AND f.t = v.t)"
+
+
+@query(f"WITH RECURSIVE {MAXIMA}, {LP3}, {CURVE} SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve")
 def return_periods_logpearson3(spark, sf_dir):
     return frequency.log_pearson3(frequency.moments(data.maxima(spark, sf_dir)))
 
 
-@query()
+def _all_fits(key: str = "river") -> str:
+    """SQL of all distributions over a table maxima."""
+    fits = {"gumbel": f"SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)", "lognormal": f"SELECT m.*, t, exp(ln_mean + z * ln_std) AS v FROM moments m, (VALUES {NORMAL_ROWS}) g(t, z)"}
+    named = lambda cte, d: cte.replace("fitted AS", f"{d} AS")
+    union = " UNION ALL ".join(f"SELECT '{d}' AS distribution, river, n, low, high, t, v FROM {d}" for d in ("gumbel", "logpearson3", "lognormal", "weibull"))
+    parts = [MOMENTS, *[f"{d} AS ({q})" for d, q in fits.items()], named(WEIBULL, "weibull"), named(LP3, "logpearson3"), f"fitted AS ({union})", CURVE.replace("SELECT river", "SELECT river, distribution")]
+    return ", ".join(parts)
+
+
+@query(f"WITH RECURSIVE {MAXIMA}, {_all_fits()} SELECT river, distribution, recurrence_interval, {kb('v')} AS flow FROM curve")
 def return_periods_all(spark, sf_dir):
     return frequency.return_periods(data.maxima(spark, sf_dir))
 
 
+@query(f"WITH RECURSIVE {FLOOD_MAXIMA.replace('maxima AS', 'monthly AS')}, maxima AS (SELECT 'hourly:' || l_suppkey AS river, year(l_shipdate) AS year, max(l_extendedprice)::FLOAT AS q FROM lineitem GROUP BY ALL UNION ALL SELECT 'daily:' || river, year, q FROM monthly), {_all_fits()} SELECT split_part(river, ':', 2)::BIGINT AS river, split_part(river, ':', 1) AS series, distribution, recurrence_interval, {kb('v')} AS flow FROM curve")
+def return_periods_both_series(spark, sf_dir):
+    """All fits of the hourly and of the daily maxima, from one pass."""
+    return frequency.return_periods(frequency.both_series(data.annual(spark, sf_dir)), keys=("river", "series"))
+
+
 @query(f"WITH {MAXIMA}, logs AS (SELECT river, log10(greatest(q::DOUBLE, 1e-4)) AS x FROM maxima), m AS (SELECT river, count(x) AS n, avg(x) AS mean, stddev_samp(x) AS std FROM logs GROUP BY ALL) SELECT river, any_value(n) AS n, round(any_value(mean), 9) AS lg_mean, round(any_value(std), 9) AS lg_std, round(any_value(n) / ((any_value(n) - 1.0) * (any_value(n) - 2.0)) * sum(pow((x - mean) / std, 3)), 7) AS skew FROM logs JOIN m USING (river) WHERE n >= 3 AND std > 0 GROUP BY river")
 def log_moments(spark, sf_dir):
     m = frequency.moments(data.maxima(spark, sf_dir)).where("n >= 3 and lg_std > 0")
@@ -167,9 +189,9 @@ def series_peaks(spark, sf_dir):
     return ensemble.peaks(tables.long_series(data.series(spark, sf_dir)))
 
 
-@query(f"WITH {MEMBERS}, {MEDIAN}, low AS (SELECT l_suppkey AS river, quantile_cont(l_extendedprice, 0.05)::FLOAT AS q95 FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY ALL), lowest AS (SELECT river, min(q) AS lowest FROM median GROUP BY ALL) SELECT river, lowest, q95, (CASE WHEN lowest IS NULL OR q95 IS NULL THEN 255 ELSE (lowest < q95)::INT END)::INT AS below FROM lowest LEFT JOIN low USING (river)")
+@query(f"WITH {MEMBERS}, {MEDIAN}, low AS (SELECT l_suppkey AS river, quantile_cont(l_extendedprice, 0.05)::FLOAT AS q95 FROM lineitem GROUP BY ALL), lowest AS (SELECT river, min(q) AS lowest FROM median GROUP BY ALL) SELECT river, lowest, q95, (CASE WHEN lowest IS NULL OR q95 IS NULL THEN 255 ELSE (lowest < q95)::INT END)::INT AS below FROM lowest LEFT JOIN low USING (river)")
 def below_low_flow(spark, sf_dir):
-    low = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_extendedprice").where("l_suppkey % 10 <> 0").groupBy(F.col("l_suppkey").alias("river")).agg(F.percentile("l_extendedprice", 0.05).cast("float").alias("q95"))
+    low = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_extendedprice").groupBy(F.col("l_suppkey").alias("river")).agg(F.percentile("l_extendedprice", 0.05).cast("float").alias("q95"))
     return ensemble.below_low_flow(_median(spark, sf_dir), low)
 
 
@@ -207,6 +229,18 @@ def style_delta(spark, sf_dir):
     return thresholds.deltas(_styles(spark, sf_dir))
 
 
+SETS = f"{STYLE}, low AS (SELECT l_suppkey AS river, quantile_cont(l_extendedprice, 0.05)::FLOAT AS q95 FROM lineitem GROUP BY ALL), best AS (SELECT * FROM styled QUALIFY row_number() OVER (PARTITION BY river ORDER BY q DESC, step) = 1), lowest AS (SELECT river, min(q) AS lowest FROM styled GROUP BY ALL), coded AS (SELECT river, 'timeseries' AS styleset, step, style AS code FROM styled UNION ALL SELECT river, 'max-flow', 0, style FROM best UNION ALL SELECT river, 'time-to-peak', 0, (CASE WHEN q > 0 THEN step ELSE 255 END)::INT FROM best UNION ALL SELECT river, 'below-q95', 0, (CASE WHEN lowest IS NULL OR q95 IS NULL THEN 255 ELSE (lowest < q95)::INT END)::INT FROM lowest LEFT JOIN low USING (river)), differenced AS (SELECT *, ((code - coalesce(lag(code) OVER (PARTITION BY river, styleset ORDER BY step), 0)) % 256 + 256) % 256 AS delta FROM coded)"
+
+
+@query(f"WITH {SETS} SELECT river, styleset, string_agg(code::VARCHAR, ',' ORDER BY step) AS codes, string_agg(delta::INT::VARCHAR, ',' ORDER BY step) AS deltas FROM differenced GROUP BY ALL")
+def map_stylesets(spark, sf_dir):
+    """The four map stylesets as one product, packed by river."""
+    low = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_extendedprice").groupBy(F.col("l_suppkey").alias("river")).agg(F.percentile("l_extendedprice", 0.05).cast("float").alias("q95"))
+    sets = thresholds.stylesets(_median(spark, sf_dir), thresholds.threshold_arrays(_curves(spark, sf_dir)), low)
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return sets.select("river", "styleset", joined("codes"), joined("deltas"))
+
+
 def _shares(spark, sf_dir):
     return thresholds.exceedance(data.members(spark, sf_dir), _curves(spark, sf_dir))
 
@@ -372,9 +406,10 @@ def long_to_packed(spark, sf_dir):
     return tables.packed_series(m, ("river", "member")).select("river", "member", F.array_join("q", ",").alias("packed"), F.size("q").cast("long").alias("n"))
 
 
-@query(f"WITH {MEMBERS} SELECT river, member, count(DISTINCT step) AS n FROM members GROUP BY ALL HAVING count(DISTINCT step) < 12")
+@query(f"WITH {MEMBERS}, every AS (SELECT river, member::INT AS member FROM (SELECT DISTINCT river FROM members), range(1, 9) r(member)) SELECT river, member, count(DISTINCT step) AS n FROM every LEFT JOIN members USING (river, member) GROUP BY ALL HAVING count(DISTINCT step) <> 84")
 def incomplete_members(spark, sf_dir):
-    return data.members(spark, sf_dir).groupBy("river", "member").agg(F.countDistinct("step").alias("n")).where("n < 12")
+    """Of eight wanted members of 84 steps, those that lack some; the eighth is missing everywhere."""
+    return tables.incomplete(data.members(spark, sf_dir), range(1, 9), data.MEMBER_STEPS, ("river",))
 
 
 @query("SELECT strftime(d, '%Y-%m-%d') AS day, day(last_day(d))::INT AS days, count(*) AS n FROM (SELECT date_trunc('month', o_orderdate)::DATE AS d FROM orders) GROUP BY ALL")
@@ -396,7 +431,7 @@ def region_differences(spark, sf_dir):
     return a.join(b, "region", "left_anti").withColumn("side", F.lit("first")).unionByName(b.join(a, "region", "left_anti").withColumn("side", F.lit("second")))
 
 
-@query("SELECT l_suppkey AS river, min(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * (month(l_shipdate) - 1)), '%Y-%m-%d %H:%M')) AS first_time, max(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * (month(l_shipdate) - 1)), '%Y-%m-%d %H:%M')) AS last_time, max(3 * (month(l_shipdate) - 1))::INT AS lead_hours FROM lineitem WHERE year(l_shipdate) = 2001 GROUP BY ALL")
+@query(f"SELECT l_suppkey AS river, min(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * {STEP}), '%Y-%m-%d %H:%M')) AS first_time, max(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * {STEP}), '%Y-%m-%d %H:%M')) AS last_time, max(3 * {STEP})::INT AS lead_hours FROM lineitem GROUP BY ALL")
 def forecast_times(spark, sf_dir):
     at = F.date_format(calendar.forecast_time(F.lit("2001-01-01").cast("timestamp"), F.col("step")), "yyyy-MM-dd HH:mm")
     return data.members(spark, sf_dir).groupBy("river").agg(F.min(at).alias("first_time"), F.max(at).alias("last_time"), F.max(F.col("step") * calendar.STEP_HOURS).alias("lead_hours"))

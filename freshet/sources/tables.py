@@ -44,11 +44,13 @@ def newest(names: DataFrame) -> DataFrame:
     return names.select(member_name(F.col("name")).alias("m")).agg(F.max("m.stamp").alias("newest"))
 
 
-def incomplete(steps: DataFrame, members: int, per_member: int) -> DataFrame:
-    """Members (of (member, step)) that lack steps or are missing altogether."""
-    have = steps.groupBy("member").agg(F.countDistinct("step").alias("n"))
-    every = steps.sparkSession.range(members).select(F.col("id").cast("int").alias("member"))
-    return every.join(have, "member", "left").where(F.coalesce("n", F.lit(0)) != per_member).select("member", F.coalesce("n", F.lit(0)).alias("n"))
+def incomplete(steps: DataFrame, members, per_member: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Of the wanted ``members`` (of each ``by``), those that lack steps or are missing altogether: (by, member, n)."""
+    have = steps.groupBy(*by, "member").agg(F.countDistinct("step").alias("n"))
+    every = steps.select(*by).distinct() if by else steps.sparkSession.range(1)
+    every = every.select(*by, F.explode(F.array(*[F.lit(int(m)) for m in members])).alias("member"))
+    n = F.coalesce("n", F.lit(0)).alias("n")
+    return every.join(have, [*by, "member"], "left").select(*by, "member", n).where(F.col("n") != per_member)
 
 
 def long_series(packed: DataFrame, keys: tuple[str, ...] = ("river",)) -> DataFrame:

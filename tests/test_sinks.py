@@ -67,7 +67,7 @@ def test_scans_and_names(spark, tmp_path):
     names = spark.createDataFrame([("cf_00_20240101.grib",), ("pf_07_20240102.grib",), ("other",)], "name string")
     assert tables.newest(names).first().newest == "20240102"
     steps = spark.createDataFrame([(0, s) for s in range(3)] + [(1, 0)], "member int, step int")
-    assert [(r.member, r.n) for r in tables.incomplete(steps, 3, 3).orderBy("member").collect()] == [(1, 1), (2, 0)]
+    assert [(r.member, r.n) for r in tables.incomplete(steps, range(3), 3).orderBy("member").collect()] == [(1, 1), (2, 0)]
     packed = spark.createDataFrame([(1, [3.0, 1.0, 2.0])], "river int, q array<float>")
     assert tables.packed_series(tables.long_series(packed)).first().q == [3.0, 1.0, 2.0]
 
