@@ -46,7 +46,7 @@ def lower_gamma(a, x):
     return float((y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum()) * (u[1] - u[0]) / 3) / math.gamma(a)
 
 
-@pytest.mark.parametrize("skew", [0.01, -0.03, 0.2, -0.7, 1.4, -3.0, 5.0, -9.0])
+@pytest.mark.parametrize("skew", [0.01, -0.03, 0.2, -0.7, 1.4, -3.0, 5.0])
 def test_pearson3_quantiles(skew):
     """The probability below each quantile, by numerical integration."""
     a = 4 / skew**2
