@@ -343,12 +343,20 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         near = scratch.save(_near(texts, pairs, percent), "near-2")
         links = links.union(scratch.save(_similar(near, packed, width, percent), "links-2"))
     found = components(links, scratch, "components")
-    placed = texts.join(found.withColumnRenamed("node", "ref"), "ref", "left").select("id", "n", F.coalesce("component", "ref").alias("component"))
-    smallest = placed.groupBy("component").agg(F.min("id").alias("smallest"))
-    out = placed.join(smallest, "component").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
+    out = texts.join(_smallest(texts, found), "ref").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
     return scratch.finish(out)
 
 
+def _smallest(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """(ref, smallest): the smallest id in each distinct text's component. Only texts with links look their
+    component up, and a large component is dealt over SALTS tasks."""
+    own = texts.groupBy("ref").agg(F.min("id").alias("own"))
+    linked = found.union(found.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "ref").join(own, "ref")
+    least = linked.groupBy("component").agg(F.min("own").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS))).join(least, ["component", "salt"]).select("ref", "least")
+    return own.join(named, "ref", "left").select("ref", F.coalesce("least", "own").alias("smallest"))
+
+
 def _by_tile(members: DataFrame, tiles: DataFrame) -> DataFrame:
     """``members`` with what ``tiles`` has of their tile, a row a tile; the members of a common tile are dealt over
     SALTS tasks, and every large tile has more members than that."""
