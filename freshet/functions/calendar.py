@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,24 @@ def decode_hours(hours: Column, since: str) -> Column:
     return F.timestamp_add("HOUR", hours, F.lit(since).cast("timestamp"))
 
 
+# Seconds of the units of stored times.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def decode_times(offset: Column, units: str) -> Column:
+    """Times stored as ``'<unit> since <date or time>'``; fractions of a unit count to the microsecond."""
+    found = re.fullmatch(r"(second|minute|hour|day)s? since (\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2})?)?)(?:Z| UTC)?", units.strip())
+    if not found:
+        raise ValueError(f"not a unit of time: {units}")
+    micros = F.round(offset.cast("double") * (UNIT_SECONDS[found[1]] * 1_000_000)).cast("long")
+    return F.timestamp_micros(F.unix_micros(F.lit(found[2]).cast("timestamp")) + micros)
+
+
+def is_midnight(ts: Column) -> Column:
+    """Whether a run starts at 00 UTC, the only ones that are published in full."""
+    return ts == F.date_trunc("day", ts)
+
+
 def last_full_month(today: Column, lag_days: int = 5) -> Column:
     """First day of the last month that a source ``lag_days`` behind has in full."""
     return F.add_months(F.trunc(F.date_sub(today, lag_days - 1), "month"), -1)

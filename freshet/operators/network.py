@@ -94,3 +94,43 @@ def route(inflow: DataFrame, rivers: DataFrame, step_hours: float = 1.0, state:
 def final_state(routed: DataFrame) -> DataFrame:
     """The state from which the next year goes on: each river's flow at its last step."""
     return routed.groupBy("region", "river").agg(F.max_by("q", "step").alias("q"))
+
+
+def layout(rivers: DataFrame) -> DataFrame:
+    """(river, region, river_index, next): the place of every river in the world, region after region; regions are
+    few, so their sizes are ordered in one task."""
+    sizes = rivers.groupBy("region").count()
+    offsets = sizes.select("region", F.coalesce(F.sum("count").over(Window.orderBy("region").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    return rivers.join(F.broadcast(offsets), "region").select("river", "region", (F.col("first") + F.col("index")).alias("river_index"), "next")
+
+
+def one_sided(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """(key, side) of the keys that only one of two tables has."""
+    a, b = first.select(key).distinct(), second.select(key).distinct()
+    return a.join(b, key, "left_anti").withColumn("side", F.lit("first")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("second")))
+
+
+def uneven(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, n, values) of the groups whose rows do not all have one ``value``."""
+    found = rows.groupBy(by).agg(F.array_sort(F.collect_set(value)).alias("values"))
+    return found.where(F.size("values") > 1).select(by, F.size("values").alias("n"), "values")
+
+
+def record_starts(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    """(year, n, first, late, allowed): when each year of a record begins. Only the first year may start late."""
+    grouped = rows.groupBy(F.year(ts).alias("year")).agg(F.countDistinct(key).alias("n"), F.min(F.date_trunc("hour", ts)).alias("first"))
+    late = F.col("first") != F.make_timestamp("year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    first_year = grouped.agg(F.min("year").alias("first_year"))
+    return grouped.withColumn("late", late).join(F.broadcast(first_year)).select("year", "n", "first", "late", (~F.col("late") | (F.col("year") == F.col("first_year"))).alias("allowed"))
+
+
+def resume_after(years: DataFrame, states: DataFrame) -> DataFrame:
+    """(region, done, resume): how many years from a region's first are finished without a gap, and the year to go
+    on with. A year counts as finished only once its state is there; states without flows do not count."""
+    finished = years.select("region", "year").distinct().join(states.select("region", "year").distinct(), ["region", "year"], "left_semi").withColumn("finished", F.lit(True))
+    every = years.select("region", "year").distinct().join(finished, ["region", "year"], "left")
+    first_open = every.groupBy("region").agg(F.min("year").alias("first"), F.max("year").alias("last"), F.min(F.when(F.col("finished").isNull(), F.col("year"))).alias("open"))
+    run = Window.partitionBy("region").orderBy("year")
+    gap = every.withColumn("_gap", F.lead("year").over(run) - F.col("year")).groupBy("region").agg(F.min(F.when(F.col("_gap") > 1, F.col("year") + 1)).alias("gap"))
+    resume = F.least("open", "gap", F.col("last") + 1)
+    return first_open.join(gap, "region").select("region", (resume - F.col("first")).alias("done"), resume.alias("resume"))

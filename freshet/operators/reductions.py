@@ -42,3 +42,20 @@ def window_means(hourly: DataFrame, hours: int = 3) -> DataFrame:
     window = F.window("ts", f"{hours} hours")
     grouped = hourly.where("q is not null").groupBy("river", window.alias("w")).agg(F.avg(F.col("q").cast("double")).alias("q"), F.count("q").alias("n"))
     return grouped.select("river", F.col("w.start").alias("ts"), keepbits(F.col("q")).alias("q"), "n")
+
+
+def all_reductions(hourly: DataFrame) -> DataFrame:
+    """(river, reduction, start, value, hours): daily, monthly and yearly means and both annual maxima at once.
+
+    The days are made once; months, years and the days themselves are grouping sets over them. ``hours`` is
+    what a mean is made of, and null for a maximum.
+    """
+    d = days(hourly).where("hours > 0").withColumns({"month": F.trunc("day", "month"), "year": F.trunc("day", "year")})
+    sets = [[F.col("river"), F.col(x)] for x in ("day", "month", "year")]
+    found = d.groupingSets(sets, F.col("river"), F.col("day"), F.col("month"), F.col("year")).agg(F.sum("total").alias("total"), F.sum("hours").alias("hours"), F.max("top").alias("top"), F.max("mean").alias("mean"))
+    value = keepbits(F.try_divide("total", F.col("hours").cast("double")))
+    none = F.lit(None).cast("long")
+    row = lambda name, v, h: F.struct(F.lit(name).alias("reduction"), v.alias("value"), h.alias("hours"))
+    kinds = F.when(F.col("day").isNotNull(), F.array(row("daily", value, F.col("hours")))).when(F.col("month").isNotNull(), F.array(row("monthly", value, F.col("hours"))))
+    kinds = kinds.otherwise(F.array(row("yearly", value, F.col("hours")), row("max_hourly", F.col("top"), none), row("max_daily", F.col("mean"), none)))
+    return found.select("river", F.coalesce("day", "month", "year").alias("start"), F.explode(kinds).alias("x")).select("river", "x.reduction", "start", "x.value", "x.hours")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from freshet.functions.calendar import STAMP, STEP_HOURS, STEPS, forecast_time
 from freshet.functions.numerics import NO_DATA, STYLE_PERIODS, period_class, style_byte, thickness_class
 from freshet.operators.frequency import INTERVALS
+from freshet.sinks.writers import STYLESETS
 
 # Fixed values.
 ALERT_SHARE, LIKELY_SHARE = 0.3, 0.5
@@ -84,9 +85,6 @@ def alert_table(levels: DataFrame, peaks: DataFrame, metadata: DataFrame, start:
     )
 
 
-STYLESETS = ("timeseries", "max-flow", "time-to-peak", "below-q95")
-
-
 def stylesets(median: DataFrame, thresholds: DataFrame, low: DataFrame, names=STYLESETS) -> DataFrame:
     """The map codes of all stylesets, packed: (river, styleset, codes array<int>, deltas array<int>).
 

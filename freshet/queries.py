@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions import calendar, numerics
-from freshet.operators import ensemble, frequency, interpolation, network, reductions, thresholds, weights
+from freshet.operators import ensemble, frequency, interpolation, network, polygons, reductions, thresholds, weights
 from freshet.plans import stand_ins as data
 from freshet.session import scratch_folder
 from freshet.sources import tables
@@ -295,11 +295,13 @@ def region_coverage(spark, sf_dir):
     return network.region_spans(rivers.join(F.broadcast(offsets), "region").withColumn("index", F.col("index") + F.col("offset")))
 
 
-@query("WITH present AS (SELECT DISTINCT o_custkey % 50 AS region, year(o_orderdate)::INT AS year FROM orders WHERE (o_custkey % 50 + year(o_orderdate)) % 7 <> 0) SELECT r.region, y.year FROM (SELECT DISTINCT region FROM present) r, (SELECT DISTINCT year FROM present) y WHERE (r.region, y.year) NOT IN (SELECT (region, year) FROM present)")
+@query("WITH present AS (SELECT DISTINCT o_custkey AS region, year(o_orderdate)::INT AS year FROM orders) SELECT r.region, y.year FROM (SELECT DISTINCT region FROM present) r, (SELECT DISTINCT year FROM present) y WHERE (r.region, y.year) NOT IN (SELECT (region, year) FROM present)")
 def missing_region_years(spark, sf_dir):
+    """Customers stand for regions: many have no order in some year."""
     o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
-    present = o.select((F.col("o_custkey") % 50).alias("region"), F.year("o_orderdate").alias("year")).where((F.col("region") + F.col("year")) % 7 != 0).distinct()
-    return network.missing_region_years(present)
+    return network.missing_region_years(o.select(F.col("o_custkey").alias("region"), F.year("o_orderdate").alias("year")).distinct())
+
+
 
 
 @query(f"WITH {PIECES} SELECT river, cell, area, (area / sum(area) OVER (PARTITION BY river))::FLOAT AS proportion FROM pieces WHERE area > 0")
@@ -314,12 +316,12 @@ def weight_order(spark, sf_dir):
 
 @query(f"WITH {PIECES} SELECT river, sum(area) AS area, count(cell) AS n_pieces, min(area) AS least, max(area) AS most FROM pieces GROUP BY river")
 def catchment_area(spark, sf_dir):
-    return data.pieces(spark, sf_dir).groupBy("river").agg(F.sum("area").alias("area"), F.count("cell").alias("n_pieces"), F.min("area").alias("least"), F.max("area").alias("most"))
+    return weights.areas(data.pieces(spark, sf_dir))
 
 
-@query(f"WITH {PIECES} SELECT count(DISTINCT river) AS n_rivers, count(DISTINCT cell) AS n_cells, count(*) AS n_pairs FROM pieces")
+@query(f"WITH {PIECES} SELECT count(DISTINCT river) AS n_rivers, count(DISTINCT cell) AS n_cells, count(*) AS n_pairs, count(*) FILTER (area IS NULL OR isnan(area)) AS n_missing FROM pieces")
 def cell_counts(spark, sf_dir):
-    return data.pieces(spark, sf_dir).agg(F.countDistinct("river").alias("n_rivers"), F.countDistinct("cell").alias("n_cells"), F.count("*").alias("n_pairs"))
+    return weights.counts(data.pieces(spark, sf_dir))
 
 
 @query(f"WITH {PIECES} SELECT river, round(sum(p_retailprice * area), 4) AS inflow, count(cell) AS pieces FROM pieces JOIN part ON cell = p_partkey GROUP BY river")
@@ -327,10 +329,11 @@ def lateral_inflow(spark, sf_dir):
     return weights.lateral_inflow(data.pieces(spark, sf_dir), data.runoff(spark, sf_dir)).withColumn("inflow", F.round("inflow", 4))
 
 
-@query(f"WITH {PIECES} SELECT s_suppkey AS river, 'no weights' AS side FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey NOT IN (SELECT river FROM pieces WHERE river % 2 = 0) UNION ALL SELECT DISTINCT river, 'no river' FROM pieces WHERE river % 2 = 0 AND river NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)")
+@query("WITH pieces AS (SELECT o_custkey AS river FROM orders) SELECT s_suppkey AS river, 'no weights' AS side FROM supplier WHERE s_suppkey NOT IN (SELECT river FROM pieces) UNION ALL SELECT DISTINCT river, 'no river' FROM pieces WHERE river NOT IN (SELECT s_suppkey FROM supplier)")
 def unmatched_weights(spark, sf_dir):
-    suppliers = data.table(spark, sf_dir, "supplier", "s_suppkey").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("river"))
-    return weights.unmatched(suppliers, data.pieces(spark, sf_dir).where("river % 2 = 0").select("river"))
+    """Suppliers against customers with orders: either side has keys that the other lacks."""
+    return weights.unmatched(data.table(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("river")), data.table(spark, sf_dir, "orders", "o_custkey").select(F.col("o_custkey").alias("river")))
+
 
 
 @query("WITH boxes AS (SELECT o_orderkey AS id, (o_custkey % 100)::DOUBLE AS west, (o_orderkey % 97)::DOUBLE AS south, (o_custkey % 100) + 1.5 AS east, (o_orderkey % 97) + 0.5 AS north FROM orders), cells AS (SELECT p_partkey AS id, (p_partkey % 50) * 2.0 AS west, (p_partkey // 50) * 2.0 AS south, (p_partkey % 50) * 2.0 + 2 AS east, (p_partkey // 50) * 2.0 + 2 AS north FROM part) SELECT b.id AS box, c.id AS cell, ((least(b.east, c.east) - greatest(b.west, c.west)) * (least(b.north, c.north) - greatest(b.south, c.south)))::DOUBLE AS area FROM boxes b JOIN cells c ON b.east > c.west AND b.west < c.east AND b.north > c.south AND b.south < c.north")
@@ -355,16 +358,6 @@ def projected(spark, sf_dir):
     return s.select(F.col("s_suppkey").alias("river"), F.round(numerics.mercator_x(F.col("s_acctbal") / 100), 3).alias("x"), F.round(numerics.mercator_y(F.col("s_nationkey").cast("double")), 3).alias("y"), F.round(numerics.wrap_longitude(F.col("s_acctbal") / 10), 6).alias("lon"))
 
 
-@query()
-def routed_discharge(spark, sf_dir):
-    """Flows of the nations' networks: orders are the lateral inflow, months of all years the steps."""
-    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
-    rivers = data.rivers(spark, sf_dir)
-    step = ((F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate")).cast("int")
-    inflow = o.join(rivers.select("region", "river"), F.col("o_custkey") == F.col("river")).groupBy("region", "river", step.alias("step")).agg(F.sum("o_totalprice").alias("inflow"))
-    return network.route(inflow, rivers, step_hours=12.0)
-
-
 @query("WITH names AS (SELECT CASE WHEN l_linenumber = 1 THEN 'cf_00_' ELSE 'pf_' || lpad((l_linenumber - 1)::VARCHAR, 2, '0') || '_' END || strftime(l_shipdate, '%Y%m%d') || '.grib' AS name FROM lineitem) SELECT max(regexp_extract(name, '_([0-9]{8})', 1)) AS newest FROM names")
 def latest_initialization(spark, sf_dir):
     return tables.newest(_names(spark, sf_dir))
@@ -382,12 +375,12 @@ def file_names(spark, sf_dir):
     return m.groupBy("m.kind", calendar.member_number(F.col("m.kind"), F.col("m.number")).alias("member")).agg(F.count("*").alias("n"), F.min("m.stamp").alias("oldest"))
 
 
-@query("SELECT DISTINCT o_custkey AS river, year(o_orderdate)::INT AS year FROM orders WHERE 'discharge_era5_' || year(o_orderdate) || '01_' || year(o_orderdate) || '12.zarr' LIKE 'discharge_era5_199%'")
+@query("SELECT DISTINCT o_custkey AS river, year(o_orderdate)::INT AS year FROM orders WHERE 'discharge_era5_' || year(o_orderdate) || '01_' || year(o_orderdate) || '12.zarr' LIKE 'discharge_era5_%'")
 def discharge_files(spark, sf_dir):
     o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
     y = F.date_format("o_orderdate", "yyyy")
     named = o.select(F.col("o_custkey").alias("river"), tables.discharge_name(F.concat(F.lit("discharge_era5_"), y, F.lit("01_"), y, F.lit("12.zarr"))).alias("f"))
-    return named.where("f.year between 1990 and 1999").select("river", F.col("f.year").alias("year")).distinct()
+    return named.where("f.year is not null").select("river", F.col("f.year").alias("year")).distinct()
 
 
 @query(f"WITH {SERIES} SELECT step, count(*) AS n_rivers, round(sum(q::DOUBLE), 2) AS total FROM series GROUP BY step")
@@ -424,11 +417,11 @@ def json_properties(spark, sf_dir):
     return e.groupBy(F.col("user_id").alias("river"), F.from_json("props", "k int")["k"].alias("k")).agg(F.count("*").alias("n"))
 
 
-@query("WITH a AS (SELECT DISTINCT c_nationkey AS region FROM customer WHERE c_acctbal > 9000), b AS (SELECT DISTINCT s_nationkey AS region FROM supplier WHERE s_acctbal > 5000) SELECT region, 'first' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT region, 'second' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
+@query("WITH a AS (SELECT DISTINCT l_partkey AS region FROM lineitem), b AS (SELECT DISTINCT o_custkey AS region FROM orders) SELECT region, 'first' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT region, 'second' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
 def region_differences(spark, sf_dir):
-    a = data.table(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("region")).distinct()
-    b = data.table(spark, sf_dir, "supplier", "s_nationkey", "s_acctbal").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("region")).distinct()
-    return a.join(b, "region", "left_anti").withColumn("side", F.lit("first")).unionByName(b.join(a, "region", "left_anti").withColumn("side", F.lit("second")))
+    """Parts that are sold against customers that order."""
+    a = data.table(spark, sf_dir, "lineitem", "l_partkey").withColumnRenamed("l_partkey", "region")
+    return network.one_sided(a, data.table(spark, sf_dir, "orders", "o_custkey").withColumnRenamed("o_custkey", "region"), "region")
 
 
 @query(f"SELECT l_suppkey AS river, min(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * {STEP}), '%Y-%m-%d %H:%M')) AS first_time, max(strftime(TIMESTAMP '2001-01-01' + to_hours(3 * {STEP}), '%Y-%m-%d %H:%M')) AS last_time, max(3 * {STEP})::INT AS lead_hours FROM lineitem GROUP BY ALL")
@@ -452,10 +445,7 @@ def last_full_month(spark, sf_dir):
 
 @query(f"WITH {RIVERS}, sizes AS (SELECT region, count(*) AS n FROM rivers GROUP BY ALL), placed AS (SELECT region, coalesce(sum(n) OVER (ORDER BY region ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM sizes) SELECT river, region, first + index AS river_index, CASE WHEN next = -1 THEN -1 ELSE next END AS next FROM rivers JOIN placed USING (region)")
 def global_layout(spark, sf_dir):
-    rivers = data.rivers(spark, sf_dir)
-    sizes = rivers.groupBy("region").count()
-    offsets = sizes.select("region", F.coalesce(F.sum("count").over(Window.orderBy("region").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    return rivers.join(F.broadcast(offsets), "region").select("river", "region", (F.col("first") + F.col("index")).alias("river_index"), "next")
+    return network.layout(data.rivers(spark, sf_dir))
 
 
 @query("SELECT s_suppkey AS river, round(6378137.0::DOUBLE * 6378137.0 / 2 * radians(1.0) * (1 - 0.00669437999014) * ((sin(radians(s_nationkey + 1)) / (1 - 0.00669437999014 * pow(sin(radians(s_nationkey + 1)), 2)) - ln((1 - sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey + 1))) / (1 + sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey + 1)))) / (2 * sqrt(0.00669437999014::DOUBLE))) - (sin(radians(s_nationkey)) / (1 - 0.00669437999014 * pow(sin(radians(s_nationkey)), 2)) - ln((1 - sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey))) / (1 + sqrt(0.00669437999014::DOUBLE) * sin(radians(s_nationkey)))) / (2 * sqrt(0.00669437999014::DOUBLE)))) / 1e6, 3) AS area_km2 FROM supplier")
@@ -465,18 +455,10 @@ def box_areas(spark, sf_dir):
     return s.select(F.col("s_suppkey").alias("river"), F.round(numerics.box_area(F.lit(0.0), south, F.lit(1.0), south + 1) / 1e6, 3).alias("area_km2"))
 
 
-@query("SELECT year(l_shipdate)::INT AS year, count(DISTINCT l_suppkey) AS n_rivers, strftime(min(l_shipdate), '%Y-%m-%d') AS first_day, (min(l_shipdate)::DATE <> make_date(year(l_shipdate)::BIGINT, 1, 1)) AS late FROM lineitem GROUP BY year(l_shipdate)")
+@query("SELECT year(l_shipdate)::INT AS year, count(DISTINCT l_suppkey) AS n, strftime(date_trunc('hour', min(l_shipdate)), '%Y-%m-%d %H:%M') AS first, date_trunc('hour', min(l_shipdate)) <> make_timestamp(year(l_shipdate), 1, 1, 0, 0, 0.0) AS late, (date_trunc('hour', min(l_shipdate)) = make_timestamp(year(l_shipdate), 1, 1, 0, 0, 0.0) OR year(l_shipdate) = (SELECT min(year(l_shipdate)) FROM lineitem)) AS allowed FROM lineitem GROUP BY year(l_shipdate)")
 def year_starts(spark, sf_dir):
     """Only the first year of a record may start late."""
-    t = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate")
-    grouped = t.groupBy(F.year("l_shipdate").alias("year")).agg(F.countDistinct("l_suppkey").alias("n_rivers"), F.min("l_shipdate").alias("first"))
-    return grouped.select("year", "n_rivers", day("first").alias("first_day"), (F.to_date("first") != F.make_date("year", F.lit(1), F.lit(1))).alias("late"))
-
-
-@query()
-def routed_state(spark, sf_dir):
-    """The state from which the nations' networks would go on."""
-    return network.final_state(routed_discharge(spark, sf_dir))
+    return network.record_starts(data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate"), "l_suppkey", "l_shipdate").withColumn("first", F.date_format("first", "yyyy-MM-dd HH:mm"))
 
 
 STREAMED = TUMBLING.split("), w AS")[0] + "), w AS (SELECT user_id AS river, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2000-01-01') AS t, avg(value::FLOAT::DOUBLE) AS m, count(value) AS n FROM events GROUP BY ALL) SELECT river, strftime(t, '%Y-%m-%d %H:%M') AS start, " + kb("m") + " AS q, n FROM w WHERE t + INTERVAL 3 HOUR <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events)"
@@ -491,3 +473,120 @@ def streamed_3h_mean(spark, sf_dir):
     root = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
     windows.run_available(windows.windowed_means(named), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("river", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("start"), "q", "n")
+
+
+ALL_REDUCED = f"""{DAYS}, held AS (SELECT *, date_trunc('month', d) AS month, date_trunc('year', d) AS year FROM days WHERE hours > 0), means_of AS (SELECT river, 'daily' AS reduction, d AS start, total / hours AS m, hours FROM held UNION ALL SELECT river, 'monthly', month, sum(total) / sum(hours), sum(hours) FROM held GROUP BY river, month UNION ALL SELECT river, 'yearly', year, sum(total) / sum(hours), sum(hours) FROM held GROUP BY river, year)
+SELECT river, reduction, strftime(start, '%Y-%m-%d') AS day, {kb('m')} AS value, hours::BIGINT AS hours FROM means_of UNION ALL SELECT river, 'max_hourly', strftime(year, '%Y-%m-%d'), max(top), NULL FROM held GROUP BY river, year UNION ALL SELECT river, 'max_daily', strftime(year, '%Y-%m-%d'), max(mean), NULL FROM held GROUP BY river, year"""
+
+
+@query(f"WITH {ALL_REDUCED}")
+def all_reductions(spark, sf_dir):
+    """The five reductions of an hourly series from one day stage."""
+    return reductions.all_reductions(data.hourly(spark, sf_dir)).select("river", "reduction", day("start"), "value", "hours")
+
+
+def _half_plane(name: str, before: str, axis: str, bound: str, sign: str) -> str:
+    other = "y" if axis == "x" else "x"
+    p, q = "p[i]", "p[i % len(p) + 1]"
+    across = f"{p}.{other} + ({bound} - {p}.{axis}) / ({q}.{axis} - {p}.{axis}) * ({q}.{other} - {p}.{other})"
+    point = f"{{'x': {bound}, 'y': {across}}}" if axis == "x" else f"{{'x': {across}, 'y': {bound}}}"
+    a, b = f"{sign}({p}.{axis} - {bound}) >= 0", f"{sign}({q}.{axis} - {bound}) >= 0"
+    return f"{name} AS (SELECT * EXCLUDE (p), flatten(list_transform(range(1, len(p) + 1), lambda i: CASE WHEN {a} AND {b} THEN [{p}] WHEN {a} THEN [{p}, {point}] WHEN {b} THEN [{point}] ELSE [] END)) AS p FROM {before})"
+
+
+_S, _E2 = "tanh(p[i].y / 6378137.0)", "0.00669437999014::DOUBLE"
+_Y = "(6378137.0 / 2 * (1 - {e}) * ({s} / (1 - {e} * {s} * {s}) - ln((1 - sqrt({e}) * {s}) / (1 + sqrt({e}) * {s})) / (2 * sqrt({e}))))".format(s=_S, e=_E2)
+CATCHMENTS = "placed AS (SELECT c_custkey AS river, (c_custkey % 97 + 0.3) * 100000::DOUBLE AS cx, (c_custkey // 97 % 37 + 0.7) * 100000::DOUBLE AS cy, (c_custkey % 7) / 10.0::DOUBLE AS r FROM customer), rings AS (SELECT river, false AS hole, [{'x': cx, 'y': cy}, {'x': cx + 300000, 'y': cy}, {'x': cx + 300000, 'y': cy + 200000}, {'x': cx + 150000, 'y': cy + (0.5 + r) * 100000}, {'x': cx, 'y': cy + 200000}] AS p FROM placed UNION ALL SELECT river, true, [{'x': cx + 25000, 'y': cy + 10000}, {'x': cx + 75000, 'y': cy + 10000}, {'x': cx + 50000, 'y': cy + 40000}] FROM placed)"
+CELLS = "cells AS (SELECT p_partkey AS cell, (p_partkey % 50) * 200000::DOUBLE AS w, (p_partkey // 50) * 200000::DOUBLE AS s, (p_partkey % 50) * 200000::DOUBLE + 200000 AS e, (p_partkey // 50) * 200000::DOUBLE + 200000 AS n FROM part)"
+CUT = f"""{CATCHMENTS}, {CELLS}, met AS (SELECT river, cell, hole, w, s, e, n, p FROM rings JOIN cells ON list_max([c.x for c in p]) > w AND list_min([c.x for c in p]) < e AND list_max([c.y for c in p]) > s AND list_min([c.y for c in p]) < n),
+{_half_plane('c1', 'met', 'x', 'w', '')}, {_half_plane('c2', 'c1', 'x', 'e', '-')}, {_half_plane('c3', 'c2', 'y', 's', '')}, {_half_plane('c4', 'c3', 'y', 'n', '-')},
+projected AS (SELECT river, cell, hole, list_transform(range(1, len(p) + 1), lambda i: {{'x': p[i].x, 'y': {_Y}}}) AS p FROM c4 WHERE len(p) > 2), ringed AS (SELECT river, cell, hole, abs(list_sum(list_transform(range(1, len(p) + 1), lambda i: p[i].x * p[i % len(p) + 1].y - p[i % len(p) + 1].x * p[i].y))) / 2 AS area FROM projected),
+cut_pieces AS (SELECT river, cell, sum(CASE WHEN hole THEN -area ELSE area END) AS area FROM ringed GROUP BY ALL HAVING sum(CASE WHEN hole THEN -area ELSE area END) > 0)"""
+
+
+def _catchments(spark, sf_dir):
+    """A concave catchment with a hole for each customer, on a grid of cells from parts."""
+    c = data.table(spark, sf_dir, "customer", "c_custkey")
+    x = (F.col("c_custkey") % 97 + 0.3) * 100000.0
+    y = (F.floor(F.col("c_custkey") / 97) % 37 + 0.7) * 100000.0
+    r = (F.col("c_custkey") % 7) / 10.0
+    ring = lambda hole, *ps: F.struct(F.lit(hole).alias("hole"), F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in ps]).alias("points"))
+    outer = ring(False, (F.lit(0.0), F.lit(0.0)), (F.lit(300000.0), F.lit(0.0)), (F.lit(300000.0), F.lit(200000.0)), (F.lit(150000.0), (r + 0.5) * 100000.0), (F.lit(0.0), F.lit(200000.0)))
+    return c.select(F.col("c_custkey").alias("river"), F.array(outer, ring(True, (F.lit(25000.0), F.lit(10000.0)), (F.lit(75000.0), F.lit(10000.0)), (F.lit(50000.0), F.lit(40000.0)))).alias("rings"))
+
+
+def _cells(spark, sf_dir):
+    w, s = (F.col("p_partkey") % 50) * 200000.0, F.floor(F.col("p_partkey") / 50) * 200000.0
+    return data.table(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").alias("cell"), w.alias("west"), s.alias("south"), (w + 200000.0).alias("east"), (s + 200000.0).alias("north"))
+
+
+@query(f"WITH {CUT} SELECT river, cell, round(area / 1e6, 3) AS area_km2 FROM cut_pieces WHERE round(area / 1e6, 3) > 0")
+def polygon_weights(spark, sf_dir):
+    """Areas on the ellipsoid of catchments cut by grid cells."""
+    found = polygons.pieces(_catchments(spark, sf_dir), _cells(spark, sf_dir), 200000.0)
+    return found.select("river", "cell", F.round(F.col("area") / 1e6, 3).alias("area_km2")).where("area_km2 > 0")
+
+
+@query(f"WITH {CUT} SELECT river, cell, (round(area / 1e6, 3) / sum(round(area / 1e6, 3)) OVER (PARTITION BY river))::FLOAT AS proportion, row_number() OVER (PARTITION BY river ORDER BY round(area / 1e6, 3) DESC, cell)::INT AS place FROM cut_pieces WHERE round(area / 1e6, 3) > 0")
+def polygon_proportions(spark, sf_dir):
+    """The weight table of polygons: shares of a river's cells, largest first."""
+    found = polygon_weights(spark, sf_dir).withColumnRenamed("area_km2", "area")
+    return weights.proportions(found).join(weights.ranked(found).select("river", "cell", "place"), ["river", "cell"]).select("river", "cell", "proportion", "place")
+
+
+@query(f"WITH {CATCHMENTS}, {CELLS}, b AS (SELECT river, list_min([c.x for c in p]) AS w, list_min([c.y for c in p]) AS s, list_max([c.x for c in p]) AS e, list_max([c.y for c in p]) AS n FROM rings WHERE NOT hole), g AS (SELECT min(w) AS w, min(s) AS s, max(e) AS e, max(n) AS n FROM cells) SELECT s_suppkey AS river, 'no river' AS fault FROM supplier WHERE false UNION ALL SELECT river, 'no river' FROM b WHERE river NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT river, 'outside' FROM b, g WHERE b.w < g.w OR b.s < g.s OR b.e > g.e OR b.n > g.n")
+def catchment_faults(spark, sf_dir):
+    """Catchments of customers against the rivers of suppliers and the grid of parts."""
+    rivers = data.table(spark, sf_dir, "supplier", "s_suppkey").withColumnRenamed("s_suppkey", "river")
+    return polygons.catchment_faults(_catchments(spark, sf_dir), rivers, _cells(spark, sf_dir))
+
+
+@query("WITH s AS (SELECT o_orderkey AS id, (o_orderkey * 37) % 20000 AS a, (o_orderkey * 37) % 20000 + o_custkey % 90 AS b FROM orders), t AS (SELECT p_partkey AS id, p_partkey * 10 AS a, p_partkey * 10 + p_size AS b FROM part) SELECT s.id AS segment, t.id AS block, greatest(s.a, t.a)::BIGINT AS first, least(s.b, t.b)::BIGINT AS \"end\" FROM s JOIN t ON s.a < t.b AND s.b > t.a AND s.a < s.b AND t.a < t.b")
+def segment_overlap(spark, sf_dir):
+    """Segments of a record against the blocks that hold it."""
+    o, p = data.table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), data.table(spark, sf_dir, "part", "p_partkey", "p_size")
+    a = (F.col("o_orderkey") * 37) % 20000
+    segments = o.select(F.col("o_orderkey").alias("id"), a.alias("first"), (a + F.col("o_custkey") % 90).alias("end"))
+    blocks = p.select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 10).alias("first"), (F.col("p_partkey") * 10 + F.col("p_size")).cast("long").alias("end"))
+    return weights.interval_overlaps(segments, blocks, 64)
+
+
+@query("SELECT p_brand AS axis, (p_size * 7.5)::DOUBLE AS center, count(*) AS n FROM part GROUP BY ALL HAVING count(*) > 1")
+def repeated_coordinates(spark, sf_dir):
+    return weights.repeated_coordinates(data.table(spark, sf_dir, "part", "p_brand", "p_size").select(F.col("p_brand").alias("axis"), (F.col("p_size") * 7.5).alias("center")))
+
+
+@query("SELECT p_brand AS axis, p_partkey AS i, round((p_partkey * 7.5 + 180) % 360 - 180, 6)::DOUBLE AS shifted, (row_number() OVER (PARTITION BY p_brand ORDER BY (p_partkey * 7.5 + 180) % 360 - 180, p_partkey) - 1)::INT AS place FROM part")
+def ordered_axis(spark, sf_dir):
+    p = data.table(spark, sf_dir, "part", "p_brand", "p_partkey").select(F.col("p_brand").alias("axis"), F.col("p_partkey").alias("i"), (F.col("p_partkey") * 7.5).alias("center"))
+    return weights.ordered_axis(p).withColumn("shifted", F.round("shifted", 6))
+
+
+@query("SELECT l_orderkey AS region, l_linenumber AS place, l_partkey AS part, l_returnflag AS key FROM lineitem QUALIFY lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag) IS DISTINCT FROM l_returnflag")
+def run_starts(spark, sf_dir):
+    """Where the flag changes along the lines of an order."""
+    t = data.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").toDF("region", "place", "part", "key")
+    return weights.run_starts(t, "region", ("place", "part", "key"), "key")
+
+
+@query("SELECT o_custkey AS region, count(DISTINCT year(o_orderdate))::INT AS n, string_agg(DISTINCT year(o_orderdate)::VARCHAR, ',' ORDER BY year(o_orderdate)::VARCHAR) AS years FROM orders GROUP BY ALL HAVING count(DISTINCT year(o_orderdate)) > 1")
+def uneven_years(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate").select(F.col("o_custkey").alias("region"), F.year("o_orderdate").cast("string").alias("year"))
+    return network.uneven(o, "region", "year").select("region", "n", F.array_join("values", ",").alias("years"))
+
+
+@query("WITH years AS (SELECT DISTINCT o_custkey AS region, year(o_orderdate)::INT AS year FROM orders), states AS (SELECT DISTINCT o_custkey AS region, year(o_orderdate)::INT AS year FROM orders WHERE o_orderstatus = 'F'), every AS (SELECT y.*, s.region IS NOT NULL AS finished, lead(y.year) OVER (PARTITION BY y.region ORDER BY y.year) - y.year AS gap FROM years y LEFT JOIN states s USING (region, year)), r AS (SELECT region, min(year) AS first, least(min(year) FILTER (NOT finished), min(year + 1) FILTER (gap > 1), max(year) + 1) AS resume FROM every GROUP BY region) SELECT region, (resume - first)::INT AS done, resume::INT AS resume FROM r")
+def resume_years(spark, sf_dir):
+    """Customers' years with orders; a finished order stands for the saved state of a year."""
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_orderstatus").select(F.col("o_custkey").alias("region"), F.year("o_orderdate").alias("year"), "o_orderstatus")
+    return network.resume_after(o, o.where("o_orderstatus = 'F'"))
+
+
+@query("SELECT o_orderkey AS id, strftime(TIMESTAMP '1940-01-01' + to_days(o_orderkey % 30000), '%Y-%m-%d %H:%M:%S') AS by_day, strftime(TIMESTAMP '1990-06-01 06:00:00' + to_minutes(o_orderkey), '%Y-%m-%d %H:%M:%S') AS by_minute, strftime(TIMESTAMP '1970-01-01' + to_seconds(o_custkey), '%Y-%m-%d %H:%M:%S') AS by_second, o_orderdate = date_trunc('day', o_orderdate) AS midnight FROM orders")
+def decoded_units(spark, sf_dir):
+    o = data.table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    at = lambda c, units: F.date_format(calendar.decode_times(c, units), "yyyy-MM-dd HH:mm:ss")
+    return o.select(
+        F.col("o_orderkey").alias("id"), at(F.col("o_orderkey") % 30000, "days since 1940-01-01").alias("by_day"), at(F.col("o_orderkey"), "minutes since 1990-06-01 06:00").alias("by_minute"),
+        at(F.col("o_custkey"), "seconds since 1970-01-01").alias("by_second"), calendar.is_midnight(F.col("o_orderdate").cast("timestamp")).alias("midnight"),
+    )

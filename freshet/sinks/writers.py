@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-import os
+import uuid
 import zlib
-from pathlib import Path
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.functions.numerics import NO_DATA, STYLE_PERIODS, THICKNESS_EDGES
+from freshet.functions.numerics import KEEP_BITS, NO_DATA, STYLE_PERIODS, THICKNESS_EDGES
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -65,28 +67,130 @@ def write_alerts(alerts: DataFrame, path: str) -> None:
     alerts.orderBy("riverIndex").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_styles(deltas: DataFrame, directory: str, styleset: str, start: str, timestamps: list[str], step_hours: int = 3, description: str = "") -> None:
-    """One styleset: styles.bin (deltas in river and step order, one zlib stream) and styles.json.
+# Names of the header's entries, the stylesets there are, the encoding that readers expect.
+STYLESETS = ("timeseries", "max-flow", "time-to-peak", "below-q95")
+ENCODING = "uint8 (n_reaches, n_steps) C order, delta along steps modulo 256, zlib"
+#: Rivers that a task packs, and the factor and modulus by which checksums of packed parts are put together.
+RIVERS_A_PART, ADLER = 100_000, 65521
 
-    The stream is sequential by format; rows come partition by partition, so the driver holds one at a time.
+
+def _packed_parts(steps: int):
+    """Deflates the delta bytes of a partition, ending on a byte so that parts can follow one another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, check, rivers, out, first = zlib.compressobj(6, zlib.DEFLATED, -15), 1, 0, [], None
+        for batch in batches:
+            lists = batch.column(1)
+            if any(n != steps for n in lists.value_lengths().to_pylist()):
+                raise ValueError(f"a river has other than {steps} steps")
+            raw = lists.flatten().to_numpy().astype(np.uint8).tobytes()
+            first = batch.column(0)[0].as_py() if first is None and batch.num_rows else first
+            check, rivers = zlib.adler32(raw, check), rivers + batch.num_rows
+            out.append(packer.compress(raw))
+        if rivers:
+            out.append(packer.flush(zlib.Z_FULL_FLUSH))
+            yield pa.RecordBatch.from_pydict({"first": pa.array([first], pa.int64()), "rivers": pa.array([rivers], pa.int64()), "adler": pa.array([check], pa.int64()), "packed": pa.array([b"".join(out)], pa.binary())})
+
+    return run
+
+
+def _joined_check(one: int, other: int, length: int) -> int:
+    """The Adler-32 checksum of two runs of bytes from theirs; ``length`` is that of the second."""
+    low = ((one & 0xFFFF) + (other & 0xFFFF) - 1) % ADLER
+    high = ((one >> 16) + (other >> 16) + length % ADLER * ((one & 0xFFFF) - 1)) % ADLER
+    return high << 16 | low
+
+
+class _Commit:
+    """A file of any Hadoop file system that appears under its name only when it is whole."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm.org.apache.hadoop.fs
+        self.path, self.draft = jvm.Path(path), jvm.Path(f"{path}.{uuid.uuid4().hex}")
+        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def __enter__(self):
+        self.out = self.fs.create(self.draft, True)
+        return self.out
+
+    def __exit__(self, failure, *_) -> None:
+        self.out.close()
+        if failure is None:
+            self.fs.delete(self.path, False)
+            self.fs.rename(self.draft, self.path)
+        else:
+            self.fs.delete(self.draft, False)
+
+
+def write_styles(deltas: DataFrame, directory: str, styleset: str, start: str, timestamps: list[str], step_hours: int = 3, description: str = "", by_part: int = RIVERS_A_PART) -> None:
+    """One styleset in a folder of any file system: delta bytes by river as one zlib stream, and a JSON header.
+
+    ``deltas`` is (river, deltas array<int>), as ``thresholds.stylesets`` makes it. Tasks deflate ranges of rivers; the
+    driver only strings packed parts together, one at a time. A styleset that does not exist, or a river with
+    another number of steps, is an error, and nothing appears.
     """
-    base = Path(directory)
-    base.mkdir(parents=True, exist_ok=True)
-    packer, rivers, count = zlib.compressobj(level=6), 0, len(timestamps)
-    packed = deltas.groupBy("river").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "delta"))), lambda x: x["delta"]).alias("d"))
-    partial = base / "styles.partial.bin"
-    with open(partial, "wb") as out:
-        for row in packed.orderBy("river").toLocalIterator():
-            if len(row["d"]) != count:
-                raise ValueError(f"river {row['river']} has {len(row['d'])} steps, not {count}")
-            out.write(packer.compress(bytes(row["d"])))
-            rivers += 1
-        out.write(packer.flush())
-    os.replace(partial, base / "styles.bin")
-    header = {
-        "styleset": styleset, "description": description, "initialization_time": start, "n_reaches": rivers, "n_steps": count, "step_hours": step_hours, "timestamps": timestamps,
-        "ret_per_values": [0, *map(int, STYLE_PERIODS)], "thickness_edges": list(THICKNESS_EDGES), "no_data": NO_DATA, "encoding": "uint8 (n_reaches, n_steps) C order, delta along steps modulo 256, zlib",
-    }
-    partial = base / "styles.partial.json"
-    partial.write_text(json.dumps(header, indent=1))
-    os.replace(partial, base / "styles.json")
+    if styleset not in STYLESETS:
+        raise ValueError(f"no such styleset: {styleset}")
+    spark, count = deltas.sparkSession, len(timestamps)
+    ranges = max(1, -(-deltas.count() // by_part))
+    rows = deltas.select(F.col("river").cast("long"), F.col("deltas").cast("array<int>")).repartitionByRange(ranges, "river").sortWithinPartitions("river")
+    parts = rows.mapInArrow(_packed_parts(count), "first long, rivers long, adler long, packed binary").orderBy("first")
+    rivers, check = 0, 1
+    with _Commit(spark, f"{directory}/styles.bin") as out:
+        out.write(bytearray(b"\x78\x9c"))
+        for part in parts.toLocalIterator():
+            out.write(bytearray(part["packed"]))
+            check, rivers = _joined_check(check, part["adler"], part["rivers"] * count), rivers + part["rivers"]
+        out.write(bytearray(b"\x03\x00" + check.to_bytes(4, "big")))
+    about = {"styleset": styleset, "description": description, "initialization_time": start, "n_reaches": rivers, "n_steps": count}
+    classes = {"ret_per_values": [0, *map(int, STYLE_PERIODS)], "thickness_edges": list(THICKNESS_EDGES), "no_data": NO_DATA}
+    header = about | {"step_hours": step_hours, "timestamps": timestamps} | classes | {"encoding": ENCODING}
+    with _Commit(spark, f"{directory}/styles.json") as out:
+        out.write(bytearray(json.dumps(header, indent=1).encode()))
+
+
+# Fixed value: the record before this day is history, which an append never writes again.
+SPLIT_DATE = "2025-01-01"
+
+
+def write_record(df: DataFrame, path: str, ts: str = "ts", split: str = SPLIT_DATE) -> None:
+    """A record in two parts, history and tail. History is written once; later calls replace only the tail."""
+    parted = df.withColumn("era", F.when(F.col(ts) < F.lit(split).cast("timestamp"), "history").otherwise("tail"))
+    for era in ("history", "tail"):
+        own = parted.where(F.col("era") == era).drop("era").sortWithinPartitions("river", ts)
+        if era == "tail":
+            own.write.mode("overwrite").parquet(f"{path}/era={era}")
+        else:
+            write_once(own, f"{path}/era={era}")
+
+
+def described(df: DataFrame, notes: dict[str, dict]) -> DataFrame:
+    """``df`` with notes on its columns (units, provenance); Parquet keeps them in the schema."""
+    return df.select(*[F.col(c).alias(c, metadata=notes[c]) if c in notes else F.col(c) for c in df.columns])
+
+
+def create_store(spark: SparkSession, table: str, columns: str, partitions: tuple[str, ...] = (), attributes: dict[str, str] | None = None, location: str | None = None) -> None:
+    """An empty table with its columns, partitions and attributes; one that exists is an error."""
+    quoted = lambda x: "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    ddl = f"CREATE TABLE {table} ({columns}) USING parquet"
+    if partitions:
+        ddl += f" PARTITIONED BY ({', '.join(partitions)})"
+    if location:
+        ddl += f" LOCATION {quoted(location)}"
+    if attributes:
+        ddl += f" TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in attributes.items())})"
+    spark.sql(ddl)
+
+
+# Columns of the published stores, and what their partitions are.
+STORES = {
+    "retrospective": ("riverId INT COMMENT 'river', time INT COMMENT 'hours since the first', Q FLOAT COMMENT 'm3 s-1', year INT", ("year",)),
+    "forecast": ("riverId INT, member INT, time INT, Q FLOAT COMMENT 'm3 s-1', year INT, month INT, day INT", ("year", "month", "day")),
+    "return_periods": ("riverId INT, distribution STRING, series STRING, recurrence_interval FLOAT COMMENT 'years', flow FLOAT COMMENT 'm3 s-1'", ("distribution", "series")),
+}
+
+
+def create_named_store(spark: SparkSession, kind: str, table: str, title: str, location: str | None = None) -> None:
+    """One of the published stores, empty, with its title and rounding among its properties."""
+    columns, partitions = STORES[kind]
+    create_store(spark, table, columns, partitions, {"title": title, "keepbits": str(KEEP_BITS), "dimension": "riverId"}, location)

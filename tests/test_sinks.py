@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from freshet.operators import thresholds
 from freshet.sinks import writers
 from freshet.sources import tables
 from freshet.streaming import windows
@@ -25,15 +26,54 @@ def test_only_the_tail_is_replaced(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 99]
 
 
-def test_styles(spark, tmp_path):
-    deltas = spark.createDataFrame([(r, s, (r * 7 + s) % 256) for r in range(5) for s in range(3)], "river int, step int, delta int")
-    writers.write_styles(deltas, str(tmp_path), "timeseries", "2024-01-01T00:00:00Z", ["a", "b", "c"])
+@pytest.mark.parametrize("by_part", [100_000, 2, 1])
+def test_styles(spark, tmp_path, by_part):
+    deltas = spark.createDataFrame([(r, [(r * 7 + s) % 256 for s in range(3)]) for r in (3, 0, 4, 1, 2)], "river int, deltas array<int>")
+    writers.write_styles(deltas, str(tmp_path), "timeseries", "2024-01-01T00:00:00Z", ["a", "b", "c"], by_part=by_part)
     raw = zlib.decompress((tmp_path / "styles.bin").read_bytes())
     assert list(raw) == [(r * 7 + s) % 256 for r in range(5) for s in range(3)]
     head = json.loads((tmp_path / "styles.json").read_text())
     assert head["n_reaches"] == 5 and head["n_steps"] == 3 and head["ret_per_values"] == [0, 2, 5, 10, 25, 50, 100]
-    with pytest.raises(ValueError):
-        writers.write_styles(deltas, str(tmp_path), "timeseries", "x", ["a"])
+    with pytest.raises(ValueError, match="styleset"):
+        writers.write_styles(deltas, str(tmp_path), "other", "x", ["a", "b", "c"])
+    with pytest.raises(Exception, match="steps"):
+        writers.write_styles(deltas, str(tmp_path / "new"), "timeseries", "x", ["a"])
+    assert not (tmp_path / "new" / "styles.bin").exists()
+    writers.write_styles(deltas.limit(0), str(tmp_path), "max-flow", "x", ["a"])
+    assert zlib.decompress((tmp_path / "styles.bin").read_bytes()) == b""
+
+
+def test_stylesets(spark):
+    median = spark.createDataFrame([(1, 0, 1.0), (1, 1, 50.0), (1, 2, 50.0), (2, 0, 0.0), (2, 1, 0.0)], "river int, step int, q float")
+    levels = spark.createDataFrame([(1, [2.0, 40.0, 60.0])], "river int, thresholds array<float>")
+    low = spark.createDataFrame([(1, 2.0)], "river int, q95 float")
+    got = {(r.river, r.styleset): (r.codes, r.deltas) for r in thresholds.stylesets(median, levels, low).collect()}
+    assert got[1, "timeseries"] == ([1, 2 * 8 + 2, 2 * 8 + 2], [1, 17, 0]) and got[1, "max-flow"][0] == [18]
+    assert got[1, "time-to-peak"][0] == [1] and got[1, "below-q95"][0] == [1]
+    assert got[2, "time-to-peak"][0] == [255] and got[2, "below-q95"][0] == [255] and got[2, "timeseries"] == ([0, 0], [0, 0])
+    with pytest.raises(ValueError, match="styleset"):
+        thresholds.stylesets(median, levels, low, ("max-flow", "nothing"))
+
+
+def test_history_is_written_once(spark, tmp_path):
+    rows = lambda q: spark.sql(f"select 1 river, timestamp'2024-12-31 23:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) ts, cast({q} as float) q from range(3)")
+    path = str(tmp_path / "r")
+    writers.write_record(rows(1), path)
+    writers.write_record(rows(2), path)
+    assert sorted((r.era, r.q) for r in spark.read.parquet(path).collect()) == [("history", 1.0), ("tail", 2.0), ("tail", 2.0)]
+
+
+def test_notes_and_stores(spark, tmp_path):
+    writers.described(spark.sql("select 1 river, 2.0 q"), {"q": {"units": "m3 s-1"}}).write.parquet(str(tmp_path / "n"))
+    assert spark.read.parquet(str(tmp_path / "n")).schema["q"].metadata == {"units": "m3 s-1"}
+    for kind in writers.STORES:
+        writers.create_named_store(spark, kind, f"store_{kind}", "River's record", str(tmp_path / kind))
+        assert spark.table(f"store_{kind}").count() == 0
+        facts = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES store_{kind}").collect()}
+        assert facts["title"] == "River's record" and facts["keepbits"] == "13"
+        with pytest.raises(PySparkException):
+            writers.create_named_store(spark, kind, f"store_{kind}", "again", str(tmp_path / kind))
+        spark.sql(f"DROP TABLE store_{kind}")
 
 
 def test_global_needs_every_region(spark, tmp_path):
