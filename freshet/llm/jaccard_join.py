@@ -75,12 +75,15 @@ def _described(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in small_batches(batches, 1):
-            rows = []
+            rows, sets = [], [np.empty(0, np.uint64)]
             for text in text_bytes(batch.column(1)):
                 words = ascii_words(text)
                 hashes = shingle_set(words, width)
                 rows.append((*digest128(b" ".join(words)), len(hashes), bitmap(hashes)))
-                np.add.at(sketch, _bucket(hashes), 1)
+                sets.append(hashes)
+            buckets = np.sort(_bucket(np.concatenate(sets)))
+            first = np.flatnonzero(np.diff(buckets, prepend=-1))
+            sketch[buckets[first]] += np.diff(first, append=len(buckets)).astype(np.uint32)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],

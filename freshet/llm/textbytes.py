@@ -7,9 +7,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-#: Odd number whose powers set the places of a shingle apart; words whose hashes a worker remembers.
+#: Odd number whose powers set the places of a shingle apart.
 _FACTOR = 0x9E3779B97F4A7C15
-MEMO_WORDS = 300_000
 
 
 def text_bytes(column) -> list[bytes]:
@@ -49,19 +48,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_memo = WordHashes()
-
-
 def shingle_set(words: list[bytes], width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles.
 
@@ -70,7 +56,7 @@ def shingle_set(words: list[bytes], width: int = 5) -> np.ndarray:
     """
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(width, len(words))
     n = len(words) - width + 1
     out = np.full(n, width, np.uint64)
@@ -78,7 +64,9 @@ def shingle_set(words: list[bytes], width: int = 5) -> np.ndarray:
     for i in range(width):
         out += hashes[i : i + n] * np.uint64(factor)
         factor = factor * _FACTOR % 2**64
-    return np.unique(mix64(out))
+    out = mix64(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def digest128(text: bytes) -> tuple[int, int]:
