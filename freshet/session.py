@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,9 +23,15 @@ _folders: dict[str, str] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A folder that all executors share: that of spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share. Where that is unset, a temporary one
+    serves a local master, whose executors are the driver's process; on a cluster it is an error."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
-    return "file://" + _folders.setdefault(app, _folders.get(app) or tempfile.mkdtemp(prefix="freshet-"))
+    if app not in _folders:
+        _folders[app] = tempfile.mkdtemp(prefix="freshet-")
+        atexit.register(shutil.rmtree, _folders[app], ignore_errors=True)
+    return "file://" + _folders[app]
