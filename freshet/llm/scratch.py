@@ -2,31 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_roots: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``. Where that is unset, a temporary folder serves a local master
-    (driver and executors are one process there); on a cluster it is an error."""
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_roots:
-        _own_roots[app] = tempfile.mkdtemp(prefix="freshet-")
-        atexit.register(shutil.rmtree, _own_roots[app], ignore_errors=True)
-    return "file://" + _own_roots[app]
+from freshet.session import scratch_folder
 
 
 class Scratch:
@@ -34,7 +14,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{scratch_root(spark)}/freshet-{uuid.uuid4().hex}"
+        self.root = f"{scratch_folder(spark)}/freshet-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
