@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.numerics import keepbits
@@ -195,5 +195,12 @@ def both_series(annual: DataFrame) -> DataFrame:
     return annual.select("river", "year", named).select("river", "s.series", "year", F.when(~F.isnan(q), q).otherwise(F.raise_error(F.lit("NaN among maxima")).cast("float")).alias("q"))
 
 
+def falls(curves: DataFrame) -> DataFrame:
+    """(river, n_intervals, n_falls): how often a river's flow falls though the interval grows; 0 in a valid curve."""
+    before = F.lag("flow").over(Window.partitionBy("river").orderBy("recurrence_interval"))
+    marked = curves.withColumn("_falls", F.coalesce((F.col("flow") < before).cast("int"), F.lit(0)))
+    return marked.groupBy("river").agg(F.count("flow").alias("n_intervals"), F.sum("_falls").alias("n_falls"))
+
+
 def largest(maxima: DataFrame) -> DataFrame:
     return maxima.groupBy("river").agg(F.max("q").alias("max_simulated"))

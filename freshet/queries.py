@@ -590,3 +590,9 @@ def decoded_units(spark, sf_dir):
         F.col("o_orderkey").alias("id"), at(F.col("o_orderkey") % 30000, "days since 1940-01-01").alias("by_day"), at(F.col("o_orderkey"), "minutes since 1990-06-01 06:00").alias("by_minute"),
         at(F.col("o_custkey"), "seconds since 1970-01-01").alias("by_second"), calendar.is_midnight(F.col("o_orderdate").cast("timestamp")).alias("midnight"),
     )
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE}, c AS (SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve), l AS (SELECT *, lag(flow) OVER (PARTITION BY river ORDER BY recurrence_interval) AS before FROM c) SELECT river, count(flow) AS n_intervals, count(*) FILTER (flow < before) AS n_falls FROM l GROUP BY ALL")
+def falling_curves(spark, sf_dir):
+    """Whether the flows of a curve ascend with their intervals."""
+    return frequency.falls(return_periods_gumbel(spark, sf_dir))

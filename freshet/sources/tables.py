@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.numerics import null_nan
@@ -18,6 +18,26 @@ def scan(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return table.select(*[null_nan(F.col(c)).alias(c) if t in ("float", "double") else F.col(c) for c, t in table.dtypes])
 
 
+def year_source(spark: SparkSession, root: str, year: int) -> DataFrame:
+    """The table of a year: the folder year=<year> of ``root``, else its file <year>.parquet; neither is an error."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for path in (f"{root}/year={year}", f"{root}/{year}.parquet"):
+        target = jvm.Path(path)
+        if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+            return spark.read.parquet(path)
+    raise FileNotFoundError(f"no runoff of {year} in {root}")
+
+
+def open_members(spark: SparkSession, paths: list[str], axis: str = "step") -> DataFrame:
+    """The tables of all members, each in a folder member=<number>, with that number as a column. Members whose
+    ``axis`` is not that of the others raise an error when they are read."""
+    table = spark.read.parquet(*paths).withColumn("member", F.regexp_extract(F.col("_metadata.file_path"), r"member=(\d+)", 1).cast("int"))
+    axes = table.groupBy("member").agg(F.array_sort(F.collect_set(axis)).alias("_axis"))
+    same = F.size(F.collect_set("_axis").over(Window.partitionBy(F.lit(0)))) == 1  # a row a member
+    checked = axes.select("member", F.when(same, True).otherwise(F.raise_error(F.lit(f"members differ in {axis}")).cast("boolean")).alias("_same"))
+    return table.join(F.broadcast(checked), "member").where("_same").drop("_same")
+
+
 def regions(table: DataFrame, only: list[str] | None = None) -> DataFrame:
     """Distinct regions but the global one; an unknown wanted region is an error."""
     found = table.select(F.col("region").cast("string").alias("region")).distinct().where("region <> 'global'")

@@ -112,6 +112,21 @@ def test_scans_and_names(spark, tmp_path):
     assert tables.packed_series(tables.long_series(packed)).first().q == [3.0, 1.0, 2.0]
 
 
+def test_members_and_years(spark, tmp_path):
+    for m in (0, 1):
+        spark.range(3).selectExpr("cast(id as int) step", f"float({m}) q").write.parquet(str(tmp_path / f"member={m}"))
+    paths = [str(tmp_path / f"member={m}") for m in (0, 1)]
+    assert sorted((r.member, r.q) for r in tables.open_members(spark, paths).where("step = 2").collect()) == [(0, 0.0), (1, 1.0)]
+    spark.range(2).selectExpr("cast(id as int) step", "float(2) q").write.parquet(str(tmp_path / "member=2"))
+    with pytest.raises(PySparkException, match="step"):
+        tables.open_members(spark, [*paths, str(tmp_path / "member=2")]).collect()
+    spark.range(1).write.parquet(str(tmp_path / "r" / "year=2001"))
+    spark.range(2).write.parquet(str(tmp_path / "r" / "2002.parquet"))
+    assert tables.year_source(spark, str(tmp_path / "r"), 2001).count() == 1 and tables.year_source(spark, str(tmp_path / "r"), 2002).count() == 2
+    with pytest.raises(FileNotFoundError):
+        tables.year_source(spark, str(tmp_path / "r"), 2003)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from freshet.operators import reductions
 
