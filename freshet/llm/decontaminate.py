@@ -118,8 +118,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` (all columns) without the words of benchmark windows: from the first letter of a run
-    of hit words to the last, text is taken out. Texts without hits stay as they are; null stays null."""
+    """The rows of ``docs`` (all columns) without the words of benchmark windows: each window goes from the first
+    letter of its first word to the last letter of its last. Texts without hits stay as they are; null stays null."""
     hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
     names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size", "hit_spans")]
     found = hits.groupBy("id", "hash", "size").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("spans")).toDF(*names)

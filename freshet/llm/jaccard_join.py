@@ -316,8 +316,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Texts link when 100 * intersection >= percent * union of their sets of ``width``-word shingles; a text
     of fewer words is one shingle. Null text, or text without words, has an empty set and links with
     nothing: its component is its own id. Equal texts are one node, so rows may repeat, ids included; a
-    null id is never a component's id while another is there. An empty table gives no rows. Other columns
-    are not read.
+    null id is never a component's id while another is there. Where texts share an id, two components may be
+    named by one id: pass an id that tells them apart. Very long texts are read whole, one by one. An empty
+    table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)

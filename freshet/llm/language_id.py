@@ -31,7 +31,8 @@ def normalise(text: bytes) -> bytes:
 
 
 def train(labelled: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
-    """The trees of all languages as tables, from columns text and lang; rows with a null in either are not used."""
+    """The trees of all languages as tables, from columns text and lang; rows with a null in either are not used.
+    Repeated rows count each time; texts of any length are counted whole, in pieces of bounded size."""
     labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
     scratch = Scratch(labelled.sparkSession)
     shares = scratch.save(labelled.groupBy("lang").count(), "shares")
@@ -60,7 +61,7 @@ def _lengths(codes: DataFrame, langs: DataFrame, model: dict) -> DataFrame:
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """One row per input row: id, lang_pred, score (posterior probability among all languages). Null text, or
     text without a letter, gives ``und`` and score 0; equal code lengths go to the first language by name;
-    an empty table gives no rows.
+    an empty table gives no rows. Very long texts are coded whole. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)

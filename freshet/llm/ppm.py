@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from freshet.llm.scratch import Scratch
 
 #: Bytes handled at once by the array code, and rows of partial counts kept before they are merged.
-WINDOW = 2 << 20
-MERGE_ROWS = 3_000_000
+WINDOW = 1 << 20
+MERGE_ROWS = 1_500_000
 
 
 def _streams(texts: Iterable[bytes], order: int) -> Iterator[tuple[bytes, np.ndarray]]:

@@ -44,7 +44,7 @@ def test_power():
     assert mixing.weights_at([5], 0.3) == [1.0]
 
 
-def test_mixed(spark):
+def test_mixed(spark, monkeypatch):
     rng = random.Random(1)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 40)), "big" if i % 10 < 7 else "mid" if i % 10 < 9 else "small", 3, 4) for i in range(600)]
     rows += [(1000, None, "big", 1, 1), (1001, "", "none", 1, 1), (1002, "a b", None, 1, 1), (1003, "c d", "", 1, 1), (0, rows[0][1], "big", 3, 4)]
@@ -67,8 +67,10 @@ def test_mixed(spark):
         assert want - 45 <= drawn[s] <= want + 1e-6 * total
         copies = {r.copies for r in out if r.source == s}
         assert copies <= {math.floor(want / have[s]), math.floor(want / have[s]) + 1}
-    again = {(r.doc_id, r.text): r.copies for r in mixing.mixed(docs.repartition(5), mix).collect()}
-    assert again == {(r.doc_id, r.text): r.copies for r in out}
+    for most in (mixing.MAX_BLOCKS, 0):  # blocks are broadcast, or joined
+        monkeypatch.setattr(mixing, "MAX_BLOCKS", most)
+        again = {(r.doc_id, r.text): r.copies for r in mixing.mixed(docs.repartition(5), mix).collect()}
+        assert again == {(r.doc_id, r.text): r.copies for r in out}
     assert mixing.mixed(docs.limit(0), mix).count() == 0
 
 

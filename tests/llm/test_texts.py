@@ -248,6 +248,13 @@ def test_license_scan(spark):
     assert license_scan.scan(docs.withColumnRenamed("word", "digest").withColumnRenamed("source", "license"), known).count() == len(texts)
 
 
+def test_known_digests_are_joined_when_there_are_many(spark, monkeypatch):
+    docs = frame(spark, [license_texts.MIT, "Licensed under the MIT License.\nmore", None])
+    want = sorted(map(tuple, license_scan.scan(docs, license_scan.known_licenses(spark)).collect()))
+    monkeypatch.setattr(license_scan, "MAX_KNOWN", 3)
+    assert sorted(map(tuple, license_scan.scan(docs, license_scan.known_licenses(spark)).collect())) == want
+
+
 def test_whole_licenses_however_wrapped(spark):
     """Every known text matches below its title and owner, wrapped to any width, in capitals, with other spellings."""
     head = "\n\nCopyright (c) 1999-2021, Some Owner <mail@example.org>\n(C) 2022 Another One\nAll rights reserved.\n\n"
@@ -531,6 +538,10 @@ def test_queries_without_sql(spark, name):
         want = brute.base_score([t for _, t in docs], [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in docs])
         for (i, _), (n, known, total, base) in zip(docs, want):
             assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total) and got[i].base_score == pytest.approx(base)
+        coded = {i: " ".join(brute.ascii_words(t)).replace("\0", "\1").encode().decode("latin-1") for i, t in docs}
+        bits = plain_ppm([t for i, t in coded.items() if zlib.crc32(str(i).encode()) % 7 != 2], lm_score.ORDER)
+        for i in sorted(coded, key=lambda i: len(coded[i]))[:150]:
+            assert got[i].score == pytest.approx(-bits(coded[i]) * math.log10(2), rel=1e-5)
     else:
         assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in got.items())
 
