@@ -2,7 +2,7 @@
 
 Links are first shortened inside tasks: a bounded run of links becomes the stars of its own components,
 which keeps what is connected. No task or driver holds all links, and a node with many links is only the
-key of aggregates and of joins that adaptive execution can split.
+key of aggregates with partial sums: its links meet it by broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from freshet.llm.scratch import Scratch
 #: Links that a task turns into stars at once.
 RUN_LINKS = 500_000
 MAX_ROUNDS = 40
+#: Links that make a node a hub, and most hubs that are broadcast.
+HUB, MAX_HUBS = 256, 100_000
 
 
 def _plain(column) -> list:
@@ -68,20 +70,29 @@ def shortened(links: DataFrame) -> DataFrame:
     return links.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
 
 
+def _with_least(links: DataFrame, few: int) -> DataFrame:
+    """``links`` with m, the smallest v of their u. Nodes of more than ``few`` links are met by broadcast, so none of
+    them gathers its links in one task; all others by shuffle."""
+    low = links.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"))
+    hubs = F.broadcast(low.where(F.col("n") > few))
+    plain = links.join(hubs.select("u"), "u", "left_anti").join(low.drop("n"), "u")
+    return plain.union(links.join(hubs.drop("n"), "u").select(plain.columns))
+
+
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, component) for every node that has a link to another; component is its smallest node."""
     edges = scratch.save(shortened(links.where("u <> v")), f"{name}-0")
-    seen = None
+    seen, count = None, edges.count()
     for turn in range(1, MAX_ROUNDS + 1):
+        few = max(HUB, 2 * count // MAX_HUBS)  # so that no more than MAX_HUBS nodes are broadcast
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        large = _with_least(both, few).withColumn("m", F.least("u", "m")).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = scratch.save(large, f"{name}-large{turn}")
+        small = _with_least(large, few).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         edges = scratch.save(small.select("e.u", "e.v").where("u <> v").distinct(), f"{name}-{turn}")
-        scratch.drop(f"{name}-{turn - 1}")
+        scratch.drop(f"{name}-{turn - 1}", f"{name}-large{turn}")
         state = edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = state
+        seen, count = state, state[0]
     raise RuntimeError(f"components have not settled after {MAX_ROUNDS} rounds")

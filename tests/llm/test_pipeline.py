@@ -15,11 +15,14 @@ from tests.llm import brute
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
-def test_components(spark, kind):
+@pytest.mark.parametrize("kind", ["path", "star", "random", "none", "hubs"])
+def test_components(spark, kind, monkeypatch):
     rng = random.Random(3)
     n = 300
-    links = {"path": [(i, i + 1) for i in range(n)], "star": [(0, i) for i in range(1, n)], "random": [(rng.randrange(n), rng.randrange(n)) for _ in range(180)], "none": []}[kind]
+    if kind == "hubs":
+        monkeypatch.setattr("freshet.llm.components.HUB", 3)
+        monkeypatch.setattr("freshet.llm.components.RUN_LINKS", 20)
+    links = {"hubs": [(rng.choice([7, 150, 299, 40 + i % 3]), rng.randrange(n)) for i in range(250)], "path": [(i, i + 1) for i in range(n)], "star": [(0, i) for i in range(1, n)], "random": [(rng.randrange(n), rng.randrange(n)) for _ in range(180)], "none": []}[kind]
     rng.shuffle(links)
     df = spark.createDataFrame(links, "u long, v long").repartition(7)
     got = {r.node: r.component for r in components(df, Scratch(spark), "c").collect()}
