@@ -13,9 +13,8 @@ def test_rows_equal(spark, name):
     assert compare(spark, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE_SQL)))
-def test_rows_without_sql(spark, name):
-    assert queries.QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert set(queries.QUERIES) == set(queries.ORACLE_SQL)
 
 
 def test_entry():
