@@ -70,13 +70,22 @@ def shortened(links: DataFrame) -> DataFrame:
     return links.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
 
 
+def join_hubs(rows: DataFrame, keyed: DataFrame, key: str, few: int) -> DataFrame:
+    """``rows`` with what ``keyed`` has of their key. ``keyed`` has a row a key, and as n the rows of that key: keys of
+    more than ``few`` rows are met by broadcast, so none of them gathers its rows in one task; all others by shuffle.
+    With a ``few`` from ``hub_size`` no more than MAX_HUBS keys are broadcast."""
+    hubs = F.broadcast(keyed.where(F.col("n") > few))
+    plain = rows.join(hubs.select(key), key, "left_anti").join(keyed.drop("n"), key)
+    return plain.union(rows.join(hubs.drop("n"), key).select(plain.columns))
+
+
+def hub_size(rows: int) -> int:
+    return max(HUB, rows // MAX_HUBS)
+
+
 def _with_least(links: DataFrame, few: int) -> DataFrame:
-    """``links`` with m, the smallest v of their u. Nodes of more than ``few`` links are met by broadcast, so none of
-    them gathers its links in one task; all others by shuffle."""
-    low = links.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"))
-    hubs = F.broadcast(low.where(F.col("n") > few))
-    plain = links.join(hubs.select("u"), "u", "left_anti").join(low.drop("n"), "u")
-    return plain.union(links.join(hubs.drop("n"), "u").select(plain.columns))
+    """``links`` with m, the smallest v of their u."""
+    return join_hubs(links, links.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n")), "u", few)
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -84,7 +93,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     edges = scratch.save(shortened(links.where("u <> v")), f"{name}-0")
     seen, count = None, edges.count()
     for turn in range(1, MAX_ROUNDS + 1):
-        few = max(HUB, 2 * count // MAX_HUBS)  # so that no more than MAX_HUBS nodes are broadcast
+        few = hub_size(2 * count)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both, few).withColumn("m", F.least("u", "m")).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.save(large, f"{name}-large{turn}")

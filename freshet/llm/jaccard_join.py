@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.components import components
+from freshet.llm.components import components, hub_size, join_hubs
 from freshet.llm.scratch import Scratch
 from freshet.llm.textbytes import ascii_words, digest128, shingle_set, small_batches, text_bytes
 
@@ -347,18 +347,20 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         near = scratch.save(_near(texts, pairs, percent), "near-2")
         links = links.union(scratch.save(_similar(near, packed, width, percent), "links-2"))
     found = components(links, scratch, "components")
-    out = texts.join(_smallest(texts, found), "ref").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
+    rows = texts.select("id", "ref", F.col("n").alias("n_shingles"))
+    out = join_hubs(rows, scratch.save(_smallest(texts, found), "smallest"), "ref", hub_size(rows.count()))
+    out = out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
     return scratch.finish(out)
 
 
 def _smallest(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """(ref, smallest): the smallest id in each distinct text's component. Only texts with links look their
-    component up, and a large component is dealt over SALTS tasks."""
-    own = texts.groupBy("ref").agg(F.min("id").alias("own"))
-    linked = found.union(found.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "ref").join(own, "ref")
+    """(ref, smallest, n): the smallest id in each distinct text's component, and the rows of the text. Only texts with
+    links look their component up, and a large component is dealt over SALTS tasks."""
+    own = texts.groupBy("ref").agg(F.min("id").alias("own"), F.count("ref").alias("n"))
+    linked = found.union(found.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "ref").join(own.drop("n"), "ref")
     least = linked.groupBy("component").agg(F.min("own").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     named = linked.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS))).join(least, ["component", "salt"]).select("ref", "least")
-    return own.join(named, "ref", "left").select("ref", F.coalesce("least", "own").alias("smallest"))
+    return own.join(named, "ref", "left").select("ref", F.coalesce("least", "own").alias("smallest"), "n")
 
 
 def _by_tile(members: DataFrame, tiles: DataFrame) -> DataFrame:
