@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.columns import filled, free_name, let, pattern_spans
+from freshet.llm.scratch import Scratch
 
 WINDOW = 10
 #: Most distinct benchmark windows that are broadcast, and most bytes of their words and item ids.
 MAX_WINDOWS, MAX_BYTES = 200_000, 64 << 20
+#: Most contaminated texts whose keys (about 40 bytes each) are broadcast to drop them.
+MAX_FOUND = 1_000_000
 #: What separates words: every ASCII character but digits and lower-case letters; and words before lower-casing.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -113,7 +116,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs`` (all columns) whose text holds no benchmark window."""
     hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
     names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size")]
-    bad = hits.select("id", "hash", "size").distinct().toDF(*names)
+    bad = Scratch(docs.sparkSession).save(hits.select("id", "hash", "size").distinct().toDF(*names), "contaminated")
+    if bad.count() <= MAX_FOUND:
+        bad = F.broadcast(bad)
     return docs.join(bad, _same(F.col(names[0]), names[1], names[2], id_col, text_col), "left_anti")
 
 

@@ -347,7 +347,7 @@ def test_redaction(spark):
         assert got[i] == brute.redacted(text), text
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     items = [(1, prose(1, 40)), (2, "short benchmark item"), (3, None), (4, "!!!"), (None, prose(2, 20)), (5, "the"), (6, prose(3, 10))]
     cut = prose(1, 40).split()
     texts = [" ".join(cut[5:30]) + " and " + prose(50, 40), prose(60, 30) + " Short, BENCHMARK... item " + prose(3, 10), " ".join(cut[:9]), None, "", "--", prose(2, 20), prose(7, 300) + " été " + " ".join(cut), "x" * 4000, " ".join(cut) * 2]
@@ -368,6 +368,8 @@ def test_decontamination(spark):
     assert decontaminate.drop_contaminated(docs, bench).columns == docs.columns
     clashing = docs.withColumnRenamed("word", "hit_id").withColumnRenamed("id", "hash").withColumnRenamed("source", "words")
     assert decontaminate.drop_contaminated(clashing, bench).count() == len(kept)
+    monkeypatch.setattr(decontaminate, "MAX_FOUND", 0)
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == kept
 
 
 def without_hits(text, items):
@@ -443,7 +445,9 @@ def test_passage_in_all_texts(spark, monkeypatch):
     assert sum(counts) < 64 * len(rows)
 
 
-def test_jaccard_repeated_and_empty(spark):
+@pytest.mark.parametrize("hub", [256, 1])
+def test_jaccard_repeated_and_empty(spark, monkeypatch, hub):
+    monkeypatch.setattr("freshet.llm.components.HUB", hub)
     docs = spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (3, "A b c d e f"), (None, "a b c d e f"), (None, None), (9, None)], "doc_id long, text string")
     rows = [tuple(r) for r in jaccard_join.similar_components(docs).collect()]
     assert sorted(rows, key=str) == sorted([(5, 2, 3), (5, 2, 3), (3, 2, 3), (None, 2, 3), (None, 0, None), (9, 0, 9)], key=str)
