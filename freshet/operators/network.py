@@ -120,8 +120,8 @@ def record_starts(rows: DataFrame, key: str, ts: str) -> DataFrame:
     """(year, n, first, late, allowed): when each year of a record begins. Only the first year may start late."""
     grouped = rows.groupBy(F.year(ts).alias("year")).agg(F.countDistinct(key).alias("n"), F.min(F.date_trunc("hour", ts)).alias("first"))
     late = F.col("first") != F.make_timestamp("year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    first_year = grouped.agg(F.min("year").alias("first_year"))
-    return grouped.withColumn("late", late).join(F.broadcast(first_year)).select("year", "n", "first", "late", (~F.col("late") | (F.col("year") == F.col("first_year"))).alias("allowed"))
+    first_year = F.min("year").over(Window.partitionBy(F.lit(0)))  # a row a year
+    return grouped.select("year", "n", "first", late.alias("late"), (~late | (F.col("year") == first_year)).alias("allowed"))
 
 
 def resume_after(years: DataFrame, states: DataFrame) -> DataFrame:

@@ -109,6 +109,7 @@ def catchment_faults(catchments: DataFrame, rivers: DataFrame, grid: DataFrame)
     """(river, fault): rivers with several catchments, catchments of no river, and those that reach beyond the grid."""
     repeated = catchments.groupBy("river").count().where("count > 1").select("river", F.lit("repeated").alias("fault"))
     unknown = catchments.select("river").distinct().join(rivers.select("river"), "river", "left_anti").withColumn("fault", F.lit("no river"))
-    edge = total_bounds(grid).toDF("w", "s", "e", "n")
-    outside = bounds(catchments).join(F.broadcast(edge), (F.col("west") < F.col("w")) | (F.col("south") < F.col("s")) | (F.col("east") > F.col("e")) | (F.col("north") > F.col("n")))
+    edge = total_bounds(grid).first()
+    beyond = (F.col("west") < edge.west) | (F.col("south") < edge.south) | (F.col("east") > edge.east) | (F.col("north") > edge.north)
+    outside = bounds(catchments).where(beyond if edge.west is not None else F.lit(True))
     return repeated.unionByName(unknown).unionByName(outside.select("river", F.lit("outside").alias("fault")).distinct())
