@@ -37,6 +37,14 @@ def calendar_gaps(hourly: DataFrame) -> DataFrame:
     return per_day.select("river", "day", "hours", (24 - F.col("hours")).alias("missing"), "first_hour")
 
 
+def whole_years(hourly: DataFrame) -> DataFrame:
+    """(river, year, hours, first, missing, whole): a year is whole if it has every hour from its first to its end."""
+    per_year = hourly.where("q is not null").groupBy("river", F.year("ts").alias("year")).agg(F.countDistinct(F.date_trunc("hour", "ts")).alias("hours"), F.min(F.date_trunc("hour", "ts")).alias("first"))
+    end = F.make_timestamp(F.col("year") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    missing = ((F.unix_timestamp(end) - F.unix_timestamp("first")) / 3600).cast("long") - F.col("hours")
+    return per_year.select("river", "year", "hours", "first", missing.alias("missing"), (missing == 0).alias("whole"))
+
+
 def window_means(hourly: DataFrame, hours: int = 3) -> DataFrame:
     """Left-labelled means over windows of ``hours``."""
     window = F.window("ts", f"{hours} hours")

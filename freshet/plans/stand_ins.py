@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from freshet.sources.tables import scan
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    return scan(spark, f"{sf_dir}/{name}.parquet", *columns)
 
 
 def hourly(spark, sf_dir) -> DataFrame:

@@ -596,3 +596,23 @@ def decoded_units(spark, sf_dir):
 def falling_curves(spark, sf_dir):
     """Whether the flows of a curve ascend with their intervals."""
     return frequency.falls(return_periods_gumbel(spark, sf_dir))
+
+
+@query(f"WITH {HOURLY}, y AS (SELECT river, year(ts)::INT AS year, count(DISTINCT ts) AS hours, min(ts) AS first FROM hourly GROUP BY ALL) SELECT river, year, hours, strftime(first, '%Y-%m-%d %H:%M') AS first, date_diff('hour', first, make_timestamp(year + 1, 1, 1, 0, 0, 0.0)) - hours AS missing, date_diff('hour', first, make_timestamp(year + 1, 1, 1, 0, 0, 0.0)) = hours AS whole FROM y")
+def whole_years(spark, sf_dir):
+    """Whether a river's year has every hour from its first."""
+    return reductions.whole_years(data.hourly(spark, sf_dir)).withColumn("first", F.date_format("first", "yyyy-MM-dd HH:mm"))
+
+
+@query("SELECT DISTINCT n_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def region_list(spark, sf_dir):
+    """Regions that a table has rows of."""
+    named = data.table(spark, sf_dir, "customer", "c_nationkey").join(F.broadcast(data.table(spark, sf_dir, "nation", "n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return tables.regions(named.withColumnRenamed("n_name", "region"))
+
+
+@query("WITH s AS (SELECT l_suppkey AS cell, l_orderkey % 400 - 20 AS hours FROM lineitem), d AS (SELECT cell, hours FROM s WHERE hours <> 0), m AS (SELECT *, lag(hours) OVER (PARTITION BY cell ORDER BY hours) AS before FROM d) SELECT cell, hours, before FROM m WHERE hours <= 0 OR hours <= before")
+def broken_steps(spark, sf_dir):
+    """Accumulations at hours that are not positive or that repeat."""
+    t = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey")
+    return interpolation.whole_hours(t.select(F.col("l_suppkey").alias("cell"), (F.col("l_orderkey") % 400 - 20).alias("hours")))
