@@ -616,7 +616,8 @@ def test_repeated_rows_and_ties_of_language(spark):
 
 
 def test_toxicity_of_long_texts_and_repeated_rows(spark):
-    docs = spark.createDataFrame([(i, ("grumblefart " if i % 2 else "lovely ") * 3 + prose(i, 30), "s") for i in range(80)], "doc_id long, text string, score string")
+    word = ["lovely", "grumblefart"]
+    docs = spark.createDataFrame([(i, " ".join(f"{x} {word[i % 2]}" if j % 10 == 5 else x for j, x in enumerate(prose(i, 30).split())), "s") for i in range(80)], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
     model = toxicity.train(docs, labels, F.lit(True))
     long = spark.createDataFrame([(1, "grumblefart " * 100_000, "s"), (1, "grumblefart " * 100_000, "s"), (2, "x" * 1_000_000, "s"), (2, None, "s")], docs.schema)
