@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, mixing, oracles, secret_scan, token_count, toxicity
+from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, lm_score, mixing, oracles, secret_scan, token_align, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,5 +91,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op9_mixing, op10_embedding_dedup)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two public tokenizers that end together in every document."""
+    import public_tokenizers
+
+    texts, _ = token_align.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return texts
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op9_mixing, op10_embedding_dedup, op11_token_alignment)}
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
