@@ -107,4 +107,14 @@ used AS (SELECT d.src, d.block, d.place, room, sum(n_tokens) OVER (PARTITION BY
 cuts AS (SELECT src, block, max(place) AS last FROM used WHERE used <= room GROUP BY ALL)
 SELECT doc_id, source, n_tokens, coalesce(weight, 0.0) AS weight, coalesce(d.whole, 0) + CASE WHEN k.everything OR place <= c.last THEN 1 ELSE 0 END AS copies, d.block FROM dealt d LEFT JOIN kept k ON d.src = k.src AND d.block = k.block LEFT JOIN cuts c ON d.src = c.src AND d.block = c.block"""
 
-ORACLE_SQL = {"op3_license_scan": LICENSES, "op6_jaccard_join": JACCARD, "op7_secret_scan": SECRETS, "op8_decontamination": DECONTAMINATION, "op9_mixing": MIXING, "op10_embedding_dedup": EMBEDDINGS}
+_terms = f"regexp_extract_all({ASCII_LOWER}, '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+LEXICAL = f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_terms} AS w FROM documents), words AS (SELECT r, unnest(w) AS term FROM docs),
+stats AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS total FROM docs WHERE len(w) > 0),
+items AS (SELECT row_number() OVER () AS item, item_id, w FROM (SELECT DISTINCT item_id, text, {_terms} AS w FROM benchmark WHERE text IS NOT NULL)), asked AS (SELECT DISTINCT item, unnest(w) AS term FROM items),
+uses AS (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM uses GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, stats),
+scaled AS (SELECT r, doc_id, 100 - 50 + ((50 * len(w)::BIGINT * n_docs) // total) AS m FROM docs, stats WHERE len(w) > 0),
+scores AS (SELECT item, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM asked JOIN uses USING (term) JOIN weights USING (term) JOIN scaled USING (r) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0) JOIN items USING (item) WHERE rank <= 50"""
+
+ORACLE_SQL = {"op3_license_scan": LICENSES, "op6_jaccard_join": JACCARD, "op7_secret_scan": SECRETS, "op8_decontamination": DECONTAMINATION, "op9_mixing": MIXING, "op10_embedding_dedup": EMBEDDINGS, "op12_lexical_search": LEXICAL}
