@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, lexical_search, license_scan, lm_score, mixing, oracles, secret_scan, token_align, token_count, toxicity
+from freshet.llm import decontaminate, embedding_dedup, jaccard_join, language_id, lexical_search, license_scan, lm_score, mixing, neighbours, oracles, secret_scan, token_align, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,5 +104,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op9_mixing, op10_embedding_dedup, op11_token_alignment, op12_lexical_search)}
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, of those found, of every vector whose id is divisible by 20."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_license_scan, op4_toxicity, op5_lm_score, op6_jaccard_join, op7_secret_scan, op8_decontamination, op9_mixing, op10_embedding_dedup, op11_token_alignment, op12_lexical_search, op13_nearest_neighbours)}
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
