@@ -1,7 +1,7 @@
 """License scans with DataFrame functions only: canonical text, digest, hash join with known digests.
 
 The canonical text does not depend on how lines are wrapped, but for whole lines that name a copyright owner:
-they are no part of a license.
+they are no part of a license, nor are the lines in which a list of owners goes on.
 """
 
 from __future__ import annotations
@@ -9,18 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.license_texts import KNOWN, SPELLINGS, TITLES
+from freshet.llm.license_texts import KNOWN, PROSE, SPELLINGS, TITLES
 
 _YEAR = r"\b(?:19|20)[0-9][0-9]\b"
-#: A line that begins with a copyright mark and has a year or a second mark, and a line "All rights reserved".
-COPYRIGHT_LINE = rf"(?i)(?:^|\n)[^\p{{L}}\p{{N}}\n]*(?:copyright\b[^\n]*?(?:\(c\)|©|{_YEAR})[^\n]*|\(c\)[^\n]*?{_YEAR}[^\n]*|©[^\n]*|all rights reserved[^\p{{L}}\p{{N}}\n]*(?:\n|$))"
+#: What begins a line that names owners: a copyright mark with a year or a second mark, or the word with a name, that is
+#: anything but the words that license texts put after it.
+_OWNER = rf"copyright\b[^\n]*?(?:\(c\)|©|{_YEAR})|\(c\)[^\n]*?{_YEAR}|©|copyright[ \t]+(?=\S)(?!(?:{'|'.join(PROSE)})\b)"
+#: Whole lines, each ended by what follows it: owners, with the next line as long as a line ends with a comma, "and" or
+#: "&"; and "All rights reserved".
+COPYRIGHT_LINE = rf"(?imd)^[^\p{{L}}\p{{N}}\n]*(?:(?:{_OWNER})[^\n]*(?:(?<=(?:,|&|\band)[ \t\r]{{0,4}})\n[^\n]*)*|all rights reserved[^\p{{L}}\p{{N}}\n]*$)"
 #: Most known digests that are broadcast (about 100 bytes each).
 MAX_KNOWN = 100_000
 
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, no punctuation, equal spellings, single blanks."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "\n")
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "")
     # Two blanks between words: every word has one of its own on either side, so neighbours can both be replaced.
     words = F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
     for spelling, plain in SPELLINGS:

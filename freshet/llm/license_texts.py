@@ -374,6 +374,9 @@ KNOWN = [
     ("Unlicense", UNLICENSE, False),
     ("Zlib", ZLIB, False),
 ]
+# Fixed value: words that license texts put after "copyright" where they name no owner.
+PROSE = ("and", "claim", "claims", "holder", "holders", "in", "interest", "interests", "is", "law", "laws", "licence", "license", "licenses", "notice", "notices", "of", "or", "owner", "owners", "protection", "statement", "statements", "to")
+
 # Spellings that license matching holds equal; the first is written as the second, in this order.
 SPELLINGS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencing", "licensing"), ("sublicence", "sublicense"), ("sub license", "sublicense"),

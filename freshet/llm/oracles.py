@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import license_scan, license_texts, mixing, secret_scan
+from freshet.llm import license_texts, mixing, secret_scan
 
 BREAKS = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -12,20 +12,35 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical(column: str) -> str:
-    bare = f"regexp_replace(coalesce({column}, ''), {quoted(license_scan.COPYRIGHT_LINE)}, chr(10), 'g')"
+def _plain(bare: str) -> str:
+    """Words of a text without its lines of owners."""
     words = f"' ' || trim(regexp_replace(lower({bare}), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')) || ' '"
     for spelling, plain in license_texts.SPELLINGS:
         words = f"replace({words}, ' {spelling.replace(' ', '  ')} ', ' {plain.replace(' ', '  ')} ')"
     return f"trim(replace({words}, '  ', ' '))"
 
 
+def _matches(line: str, pattern: str) -> str:
+    return f"regexp_matches({line}, {quoted('(?i)^[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]*' + pattern)})"
+
+
+# Line by line: a line goes if it, or an earlier one of its run, names an owner; a run goes on after a comma, "and" or "&".
+_year = r"\b(19|20)[0-9][0-9]\b"
+_names = " OR ".join([
+    _matches("line", rf"copyright\b.*(\(c\)|©|{_year})"), _matches("line", rf"\(c\).*{_year}"), _matches("line", "©"),
+    f"({_matches('line', r'copyright[ \t]+[^\s]')} AND NOT {_matches('line', r'copyright[ \t]+(' + '|'.join(license_texts.PROSE) + r')\b')})",
+])
 _titled = [(a, f"{t}\n\n{b}", c) for a, b, c in license_texts.KNOWN for t in ["", *(license_texts.TITLES.get(a, []) if "\n" in b else [])]]
 _known = ", ".join(f"({quoted(a)}, {quoted(b)}, {str(c).lower()})" for a, b, c in _titled)
-LICENSES = f"""WITH known AS (SELECT sha256({_canonical('body')}) AS digest, min(license) AS license, bool_or(restricted) AS restricted FROM (VALUES {_known}) k(license, body, restricted) GROUP BY 1),
+LICENSES = f"""WITH known AS (SELECT sha256({_plain('body')}) AS digest, min(license) AS license, bool_or(restricted) AS restricted FROM (VALUES {_known}) k(license, body, restricted) GROUP BY 1),
 numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-pieces AS (SELECT r, true AS whole, text AS body FROM numbered UNION ALL SELECT r, false, unnest(string_split_regex(text, '\\r?\\n')) FROM numbered),
-canon AS (SELECT r, whole, {_canonical('body')} AS body FROM pieces), digests AS (SELECT r, whole, CASE WHEN body <> '' THEN sha256(body) END AS digest FROM canon),
+pieces AS (SELECT r, 0 AS piece, text AS body FROM numbered UNION ALL SELECT r, unnest(range(1, len(string_split_regex(text, '\\r?\\n')) + 1)), unnest(string_split_regex(text, '\\r?\\n')) FROM numbered),
+lines AS (SELECT r, piece, unnest(range(len(string_split(body, chr(10))))) AS pos, unnest(string_split(body, chr(10))) AS line FROM pieces),
+judged AS (SELECT *, {_names} AS owner, {_matches('line', 'all rights reserved[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]*$')} AS reserved, coalesce(regexp_matches(lag(line) OVER (PARTITION BY r, piece ORDER BY pos), '(?i)(,|&|\\band)[ \\t\\r]*$'), false) AS goes_on FROM lines),
+runs AS (SELECT *, sum((NOT goes_on)::INT) OVER (PARTITION BY r, piece ORDER BY pos) AS run FROM judged),
+kept AS (SELECT r, piece, pos, line FROM (SELECT *, bool_or(owner) OVER (PARTITION BY r, piece, run ORDER BY pos) AS gone FROM runs) WHERE NOT gone AND NOT reserved),
+bare AS (SELECT r, piece, string_agg(line, chr(10) ORDER BY pos) AS body FROM kept GROUP BY ALL),
+canon AS (SELECT r, piece = 0 AS whole, {_plain("coalesce(bare.body, '')")} AS body FROM pieces LEFT JOIN bare USING (r, piece)), digests AS (SELECT r, whole, CASE WHEN body <> '' THEN sha256(body) END AS digest FROM canon),
 met AS (SELECT d.*, license, restricted FROM digests d LEFT JOIN known USING (digest))
 SELECT doc_id, max(digest) FILTER (whole) AS text_digest, max(license) FILTER (whole) AS text_license, count(license) FILTER (NOT whole) AS n_license_lines, coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses, coalesce(bool_or(restricted), false) AS restricted
 FROM numbered JOIN met USING (r) GROUP BY r, doc_id"""

@@ -87,13 +87,18 @@ def license_form(text):
 
     one = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing", "sublicence": "sublicense", "acknowledgement": "acknowledgment", "favour": "favor", "organisation": "organization", "recognise": "recognize", "merchantibility": "merchantability", "version": "v", "https": "http"}
     two = {("sub", "license"): ["sublicense"], ("non", "infringement"): ["noninfringement"], ("non", "commercial"): ["noncommercial"], ("per", "cent"): ["percent"], ("copyright", "holders"): ["copyright", "owners"], ("copyright", "holder"): ["copyright", "owner"]}
-    lines = []
+    prose = "and claim claims holder holders in interest interests is law laws licence license licenses notice notices of or owner owners protection statement statements to".split()
+    lines, goes_on = [], False
     for line in (text or "").split("\n"):
         bare = regex.sub(r"^[^\p{L}\p{N}]*", "", line).lower()
         mark = regex.match(r"^[^\p{L}\p{N}]*(\(c\)|©)", line, regex.I)
         year = regex.search(r"\b(19|20)[0-9][0-9]\b", line)
-        owner = regex.match(r"copyright\b", bare) and (year or "(c)" in bare or "©" in bare) or mark and (year or "©" in mark[0])
-        if not owner and not regex.fullmatch(r"[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*", line, regex.I):
+        after = regex.match(r"copyright[ \t]+(\w*)\S*", bare)
+        named = after and after[0].rstrip() != "copyright" and after[1] not in prose
+        owner = regex.match(r"copyright\b", bare) and (year or "(c)" in bare or "©" in bare or named) or mark and (year or "©" in mark[0])
+        if owner or goes_on:
+            goes_on = regex.search(r"(,|&|\band)[ \t\r]*$", line, regex.I) is not None
+        elif not regex.fullmatch(r"[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*", line, regex.I):
             lines.append(line)
     words = [one.get(w, w) for w in regex.findall(r"[\p{L}\p{N}]+", "\n".join(lines).lower())]
     out, i = [], 0

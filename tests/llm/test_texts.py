@@ -255,6 +255,34 @@ def test_known_digests_are_joined_when_there_are_many(spark, monkeypatch):
     assert sorted(map(tuple, license_scan.scan(docs, license_scan.known_licenses(spark)).collect())) == want
 
 
+HEADERS = [
+    "Copyright (c) 1998 A\nAll rights reserved.\nCopyright (c) 2003 B\nAll rights reserved.\n", "Copyright (c) 2003 Alice Example, Bob Example,\n   and Carol Example\n\n", "# Copyright B Ltd\n#\n",
+    "/* (C) 2001 A & B and\r\n * C\r\n */\n", "© Owner\nCopyright <YEAR> <OWNER>\nAll Rights Reserved\n", "Copyright 1999 A,\nB,\nC and\nD\nCopyright by E\n", "",
+]
+
+
+def test_headers_with_several_owners_before_every_license(spark):
+    rows = [(name, header + text) for name, text, _ in license_texts.KNOWN for header in HEADERS]
+    docs = frame(spark, [r[1] for r in rows])
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    assert [(r[0], got[i].text_license) for i, r in enumerate(rows) if got[i].text_license != r[0]] == []
+    assert [got[i].text_digest for i in range(len(rows))] == [brute.sha(brute.license_form(r[1])) for r in rows]
+
+
+def test_sql_of_license_scans_tells_the_same_headers(spark, tmp_path):
+    """The SQL has rules of its own, line by line."""
+    import duckdb
+
+    texts = [h + license_texts.MIT for h in HEADERS] + ["Copyright (c) 2001 A,\nnot a license", "copyright holders\nCopyright Holder Inc", None, "and\nall rights reserved,\nand more"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    frame(spark, texts).select("doc_id", "text").write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    names = ("doc_id", "text_digest", "text_license", "n_license_lines", "licenses", "restricted")
+    want = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLE_SQL['op3_license_scan']})").fetchall())
+    assert sorted(tuple(r[n] for n in names) for r in license_scan.scan(frame(spark, texts), license_scan.known_licenses(spark)).collect()) == want and len(want) == len(rows)
+
+
 def test_whole_licenses_however_wrapped(spark):
     """Every known text matches below its title and owner, wrapped to any width, in capitals, with other spellings."""
     head = "\n\nCopyright (c) 1999-2021, Some Owner <mail@example.org>\n(C) 2022 Another One\nAll rights reserved.\n\n"
