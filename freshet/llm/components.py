@@ -70,7 +70,7 @@ def shortened(links: DataFrame) -> DataFrame:
     return links.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
 
 
-def join_hubs(rows: DataFrame, keyed: DataFrame, key: str, few: int) -> DataFrame:
+def join_hubs(rows: DataFrame, keyed: DataFrame, key: str | list[str], few: int) -> DataFrame:
     """``rows`` with what ``keyed`` has of their key. ``keyed`` has a row a key, and as n the rows of that key: keys of
     more than ``few`` rows are met by broadcast, so none of them gathers its rows in one task; all others by shuffle.
     With a ``few`` from ``hub_size`` no more than MAX_HUBS keys are broadcast."""

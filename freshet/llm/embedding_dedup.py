@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from freshet.llm.components import components
+from freshet.llm.components import components, hub_size, join_hubs
 from freshet.llm.hnsw import Graph
 from freshet.llm.scratch import Scratch
 
@@ -163,11 +163,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, shard: int = SHARD,
     placed = components(found.where("root is not null").select(F.col("node").alias("u"), F.col("root").alias("v")), scratch, "components")
     links = found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
     whole = nodes.join(links, "node", "left").join(placed, "node", "left")
-    whole = whole.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node")["rep"].alias("component"))
-    out = rows.join(whole, ["label", "vector"], "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").cast("long").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(True)).alias("kept"),
-    )
+    whole = whole.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node")["rep"].alias("component"), F.col("size").alias("n"))
+    few = hub_size(nodes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
+    met = join_hubs(rows.where("vector is not null"), whole, ["label", "vector"], few).select("vec_id", "n_links", "component")
+    alone = rows.where("vector is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
+    out = met.union(alone).select("vec_id", F.col("n_links").cast("long").alias("n_links"), F.col("component").cast("long").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("component"), F.lit(True)).alias("kept"))
     return scratch.finish(out)
 
 

@@ -12,6 +12,9 @@ LINKS, LOWEST_LINKS, BUILD_BEAM = 12, 24, 48
 TOGETHER, WIDEST = 1024, 128
 #: An audit takes every 64th query, or more, until it has so many true pairs.
 AUDITS, ENOUGH_TRUE = (64, 32, 16, 8), 64
+#: Single precision products of one pair differ by less than this with the shape of a block; an audit leaves out
+#: pairs so near to the limit.
+EDGE = 2e-6
 
 
 class Graph:
@@ -146,14 +149,14 @@ class Graph:
 
         Queries whose beam ends above ``least`` get a wider one. Every 64th query, or more of them (up to every
         8th) until they have ENOUGH_TRUE true pairs, is also compared with all nodes; if fewer than ``recall`` of
-        these pairs were found, all beams are widened. ``own``: the queries are the nodes; pairs of a node with
-        itself are left out of the audit.
+        these pairs were found, all beams are widened, at last to a scan of the whole shard. ``own``: the queries are
+        the nodes; pairs of a node with itself are left out of the audit.
         """
         if not len(self.unit) or not len(queries):
             return np.empty(0, np.int64), np.empty(0, np.int64), 0, 0
         for every in AUDITS:
             sample = np.arange(0, len(queries), every)
-            true_q, true_node = self.scan(queries[sample], least)
+            true_q, true_node = self.scan(queries[sample], least + EDGE)
             true_q = sample[true_q]
             if own:
                 true_q, true_node = (x[true_q != true_node] for x in (true_q, true_node))
@@ -163,7 +166,7 @@ class Graph:
         while True:
             q, node = self._within(queries, least, beam)
             got = int(np.isin(truth, q * len(self.unit) + node).sum())
-            if got >= recall * len(truth):
+            if got >= recall * len(truth) or beam > WIDEST:
                 return q, node, len(truth), got
             beam *= 2
 

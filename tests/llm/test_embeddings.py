@@ -145,3 +145,17 @@ def test_shared_ids_with_different_vectors(spark):
     assert got == sorted([(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (3, 0, 3, True), (1, 1, 1, True), (9, 1, 1, False), (1, 0, 1, True)])
     links, _ = all_pairs([(10 * i + r[0], *r[1:]) for i, r in enumerate(rows)])
     assert sorted((r[0], links[i]) for i, r in enumerate(rows)) == sorted(r[:2] for r in got)
+
+
+def test_an_audit_with_pairs_at_the_limit_ends():
+    """Products of one pair differ in the last bit with the shape of a block; the widest beam is the end."""
+    from freshet.llm.hnsw import Graph
+
+    for seed in range(15):
+        unit = np.random.default_rng(seed).standard_normal((40, 16))
+        unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.float32)
+        graph = Graph.build(unit)
+        sims = np.unique((unit @ unit.T)[np.triu_indices(40, 1)])
+        for least in (sims[-1], np.nextafter(sims[-1], np.float32(2)), sims[-2]):
+            q, node, truth, found = graph.within(unit, float(least), own=True)
+            assert found >= 0.98 * truth and len(q) == len(node)
