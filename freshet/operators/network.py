@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -54,6 +56,45 @@ def missing_region_years(present: DataFrame) -> DataFrame:
     return every.join(present, ["region", "year"], "left_anti")
 
 
+def upstream_sums(rivers: DataFrame, save: Callable[[DataFrame, str], DataFrame], values: tuple[str, ...] = ("area",), max_rounds: int = 40) -> tuple[DataFrame, DataFrame, int]:
+    """(sums, cycles, rounds): of every river the sums of ``values`` over itself and all rivers that drain into it, and
+    how many these are (n_upstream); the rivers of cycles and those that drain into one; and the rounds it took.
+
+    ``rivers`` has river, next (-1 or null: outlet) and the values (null counts as 0). Path doubling: after round k a
+    river knows the river 2^k steps downstream, and its sums reach 2^k steps upstream, so a chain of n rivers takes
+    log2(n) rounds. A round hands each river's sums to the river its jump leads to, as partial sums before the shuffle,
+    and joins the jumps with themselves; ``save(frame, name)`` writes a frame and gives it back, which cuts lineage.
+    Where many rivers jump to one, that river's jump meets them by a skewed join that adaptive execution splits. Rivers
+    that drain into a river that is not there end there. Rivers whose jumps do not end are on a cycle or above one: they
+    have no sums.
+    """
+    ids = rivers.select(F.col("river").alias("next")).distinct()
+    known = rivers.where("next <> -1").join(ids, "next", "left_semi").select("river", "next")
+    state = rivers.select("river", *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values], F.lit(1).cast("long").alias("n_upstream")).join(known.withColumnRenamed("next", "jump"), "river", "left")
+    state, n, sums = save(state, "round0"), rivers.count(), [*values, "n_upstream"]
+    for turn in range(1, max_rounds + 1):
+        handed = state.where("jump is not null").groupBy(F.col("jump").alias("river")).agg(*[F.sum(v).alias(f"_{v}") for v in sums])
+        ahead = state.where("jump is not null").select("river", "jump").join(state.select(F.col("river").alias("jump"), F.col("jump").alias("_jump")), "jump").select("river", "_jump")
+        grown = state.join(handed, "river", "left").join(ahead, "river", "left")
+        state = save(grown.select("river", *[(F.col(v) + F.coalesce(F.col(f"_{v}"), F.lit(0))).alias(v) for v in sums], F.col("_jump").alias("jump")), f"round{turn}")
+        left = state.where("jump is not null").count()
+        if not left or 2**turn >= 2 * max(n, 1):
+            break
+    return state.where("jump is null").drop("jump"), state.where("jump is not null").select("river"), turn
+
+
+def cycles(rivers: DataFrame, save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rivers of each cycle: (river, cycle), a cycle named by its smallest river. Among the rivers that never reach an
+    outlet, those on a cycle are where jumps beyond all chains lead to."""
+    _, endless, turns = upstream_sums(rivers.select("river", "next"), save, ())
+    jumps = save(rivers.select("river", "next").join(endless, "river", "left_semi").select("river", F.col("next").alias("jump"), F.col("river").alias("least")), "jumps0")
+    for turn in range(1, turns + 1):
+        other = jumps.select(F.col("river").alias("jump"), F.col("jump").alias("_jump"), F.col("least").alias("_least"))
+        jumps = save(jumps.join(other, "jump").select("river", F.col("_jump").alias("jump"), F.least("least", "_least").alias("least")), f"jumps{turn}")
+    on = jumps.select(F.col("jump").alias("river")).distinct()
+    return jumps.join(on, "river").select("river", F.col("least").alias("cycle"))
+
+
 def route(inflow: DataFrame, rivers: DataFrame, step_hours: float = 1.0, state: DataFrame | None = None) -> DataFrame:
     """Muskingum routing of (region, river, step, inflow) along each closed region's network.
 
@@ -104,6 +145,17 @@ def layout(rivers: DataFrame) -> DataFrame:
     return rivers.join(F.broadcast(offsets), "region").select("river", "region", (F.col("first") + F.col("index")).alias("river_index"), "next")
 
 
+def places(rows: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """(key, place): every row's number from 0 in the order of ``key``, a number, without ordering all rows in one task:
+    ranges of keys between approximate quantiles are numbered side by side, from where the ranges before end."""
+    cuts = rows.approxQuantile(key, [i / parts for i in range(1, parts)], 0.01) if parts > 1 else []
+    ranged = rows.select(key, sum((F.when(F.col(key) >= c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0)).alias("_part"))
+    numbered = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1)
+    before = F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    sizes = ranged.groupBy("_part").count().select("_part", before.alias("_before"))
+    return numbered.join(F.broadcast(sizes), "_part").select(key, (F.col("_before") + F.col("_at")).cast("long").alias("place"))
+
+
 def one_sided(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """(key, side) of the keys that only one of two tables has."""
     a, b = first.select(key).distinct(), second.select(key).distinct()

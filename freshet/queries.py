@@ -12,8 +12,8 @@ from freshet.functions import calendar, numerics
 from freshet.operators import ensemble, frequency, interpolation, network, polygons, reductions, thresholds, weights
 from freshet.plans import stand_ins as data
 from freshet.session import scratch_folder
-from freshet.sources import tables
-from freshet.streaming import windows
+from freshet.sources import array_store, tables
+from freshet.streaming import stateful, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -616,3 +616,67 @@ def broken_steps(spark, sf_dir):
     """Accumulations at hours that are not positive or that repeat."""
     t = data.table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey")
     return interpolation.whole_hours(t.select(F.col("l_suppkey").alias("cell"), (F.col("l_orderkey") % 400 - 20).alias("hours")))
+
+
+@query(f"WITH {SERIES} SELECT river, step, (1995 + step // 12)::INT AS year, q, {kb('q')} AS rounded FROM series")
+def array_store_series(spark, sf_dir):
+    """Series written as chunked arrays with their coordinates (months of years since 1995) and read back."""
+    array_store.register(spark)
+    path = f"{scratch_folder(spark)}/array-store-{uuid.uuid4().hex}"
+    packed = data.series(spark, sf_dir)
+    n, steps = packed.agg(F.count("river"), F.max(F.size("q"))).first()
+    places = network.places(packed.select("river"), "river")
+    rows = tables.long_series(packed).join(places, "river").select(F.col("place").alias("river"), F.col("step").alias("time"), F.col("q").alias("value"))
+    shape, chunks = (n, steps or 0), (256, 24)
+    array_store.write_array(rows, path, "q", ("river", "time"), shape, chunks, attributes={"units": "m3 s-1"})
+    array_store.write_array(rows.withColumn("value", numerics.keepbits(F.col("value"))), path, "rounded", ("river", "time"), shape, chunks)
+    array_store.write_array(places.select(F.col("place").alias("river"), F.col("river").alias("value")), path, "river", ("river",), shape[:1], (4096,), "int64")
+    start = F.lit("1995-01-01").cast("date")
+    months = spark.range(steps or 0).select(F.col("id").alias("time"), F.datediff(F.add_months(start, F.col("id").cast("int")), start).alias("value"))
+    array_store.write_array(months, path, "time", ("time",), shape[1:], (4096,), "int32", attributes={"units": "days since 1995-01-01"})
+    read = array_store.read_arrays(spark, path, "q", "rounded")
+    step = F.months_between(F.date_add(start, F.col("time")), start).cast("int")
+    return read.select("river", step.alias("step"), "year", "q", "rounded")
+
+
+def _saver(spark):
+    folder = f"{scratch_folder(spark)}/rounds-{uuid.uuid4().hex}"
+
+    def save(df, name):
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return save
+
+
+@query(f"WITH RECURSIVE {RIVERS}, down(river, pos) AS (SELECT river, river FROM rivers UNION ALL SELECT d.river, r.next FROM down d JOIN rivers r ON d.pos = r.river WHERE r.next <> -1) SELECT pos AS river, count(*) AS n_upstream, sum(round(c_acctbal * 100)::BIGINT)::BIGINT AS cents FROM down JOIN customer ON c_custkey = down.river GROUP BY ALL")
+def upstream_area(spark, sf_dir):
+    """What lies upstream of every customer in its nation's network: how many, and the sum of their balances."""
+    cents = data.table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").select(F.col("c_custkey").alias("river"), F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"))
+    sums, _, _ = network.upstream_sums(data.rivers(spark, sf_dir).select("river", "next").join(cents, "river"), _saver(spark), ("cents",))
+    return sums.select("river", "n_upstream", "cents")
+
+
+@query("WITH RECURSIVE edges AS (SELECT l_partkey AS river, max(l_suppkey * 20 + l_linenumber) AS next FROM lineitem GROUP BY ALL), walk(start, pos, n) AS (SELECT river, next, 1 FROM edges UNION SELECT start, e.next, n + 1 FROM walk JOIN edges e ON walk.pos = e.river WHERE pos <> start AND n < 500), found AS (SELECT start FROM walk WHERE pos = start), reach(river, pos) AS (SELECT start, start FROM found UNION SELECT reach.river, e.next FROM reach JOIN edges e ON pos = e.river) SELECT river, min(pos) AS cycle FROM reach GROUP BY ALL")
+def network_cycles(spark, sf_dir):
+    """Cycles in a network whose rivers are parts; each drains into a part that its largest supplier and line name."""
+    t = data.table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber")
+    edges = t.groupBy(F.col("l_partkey").alias("river")).agg(F.max(F.col("l_suppkey") * 20 + F.col("l_linenumber")).alias("next"))
+    return network.cycles(edges, _saver(spark))
+
+
+@query(f"WITH {ACCUMULATED}, steps AS (SELECT cell, hours, ro, ro::DOUBLE - coalesce(lag(ro::DOUBLE) OVER (PARTITION BY cell ORDER BY hours), 0) AS step_ro, row_number() OVER (PARTITION BY cell ORDER BY hours) AS n FROM accumulated) SELECT cell, hours, round(step_ro, 6) AS step_ro, round(ro::DOUBLE, 6) AS total, n FROM steps")
+def streamed_increments(spark, sf_dir):
+    """Increments and running totals of accumulations from a stream in micro-batches, with a restart between each two."""
+    stateful.with_state_store(spark)
+    root = f"{scratch_folder(spark)}/flow-{uuid.uuid4().hex}"
+    rows = data.accumulated(spark, sf_dir)
+    edges = rows.approxQuantile("hours", [0.25, 0.5, 0.75], 0.01)
+    quarter = sum((F.when(F.col("hours") > e, 1).otherwise(0) for e in edges), F.lit(0))
+    rows.withColumn("quarter", quarter).repartition("quarter").write.partitionBy("quarter").parquet(f"{root}/in")
+    sink = stateful.Resumable(f"{root}/out")
+    for k in range(4):  # each query goes on from the checkpoint of the one before
+        source = spark.readStream.schema(rows.schema).parquet(f"{root}/in/quarter=[0-{k}]")
+        stateful.resume(stateful.flowing_increments(source), sink, f"{root}/checkpoint")
+    steps = sink.read(spark).where("what = 'step'")
+    return steps.select("cell", "hours", F.round("step_ro", 6).alias("step_ro"), F.round("total", 6).alias("total"), "n")

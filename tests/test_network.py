@@ -106,3 +106,54 @@ def test_octahedral(spark):
     good, bad = [20, 24, 28, 28, 24, 20], [20, 24, 28, 27, 24, 20]
     rows = spark.createDataFrame([(good,), (bad,)], "n array<int>").select(w.octahedral(F.col("n")).alias("o")).collect()
     assert [r.o for r in rows] == [True, False]
+
+
+def saver(tmp_path):
+    def save(df, name):
+        path = f"{tmp_path}/{name}"
+        df.write.mode("error").parquet(path)
+        return df.sparkSession.read.parquet(path)
+
+    return save
+
+
+def test_a_long_chain_takes_few_rounds(spark, tmp_path):
+    size = 10_000
+    chain = spark.range(size).selectExpr("id river", f"if(id = {size - 1}, -1, id + 1) next", "cast(id as double) area")
+    sums, cycles, rounds = n.upstream_sums(chain, saver(tmp_path))
+    assert rounds <= 15 and cycles.count() == 0 and sums.count() == size
+    assert sums.where("n_upstream <> river + 1 or area <> river * (river + 1) / 2").count() == 0
+
+
+def test_trees_stars_and_cycles(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    parent = {i: (-1 if i == 0 else int(rng.integers(0, i))) for i in range(300)}
+    parent |= {1000 + i: 0 for i in range(500)}  # a star
+    parent |= {2000: 2001, 2001: 2002, 2002: 2000, 2003: 2001, 2004: 2003, 2010: 2010, 2020: 9999, 2021: 2020}  # cycles; an outlet that is not there
+    area = {r: None if r == 5 else float(r % 7) for r in parent}
+    want, endless = {r: [0.0, 0] for r in parent}, set()
+    for r in parent:
+        path, at = [], r
+        while at in parent and at not in path:
+            path.append(at)
+            at = parent[at]
+        if at in parent:
+            endless.add(r)
+        for x in set(path):
+            want[x][0] += area[r] or 0.0
+            want[x][1] += 1
+    df = spark.createDataFrame([(r, p, area[r], "x") for r, p in parent.items()], "river long, next long, area double, jump string")
+    sums, cycles, _ = n.upstream_sums(df, saver(tmp_path / "sums"))
+    got = {r.river: (r.area, r.n_upstream) for r in sums.collect()}
+    assert {r.river for r in cycles.collect()} == endless == {2000, 2001, 2002, 2003, 2004, 2010}
+    assert got == {r: tuple(x) for r, x in want.items() if r not in endless}
+    assert sorted(map(tuple, n.cycles(df, saver(tmp_path / "cycles")).collect())) == [(2000, 2000), (2001, 2000), (2002, 2000), (2010, 2010)]
+    none = df.limit(0)
+    assert n.upstream_sums(none, saver(tmp_path / "none"))[0].count() == 0 and n.cycles(none, saver(tmp_path / "none2")).count() == 0
+
+
+def test_places_number_rows_over_ranges(spark):
+    keys = [int(x) for x in np.random.default_rng(1).permutation(5000) * 3]
+    got = {r.key: r.place for r in n.places(spark.createDataFrame([(k,) for k in keys], "key long"), "key", 7).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(keys))}
+    assert n.places(spark.createDataFrame([], "key long"), "key").count() == 0
