@@ -339,12 +339,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     listed = tiles.where("kind = 0").select(ref_a.alias("a"), ref_b.alias("b"))
     place, before = F.col("at").bitwiseAND(F.lit(PLACE)).alias("at"), F.shiftright("at", 32).alias("before")
     members = tiles.where("kind = 1").select("k", ref_a.alias("ref"), F.col("an").alias("n"), place, before)
-    near = scratch.save(_near(texts, listed.union(_to_likely_origin(members)), percent), "near-1")
+    near = _near(texts, listed.union(_to_likely_origin(members)), percent, scratch, "near-1")
     packed = scratch.save(_packed(used, near.select(F.explode(F.array("a", "b")).alias("ref")).union(members.select("ref"))), "packed")
     links = scratch.save(_similar(near, packed, width, percent), "links-1")
     if not members.isEmpty():
         pairs = _unsettled(members, components(links, scratch, "components-1"), percent)
-        near = scratch.save(_near(texts, pairs, percent), "near-2")
+        near = _near(texts, pairs, percent, scratch, "near-2")
         links = links.union(scratch.save(_similar(near, packed, width, percent), "links-2"))
     found = components(links, scratch, "components")
     rows = texts.select("id", "ref", F.col("n").alias("n_shingles"))
@@ -417,12 +417,17 @@ def _unsettled(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("ref", "xref").alias("a"), F.greatest("ref", "xref").alias("b"))
 
 
-def _near(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the distinct pairs that their bitmaps do not rule out."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+def _near(texts: DataFrame, pairs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b) of the distinct pairs that their bitmaps do not rule out. A text of many pairs, such as the likely origin
+    of a family, meets them by broadcast."""
+    pairs = scratch.save(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-pairs")
+    few = hub_size(pairs.count())
     sketches = texts.where("n > 0").select("ref", "n", "bits").dropDuplicates(["ref"])
-    sides = [sketches.select(*[F.col(x).alias(y) for x, y in (("ref", s), ("n", f"{s}n"), ("bits", f"{s}bits"))]) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_bounded(percent), f"a {REF}, b {REF}")
+    for s in "ab":
+        side = sketches.select(*[F.col(x).alias(y) for x, y in (("ref", s), ("n", f"{s}n"), ("bits", f"{s}bits"))])
+        keyed = scratch.save(side.join(pairs.groupBy(s).agg(F.count(s).alias("n")), s), f"{name}-{s}")
+        met = join_hubs(pairs if s == "a" else met, keyed, s, few)
+    return scratch.save(met.select("a", "an", "abits", "b", "bn", "bbits").mapInArrow(_bounded(percent), f"a {REF}, b {REF}"), name)
 
 
 def _packed(used: DataFrame, refs: DataFrame) -> DataFrame:
