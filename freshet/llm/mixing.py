@@ -2,7 +2,7 @@
 
 Weights are source shares to a power, normalised; the power is bisected until the weights are as even as
 asked (entropy) without any source being repeated too often. Documents are dealt by hash to blocks of
-about equal tokens. A source gives all its blocks once for every whole repetition that its weight buys, and
+about equal tokens, or of a bounded number of documents where most are empty. A source gives all its blocks once for every whole repetition that its weight buys, and
 for the rest a beginning of a permutation of its blocks; the block in which the budget ends gives the
 beginning of a permutation of its documents. Only sums by source and by block are ever brought together.
 """
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from freshet.llm.scratch import Scratch
 
 #: Entropy of the weights as a share of the most possible, most repetitions of a source, tokens to draw as a
-#: share of those there are, tokens of a block.
-EVENNESS, MAX_REPEATS, BUDGET, BLOCK_TOKENS = 0.95, 4.0, 1.0, 1 << 20
+#: share of those there are, tokens of a block, and its documents where these have few tokens.
+EVENNESS, MAX_REPEATS, BUDGET, BLOCK_TOKENS, BLOCK_ROWS = 0.95, 4.0, 1.0, 1 << 20, 1 << 16
 #: Most sources (their sums go to the driver), most blocks that are broadcast.
 MAX_SOURCES, MAX_BLOCKS = 200_000, 200_000
 STEPS = 60
@@ -33,6 +33,7 @@ class Mix:
     max_repeats: float = MAX_REPEATS
     budget: float = BUDGET
     block_tokens: int = BLOCK_TOKENS
+    block_rows: int = BLOCK_ROWS
     seed: str = "mix"
 
 
@@ -98,16 +99,16 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     })
     scratch = Scratch(docs.sparkSession)
     narrow = scratch.save(tagged.select("_source", "_place", "n_tokens"), "narrow")
-    sums = narrow.groupBy("_source").agg(F.sum("n_tokens").alias("tokens")).limit(MAX_SOURCES + 1).collect()
+    sums = narrow.groupBy("_source").agg(F.sum("n_tokens").alias("tokens"), F.count("n_tokens").alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    sums = sorted((r["_source"], r["tokens"]) for r in sums if r["tokens"])
-    tokens = [t for _, t in sums]
+    sums = sorted((r["_source"], r["tokens"], r["rows"]) for r in sums if r["tokens"])
+    tokens = [t for _, t, _ in sums]
     power = solve_power(tokens, mix)
     rows = []
-    for (source, have), weight in zip(sums, weights_at(tokens, power) if tokens else []):
+    for (source, have, many), weight in zip(sums, weights_at(tokens, power) if tokens else []):
         whole, rest = divmod(round(weight * mix.budget * sum(tokens)), have)  # whole tokens: a share of 1 is 1
-        rows.append((source, round(weight, 9), whole, rest, -(-have // mix.block_tokens)))
+        rows.append((source, round(weight, 9), whole, rest, max(-(-have // mix.block_tokens), -(-many // mix.block_rows))))
     plan = F.broadcast(docs.sparkSession.createDataFrame(rows, "_source string, weight double, whole long, rest long, _blocks long"))
 
     blocked = narrow.join(plan, "_source").withColumn("block", F.pmod("_place", "_blocks"))

@@ -105,15 +105,15 @@ def _place(*parts: str) -> str:
 
 _mix = mixing.Mix()
 MIXING = f"""WITH RECURSIVE tagged AS (SELECT doc_id, source, coalesce(source, '') AS src, len(regexp_extract_all(coalesce(text, ''), '{BREAKS}'))::BIGINT AS n_tokens, {_place(quoted(_mix.seed), "coalesce(doc_id::VARCHAR, '')", "md5(coalesce(text, ''))")} AS place FROM documents),
-sums AS (SELECT src, sum(n_tokens)::DOUBLE AS t FROM tagged GROUP BY src HAVING sum(n_tokens) > 0), whole AS (SELECT sum(t) AS total, count(*) AS n FROM sums),
+sums AS (SELECT src, sum(n_tokens)::DOUBLE AS t, count(*) AS many FROM tagged GROUP BY src HAVING sum(n_tokens) > 0), whole AS (SELECT sum(t) AS total, count(*) AS n FROM sums),
 entropy_steps(i, lo, hi) AS (SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE UNION ALL SELECT i + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, (SELECT -sum(w / z * ln(w / z)) FROM (SELECT pow(t / total, (lo + hi) / 2) AS w, sum(pow(t / total, (lo + hi) / 2)) OVER () AS z FROM sums, whole)) >= {_mix.evenness} * (SELECT ln(n) FROM whole) - 1e-12 AS ok FROM entropy_steps WHERE i < {mixing.STEPS})),
 as_is AS (SELECT -sum(t / total * ln(t / total)) >= {_mix.evenness} * ln(any_value(n)) - 1e-12 AS ok FROM sums, whole),
 flat AS (SELECT CASE WHEN (SELECT ok FROM as_is) THEN 1.0 ELSE (SELECT lo FROM entropy_steps WHERE i = {mixing.STEPS}) END AS p),
 most AS (SELECT max(w / z * {_mix.budget} * total / t) AS m FROM (SELECT t, total, pow(t / total, p) AS w, sum(pow(t / total, p)) OVER () AS z FROM sums, whole, flat)),
 repeat_steps(i, lo, hi) AS (SELECT 0, (SELECT p FROM flat)::DOUBLE, 1.0::DOUBLE UNION ALL SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, (SELECT max(w / z * {_mix.budget} * total / t) FROM (SELECT t, total, pow(t / total, (lo + hi) / 2) AS w, sum(pow(t / total, (lo + hi) / 2)) OVER () AS z FROM sums, whole)) <= {_mix.max_repeats} AS ok FROM repeat_steps WHERE i < {mixing.STEPS})),
 power AS (SELECT CASE WHEN m <= {_mix.max_repeats} THEN p ELSE (SELECT hi FROM repeat_steps WHERE i = {mixing.STEPS}) END AS p FROM most, flat),
-weights AS (SELECT src, t, total, pow(t / total, p) / sum(pow(t / total, p)) OVER () AS w FROM sums, whole, power),
-plan AS (SELECT src, round(w, 9) AS weight, round(w * {_mix.budget} * total)::BIGINT // t::BIGINT AS whole, round(w * {_mix.budget} * total)::BIGINT % t::BIGINT AS rest, ceil(t / {_mix.block_tokens})::BIGINT AS blocks FROM weights),
+weights AS (SELECT src, t, many, total, pow(t / total, p) / sum(pow(t / total, p)) OVER () AS w FROM sums, whole, power),
+plan AS (SELECT src, round(w, 9) AS weight, round(w * {_mix.budget} * total)::BIGINT // t::BIGINT AS whole, round(w * {_mix.budget} * total)::BIGINT % t::BIGINT AS rest, greatest(ceil(t / {_mix.block_tokens}), ceil(many / {float(_mix.block_rows)}))::BIGINT AS blocks FROM weights),
 dealt AS (SELECT d.*, weight, p.whole, rest, CASE WHEN blocks IS NOT NULL THEN place % blocks END AS block FROM tagged d LEFT JOIN plan p USING (src)),
 block_sums AS (SELECT src, block, rest, sum(n_tokens) AS t FROM dealt WHERE weight IS NOT NULL GROUP BY ALL),
 ordered AS (SELECT *, sum(t) OVER (PARTITION BY src ORDER BY {_place(quoted(_mix.seed), 'src', 'block::VARCHAR')}, block) - t AS before FROM block_sums),

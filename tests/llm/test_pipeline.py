@@ -136,6 +136,19 @@ def test_many_blocks_of_one_source(spark):
         assert r.blocks > 2000 and r.weight * total / 2 - 8 <= r.drawn <= r.weight * total / 2 + 1
 
 
+def test_a_source_of_texts_without_tokens_is_many_blocks(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "if(id = 7, 'one two', '') as text", "'a' as source").union(spark.range(10).selectExpr("id + 9000", "repeat('w ', 300)", "'b'"))
+    rows = mixing.mixed(docs, mixing.Mix(block_rows=50)).where("source = 'a'").groupBy("block").count().collect()
+    assert len(rows) > 80
+    assert max(r["count"] for r in rows) < 120
+
+
+def test_texts_longer_than_a_block_are_drawn_whole(spark):
+    docs = spark.range(6).selectExpr("id as doc_id", "repeat('w ', cast(200000 * (1 + id % 2) as int)) as text", "'a' as source")
+    rows = mixing.mixed(docs, mixing.Mix(block_tokens=1000)).collect()
+    assert {r.copies for r in rows} == {1} and sorted(r.n_tokens for r in rows) == [200_000] * 3 + [400_000] * 3
+
+
 def test_stages_over_hard_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "some words here", "en", None, 15), (3, "some words here", "en", "a", 15), (3, "some words here", "en", "a", 15), (4, "password: abcdefgh12", "en", "b", 20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
