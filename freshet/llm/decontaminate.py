@@ -2,8 +2,9 @@
 
 The windows of all benchmark items are a broadcast hash set, keyed by the hash of their words. A document's
 words are scanned once: at every place the hash of the window that begins there is looked up, and a hit is
-verified word by word. Only hits are shuffled. A benchmark beyond the bound of rows or bytes is not
-broadcast; then the hashes of the document windows are joined by shuffle and hits are verified afterwards.
+verified word by word. Only hits are shuffled. Of a benchmark beyond the bound of rows or bytes a bitmap of fixed size
+is broadcast instead, with a bit for every hash: what it lets through, hits and few others, is written with its words,
+meets the windows by a join on the hash (hashes of many hits by broadcast) and is verified there.
 """
 
 from __future__ import annotations
@@ -14,11 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.columns import filled, free_name, let, pattern_spans
+from freshet.llm.components import hub_size, join_hubs
 from freshet.llm.scratch import Scratch
 
 WINDOW = 10
 #: Most distinct benchmark windows that are broadcast, and most bytes of their words and item ids.
 MAX_WINDOWS, MAX_BYTES = 200_000, 64 << 20
+#: Words of 64 bits in the bitmap of a larger benchmark (about 32 bytes each as a broadcast row): of 2 M windows it lets
+#: 3 % of other windows through, of 20 M a quarter.
+BITMAP_WORDS = 1 << 20
 #: Most contaminated texts whose keys (about 40 bytes each) are broadcast to drop them.
 MAX_FOUND = 1_000_000
 #: What separates words: every ASCII character but digits and lower-case letters; and words before lower-casing.
@@ -75,14 +80,22 @@ def occurrences(
         same = F.col("window").isNotNull() & (F.col("start") > 0) & (F.slice("words", F.greatest("start", F.lit(1)), F.size("window")) == F.col("window"))
         found = met.where(same | (F.col("window").isNull() & (F.col("start") == 0)))
         return found.select("id", "hash", "size", "n_words", F.when(F.col("start") > 0, F.col("start")).alias("start"), F.size("window").alias("width"), "items").withColumn("width", F.when(F.col("start").isNotNull(), F.col("width")))
-    places = [
-        cut.where(F.col("n_words") >= w).select("id", "hash", "size", "words", F.explode(F.sequence(F.lit(1), F.col("n_words") - w + 1)).alias("start"))
-        .select("id", "hash", "size", "start", F.lit(w).alias("width"), F.xxhash64(F.slice("words", F.col("start"), w)).alias("key")) for w in widths
-    ]
-    hits = reduce(DataFrame.union, places).join(known, "key").where(F.size("window") == F.col("width")).drop("key").distinct()
-    texts = cut.dropDuplicates(["id", "hash", "size"]).withColumnsRenamed({"id": "_id", "hash": "_hash", "size": "_size"})
-    here = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")) & (F.col("size") == F.col("_size"))
-    true = hits.join(texts, here).where(F.slice("words", F.col("start"), F.col("width")) == F.col("window"))
+    scratch = Scratch(docs.sparkSession)
+    known = scratch.save(known, "windows")
+    word, bit = F.shiftright("key", 6).bitwiseAND(BITMAP_WORDS - 1).alias("word"), F.col("key").bitwiseAND(63).cast("int").alias("bit")
+    bits = known.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+    def windows_of(w: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.col("n_words") - w + 1), lambda i: F.struct(i.alias("start"), F.lit(w).alias("width"), F.xxhash64(F.slice("words", i, w)).alias("key")))
+        return F.when(F.col("n_words") >= w, each).otherwise(F.array().cast("array<struct<start:int,width:int,key:bigint>>"))
+
+    places = F.concat(*map(windows_of, widths))
+    each = cut.select("id", "hash", "size", "n_words", "words", F.explode(places).alias("p")).select("id", "hash", "size", "n_words", "words", "p.start", "p.width", "p.key").withColumns({"word": word, "bit": bit})
+    through = each.join(F.broadcast(bits), "word").where(F.expr("shiftright(bits, bit) & 1") == 1)
+    through = scratch.save(through.select("id", "hash", "size", "n_words", "start", "width", "key", F.slice("words", F.col("start"), F.col("width")).alias("here")).distinct(), "through")
+    counts = through.groupBy("key").agg(F.count("key").alias("n"))
+    met = join_hubs(through, scratch.save(known.join(counts, "key"), "met"), "key", hub_size(through.count()))
+    true = met.where(F.col("here") == F.col("window"))
     marks = cut.select("id", "hash", "size", "n_words", blank.cast("int").alias("start"), blank.cast("int").alias("width"), blank.cast("array<string>").alias("items"))
     return true.select("id", "hash", "size", "n_words", "start", "width", "items").union(marks)
 
