@@ -2,8 +2,8 @@
 
 A catchment is (river, rings), rings an array of struct<hole boolean, points array<struct<x double, y double>>>
 in web Mercator; rings close themselves. Bounds meet cells by an equi-join on grid squares; only the pairs that
-meet carry their rings on, and only catchments that reach beyond one cell are clipped. All of it is column
-expressions, so rows stay in the JVM.
+meet carry their rings on, in partitions of equal numbers of corners, and only catchments that reach beyond one cell
+are clipped, once for each pair. All of it is column expressions, so rows stay in the JVM.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from freshet.functions.numerics import AUTHALIC_E2, MERCATOR_RADIUS
 from freshet.operators.weights import touching
+from freshet.plans.balance import balanced
+
+#: Corners that a task projects; one that is clipped first counts as CLIP_COST.
+TASK_CORNERS, CLIP_COST = 100_000, 5
 
 
 def _let(value: Column, body) -> Column:
@@ -81,7 +85,7 @@ def ring_area(points: Column, project=equal_area) -> Column:
         turns = F.zip_with(ps, F.concat(F.slice(ps, 2, F.size(ps) - 1), F.slice(ps, 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])
         return F.abs(F.aggregate(turns, F.lit(0.0), lambda a, b: a + b)) / 2
 
-    return F.when(F.size(points) > 2, _let(F.transform(points, project), shoelace)).otherwise(F.lit(0.0))
+    return _let(points, lambda ps: F.when(F.size(ps) > 2, _let(F.transform(ps, project), shoelace)).otherwise(F.lit(0.0)))
 
 
 def pieces(catchments: DataFrame, cells: DataFrame, size: float, project=equal_area) -> DataFrame:
@@ -101,8 +105,11 @@ def pieces(catchments: DataFrame, cells: DataFrame, size: float, project=equal_a
         return F.when(r["hole"], -1.0).otherwise(1.0) * ring_area(inside, project)
 
     joined = met.withColumn("whole", whole).join(catchments.select("river", "rings"), "river")
+    corners = F.aggregate("rings", F.lit(0), lambda n, r: n + F.coalesce(F.size(r["points"]), F.lit(0)))
+    dealt = balanced(joined, corners * F.when(F.col("whole"), 1).otherwise(CLIP_COST), TASK_CORNERS, "river", "cell")
     area = F.aggregate(F.transform("rings", part), F.lit(0.0), lambda a, b: a + b)
-    return joined.select("river", "cell", area.alias("area")).where("area > 0")
+    # A filter on a column is pushed into what makes it, which would clip again; one on what explode gives is not.
+    return dealt.select("river", "cell", F.explode(F.array(area)).alias("area")).where("area > 0")
 
 
 def catchment_faults(catchments: DataFrame, rivers: DataFrame, grid: DataFrame) -> DataFrame:

@@ -87,6 +87,13 @@ def ranked(pieces: DataFrame) -> DataFrame:
     return pieces.select("river", "cell", "area", F.row_number().over(w).alias("place"))
 
 
+def ranked_proportions(pieces: DataFrame) -> DataFrame:
+    """(river, cell, area, proportion, place) from one pass over the pieces: share of the river, and place by area."""
+    river = Window.partitionBy("river")
+    share, place = (F.col("area") / F.sum("area").over(river)).cast("float"), F.row_number().over(river.orderBy(F.desc("area"), "cell"))
+    return pieces.where("area > 0").select("river", "cell", "area", share.alias("proportion"), place.alias("place"))
+
+
 def lateral_inflow(pieces: DataFrame, runoff: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Depth on cells times area of pieces, summed over each river (and step)."""
     joined = pieces.join(runoff, "cell")

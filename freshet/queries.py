@@ -531,7 +531,7 @@ def polygon_weights(spark, sf_dir):
 def polygon_proportions(spark, sf_dir):
     """The weight table of polygons: shares of a river's cells, largest first."""
     found = polygon_weights(spark, sf_dir).withColumnRenamed("area_km2", "area")
-    return weights.proportions(found).join(weights.ranked(found).select("river", "cell", "place"), ["river", "cell"]).select("river", "cell", "proportion", "place")
+    return weights.ranked_proportions(found).drop("area")
 
 
 @query(f"WITH {CATCHMENTS}, {CELLS}, b AS (SELECT river, list_min([c.x for c in p]) AS w, list_min([c.y for c in p]) AS s, list_max([c.x for c in p]) AS e, list_max([c.y for c in p]) AS n FROM rings WHERE NOT hole), g AS (SELECT min(w) AS w, min(s) AS s, max(e) AS e, max(n) AS n FROM cells) SELECT s_suppkey AS river, 'no river' AS fault FROM supplier WHERE false UNION ALL SELECT river, 'no river' FROM b WHERE river NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT river, 'outside' FROM b, g WHERE b.w < g.w OR b.s < g.s OR b.e > g.e OR b.n > g.n")

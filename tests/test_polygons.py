@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import calendar, numerics
 from freshet.operators import network, polygons, weights
+from freshet.plans import balance
 
 RINGS = "river int, rings array<struct<hole:boolean,points:array<struct<x:double,y:double>>>>"
 GRID = [(10 * i + j, float(i), float(j), i + 1.0, j + 1.0) for i in range(-5, 6) for j in range(-5, 6)]
@@ -101,3 +102,33 @@ def test_times_of_any_unit(spark):
 def test_routing_table(spark):
     meta = spark.createDataFrame([("r", 0, 5, 9, 3600.0, 0.2)], "region string, riverIndex int, riverId long, nextRiverId long, musk_k double, musk_x double")
     assert network.routing_table(meta).first().asDict() == {"region": "r", "riverIndex": 0, "river_id": 5, "next_river_id": 9, "k": 3600.0, "x": 0.2}
+
+
+def test_each_pair_is_clipped_once(spark):
+    rows = spark.createDataFrame([(1, [(False, [(0.1, 0.1), (2.5, 0.1), (2.5, 1.5)])])], RINGS)
+    plan = polygons.pieces(rows, grid(spark), 1.0, polygons.plane)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 5  # four sides of the cell, and the area
+    proportions = weights.ranked_proportions(polygons.pieces(rows, grid(spark), 1.0, polygons.plane))
+    assert proportions._jdf.queryExecution().optimizedPlan().toString().count("zip_with(") == 5
+
+
+def test_partitions_of_equal_cost(spark):
+    rng = np.random.default_rng(2)
+    costs = np.minimum(rng.pareto(1.1, 20_000) + 0.01, 300.0)
+    df = spark.createDataFrame([(i, float(c)) for i, c in enumerate(costs)], "id long, cost double")
+    for parts in (4, 24):
+        got = balance.balanced(df, F.col("cost"), float(costs.sum()) / parts, "id", least=1)
+        sums = {r[0]: r[1] for r in got.groupBy(F.spark_partition_id()).agg(F.sum("cost")).collect()}
+        assert len(sums) == parts and max(sums.values()) <= 1.5 * costs.sum() / parts
+        assert got.count() == 20_000 and got.columns == ["id", "cost"]
+    assert balance.balanced(df.limit(0), F.col("cost"), 1.0, "id").count() == 0
+    assert balance.balanced(df.withColumn("cost", F.lit(None).cast("double")), F.col("cost"), 1.0, "id").count() == 20_000
+
+
+def test_polygon_work_is_spread(spark):
+    """No task has more than 1.5 times its share of corners, though one river has most of them."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [(False, star(rng, 400 if i == 0 else 6))]) for i in range(60)]
+    joined = polygons.pieces(spark.createDataFrame(rows, RINGS), grid(spark), 1.0, polygons.plane)
+    parts = {r[0]: r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()}
+    assert len(parts) >= spark.sparkContext.defaultParallelism - 1
