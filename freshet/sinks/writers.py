@@ -29,9 +29,12 @@ def write_once(df: DataFrame, path: str, *partitions: str) -> bool:
     return True
 
 
-def write_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replaces only the partitions in ``df``: history stays, the tail is written anew."""
-    df.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+def write_partitions(df: DataFrame, path: str, *partitions: str, tasks: int = 1) -> None:
+    """Replaces only the partitions in ``df``: history stays, the tail is written anew. Each partition's rows are written
+    by ``tasks`` tasks, each with a file; the rows of a year of all rivers want many."""
+    others = [c for c in df.columns if c not in partitions]
+    spread = [F.pmod(F.xxhash64(*others), F.lit(tasks))] if tasks > 1 and others else []
+    df.repartition(*partitions, *spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def unfinished(wanted: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
@@ -105,7 +108,7 @@ class _Commit:
     """A file of any Hadoop file system that appears under its name only when it is whole."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark._jvm.org.apache.hadoop.fs
+        self.spark, jvm = spark, spark._jvm.org.apache.hadoop.fs
         self.path, self.draft = jvm.Path(path), jvm.Path(f"{path}.{uuid.uuid4().hex}")
         self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -115,9 +118,12 @@ class _Commit:
 
     def __exit__(self, failure, *_) -> None:
         self.out.close()
-        if failure is None:
-            self.fs.delete(self.path, False)
-            self.fs.rename(self.draft, self.path)
+        if failure is None:  # one step: who reads finds the old file or the new one
+            jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+            over = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(self.draft, self.path, over)
         else:
             self.fs.delete(self.draft, False)
 
@@ -153,15 +159,44 @@ def write_styles(deltas: DataFrame, directory: str, styleset: str, start: str, t
 SPLIT_DATE = "2025-01-01"
 
 
+def _pointer(spark: SparkSession, path: str) -> list[str]:
+    """Names of the tail that counts and of the one before it."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    target = jvm.Path(f"{path}/_notes/tail.json")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return json.loads("".join(r[0] for r in spark.read.text(str(target)).collect())) if fs.exists(target) else []
+
+
 def write_record(df: DataFrame, path: str, ts: str = "ts", split: str = SPLIT_DATE) -> None:
-    """A record in two parts, history and tail. History is written once; later calls replace only the tail."""
-    parted = df.withColumn("era", F.when(F.col(ts) < F.lit(split).cast("timestamp"), "history").otherwise("tail"))
-    for era in ("history", "tail"):
-        own = parted.where(F.col("era") == era).drop("era").sortWithinPartitions("river", ts)
-        if era == "tail":
-            own.write.mode("overwrite").parquet(f"{path}/era={era}")
-        else:
-            write_once(own, f"{path}/era={era}")
+    """A record in two parts, history and tail. History is written once; later calls replace only the tail.
+
+    A new tail is written whole beside the old one, under a name of its own; then the pointer to it is replaced in one
+    step. Whoever reads meanwhile sees the old tail, and a write that fails changes nothing. The tail before stays until
+    the next write, for readers that have begun with it; older ones, and what failed writes left, go.
+    """
+    spark = df.sparkSession
+    own = df.withColumn("era", F.when(F.col(ts) < F.lit(split).cast("timestamp"), "history").otherwise("tail"))
+    write_once(own.where("era = 'history'").drop("era").sortWithinPartitions("river", ts), f"{path}/history")
+    before = _pointer(spark, path)
+    fresh = f"tail-{uuid.uuid4().hex}"
+    own.where("era = 'tail'").drop("era").sortWithinPartitions("river", ts).write.parquet(f"{path}/{fresh}")
+    with _Commit(spark, f"{path}/_notes/tail.json") as out:
+        out.write(bytearray(json.dumps([fresh, *before[:1]]).encode()))
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(jvm.Path(path)):
+        name = status.getPath().getName()
+        if name.startswith("tail-") and name not in (fresh, *before[:1]):
+            fs.delete(status.getPath(), True)
+
+
+def read_record(spark: SparkSession, path: str) -> DataFrame:
+    """History and the tail that counts, with the column era."""
+    parts = [("history", f"{path}/history")] * exists(spark, f"{path}/history") + [("tail", f"{path}/{name}") for name in _pointer(spark, path)[:1]]
+    frames = [spark.read.parquet(p).withColumn("era", F.lit(era)) for era, p in parts]
+    if not frames:
+        raise FileNotFoundError(f"no record in {path}")
+    return frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
 
 
 def described(df: DataFrame, notes: dict[str, dict]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.numerics import null_nan
+from freshet.sources import axes
 
 DISCHARGE_NAME = r"^discharge_([a-z0-9]+)_(\d{4})01_(\d{4})12"
 MEMBER_NAME = r"^(cf|pf)_(\d+)_(\d{8})\.grib"
@@ -28,14 +29,17 @@ def year_source(spark: SparkSession, root: str, year: int) -> DataFrame:
     raise FileNotFoundError(f"no runoff of {year} in {root}")
 
 
-def open_members(spark: SparkSession, paths: list[str], axis: str = "step") -> DataFrame:
-    """The tables of all members, each in a folder member=<number>, with that number as a column. Members whose
-    ``axis`` is not that of the others raise an error when they are read."""
+def open_members(spark: SparkSession, paths: list[str], axis: str | tuple[str, ...] = "step") -> DataFrame:
+    """The tables of all members, each in a folder member=<number>, with that number as a column. Members whose values
+    of an axis (of each of several) are not those of the others raise an error when they are read. Axes are compared by
+    fingerprints of their distinct values: no task gathers an axis, and one row a member is broadcast."""
     table = spark.read.parquet(*paths).withColumn("member", F.regexp_extract(F.col("_metadata.file_path"), r"member=(\d+)", 1).cast("int"))
-    axes = table.groupBy("member").agg(F.array_sort(F.collect_set(axis)).alias("_axis"))
-    same = F.size(F.collect_set("_axis").over(Window.partitionBy(F.lit(0)))) == 1  # a row a member
-    checked = axes.select("member", F.when(same, True).otherwise(F.raise_error(F.lit(f"members differ in {axis}")).cast("boolean")).alias("_same"))
-    return table.join(F.broadcast(checked), "member").where("_same").drop("_same")
+    for name in (axis,) if isinstance(axis, str) else axis:
+        found = axes.fingerprints(table.select("member", F.col(name).alias("place"), F.col(name).alias("value")).distinct(), "member", "place", "value")
+        same = F.size(F.collect_set(F.struct("n", "sum1", "sum2")).over(Window.partitionBy(F.lit(0)))) == 1  # a row a member
+        checked = found.select("member", F.when(same, True).otherwise(F.raise_error(F.lit(f"members differ in {name}")).cast("boolean")).alias("_same"))
+        table = table.join(F.broadcast(checked), "member").where("_same").drop("_same")
+    return table
 
 
 def regions(table: DataFrame, only: list[str] | None = None) -> DataFrame:

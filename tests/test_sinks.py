@@ -5,9 +5,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from freshet.operators import thresholds
-from freshet.sinks import writers
-from freshet.sources import tables
+from freshet.operators import frequency, thresholds
+from freshet.plans import stand_ins
+from freshet.sinks import blocks, manifest, writers
+from freshet.sources import axes, tables
 from freshet.streaming import windows
 
 
@@ -60,7 +61,118 @@ def test_history_is_written_once(spark, tmp_path):
     path = str(tmp_path / "r")
     writers.write_record(rows(1), path)
     writers.write_record(rows(2), path)
-    assert sorted((r.era, r.q) for r in spark.read.parquet(path).collect()) == [("history", 1.0), ("tail", 2.0), ("tail", 2.0)]
+    assert sorted((r.era, r.q) for r in writers.read_record(spark, path).collect()) == [("history", 1.0), ("tail", 2.0), ("tail", 2.0)]
+
+
+def test_the_tail_is_swapped_in_one_step(spark, tmp_path):
+    """Who reads during a write has the tail before; a write that fails changes nothing; old tails go."""
+    path = str(tmp_path / "r")
+    rows = lambda q, n=4: spark.sql(f"select id river, timestamp'2025-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) ts, cast({q} as float) q from range({n})")
+    with pytest.raises(FileNotFoundError):
+        writers.read_record(spark, path)
+    writers.write_record(rows(1), path)
+    reader = writers.read_record(spark, path)
+    seen = []
+    plain_commit = writers._Commit.__exit__
+
+    def slow(self, failure, *rest):
+        seen.append(sorted(r.q for r in writers.read_record(spark, path).collect()))  # the new tail is whole, the pointer old
+        plain_commit(self, failure, *rest)
+
+    writers._Commit.__exit__ = slow
+    try:
+        writers.write_record(rows(2, 5), path)
+    finally:
+        writers._Commit.__exit__ = plain_commit
+    assert seen == [[1.0] * 4] and sorted(r.q for r in reader.collect()) == [1.0] * 4
+    assert sorted(r.q for r in writers.read_record(spark, path).collect()) == [2.0] * 5
+    broken = rows(3).withColumn("q", F.when(F.col("river") < 3, F.col("q")).otherwise(F.raise_error(F.lit("lost")).cast("float")))
+    with pytest.raises(Exception):
+        writers.write_record(broken, path)
+    assert sorted(r.q for r in writers.read_record(spark, path).collect()) == [2.0] * 5
+    writers.write_record(rows(4), path)
+    writers.write_record(rows(5), path)
+    assert sorted(r.q for r in writers.read_record(spark, path).collect()) == [5.0] * 4
+    assert len(list((tmp_path / "r").glob("tail-*"))) == 2
+
+
+def test_a_partition_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little data would be merged
+    try:
+        writers.write_partitions(spark.range(3000).selectExpr("id", "id % 2 year"), path, "year", tasks=5)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "p" / "year=0").glob("*.parquet"))) > 1 and spark.read.parquet(path).count() == 3000
+
+
+def test_manifests_name_files_that_are_gone_or_cut(spark, tmp_path):
+    path = str(tmp_path / "t")
+    manifest.write(spark.range(1000).selectExpr("id", "id % 3 year").repartition(4, "id"), path, "year")
+    assert manifest.read(spark, path).count() == 1000 and manifest.faults(spark, path).count() == 0
+    assert manifest.load(spark, path).agg(F.sum("rows")).first()[0] == 1000
+    names = sorted((tmp_path / "t").glob("year=*/*.parquet"))
+    names[0].unlink()
+    names[1].write_bytes(names[1].read_bytes()[:-20])
+    names[2].rename(names[2].with_name("other.parquet"))
+    got = {r.file: r.fault for r in manifest.faults(spark, path).collect()}
+    name = lambda p: f"{p.parent.name}/{p.name}"
+    assert got == {name(names[0]): "removed", name(names[1]): "truncated", name(names[2]): "removed", f"{names[2].parent.name}/other.parquet": "unknown"}
+    with pytest.raises(ValueError, match="truncated"):
+        manifest.read(spark, path)
+
+
+def gumbel(block, rows):
+    """Return-period flows of a block of rivers, by numpy alone."""
+    import numpy as np
+    import pyarrow as pa
+
+    river, q = rows.column("river").to_numpy(), rows.column("q").to_numpy().astype(np.float64)
+    out = {"river": [], "recurrence_interval": [], "flow": []}
+    for r in np.unique(river):
+        own = q[river == r]
+        if len(own) >= 3:
+            flows = np.full(len(frequency.INTERVALS), own[0]) if (own == own[0]).all() else own.mean() + np.array(frequency.GUMBEL_K) * own.std(ddof=1)
+            out["river"] += [r] * len(flows)
+            out["recurrence_interval"] += list(map(float, frequency.INTERVALS))
+            out["flow"] += list(np.maximum(flows, 0))
+    return pa.table({"river": pa.array(out["river"], pa.int64()), "recurrence_interval": pa.array(out["recurrence_interval"], pa.float32()), "flow": pa.array(out["flow"], pa.float64())})
+
+
+def test_blocks_are_done_once_and_an_interrupted_run_goes_on(spark, tmp_path):
+    maxima = stand_ins.maxima(spark, "/root/testdata/sf0.001").select(F.col("river").cast("long").alias("river"), "year", "q").union(spark.sql("select cast(100 + id as long), cast(2000 + id % 4 as int), cast(id as float) from range(80)"))
+    maxima = maxima.repartition(3).persist()
+    path = f"file://{tmp_path}/blocks"
+
+    def fails(block, rows):
+        if block == 5:
+            raise RuntimeError("lost")
+        return gumbel(block, rows)
+
+    every = maxima.select(F.floor(F.col("river") / 25).alias("b")).distinct().count()
+    with pytest.raises(Exception, match="lost"):
+        blocks.run_blocks(maxima, path, fails, 25, "river")
+    done = {r.block for r in blocks.done_blocks(spark, path).collect()}
+    assert 5 not in done
+    assert blocks.run_blocks(maxima, path, gumbel, 25, "river") == every - len(done)
+    assert blocks.run_blocks(maxima, path, gumbel, 25, "river") == 0
+    got = {(r.river, r.recurrence_interval): r.flow for r in blocks.read_blocks(spark, path).collect()}
+    want = {(r.river, r.recurrence_interval): r.flow for r in frequency.return_periods(maxima, ("gumbel",)).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], rel=1e-3) for k in want)
+    assert {r.river // 25 for r in blocks.read_blocks(spark, path, 4, 5).collect()} <= {4, 5}
+    maxima.unpersist()
+
+
+def test_equal_axes_whatever_gathers_them(spark):
+    rows = [(m, p, v) for m in range(5) for p, v in enumerate([10, 20, 30, 30, 50])]
+    rows += [(5, p, v) for p, v in enumerate([10, 20, 30, 50, 30])] + [(6, p, v) for p, v in enumerate([10, 20, 30, 30, 51])] + [(7, p, v) for p, v in enumerate([10, 20, 30, 30])] + [(8, p, v) for p, v in enumerate([10, None, 30, 30, 50])]
+    df = spark.createDataFrame(rows, "member int, place int, value int").repartition(7)
+    assert sorted(map(tuple, axes.differing(df, "member", "place", "value").collect())) == [(5, 5, 5), (6, 5, 5), (7, 4, 5), (8, 5, 5)]
+    assert {r.member: r.like for r in axes.alike(df, "member", "place", "value").collect()} == {**dict.fromkeys(range(5), 0), 5: 5, 6: 6, 7: 7, 8: 8}
+    with pytest.raises(ValueError, match="5 .5 values in place of 5., 6"):
+        axes.require_equal(df, "member", {"step": df})
+    axes.require_equal(df, "member", {"step": df.where("member < 5"), "none": df.limit(0)})
+    assert sorted(map(tuple, axes.descents(df, "member", "place", "value").where("member in (0, 5, 8)").collect()), key=repr) == sorted([(0, 3, 30, 30), (5, 4, 30, 50), (8, 1, None, 10), (8, 2, 30, None), (8, 3, 30, 30)], key=repr)
 
 
 def test_notes_and_stores(spark, tmp_path):
