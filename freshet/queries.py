@@ -12,7 +12,8 @@ from freshet.functions import calendar, numerics
 from freshet.operators import ensemble, frequency, interpolation, network, polygons, reductions, thresholds, weights
 from freshet.plans import stand_ins as data
 from freshet.session import scratch_folder
-from freshet.sources import array_store, tables
+from freshet.sinks import blocks, manifest, stores, writers
+from freshet.sources import array_store, axes, geometry, tables
 from freshet.streaming import stateful, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -680,3 +681,78 @@ def streamed_increments(spark, sf_dir):
         stateful.resume(stateful.flowing_increments(source), sink, f"{root}/checkpoint")
     steps = sink.read(spark).where("what = 'step'")
     return steps.select("cell", "hours", F.round("step_ro", 6).alias("step_ro"), F.round("total", 6).alias("total"), "n")
+
+
+def _fresh(spark, name):
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"WITH {CUT} SELECT river, count(*) AS n_cells, round(sum(round(area / 1e6, 3)), 3) AS area_km2 FROM cut_pieces WHERE round(area / 1e6, 3) > 0 GROUP BY river")
+def decoded_catchments(spark, sf_dir):
+    """Catchments written as well-known binary, decoded in bounded batches and cut by the grid."""
+    path = _fresh(spark, "catchments")
+    geometry.with_binary(_catchments(spark, sf_dir)).write.parquet(path)
+    rings = geometry.with_rings(spark.read.parquet(path), "geometry")
+    cut = polygons.pieces(rings, _cells(spark, sf_dir), 200000.0).select("river", F.round(F.col("area") / 1e6, 3).alias("area")).where("area > 0")
+    return cut.groupBy("river").agg(F.count("area").alias("n_cells"), F.round(F.sum("area"), 3).alias("area_km2"))
+
+
+@query("WITH a AS (SELECT o_custkey AS store, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place, year(o_orderdate) AS value FROM orders), lists AS (SELECT store, count(*) AS n, string_agg(value::VARCHAR, ',' ORDER BY place) AS l FROM a GROUP BY store) SELECT store, n, min(store) OVER (PARTITION BY l) AS \"like\" FROM lists")
+def equal_axes(spark, sf_dir):
+    """Customers whose orders have the same years in the same order, by the fingerprint of that axis."""
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate")
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("place")
+    return axes.alike(o.select(F.col("o_custkey").alias("store"), place, F.year("o_orderdate").alias("value")), "store", "place", "value")
+
+
+@query("SELECT * FROM (SELECT o_custkey AS store, o_orderkey AS place, year(o_orderdate)::INT AS value, lag(year(o_orderdate)::INT) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders) WHERE value <= before")
+def axis_descents(spark, sf_dir):
+    """Where the years of a customer's orders do not ascend."""
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate")
+    return axes.descents(o.select(F.col("o_custkey").alias("store"), F.col("o_orderkey").alias("place"), F.year("o_orderdate").alias("value")), "store", "place", "value")
+
+
+@query("SELECT l_returnflag AS flag, year(l_shipdate)::INT AS year, count(*) AS n_rows, 0::BIGINT AS n_faults FROM lineitem GROUP BY ALL")
+def manifest_rows(spark, sf_dir):
+    """Lines written by flag and year with a manifest, its rows by partition, and the faults that a check finds."""
+    path = _fresh(spark, "lines")
+    t = data.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate").withColumn("year", F.year("l_shipdate"))
+    manifest.write(t.withColumnRenamed("l_returnflag", "flag").repartition("flag", "year"), path, "flag", "year")
+    part = lambda name: F.regexp_extract("file", f"{name}=([^/]*)", 1)
+    known = manifest.load(spark, path).join(manifest.faults(spark, path).select("file", F.lit(1).alias("bad")), "file", "left")
+    return known.groupBy(part("flag").alias("flag"), part("year").cast("int").alias("year")).agg(F.sum("rows").alias("n_rows"), F.count("bad").alias("n_faults"))
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE} SELECT river, recurrence_interval, {kb('v')} AS flow FROM curve")
+def block_return_periods(spark, sf_dir):
+    """The Gumbel fit as a function of blocks of rivers, each block committed by itself."""
+    path = _fresh(spark, "blocks")
+    blocks.run_blocks(data.maxima(spark, sf_dir), path, frequency.gumbel_of_block, 64, "river")
+    return blocks.read_blocks(spark, path).withColumn("flow", numerics.keepbits(F.col("flow")))
+
+
+@query(f"WITH {HOURLY} SELECT river, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'history' ELSE 'tail' END AS era, count(*) AS n, max(q) AS top FROM hourly GROUP BY ALL")
+def record_parts(spark, sf_dir):
+    """A record whose tail is swapped: first with half of its rivers, then whole."""
+    path, hours = _fresh(spark, "record"), data.hourly(spark, sf_dir)
+    writers.write_record(hours.where("ts < '2024-01-16' or hash(river) > 0"), path, split="2024-01-16")
+    writers.write_record(hours, path, split="2024-01-16")
+    return writers.read_record(spark, path).groupBy("river", "era").agg(F.count("ts").alias("n"), F.max("q").alias("top"))
+
+
+@query(f"WITH {MEMBERS}, d AS (SELECT river, step, (p * 10)::INT AS percentile, list_extract(quantile_cont(q::DOUBLE, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]), (p + 1)::INT) AS m FROM members, range(11) r(p) GROUP BY river, step, p), means AS (SELECT river, step, avg(q::DOUBLE) AS mean FROM members GROUP BY ALL) SELECT river, percentile, step, {kb('m')} AS q, {kb('mean')} AS mean FROM d JOIN means USING (river, step)")
+def forecast_store(spark, sf_dir):
+    """An ensemble in the forecast store, its percentiles and mean read back."""
+    path = _fresh(spark, "forecast")
+    stores.write_forecast_store(data.members(spark, sf_dir), path, "months since 1995-01-01")
+    mean = array_store.read_arrays(spark, path, "mean").where("mean is not null")
+    return array_store.read_arrays(spark, path, "percentiles").where("percentiles is not null").join(mean, ["river", "step"]).select("river", "percentile", "step", F.col("percentiles").alias("q"), "mean")
+
+
+@query(f"WITH {MAXIMA}, {MOMENTS}, fitted AS (SELECT m.*, t, mean + k * std AS v FROM moments m, (VALUES {GUMBEL_ROWS}) g(t, k)), {CURVE}, top AS (SELECT river, max(q) AS max_simulated_hourly FROM maxima GROUP BY river) SELECT river, recurrence_interval, {kb('v')} AS gumbel_hourly, max_simulated_hourly FROM curve JOIN top USING (river)")
+def return_period_store(spark, sf_dir):
+    """All fits of both series and the largest maxima in the return-period store, two of its arrays read back."""
+    path = _fresh(spark, "return-periods")
+    stores.write_return_period_store(data.annual(spark, sf_dir), path)
+    top = array_store.read_arrays(spark, path, "max_simulated_hourly")
+    return array_store.read_arrays(spark, path, "gumbel_hourly").join(top, "river").select("river", "recurrence_interval", "gumbel_hourly", "max_simulated_hourly")

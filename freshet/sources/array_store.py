@@ -5,7 +5,7 @@ coordinates. ``register(spark)`` makes the format known; then
 
     spark.read.format("array_store").option("path", path).option("variables", "q").load()
 
-gives a row for every element: the coordinate of each dimension, the year where a coordinate has units "... since ...",
+gives a row for every element: the coordinate of each dimension, the year where a coordinate has units of time "... since ...",
 and the variables, which must have equal dimensions and chunks; fill values are NULL. Comparisons of coordinates and
 the year with constants reach the reader, which then opens only chunks that can hold wanted elements; no task is made
 for the others. Any file system that Arrow opens by URI will do. Compressed chunks may be gzip or zstd.
@@ -123,6 +123,10 @@ class ChunkReader:
         return np.concatenate([self.chunk(fs, root, array, (i,)) for i in range(array.grid()[0])] or [np.empty(0, array.kind)])
 
 
+def dated(units: str | None) -> bool:
+    return re.match(rf"({'|'.join(UNITS)}) since ", str(units)) is not None
+
+
 def years(values: np.ndarray, units: str) -> np.ndarray:
     """The calendar year of numbers in ``units`` ("hours since 1940-01-01")."""
     unit, start = re.fullmatch(r"(\w+) since (.+)", units).groups()
@@ -155,7 +159,7 @@ class ArrayReader(DataSourceReader):
 
     def columns(self) -> str:
         out = [f"`{n}` {TYPES[a.kind] if a else 'long'}" for n, a in self.axes.items()]
-        if any(a and " since " in str(a.attributes.get("units")) for a in self.axes.values()):
+        if any(a and dated(a.attributes.get("units")) for a in self.axes.values()):
             out.append("`year` int")
         return ", ".join(out + [f"`{a.name}` {TYPES[a.kind]}" for a in self.arrays])
 
@@ -165,7 +169,7 @@ class ArrayReader(DataSourceReader):
         for (name, axis), n in zip(self.axes.items(), self.arrays[0].shape):
             out[name] = name, self.chunks.whole(fs, root, axis) if axis else np.arange(n)
             units = str(axis.attributes.get("units")) if axis else ""
-            if " since " in units and "year" not in out:
+            if dated(units) and "year" not in out:
                 out["year"] = name, years(out[name][1], units)
         return out
 
