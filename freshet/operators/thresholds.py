@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.calendar import STAMP, STEP_HOURS, STEPS, forecast_time
-from freshet.functions.numerics import NO_DATA, STYLE_PERIODS, period_class, style_byte, thickness_class
+from freshet.functions.numerics import NO_DATA, STYLE_PERIODS, keepbits, period_class, style_byte, thickness_class
 from freshet.operators.frequency import INTERVALS
 from freshet.sinks.writers import STYLESETS
 
@@ -64,14 +64,33 @@ def alert_levels(shares: DataFrame) -> DataFrame:
     return reached.groupBy("river").agg(best.alias("a")).select("river", "a.*")
 
 
+def alert_facts(members: DataFrame, curves: DataFrame, intervals=INTERVALS) -> DataFrame:
+    """(river, recurrence_interval, flow, share, onset, peak, peak_step): what ``alert_levels`` and the peak of the members'
+    median say, from one aggregate over the members by river and step and one over that by river."""
+    packed = F.map_from_entries(F.collect_list(F.struct("recurrence_interval", "flow"))).alias("levels")
+    joined = members.join(curves.groupBy("river").agg(packed), "river")
+    level = lambda t: F.try_element_at("levels", F.lit(t).cast("float"))
+    shares = [F.avg(F.coalesce(F.col("q") > level(t), F.lit(False)).cast("double")).alias(f"share{i}") for i, t in enumerate(intervals)]
+    flows = [F.first(level(t)).alias(f"flow{i}") for i, t in enumerate(intervals)]
+    median = keepbits(F.percentile(F.col("q").cast("double"), F.lit(0.5))).alias("median")
+    steps = joined.groupBy("river", "step").agg(*shares, *flows, median)
+    by_level = [x for i in range(len(intervals)) for x in (F.first(f"flow{i}").alias(f"flow{i}"), F.max(f"share{i}").alias(f"share{i}"), F.min(F.when(F.col(f"share{i}") >= ALERT_SHARE, F.col("step"))).alias(f"onset{i}"))]
+    first = F.max_by("step", F.when(F.col("median").isNotNull(), F.struct(F.col("median"), -F.col("step")))).alias("peak_step")
+    rivers = steps.groupBy("river").agg(*by_level, F.max("median").alias("peak"), first)
+    each = F.array(*[F.struct(F.lit(t).cast("float").alias("recurrence_interval"), F.col(f"flow{i}").alias("flow"), F.col(f"share{i}").alias("share"), F.col(f"onset{i}").alias("onset")) for i, t in enumerate(intervals)])
+    reached = F.filter(each, lambda x: x["onset"].isNotNull() & x["flow"].isNotNull())
+    return rivers.select("river", F.try_element_at(reached, F.lit(-1)).alias("a"), "peak", "peak_step").where("a is not null").select("river", "a.*", "peak", "peak_step")
+
+
 def _severity(interval: Column) -> Column:
     pairs = [x for k, v in SEVERITY.items() for x in (F.lit(k).cast("float"), F.lit(v))]
     return F.coalesce(F.create_map(*pairs)[interval], F.raise_error(F.concat(F.lit("no severity for interval "), interval.cast("string"))).cast("string"))
 
 
-def alert_table(levels: DataFrame, peaks: DataFrame, metadata: DataFrame, start: Column, prefix: str) -> DataFrame:
-    """``peaks``: river, peak, peak_step of the median; ``metadata``: river, riverId, riverIndex, lat, lon."""
-    joined = levels.join(peaks, "river").join(metadata, "river", "left")
+def alert_table(levels: DataFrame, peaks: DataFrame | None, metadata: DataFrame, start: Column, prefix: str) -> DataFrame:
+    """``peaks``: river, peak, peak_step of the median, none if ``levels`` has them (``alert_facts``); ``metadata``: river,
+    riverId, riverIndex, lat, lon."""
+    joined = (levels if peaks is None else levels.join(peaks, "river")).join(metadata, "river", "left")
     hours = F.col("onset") * STEP_HOURS
     urgency = F.when(hours <= URGENCY[0][0], URGENCY[0][1]).when(hours <= URGENCY[1][0], URGENCY[1][1]).otherwise("Future")
     stamp = lambda t: F.date_format(t, STAMP)
@@ -106,7 +125,7 @@ def stylesets(median: DataFrame, thresholds: DataFrame, low: DataFrame, names=ST
     codes = {
         "timeseries": F.transform("q", code),
         "max-flow": F.array(code(peak)),
-        "time-to-peak": F.array(F.when(peak > 0, place).otherwise(NO_DATA)),
+        "time-to-peak": F.array(F.when((peak > 0) & (peak < float("inf")), place).otherwise(NO_DATA)),
         "below-q95": F.array(F.when(lowest.isNull() | F.col("q95").isNull(), NO_DATA).otherwise((lowest < F.col("q95")).cast("int"))),
     }
     rows = joined.select("river", F.explode(F.array(*[F.struct(F.lit(x).alias("styleset"), codes[x].alias("codes")) for x in names])).alias("x")).select("river", "x.styleset", "x.codes")

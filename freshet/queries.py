@@ -264,7 +264,8 @@ strftime(TIMESTAMP '2001-01-01' + to_hours(peak_step * 3), '%Y-%m-%dT%H:%M:%SZ')
 @query(f"WITH {ALERTS}")
 def alerts(spark, sf_dir):
     start = F.lit("2001-01-01").cast("timestamp")
-    table = thresholds.alert_table(thresholds.alert_levels(_shares(spark, sf_dir)), ensemble.peaks(_median(spark, sf_dir)), data.metadata(spark, sf_dir), start, "flood")
+    facts = thresholds.alert_facts(data.members(spark, sf_dir), _curves(spark, sf_dir))
+    table = thresholds.alert_table(facts, None, data.metadata(spark, sf_dir), start, "flood")
     return table.withColumn("exceedance_probability", F.round("exceedance_probability", 9))
 
 

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,8 +139,9 @@ def write_styles(deltas: DataFrame, directory: str, styleset: str, start: str, t
     if styleset not in STYLESETS:
         raise ValueError(f"no such styleset: {styleset}")
     spark, count = deltas.sparkSession, len(timestamps)
-    ranges = max(1, -(-deltas.count() // by_part))
-    rows = deltas.select(F.col("river").cast("long"), F.col("deltas").cast("array<int>")).repartitionByRange(ranges, "river").sortWithinPartitions("river")
+    held = deltas.select("river", "deltas").persist(StorageLevel.DISK_ONLY)  # counted, cut into ranges and packed
+    ranges = max(1, -(-held.count() // by_part))
+    rows = held.select(F.col("river").cast("long"), F.col("deltas").cast("array<int>")).repartitionByRange(ranges, "river").sortWithinPartitions("river")
     parts = rows.mapInArrow(_packed_parts(count), "first long, rivers long, adler long, packed binary").orderBy("first")
     rivers, check = 0, 1
     with _Commit(spark, f"{directory}/styles.bin") as out:
@@ -148,6 +150,7 @@ def write_styles(deltas: DataFrame, directory: str, styleset: str, start: str, t
             out.write(bytearray(part["packed"]))
             check, rivers = _joined_check(check, part["adler"], part["rivers"] * count), rivers + part["rivers"]
         out.write(bytearray(b"\x03\x00" + check.to_bytes(4, "big")))
+    held.unpersist()
     about = {"styleset": styleset, "description": description, "initialization_time": start, "n_reaches": rivers, "n_steps": count}
     classes = {"ret_per_values": [0, *map(int, STYLE_PERIODS)], "thickness_edges": list(THICKNESS_EDGES), "no_data": NO_DATA}
     header = about | {"step_hours": step_hours, "timestamps": timestamps} | classes | {"encoding": ENCODING}

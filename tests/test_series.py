@@ -80,6 +80,22 @@ def test_shares(spark, over, alert, certainty):
         assert row.identifier == "x-2024050100-77" and row.expires == "2024-05-16T00:00:00Z" and row.peak_time == "2024-05-01T09:00:00Z"
 
 
+def test_alert_facts_equal_the_steps_that_they_are_made_of(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = [(r, m, s, None if rng.random() < 0.05 else float(rng.choice([0.0, 1.0, 2.5, 4.0, 7.0, 9.0]))) for r in range(12) for m in range(10) for s in range(6) if rng.random() < 0.9]
+    rows += [(20, m, s, None) for m in range(4) for s in range(3)]
+    df = spark.createDataFrame(rows, "river int, member int, step int, q float")
+    curves = spark.createDataFrame([(r, t, f + r % 3) for r in range(10) for _, t, f in CURVE if (r + t) % 4] + [(20, 2.0, 0.5)], "river int, recurrence_interval float, flow float")
+    levels = thresholds.alert_levels(thresholds.exceedance(df, curves))
+    peaks = ensemble.peaks(ensemble.deciles(df).where("percentile = 50").drop("percentile"))
+    want = levels.join(peaks, "river").select("river", "recurrence_interval", "flow", "share", "onset", "peak", "peak_step").collect()
+    facts = thresholds.alert_facts(df, curves)
+    assert sorted(map(tuple, facts.collect())) == sorted(map(tuple, want)) and len(want) > 5
+    assert facts.columns == ["river", "recurrence_interval", "flow", "share", "onset", "peak", "peak_step"]
+
+
 def test_equal_to_a_threshold(spark):
     curves = spark.createDataFrame([(1, 2.0, 5.0)], "river int, recurrence_interval float, flow float")
     assert thresholds.exceedance(members(spark, 51, high=5.0), curves).first().share == 0.0
