@@ -103,7 +103,8 @@ def occurrences(
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """One row per input row: id, n_words, n_hit, items (sorted array of strings), contaminated.
 
-    A word inside any occurrence of a window is hit. Null or empty text has no words and no hits. Items
+    A word inside any occurrence of a window is hit. Very long texts are read whole; an empty table of documents gives
+    no rows; other columns are not read. Null or empty text has no words and no hits. Items
     without words or id have no windows; with an empty benchmark nothing is hit. Rows that share id and
     text get equal results and keep their number; rows that share only the id are told apart by text.
     """
@@ -126,7 +127,9 @@ def _same(a: Column, hash_: str, size: str, id_col: str, text_col: str) -> Colum
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text holds no benchmark window."""
+    """The rows of ``docs`` (all columns) whose text holds no benchmark window. Null and empty texts stay, repeated rows
+    stay or go together, very long texts are read whole, columns of any name are kept; an empty table stays empty, and
+    with an empty benchmark all rows stay."""
     hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
     names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size")]
     bad = Scratch(docs.sparkSession).save(hits.select("id", "hash", "size").distinct().toDF(*names), "contaminated")
@@ -137,7 +140,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The rows of ``docs`` (all columns) without the words of benchmark windows: each window goes from the first
-    letter of its first word to the last letter of its last. Texts without hits stay as they are; null stays null."""
+    letter of its first word to the last letter of its last. Texts without hits stay as they are; null stays null.
+    Rows keep their number and columns; very long texts are read whole; an empty table stays empty."""
     hits = occurrences(docs, benchmark, id_col, text_col, window, max_windows).where("start is not null")
     names = [free_name(docs, x) for x in ("hit_id", "hit_hash", "hit_size", "hit_spans")]
     found = hits.groupBy("id", "hash", "size").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("spans")).toDF(*names)

@@ -109,7 +109,8 @@ def span_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", allowed=ALLOWED) -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by ``mask``; spans that overlap or touch become one mask.
-    Null text stays null; columns are those of ``docs``."""
+    Null text stays null and empty text empty; very long texts are read whole; repeated rows stay; columns are those of
+    ``docs``, whatever their names; an empty table stays empty."""
     found = scan(docs, text_col, allowed)
     masked = filled(F.col(text_col), F.col("all_spans"), lambda new, length: F.when(new, F.lit(mask)).otherwise(""))
     return found.withColumn(text_col, F.when(F.size("all_spans") > 0, masked).otherwise(F.col(text_col))).select(*docs.columns)

@@ -161,7 +161,10 @@ def _descriptions(terms: list[str]):
 
 
 def train(docs: DataFrame, labels: DataFrame, usable) -> Model:
-    """``usable``: a condition on labels. Without labels of both kinds every score is 0.5 * (share of toxic)."""
+    """``usable``: a condition on labels. Without labels of both kinds every score is 0.5 * (share of toxic). Labels of null
+    id or value are not used, of several for an id the largest counts; null texts have no words, very long ones are read
+    whole, repeated documents count each time; columns other than doc_id, text and toxic are not read; empty tables
+    give a model without terms."""
     scratch = Scratch(docs.sparkSession)
     labelled = scratch.save(_labelled(docs, labels, usable), "labelled")
     terms = learn_terms(labelled, scratch)
@@ -217,7 +220,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def below(docs: DataFrame, model: Model, limit: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that score less than ``limit``."""
+    """The rows of ``docs``, with all their columns, that score less than ``limit``. Null and empty texts score like texts
+    without hits, very long ones are scored whole, repeated rows stay or go together; an empty table stays empty."""
     at = docs.columns.index(text_col)
     return _scored(docs, model, at, len(docs.columns), limit).select(docs.columns)
 

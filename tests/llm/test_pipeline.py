@@ -152,7 +152,15 @@ def test_texts_longer_than_a_block_are_drawn_whole(spark):
 def test_stages_over_hard_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "some words here", "en", None, 15), (3, "some words here", "en", "a", 15), (3, "some words here", "en", "a", 15), (4, "password: abcdefgh12", "en", "b", 20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for frame, most in ((docs, 6), (docs.limit(0), 0)):
-        for _, stage in corpus_pipeline.STAGES:
-            frame = stage(spark, frame, SF)
-            assert frame.count() <= most
+    # After each stage: no text is toxic; the copy of 3 and the row of null id, which has the same text, go; nothing is in
+    # the benchmark; the secret is masked; the source of texts without tokens is not drawn.
+    kept = [[1, 2, 3, 3, 4, None], [1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 3, 4]]
+    frame, none = docs, docs.limit(0)
+    for (name, stage), want in zip(corpus_pipeline.STAGES, [*kept, None]):
+        frame, none = stage(spark, frame, SF), stage(spark, none, SF)
+        rows = frame.collect()
+        assert none.count() == 0
+        if want is not None:
+            assert sorted((r.doc_id for r in rows), key=lambda x: (x is None, x)) == want, name
+    assert {r.doc_id for r in rows} <= {1, 2, 3, 4} and {3, 4} <= {r.doc_id for r in rows} and all(r.copies > 0 for r in rows)
+    assert [r.text for r in rows if r.doc_id == 4] == ["[secret]"]
