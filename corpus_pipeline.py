@@ -17,7 +17,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the toxicity model rejects; it is trained on all labels of ``docs``."""
+    """Without the documents that the toxicity model rejects; it is trained on all labels of ``docs``. Null and empty texts
+    stay (they have no hits), repeated rows stay or go together, very long texts are scored whole; an empty table stays
+    empty."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.below(docs, model, TOXIC)
 
@@ -34,18 +36,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a window of a benchmark item."""
+    """Without the documents that hold a window of a benchmark item. Null and empty texts stay, very long ones are read
+    whole; an empty table stays empty."""
     return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets masked in the texts, n_chars counted anew."""
+    """Secrets masked in the texts, n_chars counted anew (null for a null text). No row goes; very long texts are read
+    whole; an empty table stays empty."""
     masked = secret_scan.redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn for the mixture, with their weight and number of copies."""
+    """The documents drawn for the mixture, with their weight and number of copies. A null source is the source ''; texts
+    without tokens are drawn with their block, and sources without any tokens are not drawn; an empty table stays
+    empty."""
     drawn = mixing.mixed(docs)
     return drawn.where("copies > 0").select(*docs.columns, "n_tokens", "weight", "copies", "block")
 
