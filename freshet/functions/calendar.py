@@ -59,3 +59,13 @@ def member_number(kind: Column, number: Column) -> Column:
     """Control forecast: 0. Perturbed forecast: 1 to 50. Anything else is an error."""
     ok = F.when((kind == "cf") & (number == 0), F.lit(0)).when((kind == "pf") & number.between(1, 50), number)
     return F.coalesce(ok, F.raise_error(F.concat(F.lit("no such member: "), kind, F.lit(" "), number.cast("string"))).cast("int")).cast("int")
+
+
+def month_plan(rows: DataFrame, by: str, ts: str) -> DataFrame:
+    """(by, month): the months, from the first to the last that a group has, of which it has no rows: what is to be fetched
+    month by month. Months are made from two dates a group, and met by an anti-join of distinct months."""
+    month = F.trunc(ts, "month").alias("month")
+    have = rows.select(by, month).where("month is not null").distinct()
+    span = have.groupBy(by).agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    every = span.select(by, F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month"))
+    return every.join(have, [by, "month"], "left_anti")

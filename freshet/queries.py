@@ -745,7 +745,7 @@ def record_parts(spark, sf_dir):
 def forecast_store(spark, sf_dir):
     """An ensemble in the forecast store, its percentiles and mean read back."""
     path = _fresh(spark, "forecast")
-    stores.write_forecast_store(data.members(spark, sf_dir), path, "months since 1995-01-01")
+    stores.write_forecast_store(_saver(spark)(data.members(spark, sf_dir), "members"), path, "months since 1995-01-01")
     mean = array_store.read_arrays(spark, path, "mean").where("mean is not null")
     return array_store.read_arrays(spark, path, "percentiles").where("percentiles is not null").join(mean, ["river", "step"]).select("river", "percentile", "step", F.col("percentiles").alias("q"), "mean")
 
@@ -754,6 +754,13 @@ def forecast_store(spark, sf_dir):
 def return_period_store(spark, sf_dir):
     """All fits of both series and the largest maxima in the return-period store, two of its arrays read back."""
     path = _fresh(spark, "return-periods")
-    stores.write_return_period_store(data.annual(spark, sf_dir), path)
+    stores.write_return_period_store(_saver(spark)(data.annual(spark, sf_dir), "annual"), path)
     top = array_store.read_arrays(spark, path, "max_simulated_hourly")
     return array_store.read_arrays(spark, path, "gumbel_hourly").join(top, "river").select("river", "recurrence_interval", "gumbel_hourly", "max_simulated_hourly")
+
+
+@query("WITH b AS (SELECT o_custkey AS store, date_trunc('month', min(o_orderdate)) AS f, date_trunc('month', max(o_orderdate)) AS l FROM orders GROUP BY 1), every AS (SELECT store, unnest(generate_series(f::TIMESTAMP, l::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM b), have AS (SELECT DISTINCT o_custkey AS store, date_trunc('month', o_orderdate)::TIMESTAMP AS m FROM orders) SELECT store, strftime(m, '%Y-%m') AS month FROM every ANTI JOIN have USING (store, m)")
+def months_to_fetch(spark, sf_dir):
+    """Months without an order between a customer's first and last."""
+    o = data.table(spark, sf_dir, "orders", "o_custkey", "o_orderdate").withColumnRenamed("o_custkey", "store")
+    return calendar.month_plan(o, "store", "o_orderdate").select("store", F.date_format("month", "yyyy-MM").alias("month"))

@@ -22,10 +22,14 @@ class _Store:
         register(rows.sparkSession)
         self.path, self.chunk_rivers, self.places, self.sizes = path, chunk_rivers, {}, {}
         for name, kind in kinds.items():
-            placed = network.places(rows.select(F.col(name)).where(F.col(name).isNotNull()).distinct(), name, 64 if name == "river" else 1)
+            placed = network.places(rows.select(F.col(name)).where(F.col(name).isNotNull()).distinct(), name, 64 if name == "river" else 1).persist()
             self.places[name], self.sizes[name] = placed, placed.count()
             write_array(placed.select(F.col("place").alias(name), F.col(name).alias("value")), path, name, (name,), (self.sizes[name],), (AXIS_CHUNK,), kind, attributes=attributes.get(name))
 
+    def close(self) -> None:
+        for placed in self.places.values():
+            placed.unpersist()
+
     def add(self, rows: DataFrame, name: str, dims: tuple[str, ...], value: str = "q") -> None:
         placed = rows.select(*dims, F.col(value).alias("value"))
         for d in dims:
@@ -48,6 +52,7 @@ def write_forecast_store(members: DataFrame, path: str, units: str, chunk_rivers
     store.add(members, "q", ("river", "member", "step"))
     store.add(deciles, "percentiles", ("river", "percentile", "step"))
     store.add(ensemble.mean(members), "mean", ("river", "step"))
+    store.close()
 
 
 def write_return_period_store(annual: DataFrame, path: str, chunk_rivers: int = CHUNK_RIVERS) -> None:
@@ -63,5 +68,6 @@ def write_return_period_store(annual: DataFrame, path: str, chunk_rivers: int =
         for series in ("hourly", "daily"):
             largest = frequency.largest(annual.select("river", F.col(series).alias("q")))
             store.add(largest, f"max_simulated_{series}", ("river",), "max_simulated")
+        store.close()
     finally:
         curves.unpersist()

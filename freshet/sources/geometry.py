@@ -47,10 +47,11 @@ class _Reader:
         return np.where(little, raw.view("<u4").ravel(), raw.view(">u4").ravel()).astype(np.int64)
 
 
-def decoded(column: pa.Array) -> pa.Array:
+def decoded(column: pa.Array, srid: int | None = None) -> pa.Array:
     """Rings of a binary column of polygons and multipolygons: null stays null, an empty geometry has no rings. The first
     ring of a polygon is its outline, others are holes; the point that closes a ring is left out, heights and measures
-    too. Any other type, or a geometry that is cut off, is an error."""
+    too. Any other type, a geometry that is cut off, or one that names another reference system than ``srid``, is an
+    error."""
     column = column.cast(pa.large_binary())
     buffers, n = column.buffers(), len(column)
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + n + 1]
@@ -66,6 +67,11 @@ def decoded(column: pa.Array) -> pa.Array:
             raise ValueError("a geometry ends before it is whole")
         little[of] = data[at[of]] == 1
         code = read.whole(at[of] + 1, of, little[of])
+        named = of[(code & HAS_SRID) > 0]
+        if srid is not None and len(named):
+            other = read.whole(at[named] + 5, named, little[named])
+            if (other != srid).any():
+                raise ValueError(f"reference system {int(other[other != srid][0])} in place of {srid}")
         at[of] += 5 + 4 * ((code & HAS_SRID) > 0)
         plain = code & 0x0FFFFFFF
         stride[of] = 2 + (((code & HAS_Z) > 0) | np.isin(plain // 1000, (1, 3))) + (((code & HAS_M) > 0) | np.isin(plain // 1000, (2, 3)))
@@ -122,13 +128,14 @@ def decoded(column: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32(), mask=np.append(~valid, False)), struct)
 
 
-def with_rings(df: DataFrame, column: str, to: str = "rings", rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> DataFrame:
-    """``df`` with the rings of a binary geometry column in its place."""
+def with_rings(df: DataFrame, column: str, to: str = "rings", rows: int = BATCH_ROWS, size: int = BATCH_BYTES, srid: int | None = None) -> DataFrame:
+    """``df`` with the rings of a binary geometry column in its place; with ``srid``, geometries that name another
+    reference system are an error."""
     others = [c for c in df.columns if c != column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, len(others), rows, size):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded(batch.column(len(others)))], names=[*others, to])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded(batch.column(len(others)), srid)], names=[*others, to])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != column] + [f"`{to}` {RINGS}"])
     return df.select(*others, column).mapInArrow(run, schema)

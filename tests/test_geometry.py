@@ -64,6 +64,15 @@ def test_faults_are_errors(spark, bad):
         g.with_rings(spark.createDataFrame([(1, bytearray(bad))], "river long, geometry binary"), "geometry").collect()
 
 
+def test_another_reference_system_is_an_error(spark):
+    shape = [[[(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]]]
+    rows = [wkb(shape, extended=True, srid=3857), wkb(shape), wkb(shape, order=">", extended=True, srid=3857)]
+    assert listed(g.decoded(pa.array(rows), 3857)) == [plain(shape)] * 3
+    with pytest.raises(ValueError, match="4326 in place of 3857"):
+        g.decoded(pa.array([*rows, wkb(shape, order=">", extended=True, srid=4326)]), 3857)
+    assert listed(g.decoded(pa.array([wkb(shape, extended=True, srid=4326)]))) == [plain(shape)]
+
+
 def test_round_trip_in_bounded_batches(spark):
     rng = np.random.default_rng(2)
     rows = [(i, None if i % 50 == 0 else [(False, ring(rng, 3 + i % 9))] + [(True, ring(rng, 3))] * (i % 3) + [(False, ring(rng, 4))] * (i % 4), "x") for i in range(700)]
