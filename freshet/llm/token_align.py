@@ -29,7 +29,7 @@ from freshet.llm.scratch import Scratch
 from freshet.llm.textbytes import byte_batches, text_bytes
 
 #: Bytes of text aligned at once, bytes of a lane, and pieces that a worker remembers.
-BATCH_BYTES, LANE_BYTES, MEMO_PIECES = 2 << 20, 512, 600_000
+BATCH_BYTES, LANE_BYTES, MEMO_PIECES = 1 << 20, 512, 300_000
 #: Longest piece worth remembering (bytes).
 MEMO_LENGTH = 64
 #: Bytes of pieces encoded in one call.
@@ -54,18 +54,19 @@ class Pool:
     """Growing arrays of token ids and byte lengths; ``first`` and ``count`` say where each piece lies."""
 
     def __init__(self):
-        self.ids, self.sizes, self.first, self.count = (np.empty(0, np.int64) for _ in range(4))
+        self.ids, self.sizes, self.first, self.count = (np.empty(0, kind) for kind in (np.int32, np.int32, np.int64, np.int64))
 
     def add(self, ids: np.ndarray, counts: np.ndarray, size_of: np.ndarray) -> None:
         self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(counts) - counts))
         self.count = np.concatenate((self.count, counts))
-        self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, size_of[ids]))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+        self.sizes = np.concatenate((self.sizes, size_of[ids].astype(np.int32)))
 
     def tokens(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, sizes, number of each piece) of the pieces' tokens in order."""
         counts = self.count[pieces]
         at = np.arange(int(counts.sum())) + np.repeat(self.first[pieces] - np.cumsum(counts) + counts, counts)
-        return self.ids[at], self.sizes[at], counts
+        return self.ids[at].astype(np.int64), self.sizes[at], counts
 
 
 class Tokenizers:
