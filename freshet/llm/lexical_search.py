@@ -11,7 +11,8 @@ Accumulators that cannot reach it with all that the later owners might add are d
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from freshet.llm.scratch import Scratch
 from freshet.llm.textbytes import byte_batches, text_bytes
 
 #: Documents of a block and bytes of their texts, items of a bundle, owners.
-BLOCK_ROWS, BLOCK_BYTES, BUNDLE, OWNERS = 8192, 32 << 20, 256, 4
+BLOCK_ROWS, BLOCK_BYTES, BUNDLE, OWNERS = 8192, 16 << 20, 256, 4
 #: Most terms of all items, and bytes of them, that are broadcast to leave other terms out before the shuffle; most
 #: items, and pairs of item and term, that are broadcast to joins. What is beyond is joined; no result depends on it.
 MAX_TERMS, MAX_TERM_BYTES, MAX_ITEMS, MAX_PAIRS = 1 << 18, 8 << 20, 1 << 18, 1 << 20
@@ -56,23 +57,27 @@ def _inverted(shared, block_rows: int):
             for begin in range(0, whole.num_rows, block_rows):
                 batch = whole.slice(begin, block_rows)
                 order = pc.sort_indices(batch.column(0), null_placement="at_end")
-                ids, lengths, found = batch.column(0).take(order), [], defaultdict(list)
-                for at, text in enumerate(text_bytes(batch.column(1).take(order))):
+                ids, lengths, number, met, tf, sizes = batch.column(0).take(order), [], {}, array("i"), array("i"), []
+                for text in text_bytes(batch.column(1).take(order)):
                     words = terms_of(text)
                     lengths.append(len(words))
                     counts = Counter(words)
-                    for term in counts if known is None else known.intersection(counts):
-                        found[term].append((at, counts[term], len(words)))
+                    own = list(counts) if known is None else list(known.intersection(counts))
+                    met.extend([number.setdefault(term, len(number)) for term in own])
+                    tf.extend([counts[term] for term in own])
+                    sizes.append(len(own))
                 rows = batch.num_rows
                 ints = pa.list_(pa.int32())
                 head = [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, rows], pa.int32()), ids), pa.array([lengths], ints), *[pa.nulls(1, k) for k in (pa.binary(), ints, ints, ints)]]
                 yield pa.RecordBatch.from_arrays(head, names=NAMES)
-                if found:
-                    flat = np.array([p for x in found.values() for p in x], np.int32)
-                    cuts = pa.array(np.cumsum([0, *map(len, found.values())]), pa.int32())
-                    n = len(found)
-                    lists = [pa.ListArray.from_arrays(cuts, pa.array(np.ascontiguousarray(flat[:, k]))) for k in range(3)]
-                    yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.nulls(n, pa.list_(ids.type)), pa.nulls(n, ints), pa.array(list(found), pa.binary()), *lists], names=NAMES)
+                if number:
+                    term = np.frombuffer(met, np.int32)
+                    by_term = np.argsort(term, kind="stable")
+                    columns = [np.repeat(np.arange(rows, dtype=np.int32), sizes), np.frombuffer(tf, np.int32), np.repeat(np.array(lengths, np.int32), sizes)]
+                    n = len(number)
+                    cuts = pa.array(np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n)))), pa.int32())
+                    lists = [pa.ListArray.from_arrays(cuts, pa.array(x[by_term])) for x in columns]
+                    yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.nulls(n, pa.list_(ids.type)), pa.nulls(n, ints), pa.array(list(number), pa.binary()), *lists], names=NAMES)
                 block += 1
 
     return run
