@@ -63,11 +63,11 @@ def template(k: int, most: int) -> np.ndarray:
 class Hash:
     """Projections of vectors of one length: directions, widths and shifts of all tables."""
 
-    def __init__(self, sample: np.ndarray, k: int, longest: float, tables: int = TABLES):
+    def __init__(self, sample: np.ndarray, k: int, longest: float, tables: int = TABLES, wider: float = 1.0):
         self.centre, self.longest, self.k, self.tables = sample.mean(0), longest, k, tables
         draw = np.random.default_rng(SEED)
         self.directions = draw.standard_normal((sample.shape[1] + 1, tables * k))
-        self.width = 2 * float(np.median((self._even(sample) @ self.directions).std(0))) or 1.0
+        self.width = wider * (2 * float(np.median((self._even(sample) @ self.directions).std(0))) or 1.0)
         self.shift = draw.random(tables * k)
         self.factor = draw.integers(1, 1 << 63, (tables, k), np.int64).astype(np.uint64) | np.uint64(1)
 
@@ -360,14 +360,15 @@ def _of_length(rows: DataFrame, indexed: DataFrame, scratch: Scratch, dim: int,
     at = {k: i for i, k in enumerate(q_keys)}
     of, near = np.array([at[k] for k in true["q"].to_pylist()], np.int64), np.array(true["vector"].to_pylist(), np.float64).reshape(-1, dim)
     k = min(24, max(4, round(np.log2(max(n, 2) / CELL))))
-    while True:  # with fewer directions cells are larger; with none left every vector is in one cell
-        hash_ = Hash(fit, k, longest or 1.0, tables)
+    reach, wider = None, 1.0
+    while True:  # cells grow with fewer directions, then in width, until those visited hold enough of the true neighbours
+        hash_ = Hash(fit, k, longest or 1.0, tables, wider)
         sets = template(k, MOST_CELLS)
         reach = _reach(hash_, sets, q, of, near, target)
-        if reach or k == 1:
+        if reach:
             break
-        k -= 1
-    sets = sets[: reach or len(sets)]
+        k, wider = (k - 1, wider) if k > 1 else (k, 2 * wider)
+    sets = sets[:reach]
     hashed = sc.broadcast(hash_)
     cells = scratch.save(indexed.select("row", "id", "vector").mapInArrow(_hashed(hashed), "cell long, row long, id long, vector array<double>"), f"cells{dim}")
     total = n * tables

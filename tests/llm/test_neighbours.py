@@ -86,6 +86,16 @@ def test_empty_tables_and_few_rows(spark):
     assert neighbours.nearest(two, F.lit(False)).count() == 0
 
 
+def test_cells_grow_until_enough_is_found(spark, monkeypatch):
+    """With one visit a table and every true neighbour of the sample wanted, cells end up as large as it takes."""
+    monkeypatch.setattr(neighbours, "MOST_CELLS", 1)
+    rng = np.random.default_rng(8)
+    rows = list(enumerate([[float(x) for x in v] for v in rng.standard_normal((300, 12)) * np.exp(rng.standard_normal((300, 1)))]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, lambda i: i % 3 == 0)
+    assert recall(lists(neighbours.nearest(df, F.col("vec_id") % 3 == 0, target=1.0)), want) == 1.0
+
+
 def test_template_orders_sets_by_expected_cost():
     sets = neighbours.template(4, 40)
     assert sets[0].sum() == 0 and sets[1].tolist() == [1, 0, 0, 0, 0, 0, 0, 0]
