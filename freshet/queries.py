@@ -681,7 +681,7 @@ def streamed_increments(spark, sf_dir):
         source = spark.readStream.schema(rows.schema).parquet(f"{root}/in/quarter=[0-{k}]")
         stateful.resume(stateful.flowing_increments(source), sink, f"{root}/checkpoint")
     steps = sink.read(spark).where("what = 'step'")
-    return steps.select("cell", "hours", F.round("step_ro", 6).alias("step_ro"), F.round("total", 6).alias("total"), "n")
+    return steps.select("cell", F.col("hours").cast("int").alias("hours"), F.round("step_ro", 6).alias("step_ro"), F.round("total", 6).alias("total"), "n")
 
 
 def _fresh(spark, name):
