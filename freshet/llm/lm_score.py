@@ -31,7 +31,7 @@ COMMON_WORDS = 1 << 17
 #: Distinct words a task holds before it hands on partial counts.
 HELD_WORDS = 300_000
 #: Uses of grams handed on in one batch.
-MOST_USES = 500_000
+MOST_USES = 100_000
 #: The end of a text is a token of its own; no word is empty.
 END = b""
 
@@ -49,7 +49,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["token", "n"])
 
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             for text in text_bytes(batch.column(0)):
                 held.update(ascii_words(text))
             held[END] += batch.num_rows
@@ -161,8 +161,8 @@ def _block_rows(shared, order: int):
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists]))), pa.int32())
                 yield _rare_rows(block, batch.column(0).type, pa.array(list(rare), pa.binary()), None, pa.ListArray.from_arrays(offsets, values))
             for begin in range(0, len(codes), MOST_USES):
-                part = slice(begin, begin + MOST_USES)
-                code, at, n = codes[part], places[part], times[part]
+                piece = slice(begin, begin + MOST_USES)
+                code, at, n = codes[piece], places[piece], times[piece]
                 first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
                 values = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(n, pa.int32())], fields=list(uses.value_type))
                 offsets = pa.array(np.append(first, len(code)), pa.int32())

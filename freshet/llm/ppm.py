@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.scratch import Scratch
+from freshet.llm.textbytes import small_batches, text_bytes
 
 #: Bytes handled at once by the array code, and rows of partial counts kept before they are merged.
 WINDOW = 1 << 20
 MERGE_ROWS = 1_500_000
+#: Rows of counts handed on in one batch.
+SENT_ROWS = 100_000
 
 
 def _streams(texts: Iterable[bytes], order: int) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -64,10 +67,12 @@ def gram_counts(texts: Iterable[bytes], order: int) -> tuple[np.ndarray, np.ndar
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    codes, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return codes, np.bincount(back, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes)).astype(np.int64)
+    codes = np.concatenate([np.empty(0, np.uint64), *[p[0] for p in parts]])
+    by_code = np.argsort(codes, kind="stable")  # the parts are sorted, so this merges them
+    codes = codes[by_code]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+    counts = np.concatenate([np.empty(0, np.int64), *[p[1] for p in parts]])[by_code]
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def count_grams(texts: DataFrame, order: int, normalise, by: str | None = None) -> DataFrame:
@@ -75,12 +80,12 @@ def count_grams(texts: DataFrame, order: int, normalise, by: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
-        for batch in batches:
-            column = batch.column(0).to_pylist()
+        for batch in small_batches(batches, 0):
+            column = text_bytes(batch.column(0))
             keys = batch.column(1).to_pylist() if by else [""] * len(column)
             groups: dict = {}
             for key, text in zip(keys, column):
-                groups.setdefault(key, []).append(normalise((text or "").encode()))
+                groups.setdefault(key, []).append(normalise(text))
             for key, group in groups.items():
                 parts = held.setdefault(key, [])
                 parts.append(gram_counts(group, order))
@@ -88,9 +93,9 @@ def count_grams(texts: DataFrame, order: int, normalise, by: str | None = None)
                     held[key] = [_merged(parts)]
         for key, parts in held.items():
             codes, counts = _merged(parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(counts)], names=["by", "code", "n"]
-            )
+            for begin in range(0, len(codes), SENT_ROWS):
+                code, n = codes[begin : begin + SENT_ROWS], counts[begin : begin + SENT_ROWS]
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(code), pa.string()), pa.array(code.view(np.int64)), pa.array(n)], names=["by", "code", "n"])
 
     picked = texts.select("text", by) if by else texts.select("text")
     return picked.mapInArrow(run, "by string, code long, n long").groupBy("by", "code").agg(F.sum("n").alias("n"))

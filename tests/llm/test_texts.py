@@ -10,6 +10,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +220,40 @@ def test_lm_score(spark, texts):
     assert lm_score.score(docs.limit(0), training, max_contexts=50).count() == 0
 
 
+@pytest.mark.parametrize("most", [20, 1 << 20])
+def test_lm_score_of_many_batches_a_task(spark, most):
+    """Words and grams that are not broadcast come back to the block of their own task and batch."""
+    rng = random.Random(8)
+    rows = [" ".join(rng.choice(WORDS) if rng.random() < 0.3 else f"w{rng.randrange(300)}" for _ in range(20 + i % 9)) for i in range(240)]
+    docs = frame(spark, rows).repartitionByRange(3, "doc_id")
+    flags = [i % 7 != 2 for i in range(len(rows))]
+    bits = plain_ppm([t for t, f in zip(rows, flags) if f], 3)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "16")
+    try:
+        got = {r.doc_id: r for r in lm_score.score(docs, F.col("doc_id") % 7 != 2, order=3, common_words=20, max_contexts=most).collect()}
+    finally:
+        spark.conf.set(key, held)
+    for i, (n, known, total, base) in enumerate(brute.base_score(rows, flags)):
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total)
+        assert got[i].base_score == pytest.approx(base, rel=1e-9)
+        assert got[i].score == pytest.approx(-bits(rows[i]) * math.log10(2), rel=1e-5)
+
+
+def test_lm_query_with_odd_rows(spark, tmp_path):
+    """A null id has no remainder, so it is learned from and not held out; bytes that are not UTF-8 are bytes of words."""
+    rows = [(i, prose(i, 30).encode()) for i in range(20)] + [(None, b"Alpha the"), (None, None), (40, b"ok \xff\xfe Bad"), (41, b"\xff\xfe bad \xc3( bad"), (41, b"")]
+    texts = [(t or b"").decode("latin-1") for _, t in rows]
+    ids = pa.array([i for i, _ in rows], pa.int64())
+    pq.write_table(pa.table({"doc_id": ids, "text": pa.array([t for _, t in rows], pa.binary()).view(pa.string())}), tmp_path / "documents.parquet")
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    assert any(held) and not all(held)
+    want = Counter((i, h, n, k, t, f"{b:.9g}") for (i, _), h, (n, k, t, b) in zip(rows, held, brute.base_score(texts, [not h for h in held])))
+    got = queries.op5_lm_score(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, f"{r.base_score:.9g}") for r in got) == want
+
+
 @pytest.mark.parametrize("order", [2, 5])
 def test_lm_score_keeps_every_context(spark, texts, order):
     docs = frame(spark, [*texts, "zq rain-gauge, reach", "riverriver flow"])
