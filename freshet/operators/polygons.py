@@ -95,7 +95,9 @@ def pieces(catchments: DataFrame, cells: DataFrame, size: float, project=equal_a
     Holes are taken off. Pieces without area are left out, as are catchments without points.
     """
     boxes = bounds(catchments).withColumnRenamed("river", "id")
-    met = touching(boxes, cells.withColumnRenamed("cell", "id"), size)
+    # Planners take sizes from files: an array counts as one element and a row that is dealt to squares as one row.
+    # What they broadcast by that can be far more than the driver holds, so both joins are sorted.
+    met = touching(boxes, cells.withColumnRenamed("cell", "id").hint("merge"), size)
     met = met.select(F.col("b_id").alias("river"), F.col("c_id").alias("cell"), *[f"{s}_{x}" for s in "bc" for x in ("west", "south", "east", "north")])
     whole = (F.col("b_west") >= F.col("c_west")) & (F.col("b_east") <= F.col("c_east")) & (F.col("b_south") >= F.col("c_south")) & (F.col("b_north") <= F.col("c_north"))
     box = [F.col(f"c_{x}") for x in ("west", "south", "east", "north")]
@@ -104,7 +106,7 @@ def pieces(catchments: DataFrame, cells: DataFrame, size: float, project=equal_a
         inside = F.when(F.col("whole"), r["points"]).otherwise(clipped(r["points"], *box))
         return F.when(r["hole"], -1.0).otherwise(1.0) * ring_area(inside, project)
 
-    joined = met.withColumn("whole", whole).join(catchments.select("river", "rings"), "river")
+    joined = met.withColumn("whole", whole).join(catchments.select("river", "rings").hint("merge"), "river")
     corners = F.aggregate("rings", F.lit(0), lambda n, r: n + F.coalesce(F.size(r["points"]), F.lit(0)))
     dealt = balanced(joined, corners * F.when(F.col("whole"), 1).otherwise(CLIP_COST), TASK_CORNERS, "river", "cell")
     area = F.aggregate(F.transform("rings", part), F.lit(0.0), lambda a, b: a + b)

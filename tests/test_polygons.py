@@ -132,3 +132,16 @@ def test_polygon_work_is_spread(spark):
     joined = polygons.pieces(spark.createDataFrame(rows, RINGS), grid(spark), 1.0, polygons.plane)
     parts = {r[0]: r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()}
     assert len(parts) >= spark.sparkContext.defaultParallelism - 1
+
+
+def test_no_table_is_broadcast_by_estimate(spark):
+    """Rings and dealt cells look small to the planner; only the buckets of equal cost, of fixed size, are broadcast."""
+    x, y = (F.col("id") % 5).cast("double"), F.floor(F.col("id") / 5 % 5).cast("double")
+    corners = F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in ((0.1, 0.1), (1.5, 0.1), (0.1, 0.9))])
+    catchments = spark.range(50).select(F.col("id").alias("river"), F.array(F.struct(F.lit(False).alias("hole"), corners.alias("points"))).alias("rings"))
+    cells = spark.range(40).select(F.col("id").alias("cell"), x.alias("west"), y.alias("south"), (x + 1).alias("east"), (y + 1).alias("north"))
+    got = polygons.pieces(catchments, cells, 1.0, polygons.plane)
+    rows = got.collect()
+    assert sum(r.area for r in rows if r.cell < 5) > 0 and len({r.river for r in rows}) == 50
+    for plan in (got._jdf.queryExecution().sparkPlan().toString(), got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]):
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 2
