@@ -1,6 +1,7 @@
 """Catchment polygons: areas against boxes, whole polygons and sampling."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -145,3 +146,22 @@ def test_no_table_is_broadcast_by_estimate(spark):
     assert sum(r.area for r in rows if r.cell < 5) > 0 and len({r.river for r in rows}) == 50
     for plan in (got._jdf.queryExecution().sparkPlan().toString(), got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]):
         assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 2
+
+
+def test_sums_of_buckets_take_little_of_the_driver(spark):
+    """The driver holds arrays, not an object for each bucket, and gives out spans that leave no bucket out."""
+    df = spark.range(1 << 18).withColumn("cost", F.lit(1.0))
+    tracemalloc.start()
+    dealt = balance.balanced(df, F.col("cost"), 1000.0, "id")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6
+    sizes = [r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1 << 18 and len(sizes) == 263 and max(sizes) < 1100
+
+
+def test_spans_cover_every_bucket():
+    costs = np.array([3.0, 0.0, 1.0, 4.0])
+    assert balance.cuts(np.array([2, 3, 7, 9]), costs, 2, 16) == [(0, 0, 8), (1, 9, 15)]
+    assert balance.cuts(np.array([2, 3]), np.zeros(2), 5, 16) == [(0, 0, 15)]
+    assert balance.cuts(np.zeros(0, int), np.zeros(0), 1, 16) == [(0, 0, 15)]
